@@ -187,7 +187,7 @@ class ChangeFlow(AppendFlow):
         touched = sorted(r[0] for r in changed.select(BUCKET).distinct().collect())
         previous = target.version()
         if previous is None:
-            tail, kept, rewrite = staged, None, set()
+            tail, kept, rewrite = staged.drop(BUCKET), None, set()
         else:
             stored = target.frame(previous, target.parts(previous, OPEN, CLOSED, buckets=touched))
             anchors = self._anchors(stored, changed)

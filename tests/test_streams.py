@@ -1,0 +1,245 @@
+import json
+import random
+
+import brute
+import pytest
+
+from contractflow import AppendFlow, ChangeFlow, Column, Contract, ContractError, Dataset
+from contractflow.contract import END_AT, START_AT
+
+EVENTS = Contract(
+    "feed",
+    (
+        Column("id", "BIGINT", target="business_id", required=True, key=True),
+        Column("name", "STRING", target="business_name"),
+        Column("rank", "BIGINT"),
+        Column("source_sequence", "BIGINT", target="event_order", required=True),
+        Column("source_operation", "STRING", target="event_operation", required=True),
+    ),
+    "1.0.0",
+)
+
+
+def write_json(folder, name, records):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("".join((r if isinstance(r, str) else json.dumps(r)) + "\n" for r in records))
+
+
+def change_flow(tmp_path, **settings):
+    return ChangeFlow(
+        EVENTS,
+        str(tmp_path / "in"),
+        str(tmp_path / "out"),
+        str(tmp_path / "state"),
+        keys=["id"],
+        sequence="source_sequence",
+        operation_column="source_operation",
+        **{"buckets": 4, **settings},
+    )
+
+
+def event(key, seq, op, name, rank):
+    return {"id": key, "source_sequence": seq, "source_operation": op, "name": name, "rank": rank}
+
+
+def history_rows(frame):
+    return sorted(
+        (
+            (r.business_id, tuple(sorted({"n": r.business_name, "r": r["rank"]}.items())), r[START_AT], r[END_AT])
+            for r in frame.collect()
+        ),
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("tracked,block_rows", [(None, None), (["name"], None), (["name"], 8)])
+def test_late_and_shuffled_events_give_the_batch_result(spark, tmp_path, tracked, block_rows):
+    rng = random.Random(7)
+    events = []
+    for seq in range(160):
+        key = 0 if seq % 3 == 0 else rng.randrange(1, 9)
+        events.append((key, seq, rng.choice("IUUUD"), rng.choice("xy"), rng.randrange(2)))
+    arrival = sorted(events, key=lambda e: e[1] + rng.choice([0, 0, 0, 5, 80]))
+    flow = change_flow(tmp_path, tracked=tracked, block_rows=block_rows)
+    seen = []
+    for i in range(0, len(arrival), 40):
+        write_json(tmp_path / "in", f"f{i:04d}.json", [event(*e) for e in arrival[i : i + 40]])
+        seen += arrival[i : i + 40]
+        flow.run(spark)
+        wanted = brute.scd2([(k, s, op, {"n": n, "r": r}) for k, s, op, n, r in seen], ("n",) if tracked else ("n", "r"))
+        assert history_rows(Dataset(spark, flow.target).read("history")) == wanted
+    current = Dataset(spark, flow.target).read()
+    assert current.columns == ["business_id", "business_name", "rank"]
+    assert current.count() == sum(1 for w in wanted if w[3] is None)
+
+
+def test_closed_folders_are_merged_and_stay_right(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("contractflow.streaming.feeds.CLOSED_FOLDERS", 2)
+    flow = change_flow(tmp_path, buckets=1)
+    seen = []
+    for i in range(5):
+        batch = [(1, 10 * i + j, "U", f"n{i}{j}", j) for j in range(2)]
+        seen += batch
+        write_json(tmp_path / "in", f"f{i}.json", [event(*e) for e in batch])
+        flow.run(spark)
+    target = Dataset(spark, flow.target)
+    assert history_rows(target.read("history")) == brute.scd2(
+        [(k, s, op, {"n": n, "r": r}) for k, s, op, n, r in seen], ("n", "r")
+    )
+    assert len([p for p in target.version().parts if p.role == "closed"]) <= 2
+
+
+def test_a_replayed_batch_is_skipped_and_a_failed_one_is_retried(spark, tmp_path):
+    flow = change_flow(tmp_path)
+    write_json(tmp_path / "in", "a.json", [event(1, 1, "I", "x", 1)])
+    flow.run(spark)
+    target = Dataset(spark, flow.target)
+    first = target.version()
+    flow.apply(target.read().limit(0), 0)  # the same batch id again
+    assert target.version().number == first.number
+    write_json(tmp_path / "in", "b.json", [event(1, 2, "X", "y", 1)])
+    with pytest.raises(Exception, match="operation"):
+        flow.run(spark)
+    assert target.version().number == first.number
+    (tmp_path / "in" / "b.json").write_text(json.dumps(event(1, 2, "U", "y", 1)) + "\n")
+    flow.run(spark)
+    assert history_rows(target.read("history"))[-1][1:] == ((("n", "y"), ("r", 1)), 2, None)
+
+
+@pytest.mark.parametrize(
+    "bad,rule",
+    [
+        (event(1, 2, None, "x", 1), "operation"),
+        (event(None, 2, "U", "x", 1), "required.business_id"),
+        (event(1, None, "D", "x", 1), "required.event_order"),
+        ({**event(1, 2, "U", "x", 1), "extra": 1}, "source_schema"),
+        ({**event(1, 2, "U", "x", 1), "rank": "secret-value"}, "source_schema"),
+        ('{"id": 1, "secret-value"', "source_schema"),
+        ("[1, 2]", "source_schema"),
+    ],
+)
+def test_bad_events_fail_the_update_without_showing_values(spark, tmp_path, bad, rule):
+    flow = change_flow(tmp_path)
+    write_json(tmp_path / "in", "a.json", [event(5, 1, "I", "x", 1), bad])
+    with pytest.raises(Exception) as error:
+        flow.run(spark)
+    assert rule in str(error.value) and "secret-value" not in str(error.value)
+    assert Dataset(spark, flow.target).version() is None
+
+
+def test_conflicting_events_fail_the_update(spark, tmp_path):
+    flow = change_flow(tmp_path)
+    write_json(tmp_path / "in", "a.json", [event(1, 1, "I", "x", 1)])
+    flow.run(spark)
+    write_json(tmp_path / "in", "b.json", [event(1, 1, "I", "y", 1)])
+    with pytest.raises(Exception, match="one key and sequence"):
+        flow.run(spark)
+    assert Dataset(spark, flow.target).version().number == 1
+
+
+def test_settings_are_checked_when_a_flow_is_defined(tmp_path):
+    for settings in [
+        {"sequence": ()},
+        {"operation_column": None},
+        {"sequence": "id"},
+        {"keys": ["source_operation"]},
+        {"tracked": ["source_sequence"]},
+        {"operation_column": "rank"},
+        {"keys": ["unknown"]},
+        {"fmt": "csv", "reader": {"header": True, "delimiter": ","}},
+    ]:
+        given = {"keys": ["id"], "sequence": "source_sequence", "operation_column": "source_operation", **settings}
+        with pytest.raises(ContractError):
+            ChangeFlow(EVENTS, "in", "out", "state", **given)
+
+
+RULES = (
+    {"id": "known", "metric": "invalidValues", "arguments": {"validValues": ["a", "b"]}, "mustBe": 0, "severity": "error"},
+    {"id": "present", "metric": "nullValues", "mustBe": 0},
+)
+FILES = Contract(
+    "orders",
+    (
+        Column("id", "BIGINT", required=True),
+        Column("day", "DATE"),
+        Column("label", "STRING", target="name", quality=RULES),
+    ),
+)
+
+
+def append_flow(tmp_path, **settings):
+    return AppendFlow(FILES, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), **settings)
+
+
+def test_append_reads_each_file_once_and_records_warnings(spark, tmp_path, rows):
+    flow = append_flow(tmp_path)
+    write_json(tmp_path / "in", "a.json", [{"id": 1, "day": "2024-02-29", "label": "a"}, {"id": 2, "label": None}])
+    flow.run(spark)
+    flow.run(spark)
+    target = Dataset(spark, flow.target)
+    assert target.version().info == {"batch": 0, "warnings": {"present": 1}}
+    write_json(tmp_path / "in", "b.json", [{"id": 3, "day": None, "label": "b"}])
+    append_flow(tmp_path).run(spark)
+    assert [r[0] for r in rows(target.read(), "id")] == [1, 2, 3]
+    assert target.read().columns == ["id", "day", "name", "_rescued_data"]
+    assert target.read(number=1).count() == 2
+    assert target.read().where("_rescued_data IS NOT NULL").count() == 0
+
+
+def test_append_refuses_bad_rows_and_keeps_what_is_committed(spark, tmp_path):
+    flow = append_flow(tmp_path, expectations={"small": "id < 100"})
+    write_json(tmp_path / "in", "a.json", [{"id": 1, "label": "a"}])
+    flow.run(spark)
+    for i, (bad, message) in enumerate(
+        [
+            ({"id": 2, "label": "c"}, "known"),
+            ({"id": None, "label": "a"}, "required.id"),
+            ({"id": 500, "label": "a"}, "business.small"),
+            ({"id": 2, "day": "2023-02-29", "label": "a"}, "temporal"),
+        ]
+    ):
+        write_json(tmp_path / "in", "b.json", [bad])
+        with pytest.raises(Exception, match=message):
+            flow.run(spark)
+        assert Dataset(spark, flow.target).read().count() == 1
+
+
+def test_csv_needs_a_matching_header_and_complete_rows(spark, tmp_path):
+    flow = append_flow(tmp_path, fmt="csv", reader={"header": True, "delimiter": ","})
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,day,label\n1,2024-01-01,a\n2,,b\n")
+    flow.run(spark)
+    assert Dataset(spark, flow.target).read().count() == 2
+    for text in ["id,day,label\n3\n", "id,day,label\n3,2024-01-01,a,extra\n", "id,day,label\nx,2024-01-01,a\n", "id,label,day\n3,a,2024-01-01\n"]:
+        (folder / "b.csv").write_text(text)
+        with pytest.raises(Exception):
+            flow.run(spark)
+        assert Dataset(spark, flow.target).read().count() == 2
+
+
+def test_multi_line_json(spark, tmp_path, rows):
+    flow = append_flow(tmp_path, reader={"multiLine": True})
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.json").write_text('[{"id": 1,\n "day": "2024-01-01", "label": "a"},\n {"id": 2, "label": "b"}]')
+    flow.run(spark)
+    assert rows(Dataset(spark, flow.target).read(), "id", "name") == [(1, "a"), (2, "b")]
+    (folder / "b.json").write_text('{"id": 3,\n "extra": true}')
+    with pytest.raises(Exception, match="source_schema"):
+        flow.run(spark)
+
+
+def test_parquet_streams_check_every_file(spark, tmp_path, rows):
+    contract = Contract("t", (Column("left", "BIGINT", target="right"), Column("right", "STRING", target="left")))
+    flow = AppendFlow(contract, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), fmt="parquet")
+    spark.createDataFrame([(1, "a")], "left bigint, right string").write.parquet(str(tmp_path / "in" / "x"))
+    source = str(tmp_path / "in" / "*")
+    flow = AppendFlow(contract, source, str(tmp_path / "out"), str(tmp_path / "state"), fmt="parquet")
+    flow.run(spark)
+    assert rows(Dataset(spark, flow.target).read(), "left", "right") == [("a", 1)]
+    spark.createDataFrame([(1, "a", 2)], "left bigint, right string, more int").write.parquet(str(tmp_path / "in" / "y"))
+    with pytest.raises(Exception, match="declared schema"):
+        flow.run(spark)
+    with pytest.raises(ContractError, match="Parquet"):
+        AppendFlow(FILES, "in", "out", "state", fmt="parquet")
