@@ -6,6 +6,7 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from ..operators.projection import name
 
 CORRUPT = "_corrupt_record"
 FILE = "_source_file"
+UNREADABLE = "(unreadable document)"
 STREAM_FORMATS = ("json", "csv", "parquet")
 FOLDER_FORMATS = ("csv", "json", "parquet", "xml", "avro", "text")
 
@@ -27,7 +29,7 @@ def without_values(message: str):
     """Replace engine errors, which may quote records, by a fixed message."""
     try:
         yield
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         raise DataRejected(message) from None
 
 
@@ -82,10 +84,11 @@ def rescue_json(text: DataFrame, contract: Contract, value: str = "value") -> Da
     # A NULL key list means the record is not an object.
     misfit = F.col(f"_r.{CORRUPT}").isNotNull() | F.coalesce(F.size(extra) > 0, F.lit(True))
     kept = [c for c in text.columns if c != value]
-    filled = text.where(F.length(F.trim(value)) > 0).select("*", record)
+    # Blank lines are not records; an unreadable document (NULL) is one that must be reported.
+    filled = text.where(F.coalesce(F.length(F.trim(value)) > 0, F.lit(True))).select("*", record)
     return filled.select(
         *[F.col(f"_r.`{f.name}`").alias(f.name) for f in schema.fields],
-        F.when(misfit, F.col(value)).alias(RESCUED),
+        F.when(misfit, F.coalesce(value, F.lit(UNREADABLE))).alias(RESCUED),
         *kept,
     )
 
@@ -113,6 +116,9 @@ def _load(source, fmt: str, path: str, contract: Contract, options: Mapping, wit
     if fmt == "json":
         if options.pop("multiLine", False):
             loaded = source.format("json").option("multiLine", True).option("singleVariantColumn", "_v").load(path)
+            # A document is one record or an array of records.
+            records = F.coalesce(F.col("_v").try_cast("array<variant>"), F.array("_v"))
+            loaded = loaded.select(F.explode(records).alias("_v"), *_file(with_file))
             loaded = loaded.select(F.to_json("_v").alias("value"), *_file(with_file))
         else:
             loaded = source.format("text").load(path).select("value", *_file(with_file))

@@ -35,7 +35,7 @@ def read_ledger(spark: SparkSession, paths: str | list[str], with_source: bool =
     An index that cannot be read, or lists nothing, keeps one row with NULL receipt fields so
     that an audit reports it.
     """
-    text = spark.read.option("wholetext", True).text(paths)
+    text = spark.read.text(paths, wholetext=True)
     index = text.select(
         F.from_json("value", INDEX_SCHEMA).alias("i"),
         F.col("_metadata.file_path").alias("index_path"),

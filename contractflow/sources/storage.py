@@ -79,7 +79,7 @@ class Storage:
         stream = fs.create(source, False)
         stream.write(bytearray(body))
         stream.close()
-        options = self.spark._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
             fs.getUri(), self.spark._jsc.hadoopConfiguration()

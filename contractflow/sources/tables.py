@@ -57,7 +57,11 @@ def read_query(
             upperBound=partition["upper"],
             numPartitions=partition["count"],
         )
-    loaded = reader.load()
+    return checked_rows(reader.load(), contract, cursor, mark)
+
+
+def checked_rows(loaded: DataFrame, contract: Contract, cursor: str | None = None, mark=None) -> DataFrame:
+    """Contract columns of a loaded table whose types agree with the contract, beyond the mark."""
     _check_types(loaded, contract)
     chosen = loaded.select(*[F.col(f"`{c.name}`").alias(c.output) for c in contract.columns])
     return chosen if cursor is None else after_cursor(chosen, contract.by_source(cursor).output, mark)

@@ -225,9 +225,10 @@ def test_multi_line_json(spark, tmp_path, rows):
     (folder / "a.json").write_text('[{"id": 1,\n "day": "2024-01-01", "label": "a"},\n {"id": 2, "label": "b"}]')
     flow.run(spark)
     assert rows(Dataset(spark, flow.target).read(), "id", "name") == [(1, "a"), (2, "b")]
-    (folder / "b.json").write_text('{"id": 3,\n "extra": true}')
-    with pytest.raises(Exception, match="source_schema"):
-        flow.run(spark)
+    for text in ('{"id": 3,\n "extra": true}', '{"id": 3,\n', "7", '[{"id": "x"}]'):
+        (folder / "b.json").write_text(text)
+        with pytest.raises(Exception, match="source_schema"):
+            flow.run(spark)
 
 
 def test_parquet_streams_check_every_file(spark, tmp_path, rows):
