@@ -6,6 +6,7 @@ from .operators.ledger import Policy
 from .plans.publication import publish
 from .plans.snapshots import SnapshotFlow
 from .plans.tables import TableFlow
+from .plans.terms import SourceTerms
 from .plans.views import materialize, python_view, sql_view
 from .sources.datasets import Dataset, read_dataset
 from .streaming.feeds import AppendFlow, ChangeFlow
@@ -22,6 +23,7 @@ __all__ = [
     "Policy",
     "QualityFailed",
     "SnapshotFlow",
+    "SourceTerms",
     "TableFlow",
     "materialize",
     "publish",

@@ -283,15 +283,25 @@ def scd1_merge(
 ) -> DataFrame:
     """Latest row per key. A stored newer row is never replaced by an older one; with equal
     sequences the update wins. Keys missing from the updates stay; only rows the extract flags
-    with the ``deleted`` predicate leave."""
+    with the ``deleted`` predicate leave.
+
+    Only the updates are grouped: the target has one row per key and joins as it is.
+    """
     sequence = [sequence] if isinstance(sequence, str) else list(sequence)
-    flag = F.expr(deleted) if deleted else F.lit(False)
-    rows = updates.select("*", F.lit(1).alias("_side"), F.coalesce(flag, F.lit(False)).alias("_gone"))
-    if target is not None:
-        stored = target.select("*", F.lit(0).alias("_side"), F.lit(False).alias("_gone"))
-        rows = stored.unionByName(rows)
-    latest = latest_rows(rows, keys, [*sequence, "_side", "_gone"])
-    return latest.where(~F.col("_gone")).drop("_side", "_gone")
+    flag = F.coalesce(F.expr(deleted), F.lit(False)) if deleted else F.lit(False)
+    latest = latest_rows(updates.withColumn("_gone", flag), keys, [*sequence, "_gone"])
+    if target is None:
+        return latest.where(~F.col("_gone")).drop("_gone")
+    columns = target.columns
+    rest = [c for c in columns if c not in keys]
+    old = target.select(*_columns(keys), _state(rest).alias("_old"))
+    new = latest.select(*_columns(keys), _state(rest).alias("_new"), "_gone")
+    at = lambda side: F.struct(*[F.col(side)[c] for c in sequence])
+    wins = F.col("_new").isNotNull() & (F.col("_old").isNull() | (at("_new") >= at("_old")))
+    row = F.when(wins, F.col("_new")).otherwise(F.col("_old")).alias("_row")
+    chosen = old.join(new, list(keys), "full_outer").where(~F.coalesce(wins & F.col("_gone"), F.lit(False)))
+    chosen = chosen.select(*_columns(keys), row)
+    return chosen.select(*[name(c) if c in keys else F.col("_row")[c].alias(c) for c in columns])
 
 
 def append_only(target: DataFrame | None, increment: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
@@ -117,10 +117,21 @@ def quality_results(results: DataFrame, context: Mapping[str, str], enforcement:
     return results.withColumn("context", context_map).withColumn("enforcement", F.lit(enforcement))
 
 
-def enforce(results: DataFrame, enforcement: str = AFTER_LOAD) -> list:
-    """Collect one row per rule and refuse the data if a required rule failed."""
+def enforce(
+    results: DataFrame,
+    enforcement: str = AFTER_LOAD,
+    store: Callable[[DataFrame], None] | None = None,
+    context: Mapping[str, str] | None = None,
+) -> list:
+    """Collect one row per rule and refuse the data if a required rule failed.
+
+    ``store`` receives the result rows, also those of a refused dataset.
+    """
     require(enforcement in (BEFORE_LOAD, AFTER_LOAD), "Unknown enforcement boundary")
     rows = results.select("id", "outcome", "value", "passed").collect()
+    if store:
+        judged = results.sparkSession.createDataFrame(rows, RESULT)
+        store(quality_results(judged, context or {}, enforcement))
     failed = [r.id for r in rows if r.outcome == "fail" and not r.passed]
     if failed:
         told = (

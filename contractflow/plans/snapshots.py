@@ -23,9 +23,11 @@ from ..operators.projection import (
     required_rules,
 )
 from ..operators.verify import duplicate_keys
-from ..sources.datasets import OPEN, Dataset, Version
+from ..sources.datasets import OPEN, Dataset, Version, result_store
 from ..sources.files import read_snapshot, reader_options, without_values
 from ..sources.ledgers import API_VERSION, dataset_ledger
+from .publication import latest_index
+from .terms import SourceTerms
 
 UNREADABLE = "The snapshot does not match its declared schema"
 
@@ -34,7 +36,9 @@ UNREADABLE = "The snapshot does not match its declared schema"
 class SnapshotFlow:
     """Apply a dataset's deliveries strictly in version order, one per step.
 
-    Keys and tracked columns are physical source names.
+    Keys, tracked and freshness columns are physical source names. ``index`` is an index file, or
+    the folder of published indexes, of which the current one is read. ``results`` is a dataset
+    that keeps every rule's result.
     """
 
     dataset: str
@@ -48,19 +52,27 @@ class SnapshotFlow:
     tracked: Sequence[str] | None = None
     expectations: Mapping[str, str] | None = None
     policy: Policy = field(default_factory=Policy)
+    terms: SourceTerms | None = None
+    freshness: tuple[str, float] | None = None
+    unsupported: str = "error"
+    results: str | None = None
     api_version: str = API_VERSION
 
     def __post_init__(self):
         require(isinstance(self.contract.version, str), "Snapshots need a contract version")
         require(self.key_columns, "Declare keys in the flow or the contract")
-        require(
-            self.index.startswith(self.source_root + "/") and self.index.endswith(".json"),
-            "The delivery index is a JSON file inside the source root",
-        )
+        require(self.index.startswith(self.source_root + "/"), "The delivery index is inside the source root")
         reader_options(self.fmt, self.reader, SNAPSHOT)
         require(self.fmt in ("json", "parquet"), "Snapshots are JSON or Parquet")
         self.contract.resolve(self.tracked)
-        compile_rules(self.contract, SNAPSHOT)
+        self.checks()
+        if self.terms:
+            self.terms.check(SNAPSHOT)
+        if self.freshness:
+            require(self.contract.by_source(self.freshness[0]).temporal, "Freshness needs a DATE or TIMESTAMP column")
+
+    def checks(self) -> list:
+        return compile_rules(self.contract, SNAPSHOT, self.unsupported)
 
     @property
     def key_columns(self) -> list[str]:
@@ -70,9 +82,13 @@ class SnapshotFlow:
     def tracked_columns(self) -> list[str] | None:
         return None if self.tracked is None else self.contract.resolve(self.tracked)
 
+    def receipts(self, spark: SparkSession) -> DataFrame:
+        index = self.index if self.index.endswith(".json") else latest_index(spark, self.index)
+        return dataset_ledger(spark, index, self.dataset, self.api_version)
+
     def next_delivery(self, spark: SparkSession, latest: int | None, now: dt.datetime | None = None):
         """The delivery after ``latest``, or None when caught up; every receipt is checked first."""
-        receipts = dataset_ledger(spark, self.index, self.dataset, self.api_version)
+        receipts = self.receipts(spark)
         found = ledger.receipt_violations(receipts, self.source_root)
         found = found.unionByName(ledger.duplicate_violations(receipts))
         found = found.unionByName(ledger.stale_violations(receipts, self.policy, now))
@@ -102,8 +118,9 @@ class SnapshotFlow:
             source = read_snapshot(spark, delivery.path, self.contract, self.fmt, options)
             self._check_rows(project(source, self.contract, self.fmt, on_invalid="report"), delivery)
             rows = project(source, self.contract, self.fmt)
-            results = quality.evaluate(rows, compile_rules(self.contract, SNAPSHOT))
-            quality.enforce(results, quality.BEFORE_LOAD)
+            results = quality.evaluate(rows, self.checks())
+            context = {"dataset": self.dataset, "delivery": str(delivery.version)}
+            quality.enforce(results, quality.BEFORE_LOAD, result_store(spark, self.results), context)
         return rows
 
     def _check_rows(self, flagged: DataFrame, delivery) -> None:
@@ -143,9 +160,15 @@ class SnapshotFlow:
             applied += 1
         return applied
 
+    def check_fresh(self, spark: SparkSession, now: dt.datetime | None = None) -> None:
+        """Refuse when the current rows are too old, or there are none."""
+        column, hours = self.freshness
+        current = Dataset(spark, self.target).read()
+        quality.require_fresh(current, self.contract.by_source(column).output, hours, now)
+
     def rebuild(self, spark: SparkSession, now: dt.datetime | None = None) -> DataFrame:
         """History rebuilt from all retained deliveries, for comparison before promotion."""
-        receipts = dataset_ledger(spark, self.index, self.dataset, self.api_version)
+        receipts = self.receipts(spark)
         series, latest = [], None
         for _ in range(receipts.count()):
             delivery = ledger.pending(receipts, latest).first()

@@ -34,11 +34,14 @@ class TableFlow:
     mode: str = SCD1
     cursor: str | None = None
     deleted: str | None = None
+    unsupported: str = "error"
+    results: str | None = None
 
     def __post_init__(self):
         require(self.mode in (SCD1, SCD2, APPEND_ONLY), "Unknown history mode")
         require(self.mode == APPEND_ONLY or self.contract.keys, f"{self.mode} needs primary keys in the contract")
         require(self.cursor is None or self.contract.by_source(self.cursor), "Unknown cursor column")
+        compile_rules(self.contract, MANAGED, self.unsupported)
         require(self.deleted is None or (self.mode == SCD1 and self.cursor), "Delete flags need SCD1 with a cursor")
 
     @property
@@ -90,8 +93,9 @@ class TableFlow:
 
     def check(self, spark: SparkSession) -> list:
         """All contract rules on the committed version."""
-        rules = compile_rules(self.contract, MANAGED)
-        return after_load(Dataset(spark, self.target), self.contract, rules, history=self.mode == SCD2)
+        rules = compile_rules(self.contract, MANAGED, self.unsupported)
+        target = Dataset(spark, self.target)
+        return after_load(target, self.contract.published(), rules, self.mode == SCD2, self.results)
 
 
 def advance_by_cursor(opened: DataFrame | None, rows: DataFrame, keys: list[str], cursor: str) -> DataFrame:

@@ -13,7 +13,7 @@ from ..errors import ContractError, require
 from ..functions.rules import VIEW, Check, compile_rules, unquoted
 from ..operators import quality
 from ..operators.projection import conforms
-from ..sources.datasets import Dataset, Version
+from ..sources.datasets import Dataset, Version, result_store
 
 # Query clauses that bypass declared inputs or are not offered in views.
 REFUSED = {
@@ -85,15 +85,27 @@ def _typed(result: DataFrame, contract: Contract) -> DataFrame:
     return result
 
 
-def after_load(target: Dataset, contract: Contract, checks: Sequence[Check], history: bool = False) -> list:
+def after_load(
+    target: Dataset, contract: Contract, checks: Sequence[Check], history: bool = False, results: str | None = None
+) -> list:
     """Judge one committed version; a required failure raises but does not roll back."""
-    frame, _ = target.read_pinned("history" if history else "current")
-    return quality.enforce(quality.check_table(frame, contract, checks, history), quality.AFTER_LOAD)
-
-
-def materialize(spark: SparkSession, frame: DataFrame, target: str, contract: Contract) -> Version:
+    frame, number = target.read_pinned("history" if history else "current")
+    judged = quality.check_table(frame, contract, checks, history)
+    context = {"target": target.root, "version": str(number)}
+    return quality.enforce(judged, quality.AFTER_LOAD, result_store(target.spark, results), context)
+
+
+def materialize(
+    spark: SparkSession,
+    frame: DataFrame,
+    target: str,
+    contract: Contract,
+    unsupported: str = "error",
+    results: str | None = None,
+) -> Version:
     """Replace the view as a whole, then check the committed version with all its rules."""
+    checks = compile_rules(contract, VIEW, unsupported)
     dataset = Dataset(spark, target)
     version = dataset.replace_table(_typed(frame, contract))
-    after_load(dataset, contract, compile_rules(contract, VIEW))
+    after_load(dataset, contract, checks, results=results)
     return version

@@ -22,7 +22,7 @@ from ..errors import ContractError, require
 from ..operators.projection import name
 from .storage import CommitLog, Storage
 
-OPEN, CLOSED, TABLE = "open", "closed", "table"
+OPEN, CLOSED, TABLE, STAGED = "open", "closed", "table", "staged"
 BATCH = "batch"
 
 
@@ -165,6 +165,11 @@ class Dataset:
         return self.commit(previous, previous.schema, [*kept, Part(CLOSED, folder)], previous.info)
 
 
+def result_store(spark: SparkSession, location: str | None):
+    """A function that appends rule results to a dataset, or None without a location."""
+    return None if location is None else (lambda rows: Dataset(spark, location).add_to_table(rows))
+
+
 def read_dataset(spark: SparkSession, location: str, port: str = "current") -> DataFrame:
     """An input of a view: a dataset folder written by this engine, or a catalog table."""
     if "/" in location:

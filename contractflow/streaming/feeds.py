@@ -7,7 +7,7 @@ so a batch that is replayed after its commit is recognised and skipped.
 
 from __future__ import annotations
 
-import functools
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -18,10 +18,11 @@ from pyspark.sql import types as T
 from ..contract import END_AT, RESCUED, START_AT, Contract, canonical_type
 from ..errors import DataRejected, require
 from ..functions.rules import APPEND, EVENTS, compile_rules, expectations
-from ..operators import history
+from ..operators import history, quality
 from ..operators.projection import business_rules, count_failures, name, project, required_rules
+from ..plans.terms import SourceTerms
 from ..session import checkpoint
-from ..sources.datasets import BATCH, CLOSED, OPEN, Dataset, Part
+from ..sources.datasets import BATCH, CLOSED, OPEN, STAGED, Dataset, Part
 from ..sources.files import FILE, parquet_misfits, reader_options, stream_files
 
 FAIL, WARN = "fail", "warn"
@@ -42,6 +43,9 @@ class AppendFlow:
     reader: Mapping | None = None
     expectations: Mapping[str, str] | None = None
     files_per_batch: int = 1000
+    terms: SourceTerms | None = None
+    freshness: tuple[str, float] | None = None
+    unsupported: str = "error"
 
     standard = APPEND
     operation = None
@@ -56,7 +60,16 @@ class AppendFlow:
             self.fmt != "parquet" or not any(c.temporal for c in self.contract.columns),
             "Streamed Parquet with DATE or TIMESTAMP columns needs a per-file policy; deliver snapshots or text",
         )
-        compile_rules(self.contract, self.standard)
+        self.checks()
+        if self.terms:
+            self.terms.check(self.standard)
+        if self.freshness:
+            column = self.contract.by_source(self.freshness[0])
+            hidden = column.output in {self.operation, *self.sequence_columns}
+            require(column.temporal and not hidden, "Freshness needs a published DATE or TIMESTAMP column")
+
+    def checks(self) -> list:
+        return compile_rules(self.contract, self.standard, self.unsupported)
 
     @property
     def key_columns(self) -> list[str]:
@@ -71,8 +84,7 @@ class AppendFlow:
         fixed = required_rules(self.contract, self.key_columns, sequence, operation)
         fixed.update(business_rules(self.expectations))
         rules.update({rule: (holds, FAIL) for rule, holds in fixed.items()})
-        checks = compile_rules(self.contract, self.standard)
-        rules.update(expectations(checks, self.key_columns, sequence, operation))
+        rules.update(expectations(self.checks(), self.key_columns, sequence, operation))
         return rules
 
     def check_batch(self, spark: SparkSession, rows: DataFrame) -> dict[str, int]:
@@ -110,6 +122,12 @@ class AppendFlow:
     def _commit(self, target: Dataset, rows: DataFrame, batch_id: int, warnings: dict) -> None:
         target.append_batch(rows, batch_id, {"warnings": warnings})
 
+    def check_fresh(self, spark: SparkSession, now: dt.datetime | None = None) -> None:
+        """Refuse when the current rows are too old, or there are none."""
+        column, hours = self.freshness
+        current = Dataset(spark, self.target).read()
+        quality.require_fresh(current, self.contract.by_source(column).output, hours, now)
+
     def run(self, spark: SparkSession) -> None:
         """Process every file that has arrived and stop."""
         query = (
@@ -180,12 +198,13 @@ class ChangeFlow(AppendFlow):
 
     def _commit(self, target: Dataset, rows: DataFrame, batch_id: int, warnings: dict) -> None:
         events = rows.drop(RESCUED)
-        staged = self._stage(target, events, batch_id)
-        keys = self.key_columns
-        first = events.groupBy(*keys).agg(F.min(self._sequence()).alias("_cut"))
+        previous = target.version()
+        staging = [p for p in previous.parts if p.role == STAGED] if previous else []
+        staging.append(self._stage(target, events, f"staged/{BATCH}={batch_id}"))
+        staged = self._staged(target, staging, events.schema)
+        first = events.groupBy(*self.key_columns).agg(F.min(self._sequence()).alias("_cut"))
         changed = self._written_once(first.withColumn(BUCKET, self._bucket()))
         touched = sorted(r[0] for r in changed.select(BUCKET).distinct().collect())
-        previous = target.version()
         if previous is None:
             tail, kept, rewrite = staged.drop(BUCKET), None, set()
         else:
@@ -193,25 +212,54 @@ class ChangeFlow(AppendFlow):
             anchors = self._anchors(stored, changed)
             tail = self._tail(staged, anchors, touched)
             kept, rewrite = self._kept(target, previous, anchors, touched)
-        fresh = history.scd2_from_events(
-            tail,
-            keys,
+        fresh = self._history(tail)
+        written = self._write(target, fresh if kept is None else kept.unionByName(fresh))
+        replaced = {(OPEN, b) for b in touched} | {(CLOSED, b) for b in rewrite}
+        stays = [p for p in previous.parts if p.role != STAGED and (p.role, p.bucket) not in replaced] if previous else []
+        info = {"batch": batch_id, "warnings": warnings}
+        target.commit(previous, fresh.schema, [*stays, *written, *staging], info)
+
+    def _history(self, events: DataFrame) -> DataFrame:
+        return history.scd2_from_events(
+            events,
+            self.key_columns,
             self.sequence_columns,
             operation=self.operation,
             tracked=self.tracked_columns,
             block_rows=self.block_rows,
         )
-        self._write(target, previous, fresh if kept is None else kept.unionByName(fresh), touched, rewrite, batch_id, warnings)
 
-    def _stage(self, target: Dataset, events: DataFrame, batch_id: int) -> DataFrame:
+    def _stage(self, target: Dataset, events: DataFrame, folder: str) -> Part:
         """Keep accepted events privately; a retry overwrites its own folder."""
-        folder = f"{target.root}/staged"
         bucketed = events.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
-        bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{folder}/{BATCH}={batch_id}")
-        columns = [T.StructField(f.name, f.dataType) for f in events.schema.fields]
-        partitions = [T.StructField(BATCH, T.LongType()), T.StructField(BUCKET, T.IntegerType())]
-        staged = target.spark.read.schema(T.StructType(columns + partitions)).parquet(folder)
-        return staged.where(F.col(BATCH) <= batch_id).drop(BATCH)
+        # Sorted files let a later read skip the events before its earliest one.
+        bucketed = bucketed.sortWithinPartitions(BUCKET, *self.sequence_columns)
+        bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{target.root}/{folder}")
+        return Part(STAGED, folder)
+
+    def _staged(self, target: Dataset, parts: list[Part], schema: T.StructType) -> DataFrame:
+        """Rows of staged folders, which are partitioned by batch and bucket below one base path."""
+        columns = [T.StructField(f.name, f.dataType) for f in schema.fields]
+        columns += [T.StructField(BATCH, T.StringType()), T.StructField(BUCKET, T.IntegerType())]
+        reader = target.spark.read.schema(T.StructType(columns)).option("basePath", f"{target.root}/staged")
+        return reader.parquet(*[f"{target.root}/{p.path}" for p in parts]).drop(BATCH)
+
+    def staged_events(self, spark: SparkSession) -> DataFrame:
+        """Every accepted event, with its operation and sequence; not published."""
+        target = Dataset(spark, self.target)
+        version = target.version()
+        return self._staged(target, target.parts(version, STAGED), self.contract.schema()).drop(BUCKET)
+
+    def rebuild(self, spark: SparkSession) -> DataFrame:
+        """History rebuilt from all accepted events, for comparison before promotion."""
+        return self._history(self.staged_events(spark))
+
+    def compact(self, spark: SparkSession):
+        """Rewrite the staged events of many batches as one folder; history stays as it is."""
+        target = Dataset(spark, self.target)
+        version = target.version()
+        part = self._stage(target, self.staged_events(spark), f"staged/{BATCH}=compacted-{version.number}")
+        return target.commit(version, version.schema, [p for p in version.parts if p.role != STAGED] + [part], version.info)
 
     def _with_keys(self, frame: DataFrame, keyed: DataFrame, how: str) -> DataFrame:
         return frame.join(keyed, self.key_columns, how)
@@ -268,15 +316,22 @@ class ChangeFlow(AppendFlow):
         rows = self._with_keys(opened.unionByName(stays), lean, "left")
         return rows.where(F.col("_anchor").isNull() | (name(START_AT) < F.col("_anchor"))).drop("_anchor"), rewrite
 
-    def _write(self, target, previous, frame: DataFrame, touched, rewrite, batch_id, warnings) -> None:
+    def _write(self, target: Dataset, frame: DataFrame) -> list[Part]:
+        """Write open and closed rows by bucket; returns the folders that hold rows."""
         folder = target.new_folder()
         role = F.when(name(END_AT).isNull(), OPEN).otherwise(CLOSED)
         placed = frame.withColumns({"role": role, BUCKET: self._bucket()}).hint("rebalance", "role", BUCKET)
         placed.write.partitionBy("role", BUCKET).parquet(f"{target.root}/{folder}")
-        replaced = {(OPEN, b) for b in touched} | {(CLOSED, b) for b in rewrite}
-        parts = [p for p in previous.parts if (p.role, p.bucket) not in replaced] if previous else []
-        for kind in target.storage.names(f"{target.root}/{folder}"):
-            for inner in target.storage.names(f"{target.root}/{folder}/{kind}") if kind.startswith("role=") else ():
+        parts = []
+        for kind in (OPEN, CLOSED):
+            for inner in target.storage.names(f"{target.root}/{folder}/role={kind}"):
                 if inner.startswith(f"{BUCKET}="):
-                    parts.append(Part(kind.split("=")[1], f"{folder}/{kind}/{inner}", int(inner.split("=")[1])))
-        target.commit(previous, frame.schema, parts, {"batch": batch_id, "warnings": warnings})
+                    parts.append(Part(kind, f"{folder}/role={kind}/{inner}", int(inner.split("=")[1])))
+        return parts
+
+
+def from_landing(contract: Contract, upstream: Contract, **settings) -> AppendFlow:
+    """An append-only flow over JSON or CSV files that another flow landed under the same contract."""
+    require(contract.same_shape(upstream), "The landed contract differs from this flow's input contract")
+    require(settings.get("fmt", "json") in ("json", "csv"), "Landed files are JSON or CSV")
+    return AppendFlow(contract, **settings)

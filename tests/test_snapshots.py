@@ -3,7 +3,7 @@ import json
 
 import pytest
 
-from contractflow import Column, Contract, ContractError, DataRejected, Dataset, Policy, QualityFailed, SnapshotFlow, publish
+from contractflow import Column, Contract, ContractError, DataRejected, Dataset, Policy, QualityFailed, SnapshotFlow, SourceTerms, publish
 from contractflow.contract import END_AT, START_AT
 from contractflow.operators import history
 from contractflow.plans.publication import latest_index
@@ -169,10 +169,40 @@ def test_quality_is_judged_before_load(spark, source):
     rule = {"id": "known", "metric": "invalidValues", "arguments": {"validValues": ["a"]}, "mustBe": 0, "severity": "error"}
     judged = Contract("customers", (Column("id", "BIGINT", key=True), Column("name", "STRING", quality=(rule,))), "1.0.0")
     source.add(1, [(1, "secret-value")], schema="id bigint, name string")
-    f = flow(source, contract=judged)
+    f = flow(source, contract=judged, results=source.root + "/../results")
     with pytest.raises(QualityFailed, match="not applied: known") as error:
         f.apply_next(spark, NOW)
     assert "secret-value" not in str(error.value)
+    kept = Dataset(spark, f.results).read().first()
+    assert (kept.id, kept.value, kept.passed, kept.enforcement) == ("known", "1", False, "before-load")
+    assert kept.context == {"dataset": DATASET, "delivery": "1"}
+
+
+def test_freshness_of_a_flow(spark, source):
+    source.add(1, [(1, "a", "b", DAY)])
+    f = flow(source, freshness=("day", 24))
+    f.apply_next(spark, NOW)
+    f.check_fresh(spark, dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc))
+    with pytest.raises(DataRejected, match="Stale"):
+        f.check_fresh(spark, NOW)
+
+
+def test_source_terms():
+    good = SourceTerms("complete-snapshot", "missing-keys", "full-table", None, "externally-retained", "P90D")
+    assert good.recovery("snapshot")["replay"] == "external-deliveries"
+    assert SourceTerms("immutable-files", "not-applicable").recovery("append")["replay"] == "unavailable"
+    SourceTerms("change-events", "explicit-events", baseline="included").check("events")
+    for bad, standard in [
+        (SourceTerms("change-events", "explicit-events"), "events"),
+        (SourceTerms("complete-snapshot", "missing-keys"), "snapshot"),
+        (SourceTerms("complete-snapshot", "explicit-events", "full-table"), "snapshot"),
+        (SourceTerms("immutable-files", "not-applicable", baseline="included"), "append"),
+        (SourceTerms("immutable-files", "not-applicable", None, None, "externally-retained"), "append"),
+        (SourceTerms("immutable-files", "not-applicable", None, None, "not-retained", "P90D"), "append"),
+        (SourceTerms("immutable-files", "not-applicable", None, None, "externally-retained", "90 days"), "append"),
+    ]:
+        with pytest.raises(ContractError):
+            bad.check(standard)
 
 
 def test_json_snapshots_parse_strictly(spark, source, rows):
@@ -200,7 +230,8 @@ def test_parquet_types_are_checked_first(spark, source):
 def test_settings_are_checked_when_a_flow_is_defined(source):
     for settings in [
         {"index": "/elsewhere/index.json"},
-        {"index": source.root + "/index.txt"},
+        {"terms": SourceTerms("change-events", "missing-keys", "full-table")},
+        {"freshness": ("id", 5)},
         {"fmt": "csv"},
         {"reader": {"mode": "DROPMALFORMED"}},
         {"tracked": ["unknown"]},
@@ -215,9 +246,13 @@ def test_a_published_snapshot_feeds_another_flow(spark, source, rows):
     source.add(1, [(1, "a", "b", DAY)], schema="id bigint, right string, left string, day date")
     upstream = CONTRACT.published()
     publish(spark, source.root + "/_index", source.deliveries[0], DATASET, source.root, CONTRACT, initialise=True, now=NOW)
-    index = latest_index(spark, source.root + "/_index")
+    index = source.root + "/_index"
+    assert latest_index(spark, index).startswith(index)
     f = from_published(upstream, upstream, DATASET, index, source.root, target=source.root + "/../out")
     assert f.catch_up(spark, NOW) == 1
+    source.add(2, [(2, "a", "b", DAY)], schema="id bigint, right string, left string, day date")
+    publish(spark, index, source.deliveries[1], DATASET, source.root, CONTRACT, now=NOW)
+    assert f.catch_up(spark, NOW) == 1
     other = Contract("customers", upstream.columns, "2.0.0")
     with pytest.raises(ContractError):
         from_published(other, upstream, DATASET, index, source.root, target="out")

@@ -4,8 +4,9 @@ import random
 import brute
 import pytest
 
-from contractflow import AppendFlow, ChangeFlow, Column, Contract, ContractError, Dataset
+from contractflow import AppendFlow, ChangeFlow, Column, Contract, ContractError, Dataset, SourceTerms
 from contractflow.contract import END_AT, START_AT
+from contractflow.streaming.feeds import from_landing
 
 EVENTS = Contract(
     "feed",
@@ -68,6 +69,17 @@ def test_late_and_shuffled_events_give_the_batch_result(spark, tmp_path, tracked
         flow.run(spark)
         wanted = brute.scd2([(k, s, op, {"n": n, "r": r}) for k, s, op, n, r in seen], ("n",) if tracked else ("n", "r"))
         assert history_rows(Dataset(spark, flow.target).read("history")) == wanted
+    assert flow.staged_events(spark).count() == len(events)
+    assert history_rows(flow.rebuild(spark)) == wanted
+    flow.compact(spark)
+    assert flow.staged_events(spark).count() == len(events)
+    late = (0, -1, "I", "first", 0)
+    write_json(tmp_path / "in", "late.json", [event(*late)])
+    flow.run(spark)
+    wanted = brute.scd2(
+        [(k, s, op, {"n": n, "r": r}) for k, s, op, n, r in [*seen, late]], ("n",) if tracked else ("n", "r")
+    )
+    assert history_rows(Dataset(spark, flow.target).read("history")) == wanted
     current = Dataset(spark, flow.target).read()
     assert current.columns == ["business_id", "business_name", "rank"]
     assert current.count() == sum(1 for w in wanted if w[3] is None)
@@ -147,6 +159,8 @@ def test_settings_are_checked_when_a_flow_is_defined(tmp_path):
         {"operation_column": "rank"},
         {"keys": ["unknown"]},
         {"fmt": "csv", "reader": {"header": True, "delimiter": ","}},
+        {"terms": SourceTerms("immutable-files", "not-applicable")},
+        {"freshness": ("rank", 1)},
     ]:
         given = {"keys": ["id"], "sequence": "source_sequence", "operation_column": "source_operation", **settings}
         with pytest.raises(ContractError):
@@ -244,3 +258,22 @@ def test_parquet_streams_check_every_file(spark, tmp_path, rows):
         flow.run(spark)
     with pytest.raises(ContractError, match="Parquet"):
         AppendFlow(FILES, "in", "out", "state", fmt="parquet")
+
+
+def test_required_rules_that_a_stream_cannot_check_are_an_error_unless_reported():
+    table = ({"id": "volume", "metric": "rowCount", "mustBeGreaterThan": 0, "severity": "error"},)
+    counted = Contract("t", (Column("id", "BIGINT"),), quality=table)
+    with pytest.raises(ContractError, match="volume"):
+        AppendFlow(counted, "in", "out", "state")
+    AppendFlow(counted, "in", "out", "state", unsupported="report")
+
+
+def test_landed_files_of_another_flow(spark, tmp_path):
+    settings = {"source": str(tmp_path / "in"), "target": str(tmp_path / "out"), "checkpoint": str(tmp_path / "state")}
+    write_json(tmp_path / "in", "a.json", [{"id": 1, "label": "a"}])
+    from_landing(FILES, FILES, **settings).run(spark)
+    assert Dataset(spark, settings["target"]).read().count() == 1
+    with pytest.raises(ContractError):
+        from_landing(FILES, EVENTS, **settings)
+    with pytest.raises(ContractError):
+        from_landing(FILES, FILES, fmt="parquet", **settings)
