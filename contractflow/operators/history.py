@@ -18,7 +18,7 @@ from ..contract import END_AT, RESCUED, START_AT
 from ..errors import require
 from ..session import checkpoint
 from .blocks import BLOCK, split_hot
-from .projection import current_rows, name
+from .projection import current_rows, literal, name
 
 CONFLICT = "Two different events share one key and sequence; the source must order them"
 
@@ -97,12 +97,11 @@ def event_runs(
     operation: str | None = None,
     tracked: Sequence[str] | None = None,
     drop: Iterable[str] = (),
-    keep_sequence: bool = False,
     block_rows: int | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Runs of one state per key, deleted runs included, and the published column names."""
     sequence = [sequence] if isinstance(sequence, str) else list(sequence)
-    hidden = {operation, RESCUED, *drop} | (set() if keep_sequence else set(sequence))
+    hidden = {operation, RESCUED, *drop, *sequence}
     payload = _payload(events, keys, hidden)
     tracked = _tracked(payload, tracked)
     published = [c for c in events.columns if c not in hidden]
@@ -205,12 +204,15 @@ def scd2_from_snapshots(
 
 
 def scd2_from_snapshot_series(
-    snapshots: Sequence[tuple[int, DataFrame]], keys: Sequence[str], tracked: Sequence[str] | None = None
+    snapshots: Sequence[tuple[int, DataFrame]],
+    keys: Sequence[str],
+    tracked: Sequence[str] | None = None,
+    opened: DataFrame | None = None,
 ) -> DataFrame:
-    """The same history as applying the snapshots one by one, built in one shuffle.
+    """The same rows as applying the snapshots one by one, built in one shuffle.
 
-    A key has at most one row per snapshot, so a window over a key holds at most as many rows
-    as there are snapshots.
+    ``opened`` are open rows left by earlier snapshots. A key has at most one row per snapshot,
+    so a window over a key holds at most as many rows as there are snapshots.
     """
     require(snapshots, "At least one snapshot is needed")
     series = sorted(snapshots, key=lambda item: item[0])
@@ -219,16 +221,16 @@ def scd2_from_snapshot_series(
     columns = series[0][1].columns
     payload = _payload(series[0][1], keys, ())
     tracked = _tracked(payload, tracked)
-    rows = None
-    for place, (version, frame) in enumerate(series):
+
+    def tagged(frame, place, version):
         following = versions[place + 1] if place + 1 < len(versions) else None
-        tagged = frame.select(
-            *_columns(columns),
-            F.lit(place).alias("_place"),
-            F.lit(version).cast("bigint").alias("_version"),
-            F.lit(following).cast("bigint").alias("_next"),
-        )
-        rows = tagged if rows is None else rows.unionByName(tagged)
+        marks = [F.lit(place).alias("_place"), version.alias("_version"), F.lit(following).cast("bigint").alias("_next")]
+        return frame.select(*_columns(columns), *marks)
+
+    frames = [tagged(frame, place, F.lit(v).cast("bigint")) for place, (v, frame) in enumerate(series)]
+    if opened is not None:
+        frames.append(tagged(opened, -1, name(START_AT)))
+    rows = functools.reduce(DataFrame.unionByName, frames)
     w = Window.partitionBy(*_columns(keys)).orderBy("_place")
     before = {c: F.col(f"_p{i}") for i, c in enumerate(["_place", *tracked])}
     starts = (
@@ -310,7 +312,9 @@ def append_only(target: DataFrame | None, increment: DataFrame) -> DataFrame:
 
 def after_cursor(df: DataFrame, cursor: str, mark=None) -> DataFrame:
     """Rows beyond the high-water mark. Rows without a cursor value are not ingested."""
-    return df.where(name(cursor).isNotNull() if mark is None else name(cursor) > F.lit(mark))
+    if mark is None:
+        return df.where(name(cursor).isNotNull())
+    return df.where(name(cursor) > literal(mark, df.schema[cursor].dataType))
 
 
 def high_water_mark(df: DataFrame, cursor: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -82,10 +83,7 @@ def inside_root(root: str | SparkColumn, publication: bool) -> SparkColumn:
     return under & ~path.rlike(r"(^|/)[.]{1,2}(/|\z)")
 
 
-def receipt_violations(
-    ledger: DataFrame, root: str | SparkColumn | None = None, publication: bool = False
-) -> DataFrame:
-    """Malformed, partial or misplaced receipts (one row-level pass)."""
+def _receipt_rules(root: str | SparkColumn | None, publication: bool) -> dict:
     first = 1 if publication else 0
     well_formed = {
         "version": F.col("version").between(first, MAX_INTEGER),
@@ -97,8 +95,14 @@ def receipt_violations(
     }
     if root is not None:
         well_formed["path"] = inside_root(root, publication)
-    nothing = F.lit(None)
-    return _violations(ledger, {rule: (~_holds(ok), nothing) for rule, ok in well_formed.items()})
+    return {rule: (~_holds(ok), F.lit(None)) for rule, ok in well_formed.items()}
+
+
+def receipt_violations(
+    ledger: DataFrame, root: str | SparkColumn | None = None, publication: bool = False
+) -> DataFrame:
+    """Malformed, partial or misplaced receipts (one row-level pass)."""
+    return _violations(ledger, _receipt_rules(root, publication))
 
 
 def duplicate_violations(ledger: DataFrame) -> DataFrame:
@@ -144,30 +148,47 @@ def order_violations(
     return _violations(ordered, rules)
 
 
-def policy_violations(ledger: DataFrame, policy: Policy) -> DataFrame:
-    """Deliveries that are empty or below the minimum size."""
+def _policy_rules(policy: Policy) -> dict:
     rows = F.col("row_count")
     rules = {"minimum_rows": (_holds(rows < F.lit(policy.minimum_rows or 0)), rows)}
     if not policy.allow_empty:
         rules["empty"] = (_holds(rows == 0), F.lit(None))
-    return _violations(ledger, rules)
+    return rules
 
 
-def stale_violations(ledger: DataFrame, policy: Policy, now: dt.datetime | None = None) -> DataFrame:
-    """Age of the newest delivery of each dataset, also when there is nothing left to process."""
-    newest = ledger.groupBy("dataset").agg(F.max(F.struct("version", captured().alias("at"))).alias("_n"))
-    newest = newest.select("dataset", F.col("_n.version").alias("version"), F.col("_n.at").alias("at"))
+def policy_violations(ledger: DataFrame, policy: Policy) -> DataFrame:
+    """Deliveries that are empty or below the minimum size."""
+    return _violations(ledger, _policy_rules(policy))
+
+
+def _datasets(ledger: DataFrame) -> DataFrame:
+    """Newest delivery and number of receipts of each dataset."""
+    newest = F.max(F.struct("version", captured().alias("at"))).alias("_n")
+    sizes = ledger.groupBy("dataset").agg(newest, F.count(F.lit(1)).alias("n"))
+    return sizes.select("dataset", F.col("_n.version").alias("version"), F.col("_n.at").alias("at"), "n")
+
+
+def _age_rules(policy: Policy, now: dt.datetime | None) -> dict:
     age = F.timestamp_diff("MICROSECOND", F.col("at"), _instant(now)) / F.lit(3.6e9)
     rules = {"future": (_holds(age < 0), F.lit(None))}
     if policy.maximum_age_hours is not None:
         rules["stale"] = (_holds(age > F.lit(float(policy.maximum_age_hours))), F.lit(None))
-    return _violations(newest, rules)
+    return rules
+
+
+def _capacity_rules() -> dict:
+    return {"capacity": (F.col("n") > MAX_RECEIPTS, F.col("n"))}
+
+
+def stale_violations(ledger: DataFrame, policy: Policy, now: dt.datetime | None = None) -> DataFrame:
+    """Age of the newest delivery of each dataset, also when there is nothing left to process."""
+    return _violations(_datasets(ledger), _age_rules(policy, now))
 
 
 def capacity_violations(ledger: DataFrame) -> DataFrame:
     """Datasets that retain more receipts than an index may hold."""
     sizes = ledger.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.max("version").alias("version"))
-    return _violations(sizes, {"capacity": (F.col("n") > MAX_RECEIPTS, F.col("n"))})
+    return _violations(sizes, _capacity_rules())
 
 
 def audit(
@@ -177,19 +198,17 @@ def audit(
     publication: bool = True,
     now: dt.datetime | None = None,
 ) -> DataFrame:
-    """Every broken rule of every dataset: (dataset, version, rule, detail)."""
+    """Every broken rule of every dataset: (dataset, version, rule, detail).
+
+    Row rules share one pass and dataset rules one grouping.
+    """
     parts = [
-        receipt_violations(ledger, root, publication),
+        _violations(ledger, {**_receipt_rules(root, publication), **_policy_rules(policy)}),
         duplicate_violations(ledger),
         order_violations(ledger, publication, policy.maximum_drop_percent),
-        policy_violations(ledger, policy),
-        stale_violations(ledger, policy, now),
-        capacity_violations(ledger),
+        _violations(_datasets(ledger), {**_age_rules(policy, now), **_capacity_rules()}),
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def enforce(violations: DataFrame) -> None:

@@ -20,6 +20,14 @@ def name(text: str) -> SparkColumn:
     return F.col(f"`{text}`")
 
 
+def literal(value, kind: T.DataType) -> SparkColumn:
+    """A value as a literal of a column's type. Going through text keeps a timestamp without a
+    zone as it is; a plain literal would shift it by the session's time zone."""
+    if isinstance(value, SparkColumn):
+        return value
+    return F.lit(None if value is None else str(value)).cast(kind)
+
+
 def project(
     df: DataFrame,
     contract: Contract,

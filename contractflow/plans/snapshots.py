@@ -166,17 +166,25 @@ class SnapshotFlow:
         current = Dataset(spark, self.target).read()
         quality.require_fresh(current, self.contract.by_source(column).output, hours, now)
 
-    def rebuild(self, spark: SparkSession, now: dt.datetime | None = None) -> DataFrame:
-        """History rebuilt from all retained deliveries, for comparison before promotion."""
+    def rebuild(self, spark: SparkSession, location: str, deliveries_per_step: int = 50) -> Dataset:
+        """History rebuilt from all retained deliveries into an isolated dataset, to be compared
+        with the target before promotion. Each step applies many deliveries in one shuffle."""
+        isolated = Dataset(spark, location)
+        require(isolated.version() is None, "A history is rebuilt into an empty location")
         receipts = self.receipts(spark)
-        series, latest = [], None
-        for _ in range(receipts.count()):
-            delivery = ledger.pending(receipts, latest).first()
-            options = reader_options(self.fmt, self.reader, SNAPSHOT)
-            source = read_snapshot(spark, delivery.path, self.contract, self.fmt, options)
-            series.append((delivery.version, project(source, self.contract, self.fmt)))
-            latest = delivery.version
-        return history.scd2_from_snapshot_series(series, self.key_columns, self.tracked_columns)
+        ledger.enforce(ledger.capacity_violations(receipts))
+        deliveries = receipts.select("version", "path").orderBy("version").collect()
+        options = reader_options(self.fmt, self.reader, SNAPSHOT)
+        for start in range(0, len(deliveries), deliveries_per_step):
+            series = []
+            for delivery in deliveries[start : start + deliveries_per_step]:
+                source = read_snapshot(spark, delivery.path, self.contract, self.fmt, options)
+                series.append((delivery.version, project(source, self.contract, self.fmt)))
+            before = isolated.version()
+            opened = isolated.frame(before, isolated.parts(before, OPEN)) if before else None
+            rows = history.scd2_from_snapshot_series(series, self.key_columns, self.tracked_columns, opened)
+            isolated.advance_history(rows, {"delivery": series[-1][0]})
+        return isolated
 
 
 def from_published(flow_contract: Contract, upstream: Contract, dataset: str, index: str, root: str, **settings) -> SnapshotFlow:

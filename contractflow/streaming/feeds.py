@@ -19,7 +19,7 @@ from ..contract import END_AT, RESCUED, START_AT, Contract, canonical_type
 from ..errors import DataRejected, require
 from ..functions.rules import APPEND, EVENTS, compile_rules, expectations
 from ..operators import history, quality
-from ..operators.projection import business_rules, count_failures, name, project, required_rules
+from ..operators.projection import business_rules, count_failures, literal, name, project, required_rules
 from ..plans.terms import SourceTerms
 from ..session import checkpoint
 from ..sources.datasets import BATCH, CLOSED, OPEN, STAGED, Dataset, Part
@@ -288,7 +288,7 @@ class ChangeFlow(AppendFlow):
         """Literal lower bound that files can be skipped by, where the sequence is one column."""
         if len(self.sequence_columns) > 1:
             return None
-        return F.lit(keyed.agg(F.min(column)).first()[0])
+        return literal(keyed.agg(F.min(column)).first()[0], keyed.schema[column].dataType)
 
     def _tail(self, staged: DataFrame, anchors: DataFrame, touched: list[int]) -> DataFrame:
         here = staged.where(F.col(BUCKET).isin(touched)).drop(BUCKET)

@@ -116,6 +116,10 @@ def test_snapshots_one_by_one_in_bulk_and_brute_force_agree(spark, tracked):
     assert found(stepwise) == wanted
     assert found(bulk) == wanted
     assert history.reconcile(stepwise, bulk).count() == 0
+    begun = history.scd2_from_snapshot_series(frames[:2], ["k"], tracked)
+    opened, closed = (begun.where(F.col(END_AT).isNull() == flag) for flag in (True, False))
+    continued = closed.unionByName(history.scd2_from_snapshot_series(frames[2:], ["k"], tracked, opened))
+    assert found(continued) == wanted
 
 
 def test_snapshot_diff(spark):
@@ -149,6 +153,15 @@ def test_cursor_skips_rows_without_a_value(spark):
     assert history.high_water_mark(frame, "at").first()[0] == 6
 
 
+def test_cursor_marks_ignore_the_session_zone(spark):
+    frame = spark.sql("SELECT 1L AS k, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS at UNION ALL SELECT 2L, TIMESTAMP_NTZ'2024-01-01 00:00:01'")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+    try:
+        assert [r.k for r in history.after_cursor(frame, "at", dt.datetime(2024, 1, 1)).collect()] == [2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_reconcile_counts_copies(spark):
     left = spark.createDataFrame([(1,), (1,), (2,)], "k bigint")
     right = spark.createDataFrame([(1,), (3,)], "k bigint")

@@ -81,7 +81,11 @@ def test_deliveries_apply_in_version_order(spark, source, rows):
     assert current.columns == ["id", "right", "left", "day"] and current.count() == 2
     source.add(12, [(2, "back", "y", None), (1, "a", "CHANGED", DAY)])
     assert f.catch_up(spark, NOW) == 1
-    assert history.reconcile(target(spark, f).read("history"), f.rebuild(spark)).count() == 0
+    rebuilt = f.rebuild(spark, source.root + "/../rebuilt", deliveries_per_step=2)
+    assert history.reconcile(target(spark, f).read("history"), rebuilt.read("history")).count() == 0
+    assert rebuilt.version().number == 2
+    with pytest.raises(ContractError, match="empty location"):
+        f.rebuild(spark, source.root + "/../rebuilt")
     pinned, number = target(spark, f).read_pinned("history", 1)
     assert (pinned.count(), number) == (2, 1)
     before = rows(target(spark, f).read("history"))

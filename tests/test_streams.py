@@ -277,3 +277,23 @@ def test_landed_files_of_another_flow(spark, tmp_path):
         from_landing(FILES, EVENTS, **settings)
     with pytest.raises(ContractError):
         from_landing(FILES, FILES, fmt="parquet", **settings)
+
+
+@pytest.mark.parametrize("kind,values", [("TIMESTAMP", ["2024-01-01 00:00:00", "2024-01-01T06:00:00", "2024-01-02 00:00:00"]), ("STRING", ["a", "b", "c"])])
+def test_sequences_of_other_types_do_not_depend_on_the_session_zone(spark, tmp_path, kind, values):
+    contract = Contract("t", (Column("id", "BIGINT", key=True), Column("at", kind), Column("op", "STRING"), Column("v", "STRING")))
+    record = lambda i, v: {"id": 1, "at": values[i], "op": "U", "v": v}
+    flow = ChangeFlow(
+        contract, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), sequence="at", operation_column="op", buckets=1
+    )
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        write_json(tmp_path / "in", "a.json", [record(0, "x"), record(2, "z")])
+        flow.run(spark)
+        write_json(tmp_path / "in", "b.json", [record(1, "y")])
+        flow.run(spark)
+        got = Dataset(spark, flow.target).read("history").orderBy(START_AT).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.v for r in got] == ["x", "y", "z"]
+    assert [r[END_AT] for r in got[:2]] == [r[START_AT] for r in got[1:]] and got[2][END_AT] is None
