@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column as SparkColumn
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,16 +122,19 @@ def enforce(
     enforcement: str = AFTER_LOAD,
     store: Callable[[DataFrame], None] | None = None,
     context: Mapping[str, str] | None = None,
-) -> list:
+) -> list[Row]:
     """Collect one row per rule and refuse the data if a required rule failed.
 
     ``store`` receives the result rows, also those of a refused dataset.
     """
-    require(enforcement in (BEFORE_LOAD, AFTER_LOAD), "Unknown enforcement boundary")
     rows = results.select("id", "outcome", "value", "passed").collect()
+    return enforce_rows(results.sparkSession, rows, enforcement, store, context)
+
+
+def enforce_rows(spark: SparkSession, rows: Sequence[Row], enforcement: str, store=None, context=None) -> list[Row]:
+    require(enforcement in (BEFORE_LOAD, AFTER_LOAD), "Unknown enforcement boundary")
     if store:
-        judged = results.sparkSession.createDataFrame(rows, RESULT)
-        store(quality_results(judged, context or {}, enforcement))
+        store(quality_results(spark.createDataFrame(list(rows), RESULT), context or {}, enforcement))
     failed = [r.id for r in rows if r.outcome == "fail" and not r.passed]
     if failed:
         told = (
@@ -140,7 +143,7 @@ def enforce(
             else "Quality failed after load, committed data and checkpoint stay as they are: "
         )
         raise QualityFailed(told + ", ".join(failed[:10]))
-    return rows
+    return list(rows)
 
 
 def check_table(df: DataFrame, contract: Contract, checks: Sequence[Check], history: bool = False) -> DataFrame:

@@ -11,18 +11,10 @@ from pyspark.sql import functions as F
 
 from ..contract import Contract
 from ..errors import DataRejected, require
-from ..functions.rules import SNAPSHOT, compile_rules
+from ..functions.rules import SNAPSHOT, Check, compile_rules
 from ..operators import history, ledger, quality
 from ..operators.ledger import Policy
-from ..operators.projection import (
-    TEMPORAL_FLAG,
-    business_rules,
-    count_failures,
-    preflight_parquet,
-    project,
-    required_rules,
-)
-from ..operators.verify import duplicate_keys
+from ..operators.projection import TEMPORAL_FLAG, business_rules, preflight_parquet, project, required_rules
 from ..sources.datasets import OPEN, Dataset, Version, result_store
 from ..sources.files import read_snapshot, reader_options, without_values
 from ..sources.ledgers import API_VERSION, dataset_ledger
@@ -30,6 +22,7 @@ from .publication import latest_index
 from .terms import SourceTerms
 
 UNREADABLE = "The snapshot does not match its declared schema"
+STRUCTURE = "structure:"
 
 
 @dataclass(frozen=True)
@@ -114,31 +107,40 @@ class SnapshotFlow:
         if self.fmt == "parquet":
             preflight_parquet(spark, delivery.path, self.contract)
         options = reader_options(self.fmt, self.reader, SNAPSHOT)
+        checks = self.checks()
+        queries = [c for c in checks if c.metric == "sql"]
         with without_values(UNREADABLE):
             source = read_snapshot(spark, delivery.path, self.contract, self.fmt, options)
-            self._check_rows(project(source, self.contract, self.fmt, on_invalid="report"), delivery)
+            flagged = project(source, self.contract, self.fmt, on_invalid="report")
+            judged = self._judge(flagged, [c for c in checks if c.metric != "sql"], delivery)
             rows = project(source, self.contract, self.fmt)
-            results = quality.evaluate(rows, self.checks())
-            context = {"dataset": self.dataset, "delivery": str(delivery.version)}
-            quality.enforce(results, quality.BEFORE_LOAD, result_store(spark, self.results), context)
+            judged += quality.evaluate(rows, queries).collect() if queries else []
+        place = {c.id: n for n, c in enumerate(checks)}
+        judged.sort(key=lambda r: place[r.id])
+        context = {"dataset": self.dataset, "delivery": str(delivery.version)}
+        quality.enforce_rows(spark, judged, quality.BEFORE_LOAD, result_store(spark, self.results), context)
         return rows
 
-    def _check_rows(self, flagged: DataFrame, delivery) -> None:
-        """Row rules in one aggregate; key uniqueness reads only the keys. Bad rows are never
-        dropped: a missing row would become a delete."""
-        rules = {"rows": F.lit(False), "temporal": ~F.col(TEMPORAL_FLAG)}
-        rules.update(required_rules(self.contract, self.key_columns))
-        rules.update(business_rules(self.expectations))
-        repeated = duplicate_keys(flagged, self.key_columns).agg(F.count(F.lit(1)).alias("violations"))
-        counts = count_failures(flagged, rules).unionByName(repeated.select(F.lit("keys").alias("rule"), "violations"))
-        found = {r.rule: r.violations for r in counts.collect()}
+    def _judge(self, flagged: DataFrame, checks: list[Check], delivery) -> list:
+        """Structural rules and counted quality rules from one job: all row rules share one scan,
+        key uniqueness reads only the keys. Bad rows are never dropped: a missing row would become
+        a delete."""
+        structure = {TEMPORAL_FLAG: ~F.col(TEMPORAL_FLAG)}
+        structure.update(required_rules(self.contract, self.key_columns))
+        structure.update(business_rules(self.expectations))
+        own = [Check(STRUCTURE + rule, "predicate", predicate=holds) for rule, holds in structure.items()]
+        own.append(Check(STRUCTURE + "rows", "rowCount", threshold=delivery.row_count))
+        own.append(Check(STRUCTURE + "keys", "duplicateValues", properties=tuple(self.key_columns)))
+        results = quality.evaluate(flagged, own + checks).collect()
+        failing = {r.id[len(STRUCTURE) :]: r.value for r in results if r.id.startswith(STRUCTURE) and not r.passed}
         reject = lambda ok, message: require(ok, message, DataRejected)
-        reject(found.pop("temporal") == 0, "A temporal value is not an exact date or zone-less timestamp")
-        reject(found.pop("rows") == delivery.row_count, "The row count differs from the delivery")
-        repeats = found.pop("keys")
-        failed = [f"{rule} ({n})" for rule, n in found.items() if n]
+        reject(failing.pop(TEMPORAL_FLAG, None) is None, "A temporal value is not an exact date or zone-less timestamp")
+        reject(failing.pop("rows", None) is None, "The row count differs from the delivery")
+        repeated = failing.pop("keys", None)
+        failed = [f"{rule} ({n})" for rule, n in failing.items()]
         reject(not failed, f"Row rules failed, no rows were discarded: {', '.join(failed[:10])}")
-        reject(repeats == 0, "Snapshot keys are not unique")
+        reject(repeated is None, "Snapshot keys are not unique")
+        return [r for r in results if not r.id.startswith(STRUCTURE)]
 
     def apply_next(self, spark: SparkSession, now: dt.datetime | None = None) -> Version | None:
         """Apply the next delivery and commit it, or do nothing when caught up."""

@@ -140,7 +140,7 @@ class Dataset:
         previous = self.version()
         frame.write.mode("overwrite").parquet(f"{self.root}/appended/{BATCH}={batch_id}")
         parts = [Part(TABLE, "appended", through=batch_id)]
-        return self.commit(previous, frame.schema, parts, {**info, "batch": batch_id})
+        return self.commit(previous, frame.schema, parts, info)
 
     def advance_history(self, frame: DataFrame, info=None) -> Version:
         """Replace the open rows and add the newly closed ones; closed history stays in place."""

@@ -8,6 +8,7 @@ so a batch that is replayed after its commit is recognised and skipped.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -24,6 +25,7 @@ from ..plans.terms import SourceTerms
 from ..session import checkpoint
 from ..sources.datasets import BATCH, CLOSED, OPEN, STAGED, Dataset, Part
 from ..sources.files import FILE, parquet_misfits, reader_options, stream_files
+from ..sources.storage import Storage
 
 FAIL, WARN = "fail", "warn"
 BUCKET = "bucket"
@@ -100,27 +102,38 @@ class AppendFlow:
         require(not failed, f"Row rules failed, the batch was not applied: {', '.join(failed[:10])}", DataRejected)
         return failing
 
-    def _stream(self, spark: SparkSession) -> DataFrame:
+    def _rows(self, spark: SparkSession) -> DataFrame:
         options = reader_options(self.fmt, self.reader, self.standard)
         raw = stream_files(spark, self.source, self.contract, self.fmt, options, self.files_per_batch)
         return project(raw, self.contract, self.fmt, keep=[FILE] if FILE in raw.columns else [])
 
+    def _stream(self, spark: SparkSession) -> str | None:
+        """Identity that Spark gave the stream when its checkpoint was created."""
+        storage = Storage(spark)
+        if "metadata" not in storage.names(self.checkpoint):
+            return None
+        return json.loads(storage.read(f"{self.checkpoint}/metadata"))["id"]
+
     def apply(self, rows: DataFrame, batch_id: int) -> None:
         """Check and commit one micro-batch."""
         spark = rows.sparkSession
         target = Dataset(spark, self.target)
         version = target.version()
-        if version and version.info["batch"] >= batch_id:
-            return
+        if version:
+            # Batch numbers of another checkpoint say nothing about what this target holds.
+            same = version.info["stream"] == self._stream(spark)
+            require(same, "The target belongs to another checkpoint; restore it, or load into an empty target")
+            if version.info["batch"] >= batch_id:
+                return
         rows = rows.persist()
         try:
-            warnings = self.check_batch(spark, rows)
-            self._commit(target, rows.drop(FILE), batch_id, warnings)
+            info = {"warnings": self.check_batch(spark, rows), "batch": batch_id, "stream": self._stream(spark)}
+            self._commit(target, rows.drop(FILE), batch_id, info)
         finally:
             rows.unpersist()
 
-    def _commit(self, target: Dataset, rows: DataFrame, batch_id: int, warnings: dict) -> None:
-        target.append_batch(rows, batch_id, {"warnings": warnings})
+    def _commit(self, target: Dataset, rows: DataFrame, batch_id: int, info: dict) -> None:
+        target.append_batch(rows, batch_id, info)
 
     def check_fresh(self, spark: SparkSession, now: dt.datetime | None = None) -> None:
         """Refuse when the current rows are too old, or there are none."""
@@ -131,7 +144,7 @@ class AppendFlow:
     def run(self, spark: SparkSession) -> None:
         """Process every file that has arrived and stop."""
         query = (
-            self._stream(spark)
+            self._rows(spark)
             .writeStream.foreachBatch(self.apply)
             .option("checkpointLocation", self.checkpoint)
             .trigger(availableNow=True)
@@ -196,9 +209,11 @@ class ChangeFlow(AppendFlow):
     def _bucket(self):
         return F.pmod(F.xxhash64(*[name(k) for k in self.key_columns]), F.lit(self.buckets)).cast("int")
 
-    def _commit(self, target: Dataset, rows: DataFrame, batch_id: int, warnings: dict) -> None:
+    def _commit(self, target: Dataset, rows: DataFrame, batch_id: int, info: dict) -> None:
         events = rows.drop(RESCUED)
         previous = target.version()
+        same = previous is None or previous.info["buckets"] == self.buckets
+        require(same, "The number of buckets is fixed when a target is created")
         staging = [p for p in previous.parts if p.role == STAGED] if previous else []
         staging.append(self._stage(target, events, f"staged/{BATCH}={batch_id}"))
         staged = self._staged(target, staging, events.schema)
@@ -216,8 +231,7 @@ class ChangeFlow(AppendFlow):
         written = self._write(target, fresh if kept is None else kept.unionByName(fresh))
         replaced = {(OPEN, b) for b in touched} | {(CLOSED, b) for b in rewrite}
         stays = [p for p in previous.parts if p.role != STAGED and (p.role, p.bucket) not in replaced] if previous else []
-        info = {"batch": batch_id, "warnings": warnings}
-        target.commit(previous, fresh.schema, [*stays, *written, *staging], info)
+        target.commit(previous, fresh.schema, [*stays, *written, *staging], {**info, "buckets": self.buckets})
 
     def _history(self, events: DataFrame) -> DataFrame:
         return history.scd2_from_events(

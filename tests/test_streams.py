@@ -191,7 +191,8 @@ def test_append_reads_each_file_once_and_records_warnings(spark, tmp_path, rows)
     flow.run(spark)
     flow.run(spark)
     target = Dataset(spark, flow.target)
-    assert target.version().info == {"batch": 0, "warnings": {"present": 1}}
+    info = target.version().info
+    assert (info["batch"], info["warnings"]) == (0, {"present": 1})
     write_json(tmp_path / "in", "b.json", [{"id": 3, "day": None, "label": "b"}])
     append_flow(tmp_path).run(spark)
     assert [r[0] for r in rows(target.read(), "id")] == [1, 2, 3]
@@ -297,3 +298,22 @@ def test_sequences_of_other_types_do_not_depend_on_the_session_zone(spark, tmp_p
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert [r.v for r in got] == ["x", "y", "z"]
     assert [r[END_AT] for r in got[:2]] == [r[START_AT] for r in got[1:]] and got[2][END_AT] is None
+
+
+def test_a_lost_checkpoint_does_not_skip_files(spark, tmp_path):
+    flow = append_flow(tmp_path)
+    for n in (1, 2):
+        write_json(tmp_path / "in", f"{n}.json", [{"id": n, "label": "a"}])
+        flow.run(spark)
+    fresh = AppendFlow(FILES, flow.source, flow.target, str(tmp_path / "new_state"))
+    with pytest.raises(Exception, match="another checkpoint"):
+        fresh.run(spark)
+    assert Dataset(spark, flow.target).read().count() == 2
+
+
+def test_the_number_of_buckets_is_fixed(spark, tmp_path):
+    write_json(tmp_path / "in", "a.json", [event(1, 1, "I", "x", 1)])
+    change_flow(tmp_path).run(spark)
+    write_json(tmp_path / "in", "b.json", [event(1, 2, "U", "y", 1)])
+    with pytest.raises(Exception, match="buckets"):
+        change_flow(tmp_path, buckets=8).run(spark)
