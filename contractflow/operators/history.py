@@ -180,11 +180,15 @@ def apply_snapshot(
     kept = was.isNotNull() & now.isNotNull() & ~_any(~was[c].eqNullSafe(now[c]) for c in tracked)
     row = lambda body, start, end: F.struct(body.alias("row"), start.alias("start"), end.alias("end"))
     nothing = F.lit(None).cast("bigint")
-    closing = F.when(was.isNotNull() & ~kept, row(was, name(START_AT), at))
-    opening = F.when(now.isNotNull(), row(now, F.when(kept, name(START_AT)).otherwise(at), nothing))
-    both = old.join(new, list(keys), "full_outer").select(
-        *_columns(keys), F.inline(F.array_compact(F.array(closing, opening)))
+    closing, opening = row(was, name(START_AT), at), row(now, at, nothing)
+    # One branch per case keeps the expression inside generated code.
+    outcome = (
+        F.when(kept, F.array(row(now, name(START_AT), nothing)))
+        .when(was.isNull(), F.array(opening))
+        .when(now.isNull(), F.array(closing))
+        .otherwise(F.array(closing, opening))
     )
+    both = old.join(new, list(keys), "full_outer").select(*_columns(keys), F.inline(outcome))
     values = [name(c) if c in keys else F.col("row")[c].alias(c) for c in snapshot.columns]
     return both.select(*values, F.col("start").alias(START_AT), F.col("end").alias(END_AT))
 

@@ -17,9 +17,8 @@ def rows_per_block(spark: SparkSession, given: int | None = None) -> int:
     return int(given or spark.conf.get(ROWS_PER_BLOCK, str(DEFAULT_ROWS_PER_BLOCK)))
 
 
-def checkpoint(frame: DataFrame) -> DataFrame:
-    """Write a frame to the session's shared checkpoint folder and read it back."""
-    spark = frame.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which every executor can reach."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -30,4 +29,10 @@ def checkpoint(frame: DataFrame) -> DataFrame:
             )
             folder = tempfile.mkdtemp(prefix="run-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpoint(frame: DataFrame) -> DataFrame:
+    """Write a frame to the session's shared checkpoint folder and read it back."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .inputs import HIGH_WATER_MARK
-from .spark_queries import VIEWS
+from .views import VIEWS
 
 SNAPSHOTS = """
     v1 AS (SELECT * FROM customer WHERE c_custkey % 10 <> 9),
@@ -64,6 +64,7 @@ RECEIPTS = """(SELECT 'retail.sales.o' || l_orderkey AS dataset,
              ELSE 'd' || l_partkey || '_' || l_suppkey END AS id,
         CAST(l_linenumber AS BIGINT) AS version,
         CASE WHEN l_suppkey % 29 = 0 THEN NULL ELSE date_trunc('day', l_shipdate) END AS captured,
+        strftime(l_shipdate, '%Y-%m-%d') || 'T00:00:00' || CASE WHEN l_suppkey % 29 = 0 THEN '' ELSE 'Z' END AS captured_at,
         CASE WHEN l_suppkey % 31 = 0 THEN '' ELSE '1.0.0' END AS contract_version,
         l_partkey % 37 <> 0 AND l_partkey % 43 <> 0 AS complete,
         CASE WHEN l_partkey % 61 = 0 THEN 0 WHEN l_partkey % 67 = 0 THEN -1
@@ -231,7 +232,7 @@ SQL = {
         FROM {RECEIPTS} r GROUP BY dataset, version) x
         WHERE n = 1 AND captured < TIMESTAMP '2002-01-01' - INTERVAL 17520 HOURS""",
     "ledger_contract_mismatch": f"""SELECT dataset, version, 'contract_mismatch' AS rule FROM (
-        SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY version, id, captured NULLS FIRST, contract_version) AS n
+        SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY version, id, captured_at, contract_version) AS n
         FROM {RECEIPTS} r) x WHERE n = 1 AND contract_version <> '1.0.0'""",
     "key_uniqueness": """SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
@@ -319,6 +320,16 @@ SQL = {
     "mv_python": """SELECT lang, count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS characters
         FROM documents GROUP BY lang""",
 }
+SQL.update(
+    flow_snapshots=SQL["scd2_snapshots"],
+    flow_rebuild=SQL["scd2_snapshots"],
+    flow_change_feed=SQL["scd2_events_tracked"],
+    flow_append="SELECT o_orderkey, o_orderstatus AS status, o_orderdate FROM orders",
+    flow_table_scd1="""SELECT user_id, ts, event_type, value FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""",
+    flow_table_scd2=SQL["scd2_cursor"],
+    flow_view=VIEWS["mv_aggregate"][2],
+)
 SQL["ledger_audit"] = f"""SELECT rule, count(*) AS violations FROM (
     {" UNION ALL ".join(
         f"SELECT rule FROM ({SQL[name]}) x{name}"
