@@ -186,4 +186,4 @@ def fresh(df: DataFrame, column: str, hours: float, now: dt.datetime | None = No
 
 
 def require_fresh(df: DataFrame, column: str, hours: float, now: dt.datetime | None = None) -> None:
-    require(fresh(df, column, hours, now).first().fresh, "Stale or empty dataset", DataRejected)
+    require(fresh(df, column, hours, now).first().fresh, "The newest value is too old, or there is none", DataRejected)

@@ -39,10 +39,10 @@ def verify_snapshot(
     reject = lambda ok, message: require(ok, message, DataRejected)
     keys = contract.keys if keys is None else list(keys)
     found = [(f.name, f.dataType) for f in df.schema.fields]
-    reject(found == _expected(contract, zoned_timestamps), "Landed schema differs from the contract; nothing is cast")
+    reject(found == _expected(contract, zoned_timestamps), "The landed columns do not have the contract's names, order and types")
     counted = isinstance(expected_count, int) and not isinstance(expected_count, bool)
-    reject(counted and 0 <= expected_count <= MAX_INTEGER, "Invalid expected row count")
-    reject(expected_count > 0 or allow_empty, "Empty snapshots must be allowed explicitly")
+    reject(counted and 0 <= expected_count <= MAX_INTEGER, "The expected row count is not a whole number in range")
+    reject(expected_count > 0 or allow_empty, "An empty snapshot was not allowed by its policy")
     missing = F.lit(False)
     for column in dict.fromkeys([*contract.required, *keys]):
         missing = missing | name(column).isNull()
@@ -54,6 +54,6 @@ def verify_snapshot(
         F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"),
         F.count_if(F.col("n") > 1).alias("repeated"),
     ).first()
-    reject(totals.rows == expected_count, "Row count differs from the expected row count")
-    reject(totals.missing == 0, "Required or key values are missing")
-    reject(totals.repeated == 0, "Snapshot keys are not unique")
+    reject(totals.rows == expected_count, "The landed rows are more or fewer than expected")
+    reject(totals.missing == 0, "Some required or key values are missing")
+    reject(totals.repeated == 0, "Some snapshot keys occur more than once")

@@ -96,10 +96,10 @@ class SnapshotFlow:
         ledger.enforce(broken)
         if latest is not None and self.policy.maximum_drop_percent is not None:
             before = receipts.where(F.col("version") == latest).select("row_count").take(1)
-            require(before, "The previous delivery must stay in the index to judge the row-count drop", DataRejected)
+            require(before, "The row-count drop cannot be judged without the previous delivery's receipt", DataRejected)
             rows = before[0].row_count
             drop = 100 * (rows - delivery.row_count) / rows if rows else 0
-            require(drop <= self.policy.maximum_drop_percent, "The row-count drop exceeds its limit", DataRejected)
+            require(drop <= self.policy.maximum_drop_percent, "Too many rows disappeared since the previous delivery", DataRejected)
         return delivery
 
     def verified(self, spark: SparkSession, delivery) -> DataFrame:
@@ -139,7 +139,7 @@ class SnapshotFlow:
         repeated = failing.pop("keys", None)
         failed = [f"{rule} ({n})" for rule, n in failing.items()]
         reject(not failed, f"Row rules failed, no rows were discarded: {', '.join(failed[:10])}")
-        reject(repeated is None, "Snapshot keys are not unique")
+        reject(repeated is None, "Some snapshot keys occur more than once")
         return [r for r in results if not r.id.startswith(STRUCTURE)]
 
     def apply_next(self, spark: SparkSession, now: dt.datetime | None = None) -> Version | None:

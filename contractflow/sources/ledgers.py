@@ -56,7 +56,7 @@ def dataset_ledger(spark: SparkSession, path: str, dataset: str, api_version: st
     ledger = read_ledger(spark, path, with_source=True)
     named = ledger.select("index_path", "api_version", "dataset").distinct().take(2)
     reject = lambda ok, message: require(ok, message, DataRejected)
-    reject(len(named) == 1, "Expected exactly one delivery index file")
+    reject(len(named) == 1, "A dataset has exactly one delivery index file")
     reject(
         named[0].api_version == api_version and named[0].dataset == dataset,
         "The delivery index has another format version or belongs to another dataset",

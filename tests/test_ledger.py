@@ -7,8 +7,8 @@ from contractflow import DataRejected, Policy
 from contractflow.operators import ledger
 from contractflow.sources.ledgers import API_VERSION, dataset_ledger, read_ledger
 
-NOW = dt.datetime(2026, 9, 12, tzinfo=dt.timezone.utc)
-ROOT = "/landing/customers"
+NOW = dt.datetime(2025, 3, 5, tzinfo=dt.timezone.utc)
+ROOT = "/drop/clients"
 COLUMNS = (
     "dataset string, id string, version bigint, captured_at string, contract_version string, complete boolean, "
     "scope string, row_count bigint, path string"
@@ -17,8 +17,8 @@ COLUMNS = (
 
 def receipt(version=1, **updates):
     base = {
-        "dataset": "retail.source.customers", "id": f"delivery_{version}", "version": version,
-        "captured_at": "2026-09-11T00:00:00Z", "contract_version": "1.0.0", "complete": True, "scope": "full-table",
+        "dataset": "shop.crm.clients", "id": f"load_{version}", "version": version,
+        "captured_at": "2025-03-04T00:00:00Z", "contract_version": "1.0.0", "complete": True, "scope": "full-table",
         "row_count": 2, "path": f"{ROOT}/run_{version}",
     }
     return tuple({**base, **updates}.values())
@@ -42,8 +42,8 @@ def test_a_good_ledger_has_no_violations(spark):
         ({"scope": "partial"}, "complete"),
         ({"row_count": -1}, "row_count"),
         ({"row_count": 2**53}, "row_count"),
-        ({"captured_at": "2026-09-11"}, "captured_at"),
-        ({"captured_at": "2026-09-11T00:00:00"}, "captured_at"),
+        ({"captured_at": "2025-03-04"}, "captured_at"),
+        ({"captured_at": "2025-03-04T00:00:00"}, "captured_at"),
         ({"captured_at": "2026-02-30T00:00:00Z"}, "captured_at"),
         ({"contract_version": ""}, "contract_version"),
         ({"contract_version": None}, "contract_version"),
@@ -54,7 +54,7 @@ def test_a_good_ledger_has_no_violations(spark):
         ({"path": ROOT + "/run_1/extra"}, "path"),
         ({"path": ROOT}, "path"),
         ({"row_count": 0}, "empty"),
-        ({"captured_at": "2027-01-01T00:00:00Z"}, "future"),
+        ({"captured_at": "2026-01-01T00:00:00Z"}, "future"),
     ],
 )
 def test_each_rule(spark, update, rule):
@@ -65,15 +65,15 @@ def test_snapshot_paths_may_be_deeper_but_not_climb(spark):
     frame = lambda path: spark.createDataFrame([receipt(0, path=path)], COLUMNS)
     rules = lambda path: [r.rule for r in ledger.receipt_violations(frame(path), ROOT).collect()]
     assert rules(ROOT + "/2026/run") == []
-    for bad in [ROOT + "/a/../b", ROOT + "/./b", ROOT + "/..", "/landing/customers_2/x"]:
+    for bad in [ROOT + "/a/../b", ROOT + "/./b", ROOT + "/..", "/drop/clients_2/x"]:
         assert rules(bad) == ["path"]
 
 
 def test_order_rules(spark):
     assert found(spark, [receipt(1), receipt(3)]) == [(3, "gap")]
     assert found(spark, [receipt(2)]) == [(2, "gap")]
-    assert found(spark, [receipt(1), receipt(2, captured_at="2026-09-10T00:00:00Z")]) == [(2, "time_order")]
-    offsets = [receipt(1, captured_at="2026-09-11T01:00:00+02:00"), receipt(2, captured_at="2026-09-10T23:30:00Z")]
+    assert found(spark, [receipt(1), receipt(2, captured_at="2025-03-03T00:00:00Z")]) == [(2, "time_order")]
+    offsets = [receipt(1, captured_at="2025-03-04T01:00:00+02:00"), receipt(2, captured_at="2025-03-03T23:30:00Z")]
     assert found(spark, offsets) == []
     drop = [receipt(1, row_count=100), receipt(2, row_count=59), receipt(3, row_count=59)]
     assert found(spark, drop, Policy(maximum_drop_percent=40)) == [(2, "drop_percent")]
@@ -112,9 +112,9 @@ def test_policies_merge_and_are_checked():
             Policy(**bad)
 
 
-def index(dataset="retail.source.customers", **updates):
+def index(dataset="shop.crm.clients", **updates):
     delivery = {
-        "id": "snapshot-1", "version": 1, "capturedAt": "2026-09-01T00:00:00Z", "contractVersion": "1.0.0",
+        "id": "snapshot-1", "version": 1, "capturedAt": "2025-02-01T00:00:00Z", "contractVersion": "1.0.0",
         "complete": True, "scope": "full-table", "rowCount": 2, "path": ROOT + "/snapshot-1",
     }
     return {"apiVersion": API_VERSION, "dataset": dataset, "deliveries": [delivery, {**delivery, "version": 2}], **updates}
@@ -140,12 +140,12 @@ def test_wrongly_typed_receipt_values_are_reported(spark, tmp_path):
 def test_one_dataset_has_one_index_of_its_own(spark, tmp_path):
     path = tmp_path / "i.json"
     path.write_text(json.dumps(index()))
-    assert dataset_ledger(spark, str(path), "retail.source.customers").count() == 2
+    assert dataset_ledger(spark, str(path), "shop.crm.clients").count() == 2
     with pytest.raises(DataRejected):
-        dataset_ledger(spark, str(path), "retail.source.other")
+        dataset_ledger(spark, str(path), "shop.crm.others")
     path.write_text(json.dumps(index(apiVersion="other/v1")))
     with pytest.raises(DataRejected):
-        dataset_ledger(spark, str(path), "retail.source.customers")
+        dataset_ledger(spark, str(path), "shop.crm.clients")
     (tmp_path / "j.json").write_text(json.dumps(index()))
     with pytest.raises(DataRejected, match="exactly one"):
-        dataset_ledger(spark, str(tmp_path), "retail.source.customers")
+        dataset_ledger(spark, str(tmp_path), "shop.crm.clients")
