@@ -5,7 +5,7 @@ from __future__ import annotations
 import copy
 import re
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import types as T
@@ -128,13 +128,11 @@ class Contract:
     version: str | None = None
     quality: tuple = ()
     contract_quality: tuple = ()
-    strict_names: bool = field(default=True, repr=False)
 
     def __post_init__(self):
         object.__setattr__(self, "columns", tuple(self.columns))
-        if self.strict_names:
-            _check_names([c.name for c in self.columns], "source")
-            _check_names([c.output for c in self.columns], "output")
+        _check_names([c.name for c in self.columns], "source")
+        _check_names([c.output for c in self.columns], "output")
         for column in self.columns:
             spark_type(column.type)
 

@@ -24,16 +24,19 @@ from .storage import CommitLog, Storage
 
 OPEN, CLOSED, TABLE, STAGED = "open", "closed", "table", "staged"
 BATCH = "batch"
+MERGE_AT = 32
 
 
 @dataclass(frozen=True)
 class Part:
-    """One folder of a version. ``through`` limits a batch-partitioned folder to that batch."""
+    """One folder of a version. ``through`` limits a batch-partitioned folder to that batch,
+    ``level`` counts how often closed rows were merged."""
 
     role: str
     path: str
     bucket: int | None = None
     through: int | None = None
+    level: int | None = None
 
 
 @dataclass(frozen=True)
@@ -148,7 +151,7 @@ class Dataset:
         marked = frame.withColumn("role", F.when(name(END_AT).isNull(), OPEN).otherwise(CLOSED))
         marked.write.partitionBy("role").parquet(f"{self.root}/{folder}")
         info = self._info(info, frame.schema, folder)
-        kept = [p for p in previous.parts if p.role == CLOSED] if previous else []
+        kept = self._merged(previous) if previous else []
         added = [
             Part(n.split("=")[1], f"{folder}/{n}")
             for n in self.storage.names(f"{self.root}/{folder}")
@@ -156,6 +159,18 @@ class Dataset:
         ]
         return self.commit(previous, frame.schema, [*kept, *added], info)
 
+    def _merged(self, previous: Version) -> list[Part]:
+        """Closed folders, where many of one level are rewritten as one of the next. A snapshot
+        closes few rows in many tasks, and each row is rewritten only once per level."""
+        closed, level = self.parts(previous, CLOSED), 0
+        while True:
+            same = [p for p in closed if (p.level or 0) == level]
+            if len(same) < MERGE_AT:
+                return closed
+            folder, level = self.new_folder(), level + 1
+            self.frame(previous, same).write.parquet(f"{self.root}/{folder}")
+            closed = [p for p in closed if p not in same] + [Part(CLOSED, folder, level=level)]
+
     def compact_history(self) -> Version:
         """Rewrite many small closed folders as one; the rows are the same."""
         previous = self.version()

@@ -9,11 +9,13 @@ VIEWS = {
            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
            GROUP BY c.c_mktsegment""",
     ),
+    # Orders are grouped first: the right side of a semi join cannot be split when one key is hot.
     "mv_exists": (
         ["customer", "orders"],
         {"c_custkey": "BIGINT", "c_name": "STRING"},
         """SELECT c_custkey, c_name FROM customer
-           WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)""",
+           WHERE EXISTS (SELECT 1 FROM (SELECT o_custkey, max(o_totalprice) AS top FROM orders GROUP BY o_custkey) t
+                         WHERE t.o_custkey = c_custkey AND t.top > 300000)""",
     ),
     "mv_aggregate": (
         ["lineitem"],
@@ -22,13 +24,15 @@ VIEWS = {
                   CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS quantity, count(*) AS lines
            FROM lineitem GROUP BY l_returnflag, l_linestatus""",
     ),
+    # Grouped before the window: a window partition holds one row per year, however hot its customer.
     "mv_window": (
         ["orders"],
-        {"o_orderkey": "BIGINT", "o_custkey": "BIGINT", "customer_total": "DECIMAL(28,2)"},
-        """SELECT o_orderkey, o_custkey,
-                  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_custkey) AS DECIMAL(28,2))
-                      AS customer_total
-           FROM orders""",
+        {"o_custkey": "BIGINT", "year": "INT", "total": "DECIMAL(28,2)", "customer_total": "DECIMAL(28,2)"},
+        """SELECT o_custkey, year, CAST(total AS DECIMAL(28,2)) AS total,
+                  CAST(sum(total) OVER (PARTITION BY o_custkey) AS DECIMAL(28,2)) AS customer_total
+           FROM (SELECT o_custkey, CAST(year(o_orderdate) AS INT) AS year,
+                        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total
+                 FROM orders GROUP BY o_custkey, year(o_orderdate)) y""",
     ),
     "mv_union": (
         ["customer", "supplier"],

@@ -5,7 +5,6 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from contractflow import DataRejected
 from contractflow.contract import END_AT, START_AT
 from contractflow.errors import ContractError
 from contractflow.operators import history

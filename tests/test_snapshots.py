@@ -93,6 +93,18 @@ def test_deliveries_apply_in_version_order(spark, source, rows):
     assert rows(target(spark, f).read("history")) == before
 
 
+def test_closed_folders_are_merged_by_level(spark, source, rows, monkeypatch):
+    monkeypatch.setattr("contractflow.sources.datasets.MERGE_AT", 2)
+    f = flow(source)
+    for version in range(1, 8):
+        source.add(version, [(1, f"v{version}", "b", DAY)])
+    assert f.catch_up(spark, NOW) == 7
+    got = rows(target(spark, f).read("history"), "right", START_AT, END_AT)
+    assert got == [(f"v{v}", v, v + 1 if v < 7 else None) for v in range(1, 8)]
+    closed = [p for p in target(spark, f).version().parts if p.role == "closed"]
+    assert max(p.level or 0 for p in closed) == 2 and len(closed) < 6
+
+
 def test_tracked_columns_update_in_place(spark, source, rows):
     source.add(1, [(1, "a", "b", DAY)])
     source.add(2, [(1, "a", "c", DAY)])
