@@ -237,6 +237,15 @@ def test_json_snapshots_parse_strictly(spark, source, rows):
     assert "secret-value" not in str(error.value)
 
 
+def test_malformed_values_that_no_check_reads_are_refused_too(spark, source):
+    counted = Contract("customers", (Column("id", "BIGINT", key=True), Column("n", "BIGINT")), "1.0.0")
+    source.add(1, [(1, "secret-value")], fmt="json", schema="id bigint, n string")
+    f = flow(source, contract=counted, fmt="json")
+    with pytest.raises(DataRejected) as error:
+        f.apply_next(spark, NOW)
+    assert "secret-value" not in str(error.value) and target(spark, f).version() is None
+
+
 def test_parquet_types_are_checked_first(spark, source):
     source.add(1, [(1, "a", "b", dt.datetime(2024, 1, 1))], schema="id bigint, left string, right string, day timestamp")
     with pytest.raises(DataRejected, match="time zone"):
