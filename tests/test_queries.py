@@ -6,11 +6,15 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from suite import inputs
 from suite.compare import connect, duck_rows, spark_rows
+from suite.flows import FLOWS
+from suite.oracle import SQL
+from suite.spark_queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
+ALL = {**QUERIES, **FLOWS}
 
 
 @pytest.fixture(scope="module")
@@ -19,12 +23,12 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(ALL) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(ALL))
 def test_query_equals_sql(spark, con, name):
-    assert spark_rows(queries()[name](spark, FOLDER)) == duck_rows(con, oracle_sql()[name])
+    assert spark_rows(ALL[name](spark, FOLDER)) == duck_rows(con, SQL[name])
 
 
 def test_entry(spark):
@@ -44,18 +48,18 @@ def operators(frame, name):
 
 @pytest.mark.parametrize("name", ["scd2_snapshots", "scd2_snapshots_tracked", "scd2_events", "scd2_events_tracked"])
 def test_histories_shuffle_and_sort_once(spark, name):
-    frame = queries()[name](spark, FOLDER)
+    frame = ALL[name](spark, FOLDER)
     assert (operators(frame, "Exchange"), operators(frame, "Sort")) == (1, 1)
 
 
 def test_history_of_events_reads_only_its_columns(spark):
-    text = plan(queries()["scd2_events_tracked"](spark, FOLDER))
+    text = plan(ALL["scd2_events_tracked"](spark, FOLDER))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string,value:double>" in text
 
 
 @pytest.mark.parametrize("name", ["dq_null_values", "dq_operators", "required_violations", "business_expectation", "dq_event_waiver"])
 def test_row_rules_share_one_scan_and_shuffle_one_row_per_task(spark, name):
-    frame = queries()[name](spark, FOLDER)
+    frame = ALL[name](spark, FOLDER)
     text = plan(frame)
     assert operators(frame, "Scan") == 1 and "hashpartitioning" not in text and text.count("SinglePartition") == 1
 
@@ -69,6 +73,6 @@ def test_cursor_filter_reaches_the_scan(spark):
 
 
 def test_no_query_uses_python_workers_or_cross_joins(spark):
-    for name, run in queries().items():
+    for name, run in ALL.items():
         text = plan(run(spark, FOLDER))
         assert not re.search(r"Python|Pandas|Cartesian|BroadcastNestedLoop", text), name
