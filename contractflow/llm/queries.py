@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii
+from . import mixing, pii
 from .common import table
 
 
@@ -12,5 +12,12 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(pii.find_pii(table(spark, folder, "documents")))
 
 
-QUERIES = {"op1_pii": op1_pii}
-SQL: dict[str, str] = {}
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(*mixing.mix(mixing.measured(table(spark, folder, "documents"))))
+
+
+QUERIES = {
+    "op1_pii": op1_pii,
+    "op4_mixing": op4_mixing,
+}
+SQL = {"op4_mixing": mixing.SQL}
