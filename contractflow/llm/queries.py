@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, pii
+from . import mixing, pii, sharding
 from .common import table
 
 
@@ -16,8 +16,13 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(*mixing.mix(mixing.measured(table(spark, folder, "documents"))))
 
 
+def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(sharding.measured(table(spark, folder, "documents")))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op4_mixing": op4_mixing,
+    "op8_sharding": op8_sharding,
 }
 SQL = {"op4_mixing": mixing.SQL}
