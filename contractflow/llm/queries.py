@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, pii, sharding
+from . import mixing, packing, pii, sharding
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(pii.find_pii(table(spark, folder, "documents")))
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(*mixing.mix(mixing.measured(table(spark, folder, "documents"))))
 
@@ -22,6 +26,7 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_packing": op2_packing,
     "op4_mixing": op4_mixing,
     "op8_sharding": op8_sharding,
 }
