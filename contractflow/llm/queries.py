@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, pii, sharding
+from . import mixing, neighbours, packing, pii, sharding, topk
 from .common import table
 
 
@@ -20,6 +20,14 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(*mixing.mix(mixing.measured(table(spark, folder, "documents"))))
 
 
+def op6_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"))
+
+
+def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(sharding.measured(table(spark, folder, "documents")))
 
@@ -28,6 +36,8 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
     "op4_mixing": op4_mixing,
+    "op6_topk": op6_topk,
+    "op7_neighbours": op7_neighbours,
     "op8_sharding": op8_sharding,
 }
-SQL = {"op4_mixing": mixing.SQL}
+SQL = {"op4_mixing": mixing.SQL, "op6_topk": topk.SQL}
