@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, neighbours, packing, pii, sharding, topk
+from . import languages, mixing, neighbours, packing, pii, sharding, topk
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(*mixing.mix(mixing.measured(table(spark, folder, "documents"))))
 
 
+def op5_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.identify_documents(table(spark, folder, "documents"))
+
+
 def op6_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"))
 
@@ -36,6 +40,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
     "op4_mixing": op4_mixing,
+    "op5_languages": op5_languages,
     "op6_topk": op6_topk,
     "op7_neighbours": op7_neighbours,
     "op8_sharding": op8_sharding,
