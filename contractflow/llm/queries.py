@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import languages, mixing, neighbours, packing, pii, sharding, topk
+from . import jaccard, languages, mixing, neighbours, packing, pii, sharding, topk
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(sharding.measured(table(spark, folder, "documents")))
 
 
+def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join_documents(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
@@ -44,5 +48,6 @@ QUERIES = {
     "op6_topk": op6_topk,
     "op7_neighbours": op7_neighbours,
     "op8_sharding": op8_sharding,
+    "op9_jaccard": op9_jaccard,
 }
 SQL = {"op4_mixing": mixing.SQL, "op6_topk": topk.SQL}
