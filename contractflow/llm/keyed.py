@@ -93,10 +93,11 @@ def linked_pairs(classes: np.ndarray, sets: list[np.ndarray], side: np.ndarray,
                 yield int(classes[i]), int(classes[j])
 
 
-def verified(members: DataFrame, linked: Callable, near: Callable, elements: int = GROUP_ELEMENTS) -> DataFrame:
+def verified(members: DataFrame, linked: Callable, near: Callable, elements: int = GROUP_ELEMENTS, load: Callable[[list[bytes]], list[np.ndarray]] | None = None) -> DataFrame:
     """Edges (a, b) of true links that connect what is linked within each group.
 
-    ``members``: class, group, n (elements of the set), set (binary, sorted 64-bit). Small groups share tasks; a group with more elements than a
+    ``members``: class, group, n (elements of the set), set (binary, which ``load`` turns into sorted 64-bit values; they themselves if
+    there is none). Small groups share tasks; a group with more elements than a
     task takes is cut into blocks by class, and every pair of blocks is verified by itself.
     """
     weights = members.groupBy("group").agg(F.sum("n").alias("weight"))
@@ -118,7 +119,8 @@ def verified(members: DataFrame, linked: Callable, near: Callable, elements: int
         cuts = np.concatenate((np.nonzero(np.diff(groups[order], prepend=groups[order][:1] - 1))[0], [len(order)]))
         found: list[tuple[int, int]] = []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            sets = [np.frombuffer(raw[p], np.uint64) for p in order[a:b]]
+            some = [raw[p] for p in order[a:b]]
+            sets = load(some) if load else [np.frombuffer(x, np.uint64) for x in some]
             found += linked_pairs(classes[a:b], sets, side[a:b], linked, near)
         pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, languages, mixing, neighbours, packing, pii, sharding, topk
+from . import jaccard, languages, lines, mixing, neighbours, packing, pii, sharding, topk
 from .common import table
 
 
@@ -40,6 +40,10 @@ def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join_documents(table(spark, folder, "documents"))
 
 
+def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
@@ -49,5 +53,6 @@ QUERIES = {
     "op7_neighbours": op7_neighbours,
     "op8_sharding": op8_sharding,
     "op9_jaccard": op9_jaccard,
+    "op10_lines": op10_lines,
 }
 SQL = {"op4_mixing": mixing.SQL, "op6_topk": topk.SQL}
