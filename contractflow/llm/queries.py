@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, languages, lines, mixing, neighbours, packing, pii, sharding, topk
+from . import jaccard, languages, lines, mixing, neighbours, packing, pii, scoring, sharding, topk
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op3_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.score(table(spark, folder, "documents"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(*mixing.mix(mixing.measured(table(spark, folder, "documents"))))
 
@@ -47,6 +51,7 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
+    "op3_scoring": op3_scoring,
     "op4_mixing": op4_mixing,
     "op5_languages": op5_languages,
     "op6_topk": op6_topk,
