@@ -7,21 +7,25 @@ documents are packed by first-fit decreasing. A tournament tree over the bins' f
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, spread
+from .common import CHUNK, chunks, map_batches, spread
 
 LENGTH = 2048
 END = 1
 GROUP = 2048
 TOKENIZER = "word_bpe_49k.json"
-CACHE = 400_000
+#: Parts of texts that a worker remembers, about 200 bytes each.
+PARTS = 800_000
 SEED = 20
 #: Sequences are numbered from group * ROOM; no group of documents can have more.
 ROOM = 1 << 32
@@ -33,11 +37,18 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+#: Characters for which the tokenizer's rules are these: lower-case, then cut into endings, letters, single digits, others.
+#: (White space, printable ASCII and Latin-1 letters, which no normal form changes.)
+_PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
+
+
 class Encoder(dict):
     """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
 
-    The tokenizer's rules never look across ASCII white space, so a text's ids are those of its stretches between
-    white space, one after the other; the ids of stretches are remembered.
+    The tokenizer's rules never look across ASCII white space, so a text's ids are those of its parts, one after the other. Plain
+    characters are cut into pieces as the tokenizer does (keys are str); stretches with other characters, between white
+    space, go through the whole tokenizer (keys are bytes). The ids of parts are remembered.
     """
 
     _loaded: dict[str, Encoder] = {}
@@ -46,27 +57,44 @@ class Encoder(dict):
     def load(cls, path: str) -> Encoder:
         if path not in cls._loaded:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
+            from tokenizers import Tokenizer, pre_tokenizers
 
             cls._loaded[path] = made = cls()
-            made.tokenizer = Tokenizer.from_file(path)
+            made.whole = Tokenizer.from_file(path)
+            made.model = made.whole.model
+            made.bare = Tokenizer(made.model)
+            made.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            # Only the named tokenizer is known to follow the rules of _PIECES.
+            made.cuts = os.path.basename(path) == TOKENIZER
         return cls._loaded[path]
 
-    def learn(self, stretches: list[bytes]) -> None:
-        if len(self) > CACHE:
-            self.clear()
-        found = self.tokenizer.encode_batch_fast([s.decode() for s in stretches], add_special_tokens=False)
-        for stretch, encoding in zip(stretches, found, strict=True):
-            self[stretch] = np.array(encoding.ids, "<u4").tobytes()
+    def plain(self, text: str) -> bool:
+        return self.cuts and "<|" not in text and _PLAIN.fullmatch(text) is not None
 
-    def ids(self, text: str) -> bytes:
-        stretches = text.encode().split()
-        new = list({s for s in stretches if s not in self})
-        if new:
-            self.learn(new)
-            if len(self) == len(new):  # the memory was emptied
-                self.learn([s for s in set(stretches) if s not in self])
-        return b"".join(map(self.__getitem__, stretches))
+    def parts(self, text: str) -> list:
+        if self.plain(text):
+            return _PIECES.findall(text.lower())
+        found: list = []
+        for stretch in text.encode().split():
+            found += self.parts(one) if self.plain(one := stretch.decode()) else [stretch]
+        return found
+
+    def learn(self, parts: set) -> None:
+        letters = [p for p in parts if isinstance(p, str)]
+        others = [p for p in parts if not isinstance(p, str)]
+        beyond = [p for p in letters if not p.isascii()]
+        spell = self.model.tokenize  # for ASCII, the byte level is the text itself
+        self.update((p, array("I", [t.id for t in spell(p)]).tobytes()) for p in letters if p.isascii())
+        for tokenizer, keys, texts in ((self.bare, beyond, beyond), (self.whole, others, [p.decode() for p in others])):
+            found = tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+            self.update((key, array("I", e.ids).tobytes()) for key, e in zip(keys, found, strict=True))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        parts = [self.parts(text) for text in texts]
+        if len(self) > PARTS:
+            self.clear()
+        self.learn(set(chain.from_iterable(parts)).difference(self))
+        return [b"".join(map(self.__getitem__, some)) for some in parts]
 
 
 class FirstFit:
@@ -99,11 +127,12 @@ def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, length: int,
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         encoder, tail = Encoder.load(tokenizer), np.array([end], "<u4").tobytes()
         counts, crcs, kept = [], [], []
-        for value in batch.column(1):
-            ids = encoder.ids(value.as_py() or "") + tail
-            counts.append(len(ids) // 4)
-            crcs.append([zlib.crc32(ids[i : i + 4 * length]) for i in range(0, len(ids), 4 * length)])
-            kept.append(ids if keep_ids else None)
+        for _, texts in chunks(batch.column(1).to_pylist(), CHUNK // 4):
+            for ids in encoder.ids(texts):
+                ids += tail
+                counts.append(len(ids) // 4)
+                crcs.append([zlib.crc32(ids[i : i + 4 * length]) for i in range(0, len(ids), 4 * length)])
+                kept.append(ids if keep_ids else None)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(counts, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), pa.array(kept, pa.binary())],
             names=["key", "doc_tokens", "crcs", "ids"],
