@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +33,8 @@ def words_in(text: Column) -> Column:
     return F.when(squeezed == "", F.lit(0)).otherwise(F.length(squeezed) - F.length(F.replace(squeezed, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
-def map_batches(frame: DataFrame, work: Callable[[dict], dict], schema: str) -> DataFrame:
-    """Apply ``work`` to Arrow batches: it gets columns as Python or numpy values and returns columns, or None for no row."""
+def map_batches(frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """Apply ``work`` to the Arrow batches that have rows; it yields batches of the schema."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,6 +104,23 @@ def fingerprint(values: np.ndarray) -> bytes:
     return hashlib.blake2b(np.ascontiguousarray(values).tobytes(), digest_size=16).digest()
 
 
+def squeeze(values: np.ndarray) -> bytes:
+    """Numbers as compressed planes of their bytes."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def expand(packed: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(size, len(raw) // size).T).view(kind).ravel()
+
+
+def rising(values: np.ndarray) -> np.ndarray:
+    """Differences of sorted numbers, which squeeze better; ``np.cumsum`` undoes it."""
+    return np.diff(values, prepend=values.dtype.type(0))
+
+
 def spread(total: int, each: int) -> int:
     """How many parts of about ``each`` rows hold ``total`` rows."""
     return max(1, -(-total // each))

@@ -8,6 +8,7 @@ exactly. No link is lost; documents with equal sets are one class from the start
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,14 +18,16 @@ from pyspark.sql import functions as F
 
 from .common import WORDS, checkpoint, fingerprint, map_batches, mix, shingles
 from .components import components
-from .keyed import GROUP_ELEMENTS, candidate_groups, nearby, stars, verified
+from .keyed import GROUP_ELEMENTS, candidate_groups, nearby, placed, stars, verified
 
 SIZE = 3
 PERCENT = 90
 #: Sizes of a band differ by this factor at most. Wide bands need few double entries, narrow ones fewer chunks.
 BAND = 1.5
-#: Representatives that the re-read of candidate texts may broadcast (two longs each); beyond, the join shuffles.
-BROADCAST_ROWS = 500_000
+#: Salts that are tried for chunks without too many empty ones.
+SALTS = 4
+#: Representatives that the re-read of candidate texts may broadcast (some 100 bytes each); beyond, the joins shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def apart(percent: int, sizes: int | np.ndarray) -> int | np.ndarray:
@@ -32,6 +35,15 @@ def apart(percent: int, sizes: int | np.ndarray) -> int | np.ndarray:
     return (100 - percent) * sizes // (100 + percent)
 
 
+def chunk_count(least: float, allowed: int) -> int:
+    """More chunks than differences, with room for those that are empty by chance in the band's smallest set: mean and two deviations."""
+    chunks = allowed + 2
+    for _ in range(8):
+        empty = chunks * math.exp(-least / chunks)
+        chunks = allowed + 2 + int(empty + 2 * math.sqrt(empty))
+    return chunks
+
+
 def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
     """Bands (first size, differences allowed, chunks) in which a set of the size looks for partners.
 
@@ -43,29 +55,34 @@ def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
         if size < after:
             allowed = apart(percent, 2 * (after - 1))
             if allowed:
-                out.append((first, allowed, allowed + 2 + allowed // 32))
+                out.append((first, allowed, chunk_count(first * percent / 100, allowed)))
         first = after
     return out
 
 
 def chunk_keys(found: np.ndarray, percent: int) -> np.ndarray:
-    """The keys of a set: its chunks in each of its bands.
+    """The keys of a set: its chunks in each of its bands that are not empty.
 
-    There is slack for empty chunks: with s more chunks than differences, partners agree in s of them at least. A set with fewer
-    than s empty chunks needs keys of its other chunks only; one with more also gives its empty chunks as keys.
+    Linked sets agree in at least chunks - allowed chunks. If one of them has fewer empty chunks than that, they agree in one that is
+    not empty. Else both have many, and both give keys of further chunks, with another salt; after the last salt, of
+    the empty ones too. So equally empty chunks do not bring sets together, and no pair is lost.
     """
     out = []
     with np.errstate(over="ignore"):
         for first, allowed, chunks in bands(len(found), percent):
-            salted = mix(found + np.uint64(first) * np.uint64(0x9E3779B97F4A7C15))
-            where = (salted % np.uint64(chunks)).astype(np.int64)
-            order = np.argsort(where, kind="stable")
-            edges = np.concatenate(([True], np.diff(where[order]) != 0))
-            values = np.zeros(chunks, np.uint64)
-            values[where[order][edges]] = np.bitwise_xor.reduceat(found[order], np.nonzero(edges)[0])
-            keys = mix(values ^ mix(np.arange(chunks, dtype=np.uint64) + np.uint64(first << 20)))
-            empty = values == 0
-            out.append(keys if empty.sum() >= chunks - allowed else keys[~empty])
+            for salt in range(SALTS):
+                salted = mix(found + np.uint64(first * SALTS + salt) * np.uint64(0x9E3779B97F4A7C15))
+                where = (salted % np.uint64(chunks)).astype(np.int64)
+                order = np.argsort(where, kind="stable")
+                begins = np.nonzero(np.diff(where[order], prepend=-1))[0]
+                values = np.zeros(chunks, np.uint64)
+                values[where[order][begins]] = np.bitwise_xor.reduceat(found[order], begins)
+                keys = mix(values ^ mix(np.arange(chunks, dtype=np.uint64) + np.uint64((first * SALTS + salt) << 20)))
+                empty = values == 0
+                many = empty.sum() >= chunks - allowed
+                out.append(keys if many and salt == SALTS - 1 else keys[~empty])
+                if not many:
+                    break
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -80,8 +97,8 @@ def links(percent: int):
     return linked, near
 
 
-def described(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """Per document: key, mark (a hash of the text), n (set size), print (16 bytes that stand for the set), keys."""
+def described(docs: DataFrame, key: str, text: str, size: int, percent: int | None = None) -> DataFrame:
+    """Per document: key, mark (a hash of the text), n (set size), print (16 bytes that stand for the set), and its keys if asked for."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         n, prints, keys = [], [], []
@@ -89,7 +106,7 @@ def described(docs: DataFrame, key: str, text: str, size: int, percent: int) ->
             found = shingles(WORDS.of(value.as_py()), size)
             n.append(len(found))
             prints.append(fingerprint(found))
-            keys.append(chunk_keys(found, percent).tobytes())
+            keys.append(chunk_keys(found, percent).tobytes() if percent else None)
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.binary())], names=["key", "mark", "n", "print", "keys"])
 
     kind = docs.schema[key].dataType.simpleString()
@@ -98,18 +115,37 @@ def described(docs: DataFrame, key: str, text: str, size: int, percent: int) ->
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """class, group, n, set of the wanted representatives (key, mark, print, class, group), from their texts."""
+    """class, group, places, set of the wanted representatives (key, mark, print, class, group, places), from their texts."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = [shingles(WORDS.of(v.as_py()), size) for v in batch.column(0)]
         yield pa.RecordBatch.from_arrays([pa.array([fingerprint(f) for f in found], pa.binary()), pa.array([f.tobytes() for f in found], pa.binary())], names=["print", "set"])
 
     few = wanted.count() <= BROADCAST_ROWS
+    small = F.broadcast if few else lambda frame: frame
     marks = wanted.select("key", "mark").distinct()
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), text)
-    chosen = rows.join(F.broadcast(marks) if few else marks, (rows["mark"] == marks["mark"]) & rows["key"].eqNullSafe(marks["key"]), "left_semi")
-    sets = map_batches(chosen.select(text), work, "print binary, set binary").dropDuplicates(["print"])
-    return sets.join(wanted.select("print", "class", "group", "n"), "print").select("class", "group", "n", "set")
+    chosen = rows.join(small(marks), (rows["mark"] == marks["mark"]) & rows["key"].eqNullSafe(marks["key"]), "left_semi")
+    sets = map_batches(chosen.select(text), work, "print binary, set binary")
+    return sets.join(small(wanted.select("print", "class", "group", "places")), "print").drop("print")
+
+
+def grouped(docs: DataFrame, key: str, text: str, size: int, percent: int, elements: int = GROUP_ELEMENTS) -> DataFrame:
+    """Per document: key, mark (a hash of the text), n (set size), component_id."""
+    # Keys are many: only classes keep them, and documents are described once more without.
+    rows = checkpoint(described(docs, key, text, size).drop("keys"))
+    classes = described(docs, key, text, size, percent).where("n > 0").groupBy("print").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark")).alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    classes = checkpoint(classes.select("print", "rep.key", "rep.mark", "n", "keys").withColumn("class", F.monotonically_increasing_id()))
+    groups = candidate_groups(stars(classes))
+    wanted = placed(classes.drop("keys").join(groups, "class"), elements)
+    found = components(verified(sets_of(docs, wanted, key, text, size), *links(percent)))
+    rooted = classes.select("class", "print", "key").join(found.withColumnRenamed("node", "class"), "class", "left")
+    rooted = rooted.select("print", "key", F.coalesce("root", "class").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("key").alias("component_id"))
+    named = rooted.join(least, "root").select("print", "component_id")
+    some = rows.where("n > 0").select("print", "key", "mark", "n").join(named, "print").select("key", "mark", "n", "component_id")
+    none = rows.where("n = 0").select("key", "mark", "n", F.col("key").alias("component_id"))
+    return some.unionByName(none)
 
 
 def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT, elements: int = GROUP_ELEMENTS) -> DataFrame:
@@ -120,17 +156,17 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     with nothing, so its component is its own key. Every input row gives a row, repeated and null keys too; a null key is never a
     component's id while another key is there. An empty table gives no rows. Only A-Z are lower-cased.
     """
-    rows = checkpoint(described(docs, key, text, size, percent))
-    classes = rows.where("n > 0").groupBy("print").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark")).alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    classes = checkpoint(classes.select("print", "rep.key", "rep.mark", "n", "keys").withColumn("class", F.monotonically_increasing_id()))
-    groups = candidate_groups(stars(classes))
-    wanted = checkpoint(classes.drop("keys").join(groups, "class"))
-    members = sets_of(docs, wanted, key, text, size)
-    found = components(verified(members, *links(percent), elements))
-    rooted = classes.select("class", "print", "key").join(found.withColumnRenamed("node", "class"), "class", "left")
-    rooted = rooted.select("print", "key", F.coalesce("root", "class").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("key").alias("component_id"))
-    named = rooted.join(least, "root").select("print", "component_id")
-    some = rows.where("n > 0").select("print", "key", "n").join(named, "print").select("key", "n", "component_id")
-    none = rows.where("n = 0").select("key", "n", F.col("key").alias("component_id"))
-    return some.unionByName(none).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
+    found = grouped(docs, key, text, size, percent, elements)
+    return found.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The documents without those that are linked, by others or not, to one with a smaller key; columns stay as they are.
+
+    Documents without words all stay, and so do those whose component has no key but null. Rows equal in key and text count as one.
+    """
+    found = grouped(docs, key, text, size, percent)
+    kept = found.where(F.col("key").eqNullSafe(F.col("component_id"))).select(F.col("key").alias("__llm_key"), F.col("mark").alias("__llm_mark")).distinct()
+    rows = docs.withColumn("__llm_text", F.xxhash64(text))
+    chosen = rows.join(kept, F.col(key).eqNullSafe(F.col("__llm_key")) & (F.col("__llm_text") == F.col("__llm_mark")), "left_semi")
+    return chosen.dropDuplicates([key, "__llm_text"]).drop("__llm_text")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, map_batches, spread
+from .common import checkpoint, expand, map_batches, rising, spread, squeeze
 from .components import components
 
 KEYS_PER_PART = 250_000
@@ -38,13 +38,13 @@ def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART) -> DataFrame:
         cuts = np.searchsorted(part, np.arange(parts + 1))
         found = np.nonzero(np.diff(cuts))[0]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(found), pa.array([keys[cuts[p] : cuts[p + 1]].tobytes() for p in found], pa.binary()), pa.array([owner[cuts[p] : cuts[p + 1]].tobytes() for p in found], pa.binary())],
+            [pa.array(found), pa.array([squeeze(rising(keys[cuts[p] : cuts[p + 1]])) for p in found], pa.binary()), pa.array([squeeze(owner[cuts[p] : cuts[p + 1]]) for p in found], pa.binary())],
             names=["part", "keys", "owners"],
         )
 
     def meet(rows: pa.Table) -> pa.Table:
-        keys = np.frombuffer(b"".join(rows["keys"].to_pylist()), np.uint64)
-        owners = np.frombuffer(b"".join(rows["owners"].to_pylist()), np.int64)
+        keys = np.concatenate([np.cumsum(expand(k, np.uint64), dtype=np.uint64) for k in rows["keys"].to_pylist()])
+        owners = np.concatenate([expand(o, np.int64) for o in rows["owners"].to_pylist()])
         order = np.lexsort((owners, keys))
         keys, owners = keys[order], owners[order]
         starts = np.concatenate(([True], keys[1:] != keys[:-1]))
@@ -93,39 +93,51 @@ def linked_pairs(classes: np.ndarray, sets: list[np.ndarray], side: np.ndarray,
                 yield int(classes[i]), int(classes[j])
 
 
-def verified(members: DataFrame, linked: Callable, near: Callable, elements: int = GROUP_ELEMENTS, load: Callable[[list[bytes]], list[np.ndarray]] | None = None) -> DataFrame:
+def placed(wanted: DataFrame, elements: int = GROUP_ELEMENTS) -> DataFrame:
+    """``wanted`` (class, group, n and other columns) with ``places``: the tasks that verify the class, written once.
+
+    Small groups share tasks. A group with more elements than a task takes is cut into blocks by class, every pair of blocks has a
+    task, and a class goes to those of its block. Nothing but numbers is read here; the sets follow later, once for each place.
+    """
+    weights = wanted.groupBy("group").agg(F.sum("n").alias("weight"))
+    total = wanted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    small = F.col("weight") <= elements
+    bins = F.pmod(F.xxhash64("group"), F.lit(spread(total, elements)))
+    own = F.pmod(F.xxhash64("class"), F.ceil(F.col("weight") * 2 / elements)).cast("int")
+    place = lambda bin, i, j, side: F.struct(bin.alias("bin"), i.alias("i"), j.alias("j"), side.alias("side"))
+    zero = F.lit(0)
+    others = F.transform(
+        F.sequence(zero, F.ceil(F.col("weight") * 2 / elements).cast("int") - 1),
+        lambda o: place(F.col("group"), F.least(own, o), F.greatest(own, o), F.when(own == o, 0).when(own < o, 1).otherwise(2)),
+    )
+    places = F.when(small, F.array(place(bins, zero, zero, zero))).otherwise(others)
+    return checkpoint(wanted.join(weights, "group").withColumn("places", places).drop("weight"))
+
+
+def verified(members: DataFrame, linked: Callable, near: Callable, load: Callable[[list[bytes]], list[np.ndarray]] | None = None) -> DataFrame:
     """Edges (a, b) of true links that connect what is linked within each group.
 
-    ``members``: class, group, n (elements of the set), set (binary, which ``load`` turns into sorted 64-bit values; they themselves if
-    there is none). Small groups share tasks; a group with more elements than a
-    task takes is cut into blocks by class, and every pair of blocks is verified by itself.
+    ``members``: class, group, places, set (binary, which ``load`` turns into sorted 64-bit values; they themselves if there is none).
+    A class may be given more than once. The sets are shuffled once.
     """
-    weights = members.groupBy("group").agg(F.sum("n").alias("weight"))
-    total = weights.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("n")).first().n
-    bins = spread(total, elements)
-    rows = members.join(weights, "group")
-    blocks = F.ceil(F.col("weight") * 2 / elements).cast("int")
-    small = rows.where(F.col("weight") <= elements).select("group", "class", "set", F.pmod(F.xxhash64("group"), F.lit(bins)).alias("bin"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-    own = F.pmod(F.xxhash64("class"), F.col("blocks"))
-    large = rows.where(F.col("weight") > elements).withColumn("blocks", blocks).withColumn("own", own.cast("int"))
-    other = large.withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
-    side = F.when(F.col("own") == F.col("o"), 0).when(F.col("own") < F.col("o"), 1).otherwise(2)
-    large = other.select("group", "class", "set", F.col("group").alias("bin"), F.least("own", "o").cast("int").alias("i"), F.greatest("own", "o").cast("int").alias("j"), side.alias("side"))
 
     def verify(rows: pa.Table) -> pa.Table:
-        groups = rows["group"].to_numpy()
-        order = np.lexsort((rows["class"].to_numpy(), groups))
-        classes, side, raw = rows["class"].to_numpy()[order], rows["side"].to_numpy()[order], rows["set"].to_pylist()
-        cuts = np.concatenate((np.nonzero(np.diff(groups[order], prepend=groups[order][:1] - 1))[0], [len(order)]))
+        groups, classes = rows["group"].to_numpy(), rows["class"].to_numpy()
+        order = np.lexsort((classes, groups))
+        again = np.concatenate(([False], classes[order][1:] == classes[order][:-1]))
+        order = order[~again]
+        classes, groups, side, raw = classes[order], groups[order], rows["side"].to_numpy()[order], rows["set"]
+        cuts = np.concatenate(([0], np.nonzero(np.diff(groups))[0] + 1, [len(order)]))
         found: list[tuple[int, int]] = []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            some = [raw[p] for p in order[a:b]]
+            some = [raw[int(p)].as_py() for p in order[a:b]]
             sets = load(some) if load else [np.frombuffer(x, np.uint64) for x in some]
             found += linked_pairs(classes[a:b], sets, side[a:b], linked, near)
         pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    return small.unionByName(large).groupBy("bin", "i", "j").applyInArrow(verify, "a long, b long")
+    rows = members.withColumn("place", F.explode("places")).select("class", "group", "set", "place.bin", "place.i", "place.j", "place.side")
+    return rows.groupBy("bin", "i", "j").applyInArrow(verify, "a long, b long")
 
 
 def parity(sets: list[np.ndarray], words: int) -> np.ndarray:

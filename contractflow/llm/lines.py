@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint, chunks, map_batches, mix
 from .components import components
-from .keyed import GROUP_ELEMENTS, candidate_groups, nearby, stars, verified
+from .keyed import GROUP_ELEMENTS, candidate_groups, nearby, placed, stars, verified
 
 SIMILARITY = 80
 SHINGLE = 8
@@ -27,7 +27,8 @@ LEAST = 24
 BANDS = 8
 ROWS = 3
 SEED = 5
-BROADCAST_ROWS = 500_000
+#: First occurrences that the re-read of candidate lines may broadcast (some 100 bytes each); beyond, the joins shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def normal(line: str) -> str:
@@ -83,17 +84,18 @@ def links(percent: int):
 
 
 def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Every line long enough: key, mark (of the text), at (number of the line), line (16-byte hash), keys (of its bands; at its first in a batch)."""
+    """Every line long enough: key, mark (of the text), at (number of the line), chars, line (16-byte hash), keys (of its bands; at its first in a batch)."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for first, texts in chunks(batch.column(2).to_pylist()):
-            row, at, hashes, new, seen = [], [], [], [], {}
+            row, at, chars, hashes, new, seen = [], [], [], [], [], {}
             for i, value in enumerate(texts):
                 for n, line in enumerate(value.split("\n")):
                     line = normal(line) if len(line) >= LEAST else ""
                     if len(line) >= LEAST:
                         row.append(first + i)
                         at.append(n)
+                        chars.append(len(line))
                         hashes.append(xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass")))
                         if hashes[-1] not in seen:
                             seen[hashes[-1]] = len(new)
@@ -102,45 +104,50 @@ def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
             given = [keys[k] if (k := seen.pop(h, None)) is not None else None for h in hashes]
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(at, pa.int32()), pa.array(hashes, pa.binary()), pa.array(given, pa.binary())],
-                names=["key", "mark", "at", "line", "keys"],
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(at, pa.int32()), pa.array(chars, pa.int32()), pa.array(hashes, pa.binary()), pa.array(given, pa.binary())],
+                names=["key", "mark", "at", "chars", "line", "keys"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), text)
-    return map_batches(rows, work, f"key {kind}, mark long, at int, line binary, keys binary")
+    return map_batches(rows, work, f"key {kind}, mark long, at int, chars int, line binary, keys binary")
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """class, group, n, set (the normalised line) of wanted classes, from their first occurrences (key, mark, at)."""
+    """class, group, places, set (the normalised line) of wanted classes, from their first occurrences (key, mark, at)."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for value, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            lines = value.split("\n")
-            found = [normal(lines[x["at"]]) for x in asked]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x["class"] for x in asked]), pa.array([x["group"] for x in asked]), pa.array(list(map(len, found))), pa.array([f.encode() for f in found])],
-                names=["class", "group", "n", "set"],
-            )
+        asked = batch.column(1).to_pylist()
+        found = []
+        for value, numbers in zip(batch.column(0).to_pylist(), asked, strict=True):
+            split = value.split("\n")
+            found.append([normal(split[n]) for n in numbers])
+        owner = pa.array(np.repeat(np.arange(len(found)), list(map(len, found))))
+        at = pa.array([n for some in asked for n in some], pa.int32())
+        texts = pa.array([line.encode("utf-8", "surrogatepass") for some in found for line in some], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(2).take(owner), batch.column(3).take(owner), at, texts], names=["key", "mark", "at", "set"])
 
-    asked = wanted.groupBy("key", "mark").agg(F.collect_list(F.struct("at", "class", "group")).alias("asked"))
-    asked = checkpoint(asked)
     few = wanted.count() <= BROADCAST_ROWS
+    small = F.broadcast if few else lambda frame: frame
+    asked = checkpoint(wanted.groupBy("key", "mark").agg(F.sort_array(F.collect_set("at")).alias("asked")))
     rows = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("m"), text)
     same = F.col("k").eqNullSafe(F.col("key")) & (F.col("m") == F.col("mark"))
-    # Equal rows give equal lines: one of each will do.
-    return map_batches(rows.join(F.broadcast(asked) if few else asked, same).select(text, "asked"), work, "class long, group long, n long, set binary").dropDuplicates(["class"])
+    kind = docs.schema[key].dataType.simpleString()
+    found = map_batches(rows.join(small(asked), same).select(text, "asked", "key", "mark"), work, f"key {kind}, mark long, at int, set binary")
+    known = wanted.select(F.col("key").alias("k"), F.col("mark").alias("m"), F.col("at").alias("a"), "class", "group", "places")
+    same = F.col("k").eqNullSafe(F.col("key")) & (F.col("m") == F.col("mark")) & (F.col("a") == F.col("at"))
+    return found.join(small(known), same).select("class", "group", "places", "set")
 
 
 def removals(docs: DataFrame, key: str, text: str, percent: int, elements: int) -> DataFrame:
     """Lines to remove, by document: key, mark, gone (numbers of lines), kept_in (keys of the documents that keep such lines)."""
     rows = checkpoint(occurrences(docs, key, text))
     place = F.struct(F.col("key").isNull().alias("none"), "key", "mark", "at")
-    classes = rows.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), F.max("keys").alias("keys"))
+    classes = rows.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), F.max("chars").alias("chars"), F.max("keys").alias("keys"))
     classes = checkpoint(classes.withColumn("class", F.monotonically_increasing_id()))
     groups = candidate_groups(stars(classes))
-    wanted = checkpoint(classes.join(groups, "class").select("class", "group", "first.key", "first.mark", "first.at"))
-    found = components(verified(line_texts(docs, wanted, key, text), *links(percent), elements, shingle_sets))
+    wanted = placed(classes.join(groups, "class").select("class", "group", F.col("chars").alias("n"), "first.key", "first.mark", "first.at"), elements)
+    found = components(verified(line_texts(docs, wanted, key, text), *links(percent), shingle_sets))
     rooted = classes.select("class", "line", "first", "times").join(found.withColumnRenamed("node", "class"), "class", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "class"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("times").alias("times")).where("times > 1")
