@@ -167,6 +167,18 @@ def identify(docs: DataFrame, filters: Filters, key: str = "doc_id", text: str =
     return map_batches(docs.select(*names, F.col(text).alias("_text")), work, f"{fields}, lang_pred string, score double")
 
 
+def known_language(docs: DataFrame, filters: Filters, least: float, text: str = "text") -> DataFrame:
+    """The rows whose text is of a learned language with at least this score, with their columns as they are; nothing else is kept."""
+    sent = docs.sparkSession.sparkContext.broadcast(filters)
+    at = docs.columns.index(text)
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        said, scores = predict(batch.column(at).to_pylist(), sent.value)
+        yield batch.filter(pa.array([name != UNKNOWN and score >= least for name, score in zip(said, scores, strict=True)], pa.bool_()))
+
+    return map_batches(docs, work, docs.schema)
+
+
 def identify_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Learn from the documents that are not held out and predict all: key, held_out, lang_pred, score."""
     filters = learn(docs.where(~held_out(key)), text, lang)

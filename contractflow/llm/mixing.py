@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, words_in
+from .common import BLANKS, checkpoint, words_in
 from .ordering import bucket_count, hex_bucket, running
 
 WEIGHTS = (3, 1, 2)
@@ -72,8 +72,8 @@ def slots(spark, plan: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """Narrow rows of the documents: key, source, size in words and the digest that shuffles them; written once."""
-    chosen = docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), words_in(F.col(text)).alias("size"))
+    """Narrow rows of the documents: key, mark (a hash of the text), source, size in words and the digest that shuffles them; written once."""
+    chosen = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(source).cast("string").alias("source"), words_in(F.col(text)).alias("size"))
     return checkpoint(chosen.withColumn("_digest", F.md5(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary"))))
 
 
@@ -110,6 +110,26 @@ def taken(placed: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame
     return rows.select(F.col("key").alias(key), "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
+def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The documents of the mix, with their columns: once for each time that the mix runs over them.
+
+    Of a document that the mix takes in part, its first words stand in a row, with single spaces. Documents that it does not take
+    are gone, and so are those without words.
+    """
+    placed, mixed = mix(measured(docs, key, text, source), **options)
+    times = mixed.groupBy("s", "position", "lap").agg(F.sum("words").alias("words"))
+    some = placed.where("size > 0").select("s", "position", "key", "mark").join(times, ["s", "position"])
+    takes = some.groupBy("key", "mark").agg(F.sort_array(F.collect_list("words"), asc=False).alias("__llm_takes"))
+    takes = takes.withColumnsRenamed({"key": "__llm_key", "mark": "__llm_mark"})
+    rows = docs.withColumn("__llm_text", F.xxhash64(text))
+    joined = rows.join(takes, F.col(key).eqNullSafe(F.col("__llm_key")) & (F.col("__llm_text") == F.col("__llm_mark")))
+    # Equal rows have all their takes in one list, so one of them stands for all.
+    once = joined.dropDuplicates([key, "__llm_text"]).withColumn("__llm_words", F.explode("__llm_takes"))
+    words = F.filter(F.split(F.col(text), BLANKS), lambda w: w != "")
+    cut = F.array_join(F.slice(words, F.lit(1), F.col("__llm_words").cast("int")), " ")
+    return once.select(*[F.when(F.col("__llm_words") < words_in(F.col(text)), cut).otherwise(F.col(c)).alias(c) if c == text else F.col(c) for c in docs.columns])
+
+
 SQL = """
 WITH rows AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import jaccard, languages, lines, mixing, neighbours, packing, pii, scoring, sharding, topk
@@ -59,5 +60,6 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_jaccard": op9_jaccard,
     "op10_lines": op10_lines,
+    "pipeline": corpus_pipeline.run,
 }
 SQL = {"op4_mixing": mixing.SQL, "op6_topk": topk.SQL}
