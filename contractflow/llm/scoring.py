@@ -16,12 +16,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORDS, checkpoint, chunks, map_batches, mix, spread
+from .common import WORDS, checkpoint, chunks, expand, map_batches, mix, rising, spread, squeeze
 
 HELD_OUT = 10
 #: Characters of a chunk, and characters of the corpus for each part that counts words or pairs.
@@ -36,26 +35,10 @@ BUCKETS = 40
 BINS = 8
 OCTAVES = 48
 TURNS = 100
+WIDTH = OCTAVES * BINS + 1
 KEPT, LEFT_OUT, HELD = 2, 1, 0
 
 
-def squeeze(values: np.ndarray) -> bytes:
-    """Numbers as compressed planes of their bytes."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
-
-
-def expand(packed: bytes, kind: type) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
-
-
-def rising(values: np.ndarray) -> np.ndarray:
-    """Differences of sorted numbers, which squeeze better; ``np.cumsum`` undoes it."""
-    return np.diff(values, prepend=values.dtype.type(0))
-
-
 def by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order of keys by part and value, and the non-empty parts with their cuts in that order."""
     part = keys % np.uint64(parts)
@@ -107,39 +90,64 @@ def chunked(docs: DataFrame, key: str, text: str, fold, parts: int) -> DataFrame
     return map_batches(docs.select(key, text, fold.alias("fold")), work, f"{PACKED}, keys array<{kind}>")
 
 
-ANSWER = "chunk long, part long, kept binary, trained binary, number binary, n long, v long, n_kept long, v_kept long"
+class Keys:
+    """What a part has been asked: sorted keys of several chunks, and how often each stands in kept and left-out texts."""
+
+    def __init__(self, rows: pa.Table):
+        asked = [np.cumsum(expand(x, np.uint64), dtype=np.uint64) for x in rows["ids"].to_pylist()]
+        keys, number = np.unique(np.concatenate(asked), return_inverse=True)
+        self.size = len(keys)
+        self.given = [np.concatenate([expand(x, np.uint32) for x in rows[name].to_pylist()]) for name in ("known", "left")]
+        self.kept, left = (np.bincount(number, g, len(keys)).astype(np.uint32) for g in self.given)
+        self.trained = self.kept + left
+        self.number = number
+        self.at = np.split(number, np.cumsum(list(map(len, asked)))[:-1])
+
+    def answers(self, values: np.ndarray) -> pa.Array:
+        """The values of the keys asked, chunk by chunk."""
+        return pa.array([squeeze(values[i]) for i in self.at], pa.binary())
+
 
+def first_only(value, rows: int) -> pa.Array:
+    return pa.array([value] + [None] * (rows - 1))
 
-def counted(rows: DataFrame) -> DataFrame:
-    """Answers for each chunk and part, in the order of the keys asked: counts (kept, all of training) and the keys' rising numbers in the part.
 
-    ``rows``: key (the part), chunk, ids (sorted keys), known and left (their counts in the chunk). The first answer of
-    a part carries its tokens and distinct keys.
+def count_words(rows: DataFrame) -> DataFrame:
+    """Per chunk and part, in the order of the words asked: counts (kept, all of training) and the words' rising numbers in the part.
+
+    ``rows``: key (the part), chunk, ids (sorted hashes), known and left (counts in the chunk). The first answer of a part carries
+    its training tokens and distinct words (all, and kept).
     """
 
     def count(rows: pa.Table) -> pa.Table:
-        asked = [np.cumsum(expand(x, np.uint64), dtype=np.uint64) for x in rows["ids"].to_pylist()]
-        sizes = np.fromiter(map(len, asked), np.int64, len(asked))
-        keys, number = np.unique(np.concatenate(asked), return_inverse=True)
-        totals = []
-        for name in ("known", "left"):
-            given = np.concatenate([expand(x, np.uint32) for x in rows[name].to_pylist()])
-            totals.append(np.bincount(number, given, len(keys)).astype(np.int64))
-        kept, trained = totals[0], totals[0] + totals[1]
-        ends = np.cumsum(sizes)
-        at = [number[b - n : b] for n, b in zip(sizes, ends, strict=True)]
-        first = lambda x: [int(x)] + [0] * (len(asked) - 1)
-        return pa.table(
-            [
-                rows["chunk"], rows["key"],
-                *[pa.array([squeeze(c[i].astype(np.uint64)) for i in at], pa.binary()) for c in (kept, trained)],
-                pa.array([squeeze(rising(i)) for i in at], pa.binary()),
-                *[pa.array(first(x), pa.int64()) for x in (trained.sum(), (trained > 0).sum(), kept.sum(), (kept > 0).sum())],
-            ],
-            names=["chunk", "part", "kept", "trained", "number", "n", "v", "n_kept", "v_kept"],
-        )
-
-    return rows.groupBy("key").applyInArrow(count, ANSWER)
+        keys, n = Keys(rows), rows.num_rows
+        totals = [int(x) for x in (keys.trained.sum(), (keys.trained > 0).sum(), keys.kept.sum(), (keys.kept > 0).sum())]
+        numbers = pa.array([squeeze(rising(i.astype(np.uint64))) for i in keys.at], pa.binary())
+        columns = [rows["chunk"], rows["key"], keys.answers(keys.kept), keys.answers(keys.trained), numbers, *[first_only(t, n) for t in totals]]
+        return pa.table(columns, names=["chunk", "part", "kept", "trained", "number", "n", "v", "n_kept", "v_kept"])
+
+    return rows.groupBy("key").applyInArrow(count, "chunk long, part long, kept binary, trained binary, number binary, n long, v long, n_kept long, v_kept long")
+
+
+def count_pairs(rows: DataFrame, tokens: int) -> DataFrame:
+    """Per chunk and part, the training counts of the pairs asked; the first answer of a part carries the part's evidence.
+
+    ``rows`` has also, for the pairs that stand in left-out texts, the kept counts of their contexts and words. Evidence is how
+    many left-out tokens have a context bucket and bins of a bigram and a unigram estimate (codes and n).
+    """
+
+    def count(rows: pa.Table) -> pa.Table:
+        keys, n = Keys(rows), rows.num_rows
+        left = keys.given[1] > 0
+        contexts, words = (np.concatenate([expand(x, np.uint32) for x in rows[name].to_pylist()]).astype(np.float64) for name in ("contexts", "words"))
+        pairs = keys.kept[keys.number[left]].astype(np.float64)
+        code = (bucket(contexts) * WIDTH + binned(pairs / np.maximum(contexts, 1))) * WIDTH + binned(words / max(1, tokens))
+        codes, at = np.unique(code, return_inverse=True)
+        found = [{"code": int(c), "n": int(m)} for c, m in zip(codes, np.bincount(at, keys.given[1][left], len(codes)), strict=True)]
+        evidence = pa.array([found] + [None] * (n - 1), pa.list_(pa.struct([("code", pa.int64()), ("n", pa.int64())])))
+        return pa.table([rows["chunk"], rows["key"], keys.answers(keys.trained), evidence], names=["chunk", "part", "trained", "evidence"])
+
+    return rows.groupBy("key").applyInArrow(count, "chunk long, part long, trained binary, evidence array<struct<code:long,n:long>>")
 
 
 def gathered(answers: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -148,7 +156,7 @@ def gathered(answers: DataFrame, name: str, *columns: str) -> DataFrame:
 
 
 def joined(answers: list[dict], column: str) -> np.ndarray:
-    return np.concatenate([expand(a[column], np.uint64) for a in sorted(answers, key=lambda a: a["part"])])
+    return np.concatenate([expand(a[column], np.uint32) for a in sorted(answers, key=lambda a: a["part"])])
 
 
 @dataclass
@@ -183,32 +191,34 @@ def pair_keys(pairs: np.ndarray, words: list[dict], word_parts: int, width: int)
 
 
 def ask_pairs(rows: DataFrame, word_parts: int, parts: int) -> DataFrame:
-    """Distinct pairs of words of each chunk with their counts, for each part."""
+    """Distinct pairs of words of each chunk with their counts, for each part; contexts and words count those of left-out pairs."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
-            chunk, width = Chunk.of(row), sum(len(expand(a["number"], np.uint64)) for a in row["words"])
-            pairs, at = chunk.pairs(width)
-            keys = pair_keys(pairs, row["words"], word_parts, width)
+            chunk, kept = Chunk.of(row), joined(row["words"], "kept")
+            pairs, at = chunk.pairs(len(kept))
+            keys = pair_keys(pairs, row["words"], word_parts, len(kept))
             order, some, cuts = by_part(keys, parts)
             token_fold = np.repeat(chunk.folds, chunk.lengths)
-            counts = [np.bincount(at[token_fold == f], minlength=len(pairs)).astype(np.uint32)[order] for f in (KEPT, LEFT_OUT)]
-            keys = keys[order]
+            known, left = (np.bincount(at[token_fold == f], minlength=len(pairs)).astype(np.uint32)[order] for f in (KEPT, LEFT_OUT))
+            keys, pairs = keys[order], pairs[order]
             cut = lambda values: pa.array([squeeze(values[cuts[p] : cuts[p + 1]]) for p in some], pa.binary())
+            only = lambda numbers: pa.array([squeeze(kept[numbers[cuts[p] : cuts[p + 1]][left[cuts[p] : cuts[p + 1]] > 0]]) for p in some], pa.binary())
             asked = pa.array([squeeze(rising(keys[cuts[p] : cuts[p + 1]])) for p in some], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([row["chunk"]] * len(some)), asked, cut(counts[0]), cut(counts[1])], names=["key", "chunk", "ids", "known", "left"])
+            columns = [pa.array(some), pa.array([row["chunk"]] * len(some)), asked, cut(known), cut(left), only(pairs // len(kept)), only(pairs % len(kept))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "chunk", "ids", "known", "left", "contexts", "words"])
 
-    return map_batches(rows, work, "key long, chunk long, ids binary, known binary, left binary")
+    return map_batches(rows, work, "key long, chunk long, ids binary, known binary, left binary, contexts binary, words binary")
 
 
-def estimates(row: dict, word_parts: int, pair_parts: int, column: str) -> tuple[Chunk, np.ndarray, np.ndarray, np.ndarray]:
-    """A chunk with each token's count, its context's, and the pair's."""
+def estimates(row: dict, word_parts: int, pair_parts: int) -> tuple[Chunk, np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk with each token's training count, its context's, and the pair's."""
     chunk = Chunk.of(row)
-    words = joined(row["words"], column).astype(np.float64)
+    words = joined(row["words"], "trained").astype(np.float64)
     pairs, at = chunk.pairs(len(words))
     order, _, _ = by_part(pair_keys(pairs, row["words"], word_parts, len(words)), pair_parts)
     counts = np.empty(len(pairs))
-    counts[order] = joined(row["pairs"], column)
+    counts[order] = joined(row["pairs"], "trained")
     return chunk, words[chunk.ids], words[chunk.before], counts[at]
 
 
@@ -226,28 +236,12 @@ def of_bin(i: np.ndarray) -> np.ndarray:
     return np.where(i > 0, 2.0 ** (-(i - 1) / BINS), 0.0)
 
 
-def evidence(rows: DataFrame, word_parts: int, pair_parts: int, tokens: int) -> DataFrame:
-    """How many left-out tokens have a context bucket and bins of bigram and unigram estimates: bucket, two, one, n."""
-
-    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for row in batch.to_pylist():
-            chunk, word, context, pair = estimates(row, word_parts, pair_parts, "kept")
-            left = np.repeat(chunk.folds, chunk.lengths) == LEFT_OUT
-            word, context, pair = word[left], context[left], pair[left]
-            width = OCTAVES * BINS + 1
-            code = (bucket(context) * width + binned(pair / np.maximum(context, 1))) * width + binned(word / max(1, tokens))
-            codes, n = np.unique(code, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(codes // width // width), pa.array(codes // width % width), pa.array(codes % width), pa.array(n)], names=["bucket", "two", "one", "n"])
-
-    return map_batches(rows, work, "bucket long, two long, one long, n long").groupBy("bucket", "two", "one").agg(F.sum("n").alias("n"))
-
-
-def weights(rows: list, types: int) -> np.ndarray:
+def weights(rows: list[tuple[int, int]], types: int) -> np.ndarray:
     """Mixture weights (bigram, unigram, uniform) of every bucket, by expectation-maximisation on binned evidence."""
     found = np.tile([0.0, 0.9, 0.1], (BUCKETS, 1))
     by_bucket: dict[int, list] = {}
-    for r in rows:
-        by_bucket.setdefault(r["bucket"], []).append((r["two"], r["one"], r["n"]))
+    for code, n in rows:
+        by_bucket.setdefault(code // WIDTH // WIDTH, []).append((code // WIDTH % WIDTH, code % WIDTH, n))
     last = None
     for b in range(BUCKETS):
         if b in by_bucket:
@@ -269,7 +263,7 @@ def weights(rows: list, types: int) -> np.ndarray:
 def scored(rows: DataFrame, kind: str, word_parts: int, pair_parts: int, tokens: int, types: int, mixture: np.ndarray) -> DataFrame:
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for r, row in enumerate(batch.drop_columns(["keys"]).to_pylist()):
-            chunk, word, context, pair = estimates(row, word_parts, pair_parts, "trained")
+            chunk, word, context, pair = estimates(row, word_parts, pair_parts)
             base = np.log10((word + SMOOTH) / (tokens + SMOOTH * (types + 1)))
             share = mixture[bucket(context)]
             p = share[:, 0] * pair / np.maximum(context, 1) + share[:, 1] * word / max(1, tokens) + share[:, 2] / (types + 1)
@@ -297,16 +291,15 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     word_parts, pair_parts = spread(size, WORD_PART), spread(size, PAIR_PART)
     check = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
     fold = F.when(check % HELD_OUT == 0, HELD).when(F.floor(check / HELD_OUT) % 10 == 0, LEFT_OUT).otherwise(KEPT)
-    spark = docs.sparkSession
-    width = max(spread(size, 2 * CHUNK), spark.sparkContext.defaultParallelism)
-    packed = checkpoint(chunked(docs, key, text, fold, word_parts).repartition(width, "key"))
-    words = checkpoint(counted(packed.where("kind = 1").select("key", "chunk", "ids", "known", "left")))
+    packed = checkpoint(chunked(docs, key, text, fold, word_parts))
+    words = checkpoint(count_words(packed.where("kind = 1").select("key", "chunk", "ids", "known", "left")))
     told = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "n_kept", "v_kept")]).first()
-    chunk_rows = packed.where("kind = 0").select("key", "chunk", "ids", "lengths", "folds", "keys")
-    numbered = chunk_rows.drop("keys", "key").join(gathered(words, "words", "number"), "chunk")
-    pairs = checkpoint(counted(ask_pairs(numbered, word_parts, pair_parts)).select("chunk", "part", "kept", "trained"))
-    known = chunk_rows.drop("key").join(gathered(words, "words", "number", "kept", "trained"), "chunk").join(gathered(pairs, "pairs", "kept", "trained"), "chunk")
-    found = evidence(known.drop("keys"), word_parts, pair_parts, told.n_kept).collect()  # at most buckets * bins * bins numbers
-    mixture = weights([r.asDict() for r in found], told.v_kept)
+    texts = packed.where("kind = 0").select("chunk", "ids", "lengths", "folds", "keys")
+    asked = ask_pairs(texts.drop("keys").join(gathered(words, "words", "number", "kept"), "chunk"), word_parts, pair_parts)
+    pairs = checkpoint(count_pairs(asked, told.n_kept))
+    # At most buckets * bins * bins numbers reach the driver.
+    found = pairs.select(F.explode("evidence").alias("e")).groupBy("e.code").agg(F.sum("e.n").alias("n")).collect()
+    mixture = weights([(r.code, r.n) for r in found], told.v_kept)
+    known = texts.join(gathered(words, "words", "number", "trained"), "chunk").join(gathered(pairs, "pairs", "trained"), "chunk")
     kind = docs.schema[key].dataType.simpleString()
     return scored(known, kind, word_parts, pair_parts, told.n, told.v, mixture).withColumnRenamed("key", key)
