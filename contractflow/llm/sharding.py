@@ -8,7 +8,9 @@ At the end the documents that no link binds fill the shards up, so that row coun
 
 from __future__ import annotations
 
+import math
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,10 @@ from .ordering import bucket_count, hex_bucket, running
 SHARDS = 8
 ROUNDS = 4
 LAW = "rows"
+#: By so much a shard may be overfull while documents move; the end evens it out.
+SLACK = 0.1
+#: Hubs that are too large to move; beyond so many, Spark chooses the join.
+BROADCAST_ROWS = 10_000
 
 
 def measured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -50,10 +56,10 @@ def _best(counts: list, anchor):
     return F.coalesce(*[F.when(r == most, F.lit(i)) for i, r in enumerate(ranks)])
 
 
-def quotas(flows: dict[tuple[int, int], int], held: dict[int, int], capacity: int) -> dict[tuple[int, int], float]:
+def quotas(flows: dict[tuple[int, int], int], held: dict[int, int], capacity: list[int]) -> dict[tuple[int, int], float]:
     """The part of each flow between shards that is let through, so that no shard ends above its capacity."""
     let = {pair: min(n, flows.get(pair[::-1], 0)) for pair, n in flows.items()}
-    free = {to: max(0, capacity - held.get(to, 0)) for _, to in flows}
+    free = {to: max(0, capacity[to] - held.get(to, 0)) for _, to in flows}
     for pair in sorted(flows, key=lambda p: (-flows[p], p)):
         more = min(free[pair[1]], flows[pair] - let[pair])
         let[pair] += more
@@ -61,30 +67,34 @@ def quotas(flows: dict[tuple[int, int], int], held: dict[int, int], capacity: in
     return {pair: let[pair] / n for pair, n in flows.items()}
 
 
-def propagate(nodes: DataFrame, links: DataFrame, capacity: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """Labels (node, shard, anchor, members) of the linked nodes after some rounds.
+def choose(value, edges: list[int]):
+    """The number of the stretch that a value falls into, where stretch i ends before edges[i]."""
+    return reduce(lambda rest, i: F.when(value < edges[i], F.lit(i)).otherwise(rest), reversed(range(len(edges) - 1)), F.lit(len(edges) - 1))
 
-    ``nodes``: node, digest; ``links``: node, hub. ``anchor`` is the largest hub of a node and ``members`` its size.
-    Only counts between shards (at most shards * shards numbers) reach the driver.
+
+def propagate(nodes: DataFrame, held: DataFrame, room: list[int], rounds: int = ROUNDS) -> DataFrame:
+    """Labels (node, digest, shard, anchor, members) of the linked nodes after some rounds.
+
+    ``nodes``: node, digest; ``held``: node, hub, members (the hub's size); ``room``: what each shard can take. A node starts
+    in a shard by its digest, in proportion to the room. ``anchor`` is the largest hub of a node and ``members`` its size.
+    Only counts between shards (at most the square of their number) reach the driver.
     """
-    sizes = links.groupBy("hub").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    held = checkpoint(links.join(sizes, "hub"))
+    shards, edges = len(room), list(accumulate(room))
     largest = held.groupBy("node").agg(F.max(F.struct("members", "hub")).alias("a"))
-    start = nodes.join(largest, "node").select("node", "digest", hex_bucket(F.col("digest"), shards).cast("int").alias("shard"), F.col("a.hub").alias("anchor"), F.col("a.members").alias("members"))
+    first = choose(hex_bucket(F.col("digest"), max(1, edges[-1])), edges)
+    start = nodes.join(largest, "node").select("node", "digest", first.cast("int").alias("shard"), F.col("a.hub").alias("anchor"), F.col("a.members").alias("members"))
     labels = checkpoint(start)
     for turn in range(rounds):
         placed = held.select("node", "hub").join(labels.select("node", "shard"), "node")
         per_hub = placed.groupBy("hub").agg(*[F.count(F.when(F.col("shard") == i, 1)).alias(f"h{i}") for i in range(shards)])
         seen = held.select("node", "hub").join(per_hub, "hub").groupBy("node").agg(*[F.sum(f"h{i}").alias(f"c{i}") for i in range(shards)])
-        # A group moves as one where it fits; one that could overfill a shard alone moves row by row.
-        moves_as = F.when(F.col("members") * 8 <= capacity, F.col("anchor")).otherwise(F.col("digest"))
-        chance = F.pmod(F.xxhash64(moves_as, F.lit(turn)), F.lit(1 << 20)) / float(1 << 20)
+        chance = F.pmod(F.xxhash64("anchor", F.lit(turn)), F.lit(1 << 20)) / float(1 << 20)  # a group moves as one
         wishes = checkpoint(labels.join(seen, "node").select(*labels.columns, _best(_counts("c", shards), F.col("anchor")).cast("int").alias("wish"), chance.alias("chance")))
         now = {r.shard: r.n for r in wishes.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
         flows = {(r.shard, r.wish): r.n for r in wishes.where("wish <> shard").groupBy("shard", "wish").agg(F.count(F.lit(1)).alias("n")).collect()}
         if not flows:
             break
-        let = quotas(flows, now, capacity)
+        let = quotas(flows, now, [r + math.ceil(r * SLACK) for r in room])
         admitted = reduce(lambda rest, p: F.when((F.col("shard") == p[0]) & (F.col("wish") == p[1]), F.lit(let[p])).otherwise(rest), sorted(let), F.lit(0.0))
         moved = (F.col("wish") != F.col("shard")) & (F.col("chance") < admitted)
         labels = wishes.select("node", "digest", F.when(moved, F.col("wish")).otherwise(F.col("shard")).alias("shard"), "anchor", "members")
@@ -94,12 +104,25 @@ def propagate(nodes: DataFrame, links: DataFrame, capacity: int, shards: int = S
 def shard(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """Place every node: node, shard, slot (gapless from 0); row counts differ by one at most.
 
-    ``nodes``: node (unique), digest (hexadecimal, gives the start and the order); ``links``: node, hub. A hub larger than
-    a shard is cut into stretches; an empty table gives no rows.
+    ``nodes``: node (unique), digest (hexadecimal, gives the start and the order); ``links``: node, hub. A hub of more than half a
+    shard cannot move as one under the quotas: its nodes are laid out one after the other where room is left, over as few
+    shards as that allows. An empty table gives no rows.
     """
     total = nodes.count()
     capacity = [total // shards + (i < total % shards) for i in range(shards)]
-    labels = propagate(nodes, links, max(1, total // shards), shards, rounds)
+    sizes = links.groupBy("hub").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    large = F.col("members") > max(1, total // shards // 2)
+    giants = checkpoint(sizes.where(large).select("hub"))
+    small = F.broadcast if giants.count() <= BROADCAST_ROWS else lambda frame: frame
+    held = checkpoint(links.join(small(giants), "hub", "left_anti").join(sizes.where(~large), "hub"))
+    laid = links.join(small(giants), "hub").join(held.select("node"), "node", "left_anti").groupBy("node").agg(F.max("hub").alias("anchor"))
+    # The nodes of giants come first; what they leave is the room of all others.
+    taken = laid.count()
+    room = [max(0, min(c, end - taken)) for c, end in zip(capacity, accumulate(capacity), strict=True)]
+    labels = propagate(nodes, held, room, rounds)
+    # Groups that the quotas have left apart are laid out anew, each in one stretch.
+    spans = labels.groupBy("anchor").agg((F.min("shard") == F.max("shard")).alias("whole"))
+    labels = checkpoint(labels.join(spans, "anchor"))
     buckets = bucket_count(total)
     each = max(1, total // buckets)
     large = F.col("members") > each
@@ -112,22 +135,23 @@ def shard(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int
         F.shiftright(first_bits * parts, 32).alias("piece"),
     )
     one = F.lit(1).cast("long")
-    ranked = running(labels.withColumn("_bucket", place), ["shard"], "_bucket", ["anchor", "digest", "node"], one, "slot")
-    within = reduce(lambda rest, i: F.when(F.col("shard") == i, F.lit(capacity[i])).otherwise(rest), range(shards), F.lit(0))
+    ranked = running(labels.where("whole").withColumn("_bucket", place), ["shard"], "_bucket", ["anchor", "digest", "node"], one, "slot")
+    within = reduce(lambda rest, i: F.when(F.col("shard") == i, F.lit(room[i])).otherwise(rest), range(shards), F.lit(0))
     ranked = checkpoint(ranked.withColumn("keeps", F.col("slot") < within))
     kept = {r.shard: r.n for r in ranked.where("keeps").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
-    empty = F.lit(None).cast(labels.schema["anchor"].dataType)
-    free = nodes.join(labels.select("node"), "node", "left_anti").select("node", "digest", empty.alias("anchor"), F.lit(1).cast("long").alias("members"))
-    rest = ranked.where("not keeps").select("node", "digest", "anchor", "members").unionByName(free)
-    place = F.struct(F.col("anchor").isNull().alias("free"), F.when(F.col("anchor").isNotNull(), F.col("anchor")).alias("hub"), hex_bucket(F.col("digest"), buckets).alias("piece"))
-    queue = running(rest.withColumns({"_bucket": place, "_all": F.lit(0)}), ["_all"], "_bucket", ["digest", "node"], one, "turn")
+    free = nodes.join(labels.select("node"), "node", "left_anti").join(laid, "node", "left").select("node", "digest", "anchor", F.when(F.col("anchor").isNull(), F.lit(2)).otherwise(F.lit(0)).alias("turn"))
+    apart = labels.where("not whole").select("node", "digest", "anchor")
+    left_over = ranked.where("not keeps").select("node", "digest", "anchor").unionByName(apart)
+    rest = left_over.withColumn("turn", F.lit(1)).unionByName(free)
+    place = F.struct("turn", "anchor", hex_bucket(F.col("digest"), buckets).alias("piece"))
+    queue = running(rest.withColumns({"_bucket": place, "_all": F.lit(0)}), ["_all"], "_bucket", ["digest", "node"], one, "number")
     shard_of, slot_of, done = F.lit(None).cast("int"), F.lit(None).cast("long"), 0
     for i in range(shards):
-        room = capacity[i] - kept.get(i, 0)
-        here = (F.col("turn") >= done) & (F.col("turn") < done + room)
+        open_ = capacity[i] - kept.get(i, 0)
+        here = (F.col("number") >= done) & (F.col("number") < done + open_)
         shard_of = F.when(here, F.lit(i)).otherwise(shard_of)
-        slot_of = F.when(here, F.col("turn") - done + kept.get(i, 0)).otherwise(slot_of)
-        done += room
+        slot_of = F.when(here, F.col("number") - done + kept.get(i, 0)).otherwise(slot_of)
+        done += open_
     filled = queue.select("node", shard_of.alias("shard"), slot_of.cast("long").alias("slot"))
     return ranked.where("keeps").select("node", "shard", "slot").unionByName(filled)
 
