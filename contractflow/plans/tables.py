@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import END_AT, START_AT, Contract, spark_type
-from ..errors import require
+from ..errors import DataRejected, require
 from ..functions.rules import MANAGED, compile_rules
 from ..operators import history
 from ..operators.projection import name
+from ..operators.verify import duplicate_keys
 from ..sources.datasets import OPEN, Dataset, Version
 from .views import after_load
 
@@ -71,7 +72,7 @@ class TableFlow:
     def run(self, spark: SparkSession) -> Version:
         target = Dataset(spark, self.target)
         previous = target.version()
-        rows = self.source(spark, self.mark(previous))
+        rows = self._accepted(self.source(spark, self.mark(previous)))
         if self.cursor:
             rows = history.after_cursor(rows, self.cursor_column, self.mark(previous))
         keys = self.contract.keys
@@ -91,6 +92,18 @@ class TableFlow:
             return target.advance_history(history.apply_snapshot(opened, rows, keys, number), info)
         return target.advance_history(advance_by_cursor(opened, rows, keys, self.cursor_column), info)
 
+    def _accepted(self, rows: DataFrame) -> DataFrame:
+        """The source's rows in the contract's column order, refused when their columns, types or keys are not the contract's."""
+        wanted = {c.output: spark_type(c.type) for c in self.contract.columns}
+        found = [(f.name, f.dataType) for f in rows.schema.fields]
+        require(len(found) == len(wanted) and dict(found) == wanted, "The source's columns or types differ from the contract", DataRejected)
+        rows = rows.select(*[name(c) for c in wanted])
+        if not self.cursor and self.mode != APPEND_ONLY:
+            # A full refresh has each key once; a cursor may bring several versions of one.
+            repeated = duplicate_keys(rows, self.contract.keys).count()
+            require(not repeated, f"{repeated} keys occur more than once in a full refresh", DataRejected)
+        return rows
+
     def check(self, spark: SparkSession) -> list:
         """All contract rules on the committed version."""
         rules = compile_rules(self.contract, MANAGED, self.unsupported)

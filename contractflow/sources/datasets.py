@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import END_AT, START_AT
-from ..errors import ContractError, require
+from ..errors import ContractError, DataRejected, require
 from ..operators.projection import name
 from .storage import CommitLog, Storage
 
@@ -70,6 +70,12 @@ class Dataset:
         self.log.append(number, json.dumps(body, sort_keys=True).encode())
         return self.version(number)
 
+    def written(self, folder: str) -> list[str]:
+        """Names in a folder that was just written; commits only count on folders that storage sees."""
+        found = self.storage.names(f"{self.root}/{folder}")
+        require(found, f"The rows written to {self.root}/{folder} cannot be found there; nothing was committed")
+        return found
+
     def new_folder(self) -> str:
         return f"data/{uuid.uuid4().hex}"
 
@@ -119,6 +125,7 @@ class Dataset:
     # --- writes: ``info`` is stored with the version, or computed from the rows just written ---
 
     def _info(self, info, schema: T.StructType, folder: str) -> dict:
+        self.written(folder)
         if callable(info):
             info = info(self.spark.read.schema(schema).parquet(f"{self.root}/{folder}"))
         return dict(info or {})
@@ -133,6 +140,9 @@ class Dataset:
     def add_to_table(self, frame: DataFrame, info=None) -> Version:
         """A new version with these rows in addition."""
         previous, folder = self.version(), self.new_folder()
+        shape = lambda schema: [(f.name, f.dataType) for f in schema.fields]
+        same = previous is None or shape(previous.schema) == shape(frame.schema)
+        require(same, "The added rows have other columns or types than the stored ones", DataRejected)
         frame.write.parquet(f"{self.root}/{folder}")
         info = self._info(info, frame.schema, folder)
         kept = previous.parts if previous else ()
@@ -142,6 +152,7 @@ class Dataset:
         """Rows of one micro-batch. A retry overwrites its own folder before committing."""
         previous = self.version()
         frame.write.mode("overwrite").parquet(f"{self.root}/appended/{BATCH}={batch_id}")
+        self.written(f"appended/{BATCH}={batch_id}")
         parts = [Part(TABLE, "appended", through=batch_id)]
         return self.commit(previous, frame.schema, parts, info)
 
@@ -154,7 +165,7 @@ class Dataset:
         kept = self._merged(previous) if previous else []
         added = [
             Part(n.split("=")[1], f"{folder}/{n}")
-            for n in self.storage.names(f"{self.root}/{folder}")
+            for n in self.written(folder)
             if n.startswith("role=")
         ]
         return self.commit(previous, frame.schema, [*kept, *added], info)

@@ -1,9 +1,10 @@
 """Small control files on any filesystem Spark can reach.
 
-A numbered commit file is created exclusively: its content is complete when it becomes visible
-and the second writer of a number loses. Local paths use a hard link, other filesystems Hadoop's
-rename without overwrite. Object stores without an atomic rename need conditional writes, which
-are outside this module.
+A path belongs to the filesystem that Spark resolves it on, so a path without a scheme follows the
+session's default filesystem. A numbered commit file is created exclusively: its content is
+complete when it becomes visible and the second writer of a number loses. The local filesystem
+uses a hard link, others Hadoop's rename without overwrite. Object stores, whose rename is not
+atomic, are refused.
 """
 
 from __future__ import annotations
@@ -16,12 +17,14 @@ from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
-from ..errors import CommitConflict
+from ..errors import CommitConflict, require
 
+# Schemes of object stores that Hadoop renames by copying.
+OBJECT_STORES = frozenset("s3 s3a s3n gs oss cosn obs swift wasb wasbs abfs abfss".split())
 
-def _local(path: str) -> str | None:
-    parts = urlparse(path)
-    return parts.path if parts.scheme in ("", "file") else None
+
+def _local(path: str) -> str:
+    return urlparse(path).path
 
 
 class Storage:
@@ -30,7 +33,14 @@ class Storage:
         self.use_hadoop = use_hadoop
 
     def _is_local(self, path: str) -> bool:
-        return not self.use_hadoop and _local(path) is not None
+        scheme = urlparse(path).scheme or self._default()
+        require(scheme not in OBJECT_STORES, f"Commits on {scheme}: need conditional writes, which are not offered")
+        return not self.use_hadoop and scheme == "file"
+
+    def _default(self) -> str:
+        """Scheme of the filesystem that Spark resolves paths without one on."""
+        jvm = self.spark._jvm
+        return jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(self.spark._jsc.hadoopConfiguration()).getScheme()
 
     def _hadoop(self, path: str):
         jvm = self.spark._jvm

@@ -336,6 +336,7 @@ class ChangeFlow(AppendFlow):
         role = F.when(name(END_AT).isNull(), OPEN).otherwise(CLOSED)
         placed = frame.withColumns({"role": role, BUCKET: self._bucket()}).hint("rebalance", "role", BUCKET)
         placed.write.partitionBy("role", BUCKET).parquet(f"{target.root}/{folder}")
+        target.written(folder)
         parts = []
         for kind in (OPEN, CLOSED):
             for inner in target.storage.names(f"{target.root}/{folder}/role={kind}"):

@@ -168,3 +168,58 @@ def test_relative_paths_stay_below_their_root():
     for bad in ["/a", "../a", "a/../b", "a//b", "", "."]:
         with pytest.raises(ContractError):
             below_root("/landing", bad)
+
+
+def test_rows_that_differ_from_the_contract_are_refused(spark, tmp_path, data):
+    f = flow(tmp_path, data, mode="APPEND_ONLY", cursor="at")
+    f.run(spark)
+    whole = data["frame"]
+    for bad in (whole.drop("status"), whole.withColumn("more", F.lit(1)), whole.withColumn("id", F.col("id").cast("int"))):
+        data["frame"] = bad
+        with pytest.raises(DataRejected, match="differ from the contract"):
+            f.run(spark)
+    data["frame"] = whole.select("at", "status", "id").withColumn("at", F.col("at") + F.expr("interval 30 days"))
+    before = Dataset(spark, f.target).read().count()
+    f.run(spark)
+    after = Dataset(spark, f.target).read()
+    assert after.columns == whole.columns and after.count() == before + 2  # the row without a cursor value is not newer
+
+
+@pytest.mark.parametrize("mode", ["SCD_TYPE_1", "SCD_TYPE_2"])
+def test_a_full_refresh_has_each_key_once(spark, tmp_path, data, mode):
+    f = flow(tmp_path, data, mode=mode)
+    data["frame"] = data["frame"].unionByName(data["frame"].where("id = 1"))
+    with pytest.raises(DataRejected, match="1 keys occur more than once"):
+        f.run(spark)
+    assert Dataset(spark, f.target).version() is None
+
+
+def test_added_rows_keep_the_stored_columns(spark, tmp_path, data):
+    target = Dataset(spark, str(tmp_path / "out"))
+    target.add_to_table(data["frame"])
+    with pytest.raises(DataRejected, match="other columns"):
+        target.add_to_table(data["frame"].drop("status"))
+    assert target.read().columns == data["frame"].columns
+
+
+def test_paths_follow_the_default_filesystem(spark, tmp_path, data, rows):
+    """Paths without a scheme on a session whose default filesystem is not local."""
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    (tmp_path / "store").mkdir()
+    conf.set("fs.viewfs.mounttable.lake.link./lake", f"file://{tmp_path}/store")
+    conf.set("fs.defaultFS", "viewfs://lake/")
+    try:
+        f = TableFlow("/lake/out", CONTRACT, lambda spark, mark: data["frame"], mode="SCD_TYPE_2")
+        f.run(spark)
+        data["frame"] = data["frame"].where("id < 3")
+        f.run(spark)
+        found = rows(Dataset(spark, "/lake/out").read("history"), "id")
+    finally:
+        conf.set("fs.defaultFS", before or "file:///")
+    assert found == [(1,), (2,), (3,)] and sorted(p.name for p in (tmp_path / "store/out/commits").iterdir() if p.suffix == ".json") == ["000000000001.json", "000000000002.json"]
+
+
+def test_object_stores_are_refused(spark):
+    with pytest.raises(ContractError, match="conditional writes"):
+        Dataset(spark, "s3a://bucket/table").version()
