@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..contract import Contract, spark_type
 from ..errors import DataRejected, QualityFailed, require
+from ..functions.relations import require_declared
 from ..functions.rules import Check, compare
 from .projection import current_rows, fails, name
 
@@ -69,9 +70,11 @@ def _duplicate_result(df: DataFrame, check: Check) -> DataFrame:
 def _sql_result(df: DataFrame, check: Check) -> DataFrame:
     """One numeric value of a read-only query over the data."""
     view = "data_" + uuid.uuid4().hex
+    query = check.query.replace("${table}", view)
+    require_declared(df.sparkSession, query, [view])
     df.createOrReplaceTempView(view)
     try:
-        answer = df.sparkSession.sql(check.query.replace("${table}", view))
+        answer = df.sparkSession.sql(query)
     finally:
         df.sparkSession.catalog.dropTempView(view)
     message = f"A SQL rule returns one finite numeric value: {check.id}"

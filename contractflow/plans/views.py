@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
@@ -10,20 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..contract import Contract
 from ..errors import ContractError, require
-from ..functions.rules import VIEW, Check, compile_rules, unquoted
+from ..functions.relations import require_declared
+from ..functions.rules import VIEW, Check, compile_rules
 from ..operators import quality
 from ..operators.projection import conforms
 from ..sources.datasets import Dataset, Version, result_store
 
-# Query clauses that bypass declared inputs or are not offered in views.
-REFUSED = {
-    r"\bUNPIVOT\b|\bPIVOT\b": "PIVOT",
-    r"\b(VERSION|TIMESTAMP)\s+AS\s+OF\b": "time travel",
-    r"\bIDENTIFIER\s*\(": "dynamic identifiers",
-    r"\bUSING\s*'": "script transforms",
-}
-
-
 def _isolated(spark: SparkSession) -> SparkSession:
     """A session with the same settings that sees only the views registered in it."""
     session = spark.newSession()
@@ -34,16 +25,10 @@ def _isolated(spark: SparkSession) -> SparkSession:
     return session
 
 
-def _checked_query(query: str, inputs: Sequence[str]) -> str:
+def _checked_query(spark: SparkSession, query: str, inputs: Sequence[str]) -> str:
     require(isinstance(query, str) and query.strip(), "A view needs a query")
     text = query.strip().rstrip(";")
-    bare = unquoted(re.sub(r"--[^\n]*|/\*.*?\*/", " ", text, flags=re.S))
-    require(";" not in bare, "A view is a single statement")
-    for form, what in REFUSED.items():
-        require(not re.search(form, bare, re.I), f"Views do not support {what}")
-    for alias in inputs:
-        shadowed = re.search(rf"(\bWITH|,)\s*`?{re.escape(alias)}`?\s+AS\s*\(", text, re.I)
-        require(not shadowed, f"A CTE may not be named like the input {alias}")
+    require_declared(spark, text, inputs)
     return text
 
 
@@ -52,8 +37,8 @@ def sql_view(spark: SparkSession, query: str, inputs: Mapping[str, DataFrame], c
     require(inputs, "A view declares its inputs")
     require(len({a.lower() for a in inputs}) == len(inputs), "Input names are distinct")
     require(contract.columns, "A view has typed columns")
-    text = _checked_query(query, list(inputs))
     session, shared = _isolated(spark), []
+    text = _checked_query(session, query, list(inputs))
     try:
         for alias, frame in inputs.items():
             handle = "input_" + uuid.uuid4().hex

@@ -69,12 +69,37 @@ def test_anything_else_is_refused(spark, inputs, query):
         sql_view(spark, query, {"orders": inputs["orders"]}, REPORT)
 
 
+@pytest.mark.parametrize(
+    "query",
+    [
+        "SELECT id, value FROM secret",
+        "SELECT id, value FROM spark_catalog.default.secret",
+        "SELECT id, value FROM orders JOIN global_temp.other USING (id, value)",
+        "SELECT id, id AS value FROM range(3)",
+        "WITH orders(id, value) AS (SELECT 1L, 2L) SELECT * FROM orders",
+        "WITH secret AS (SELECT 1L AS id, 2L AS value) SELECT * FROM secret",
+        "SELECT id, value FROM (SELECT '--' AS x, * FROM orders) PIVOT (max(id) FOR value IN (1))",
+        "SELECT id, value FROM orders WHERE id IN (WITH z AS (SELECT id FROM secret) SELECT id FROM z)",
+        "SELECT '\\n:  CTE [secret]' AS id, value FROM secret",
+    ],
+)
+def test_existing_tables_that_are_not_declared_are_refused(spark, inputs, query):
+    spark.sql("SELECT 1L AS id, 1L AS value").write.mode("overwrite").saveAsTable("secret")
+    spark.sql("SELECT 1L AS id, 1L AS value").createOrReplaceGlobalTempView("other")
+    try:
+        with pytest.raises(ContractError):
+            sql_view(spark, query, {"orders": inputs["orders"]}, REPORT)
+    finally:
+        spark.sql("DROP TABLE secret")
+        spark.catalog.dropGlobalTempView("other")
+
+
 def test_input_names_are_distinct_and_text_is_kept(spark, inputs):
     with pytest.raises(ContractError):
         sql_view(spark, "SELECT 1", {"a": inputs["orders"], "A": inputs["orders"]}, REPORT)
-    assert _checked_query("SELECT 'a;b' FROM orders ;", ["orders"]) == "SELECT 'a;b' FROM orders "
+    assert _checked_query(spark, "SELECT 'a;b' FROM orders ;", ["orders"]) == "SELECT 'a;b' FROM orders "
     with pytest.raises(ContractError, match="time travel"):
-        _checked_query("SELECT * FROM orders TIMESTAMP AS OF '2024'", ["orders"])
+        _checked_query(spark, "SELECT * FROM orders TIMESTAMP AS OF '2024'", ["orders"])
 
 
 def test_output_is_labelled_by_position_and_typed(spark, inputs):
