@@ -52,7 +52,9 @@ class Policy:
 def captured(column: str = "captured_at") -> SparkColumn:
     """Instant of an ISO text with an explicit offset; NULL when malformed."""
     text = F.col(column)
-    return F.when(text.rlike(CAPTURED_AT), text.try_cast("timestamp"))
+    # The cast needs the seconds that the format lets writers leave out.
+    whole = F.regexp_replace(text, r"^(.{10}[T ]\d{2}:\d{2})(Z|[+-])", "$1:00$2")
+    return F.when(text.rlike(CAPTURED_AT), whole.try_cast("timestamp"))
 
 
 def _instant(now: dt.datetime | None) -> SparkColumn:
