@@ -29,7 +29,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     ``edges`` has a and b (longs, no nulls; loops are ignored). Each round is written to the shared folder, and a
     round that changes nothing ends the work. Groups grow by the rounds' power of two, so 60 of them suffice for any table.
     """
-    edges = checkpoint(_small(edges.where("a <> b").select("a", "b").distinct()))
+    edges = checkpoint(edges.where("a <> b").select("a", "b").distinct())  # else every use would make the edges again
+    edges = checkpoint(_small(edges))
     state = None
     for _ in range(rounds):
         # Both halves keep a < b turned to b > a; a star per component is the fixed point.

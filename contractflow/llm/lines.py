@@ -27,8 +27,10 @@ LEAST = 24
 BANDS = 8
 ROWS = 3
 SEED = 5
-#: First occurrences that the re-read of candidate lines may broadcast (some 100 bytes each); beyond, the joins shuffle.
+#: Places of candidate lines, and documents that lose lines, that may be broadcast (some 100 bytes each); beyond, the joins shuffle.
 BROADCAST_ROWS = 200_000
+#: Links (two numbers each) that may be broadcast.
+BROADCAST_LINKS = 1_000_000
 
 
 def normal(line: str) -> str:
@@ -84,33 +86,58 @@ def links(percent: int):
 
 
 def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Every line long enough: key, mark (of the text), at (number of the line), chars, line (16-byte hash), keys (of its bands; at its first in a batch)."""
+    """Every line long enough: key, mark (of the text), at (number of the line), line (16-byte hash)."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        row, at, hashes = [], [], []
+        for i, value in enumerate(batch.column(2).to_pylist()):
+            for n, line in long_lines(value):
+                row.append(i)
+                at.append(n)
+                hashes.append(line_hash(line))
+        take = pa.array(row, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(at, pa.int32()), pa.array(hashes, pa.binary())], names=["key", "mark", "at", "line"])
+
+    return map_batches(marked(docs, key, text), work, f"key {docs.schema[key].dataType.simpleString()}, mark long, at int, line binary")
+
+
+def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The different long lines of a stretch of documents: line, its first key, mark and at there, times, chars, keys (of its bands)."""
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        keys, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for first, texts in chunks(batch.column(2).to_pylist()):
-            row, at, chars, hashes, new, seen = [], [], [], [], [], {}
-            for i, value in enumerate(texts):
-                for n, line in enumerate(value.split("\n")):
-                    line = normal(line) if len(line) >= LEAST else ""
-                    if len(line) >= LEAST:
-                        row.append(first + i)
-                        at.append(n)
-                        chars.append(len(line))
-                        hashes.append(xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass")))
-                        if hashes[-1] not in seen:
-                            seen[hashes[-1]] = len(new)
-                            new.append(line)
-            keys = band_keys(new)
-            given = [keys[k] if (k := seen.pop(h, None)) is not None else None for h in hashes]
-            take = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(at, pa.int32()), pa.array(chars, pa.int32()), pa.array(hashes, pa.binary()), pa.array(given, pa.binary())],
-                names=["key", "mark", "at", "chars", "line", "keys"],
-            )
+            found: dict[bytes, list] = {}
+            for i, value in enumerate(texts, first):
+                for n, line in long_lines(value):
+                    place = (keys[i] is None, keys[i] or 0, marks[i], n)
+                    known = found.setdefault(line_hash(line), [place, i, 0, line])
+                    known[2] += 1
+                    if place < known[0]:
+                        known[:2] = place, i
+            some = list(found.values())
+            rows = pa.array([x[1] for x in some], pa.int64())
+            columns = [pa.array(list(found), pa.binary()), batch.column(0).take(rows), batch.column(1).take(rows), pa.array([x[0][3] for x in some], pa.int32())]
+            columns += [pa.array([x[2] for x in some], pa.int64()), pa.array([len(x[3]) for x in some], pa.int32()), pa.array(band_keys([x[3] for x in some]), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["line", "key", "mark", "at", "times", "chars", "keys"])
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), text)
-    return map_batches(rows, work, f"key {kind}, mark long, at int, chars int, line binary, keys binary")
+    return map_batches(marked(docs, key, text), work, f"line binary, key {kind}, mark long, at int, times long, chars int, keys binary")
+
+
+def marked(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), text)
+
+
+def long_lines(text: str) -> Iterator[tuple[int, str]]:
+    """Numbers and normal forms of the lines that are long enough."""
+    for n, line in enumerate(text.split("\n")):
+        if len(line) >= LEAST and len(line := normal(line)) >= LEAST:
+            yield n, line
+
+
+def line_hash(line: str) -> bytes:
+    return xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
@@ -141,18 +168,21 @@ def line_texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
 
 def removals(docs: DataFrame, key: str, text: str, percent: int, elements: int) -> DataFrame:
     """Lines to remove, by document: key, mark, gone (numbers of lines), kept_in (keys of the documents that keep such lines)."""
-    rows = checkpoint(occurrences(docs, key, text))
     place = F.struct(F.col("key").isNull().alias("none"), "key", "mark", "at")
-    classes = rows.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), F.max("chars").alias("chars"), F.max("keys").alias("keys"))
+    classes = signed(docs, key, text).groupBy("line").agg(F.min(place).alias("first"), F.sum("times").alias("times"), F.max("chars").alias("chars"), F.max("keys").alias("keys"))
     classes = checkpoint(classes.withColumn("class", F.monotonically_increasing_id()))
-    groups = candidate_groups(stars(classes))
-    wanted = placed(classes.join(groups, "class").select("class", "group", F.col("chars").alias("n"), "first.key", "first.mark", "first.at"), elements)
+    groups = checkpoint(candidate_groups(stars(classes)))
+    small = F.broadcast if groups.count() <= BROADCAST_LINKS else lambda frame: frame
+    wanted = placed(classes.join(small(groups), "class").select("class", "group", F.col("chars").alias("n"), "first.key", "first.mark", "first.at"), elements)
     found = components(verified(line_texts(docs, wanted, key, text), *links(percent), shingle_sets))
-    rooted = classes.select("class", "line", "first", "times").join(found.withColumnRenamed("node", "class"), "class", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "class"))
-    kept = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("times").alias("times")).where("times > 1")
-    decided = checkpoint(rooted.select("line", "root").join(kept.select("root", "kept"), "root").select("line", "kept"))
-    gone = rows.select("key", "mark", "at", "line").join(decided, "line")
+    found = checkpoint(found.unionByName(found.select(F.col("root").alias("node"), "root").distinct()))
+    small = F.broadcast if found.count() <= BROADCAST_LINKS else lambda frame: frame
+    # Most lines stand once and are like no other: only the rest is looked at further.
+    rooted = classes.select("class", "line", "first", "times").join(small(found.withColumnRenamed("node", "class")), "class", "left")
+    rooted = rooted.where(F.col("root").isNotNull() | (F.col("times") > 1)).withColumn("root", F.coalesce("root", "class"))
+    kept = rooted.groupBy("root").agg(F.min("first").alias("kept"))
+    decided = checkpoint(rooted.select("line", "root").join(kept, "root").select("line", "kept"))
+    gone = occurrences(docs, key, text).join(decided, "line")
     here = F.col("key").eqNullSafe(F.col("kept.key")) & (F.col("mark") == F.col("kept.mark")) & (F.col("at") == F.col("kept.at"))
     return gone.where(~here).groupBy("key", "mark").agg(F.sort_array(F.collect_set("at")).alias("gone"), F.sort_array(F.collect_set("kept.key")).alias("kept_in"))
 
@@ -165,10 +195,11 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     key and text count as one document and keep the same lines. An empty table gives no rows. Similar means a Jaccard similarity of the
     character shingles of at least ``percent`` hundredths.
     """
-    gone = removals(docs, key, text, percent, elements)
+    gone = checkpoint(removals(docs, key, text, percent, elements))
+    few = gone.count() <= BROADCAST_ROWS
     gone = gone.select(*[F.col(c).alias(f"__llm_{c}") for c in ("key", "mark", "gone", "kept_in")])
     same = F.col(key).eqNullSafe(F.col("__llm_key")) & (F.xxhash64(text) == F.col("__llm_mark"))
-    joined, lines = docs.join(gone, same, "left"), F.split(F.col(text), "\n")
+    joined, lines = docs.join(F.broadcast(gone) if few else gone, same, "left"), F.split(F.col(text), "\n")
     left = F.concat_ws("\n", F.filter(lines, lambda _, i: ~F.array_contains("__llm_gone", i)))
     new = F.when(F.col("__llm_gone").isNull(), F.col(text)).otherwise(left)
     counts = {"n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"), "n_removed": F.coalesce(F.size("__llm_gone"), F.lit(0)).cast("long"), "kept_in": F.col("__llm_kept_in")}
