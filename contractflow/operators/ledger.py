@@ -216,9 +216,10 @@ def audit(
 
 
 def enforce(violations: DataFrame) -> None:
-    found = violations.select("version", "rule").limit(10).collect()
+    """Refuse a ledger that breaks a rule, naming every broken rule with its count and first version."""
+    found = violations.groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.min("version").alias("first")).orderBy("rule").collect()
     if found:
-        listed = ", ".join(f"{r.rule} (version {r.version})" for r in found)
+        listed = ", ".join(f"{r.rule} ({r.n}, first at version {r.first})" for r in found)
         raise DataRejected(f"Delivery ledger breaks its rules: {listed}")
 
 

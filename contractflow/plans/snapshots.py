@@ -173,19 +173,19 @@ class SnapshotFlow:
         quality.require_fresh(current, self.contract.by_source(column).output, hours, now)
 
     def rebuild(self, spark: SparkSession, location: str, deliveries_per_step: int = 50) -> Dataset:
-        """History rebuilt from all retained deliveries into an isolated dataset, to be compared
-        with the target before promotion. Each step applies many deliveries in one shuffle."""
-        isolated = Dataset(spark, location)
+        """History rebuilt from the retained deliveries that the target has applied, into an isolated dataset, to
+        be compared with the target before promotion. Every delivery passes all checks again; each step then
+        applies many of them in one shuffle."""
+        isolated, applied = Dataset(spark, location), Dataset(spark, self.target).version()
         require(isolated.version() is None, "A history is rebuilt into an empty location")
         receipts = self.receipts(spark)
-        ledger.enforce(ledger.capacity_violations(receipts))
-        deliveries = receipts.select("version", "path").orderBy("version").collect()
-        options = reader_options(self.fmt, self.reader, SNAPSHOT)
+        if applied:
+            receipts = receipts.where(F.col("version") <= applied.info["delivery"])
+        broken = ledger.receipt_violations(receipts, self.source_root).unionByName(ledger.duplicate_violations(receipts))
+        ledger.enforce(broken.unionByName(ledger.contract_violations(receipts, self.contract.version)))
+        deliveries = receipts.orderBy("version").collect()
         for start in range(0, len(deliveries), deliveries_per_step):
-            series = []
-            for delivery in deliveries[start : start + deliveries_per_step]:
-                source = read_snapshot(spark, delivery.path, self.contract, self.fmt, options)
-                series.append((delivery.version, project(source, self.contract, self.fmt)))
+            series = [(d.version, self.verified(spark, d)) for d in deliveries[start : start + deliveries_per_step]]
             before = isolated.version()
             opened = isolated.frame(before, isolated.parts(before, OPEN)) if before else None
             rows = history.scd2_from_snapshot_series(series, self.key_columns, self.tracked_columns, opened)

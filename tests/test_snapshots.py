@@ -292,3 +292,26 @@ def test_a_second_writer_loses_the_commit(spark, source):
     store.compact_history()
     with pytest.raises(Exception, match="another writer"):
         store.commit(stale, stale.schema, stale.parts, {})
+
+
+def test_a_rebuild_passes_every_check_again(spark, source, tmp_path):
+    """Deliveries that are waiting stay out, and one that could not be applied today cannot be rebuilt."""
+    f = flow(source)
+    source.add(1, [(1, "a", "b", DAY)])
+    source.add(2, [(1, "c", "b", DAY), (2, "d", "b", DAY)])
+    f.catch_up(spark, NOW)
+    source.add(3, [(2, "waits", "b", DAY)])
+    rebuilt = f.rebuild(spark, str(tmp_path / "one"))
+    assert rebuilt.version().info == {"delivery": 2}
+    assert history.reconcile(target(spark, f).read("history"), rebuilt.read("history")).count() == 0
+    good = [dict(d) for d in source.deliveries]
+    for n, change in enumerate([{"rowCount": 3}, {"contractVersion": "0.9.0"}, {"path": "/elsewhere/run_2"}, {"id": "d1"}]):
+        source.deliveries = [good[0], {**good[1], **change}, good[2]]
+        source.write()
+        with pytest.raises(DataRejected):
+            f.rebuild(spark, str(tmp_path / f"bad{n}"))
+    spark.createDataFrame([(1, "c", "b", DAY), (1, "d", "b", DAY)], SCHEMA).write.mode("overwrite").parquet(good[1]["path"])
+    source.deliveries = good
+    source.write()
+    with pytest.raises(DataRejected, match="more than once"):
+        f.rebuild(spark, str(tmp_path / "doubled"))
