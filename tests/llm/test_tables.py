@@ -121,7 +121,8 @@ def test_lines_equal_all_pairs(make, elements):
     wanted = deduplicated(docs)
     got = lines.dedup_lines(docs, elements=elements).collect()
     assert len(got) == docs.count() and {r.doc_id: r.text for r in got} == {k: t for (k, _), t in wanted.items()}
-    assert sum(r.n_removed for r in got) == sum(len((r.text or "").split("\n")) < 0 or 0 for r in got) + sum(1 for r in got for _ in range(r.n_removed))
+    lost = sum(len((t or "").split("\n")) - len((wanted[k, t] or "").split("\n")) for k, t in wanted if wanted[k, t] != "")
+    assert sum(r.n_removed for r in got if r.text != "") == lost
 
 
 def test_lines_of_odd_rows(odd, none):
