@@ -1,8 +1,8 @@
 """Fuzzy line deduplication: MinHash of character shingles, banding, exact Jaccard, union-find, one line per component.
 
-Lines are compared lower-cased and with single spaces. Equal lines are one class. A class has a MinHash signature of its
-character shingles; classes that agree in a band are candidates, whose shingle sets are compared exactly. Of a component of
-similar lines, the first occurrence stays.
+Lines are compared lower-cased and with single spaces. Equal lines are one class, however short they are. A class of at least a
+shingle has a MinHash signature of its character shingles; classes that agree in a band are candidates, whose shingle sets are
+compared exactly. Of a component of similar lines, the first occurrence stays.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from .keyed import GROUP_ELEMENTS, candidate_groups, nearby, placed, stars, veri
 
 SIMILARITY = 80
 SHINGLE = 8
-#: Lines with fewer characters (code points, after normalising) are too short to be called copies and always stay.
-LEAST = 24
+#: Lines with fewer characters (code points, after normalising) are blank and always stay.
+LEAST = 1
 #: 8 bands of 3 rows: a pair of similarity 0.8 shares a band with probability 0.997, one of 0.9 nearly always.
 BANDS = 8
 ROWS = 3
@@ -34,7 +34,9 @@ BROADCAST_LINKS = 1_000_000
 
 
 def normal(line: str) -> str:
-    return " ".join(line.lower().split())
+    """Lower-cased, with single spaces; a line shorter than a shingle is filled up to one, so it is like its equals only."""
+    found = " ".join(line.lower().split())
+    return found.ljust(SHINGLE) if found else found
 
 
 def gram_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,23 +53,27 @@ def gram_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def band_keys(lines: list[str]) -> list[bytes]:
-    """The band keys of lines, none of which is shorter than a shingle."""
-    if not lines:
-        return []
-    grams, begins, ends = gram_hashes(lines)
+    """The band keys of normal lines; those filled up to a shingle have none."""
+    long = [i for i, line in enumerate(lines) if line[-1] != " "]
+    out = [b""] * len(lines)
+    if not long:
+        return out
+    grams, begins, ends = gram_hashes([lines[i] for i in long])
     small = (grams >> np.uint64(32)).astype(np.uint32)
     cuts = np.stack((begins, ends), axis=1).ravel()
     last = cuts[-1] == len(small)
     cuts = cuts[:-1] if last else cuts  # reduceat takes the rest for the last cut
     rng = np.random.default_rng(SEED)
     factors = rng.integers(0, 1 << 31, (BANDS * ROWS, 2), np.uint32) * np.uint32(2) + np.uint32(1)
-    keys = np.zeros((len(lines), BANDS), np.uint64)
+    keys = np.zeros((len(long), BANDS), np.uint64)
     with np.errstate(over="ignore"):
         for i, (a, b) in enumerate(factors):
             least = np.minimum.reduceat(small * a + b, cuts)[::2].astype(np.uint64)
             band = i // ROWS
             keys[:, band] = mix(keys[:, band] * np.uint64(31) + least + np.uint64(band + 1))
-    return [row.tobytes() for row in keys]
+    for i, row in zip(long, keys, strict=True):
+        out[i] = row.tobytes()
+    return out
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -86,12 +92,12 @@ def links(percent: int):
 
 
 def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Every line long enough: key, mark (of the text), at (number of the line), line (16-byte hash)."""
+    """Every line that is not blank: key, mark (of the text), at (number of the line), line (16-byte hash)."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         row, at, hashes = [], [], []
         for i, value in enumerate(batch.column(2).to_pylist()):
-            for n, line in long_lines(value):
+            for n, line in full_lines(value):
                 row.append(i)
                 at.append(n)
                 hashes.append(line_hash(line))
@@ -102,14 +108,14 @@ def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The different long lines of a stretch of documents: line, its first key, mark and at there, times, chars, keys (of its bands)."""
+    """The different lines of a stretch of documents: line, its first key, mark and at there, times, chars, keys (of its bands)."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keys, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for first, texts in chunks(batch.column(2).to_pylist()):
             found: dict[bytes, list] = {}
             for i, value in enumerate(texts, first):
-                for n, line in long_lines(value):
+                for n, line in full_lines(value):
                     place = (keys[i] is None, keys[i] or 0, marks[i], n)
                     known = found.setdefault(line_hash(line), [place, i, 0, line])
                     known[2] += 1
@@ -129,10 +135,10 @@ def marked(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), text)
 
 
-def long_lines(text: str) -> Iterator[tuple[int, str]]:
-    """Numbers and normal forms of the lines that are long enough."""
+def full_lines(text: str) -> Iterator[tuple[int, str]]:
+    """Numbers and normal forms of the lines that are not blank."""
     for n, line in enumerate(text.split("\n")):
-        if len(line) >= LEAST and len(line := normal(line)) >= LEAST:
+        if len(line := normal(line)) >= LEAST:
             yield n, line
 
 
@@ -190,10 +196,10 @@ def removals(docs: DataFrame, key: str, text: str, percent: int, elements: int)
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = SIMILARITY, elements: int = GROUP_ELEMENTS) -> DataFrame:
     """All documents with one line of each component of similar lines left in ``text``, and ``n_lines``, ``n_removed``, ``kept_in``.
 
-    All columns of the input stay. Lines are what line feeds separate; those too short to compare, empty ones and a null
-    text stay as they are. The line that stays is the first by key (nulls last), text mark and number, so reruns agree. Rows equal in
+    All columns of the input stay. Lines are what line feeds separate; blank ones and a null text
+    stay as they are. Equal lines of any length are copies. The line that stays is the first by key (nulls last), text mark and number, so reruns agree. Rows equal in
     key and text count as one document and keep the same lines. An empty table gives no rows. Similar means a Jaccard similarity of the
-    character shingles of at least ``percent`` hundredths.
+    character shingles of at least ``percent`` hundredths; a line shorter than a shingle is only like its equals.
     """
     gone = checkpoint(removals(docs, key, text, percent, elements))
     few = gone.count() <= BROADCAST_ROWS

@@ -125,6 +125,12 @@ def test_lines_equal_all_pairs(make, elements):
     assert sum(r.n_removed for r in got if r.text != "") == lost
 
 
+def test_equal_lines_of_any_length_are_copies(make):
+    short = ["z", "ab", "End.", "all rights reserved.", "nt onor. the of it."]
+    docs = make([(1, "\n".join(short), "en", "a"), (2, "ALL  rights reserved.\n\nb\n AB", "en", "a"), (3, "\n".join([*short[::-1], " ", "abc", ""]), "en", "a")])
+    assert {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()} == {1: "\n".join(short), 2: "\nb", 3: " \nabc\n"}
+
+
 def test_lines_of_odd_rows(odd, none):
     got = lines.dedup_lines(odd)
     assert got.count() == odd.count() and lines.dedup_lines(none).count() == 0 and set(odd.columns) <= set(got.columns)
