@@ -83,13 +83,17 @@ def _digits(text: str) -> str:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
+    m = _IBAN.search(text)
+    while m:
         ends = [m.end(), *(m.start() + i for i, c in reversed(list(enumerate(m[0]))) if c == " ")]
+        after = ends[-1]  # nothing accepted: another may begin behind the first group
         for end in ends:  # a following word in capitals may have been taken in: give it back group by group
             value = text[m.start() : end].replace(" ", "")
             if 15 <= len(value) <= 34 and mod97(value):
                 yield m.start(), end
+                after = end
                 break
+        m = _IBAN.search(text, after)
 
 
 def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:

@@ -42,6 +42,18 @@ def test_checksums_and_context_decide_on_further_kinds():
     assert ("ssn", 4, 15) in spans_of("SSN 078-05-1120")
 
 
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        ("BE68539007547034 BE71096123456769", ["BE68539007547034", "BE71096123456769"]),
+        ("DE89 3704 0044 0532 0130 00 FR14 2004 1010 0505 0001 3M02 606", ["DE89 3704 0044 0532 0130 00", "FR14 2004 1010 0505 0001 3M02 606"]),
+        ("AB12 GB82WEST12345698765432", ["GB82WEST12345698765432"]),
+    ],
+)
+def test_ibans_beside_other_capitals(text, wanted):
+    assert [text[a:b] for kind, a, b in spans_of(text) if kind == "iban"] == wanted
+
+
 def test_pii_rows(odd, none, sample, rows):
     found = pii.digests(pii.find_pii(odd))
     assert found.count() == odd.count() and pii.digests(pii.find_pii(none)).count() == 0
