@@ -22,15 +22,23 @@ KEYS_PER_PART = 250_000
 GROUP_ELEMENTS = 2_000_000
 
 
-def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART) -> DataFrame:
-    """Edges (a, b) from the smallest class of every key to the others that have it. ``classes``: class long, keys binary (64 bits each)."""
-    total = classes.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0)).alias("n")).first().n // 8
+def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART, few: int = 0, short: int = 0) -> DataFrame:
+    """Edges (a, b) from the smallest class of every key to the others that have it. ``classes``: class long, keys binary (64 bits each).
+
+    With ``few``, keys of at most so many classes give all their pairs instead, and ``star`` says which edges are not such pairs: a
+    pair may be left out again without harm to the others of its key. With ``short``, a class has none or so many keys of 32 bits each,
+    which meet only at the same place.
+    """
+    width = 4 if short else 8
+    total = classes.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0)).alias("n")).first().n // width
     parts = spread(total, keys_per_part)
 
     def pack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         raw = batch.column(1).to_pylist()
-        sizes = [len(k) // 8 for k in raw]
-        keys = np.frombuffer(b"".join(raw), np.uint64)
+        sizes = [len(k) // width for k in raw]
+        keys = np.frombuffer(b"".join(raw), np.uint32 if short else np.uint64)
+        if short:
+            keys = keys.astype(np.uint64) | np.tile(np.arange(short, dtype=np.uint64) << np.uint64(32), len(raw))
         owner = np.repeat(batch.column(0).to_numpy(), sizes)
         part = (keys % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((keys, part))
@@ -49,11 +57,22 @@ def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART) -> DataFrame:
         keys, owners = keys[order], owners[order]
         starts = np.concatenate(([True], keys[1:] != keys[:-1]))
         least = owners[np.nonzero(starts)[0]][np.cumsum(starts) - 1]
-        pairs = np.unique(np.stack((least, owners), axis=1)[least != owners], axis=0)
-        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        if not few:
+            pairs = np.unique(np.stack((least, owners), axis=1)[least != owners], axis=0)
+            return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        number = np.cumsum(starts) - 1
+        small = (np.bincount(number) <= few)[number]
+        star = ~small & (least != owners)
+        found = [np.stack((least[star], owners[star]), axis=1)]
+        for i in range(1, few):
+            at = np.nonzero(small[:-i] & (number[:-i] == number[i:]))[0]
+            found.append(np.stack((owners[at], owners[at + i]), axis=1))
+        some = [np.unique(f, axis=0) for f in (found[0], np.concatenate(found[1:]))]
+        pairs = np.concatenate(some)
+        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(np.arange(len(pairs)) < len(some[0]))], names=["a", "b", "star"])
 
     rows = map_batches(classes.where(F.octet_length("keys") > 0).select("class", "keys"), pack, "part long, keys binary, owners binary")
-    return rows.groupBy("part").applyInArrow(meet, "a long, b long")
+    return rows.groupBy("part").applyInArrow(meet, "a long, b long, star boolean" if few else "a long, b long")
 
 
 def candidate_groups(edges: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Fuzzy line deduplication: MinHash of character shingles, banding, exact Jaccard, union-find, one line per component.
 
 Lines are compared lower-cased and with single spaces. Equal lines are one class, however short they are. A class of at least a
-shingle has a MinHash signature of its character shingles; classes that agree in a band are candidates, whose shingle sets are
-compared exactly. Of a component of similar lines, the first occurrence stays.
+shingle has a MinHash signature of its character shingles; classes that agree in a band and whose sketches do not rule it out are
+candidates, whose shingle sets are compared exactly. Of a component of similar lines, the first occurrence stays.
 """
 
 from __future__ import annotations
@@ -20,12 +20,17 @@ from .components import components
 from .keyed import GROUP_ELEMENTS, candidate_groups, nearby, placed, stars, verified
 
 SIMILARITY = 80
-SHINGLE = 8
+#: Short enough that a changed character leaves 0.8 of a line of 39 characters.
+SHINGLE = 4
 #: Lines with fewer characters (code points, after normalising) are blank and always stay.
 LEAST = 1
-#: 8 bands of 3 rows: a pair of similarity 0.8 shares a band with probability 0.997, one of 0.9 nearly always.
-BANDS = 8
-ROWS = 3
+#: 32 bands of 8 rows: a pair of similarity 0.8 shares a band with probability 0.997, one of 0.9 nearly always, one of 0.15 in 1e-5 of cases.
+BANDS = 32
+ROWS = 8
+#: Lines that are signed at a time: so many fit into the processor's caches.
+LINES = 2000
+#: Band keys of at most so many classes give all pairs, which sketches may rule out; the others give stars, which stay whole.
+FEW = 8
 SEED = 5
 #: Places of candidate lines, and documents that lose lines, that may be broadcast (some 100 bytes each); beyond, the joins shuffle.
 BROADCAST_ROWS = 200_000
@@ -52,28 +57,29 @@ def gram_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return mix(points), begins, begins + lengths - SHINGLE + 1
 
 
-def band_keys(lines: list[str]) -> list[bytes]:
-    """The band keys of normal lines; those filled up to a shingle have none."""
+def signatures(lines: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """The band keys of normal lines, and sketches: the last bit of each value of the signature. Those filled up to a shingle have no keys."""
     long = [i for i, line in enumerate(lines) if line[-1] != " "]
-    out = [b""] * len(lines)
-    if not long:
-        return out
-    grams, begins, ends = gram_hashes([lines[i] for i in long])
-    small = (grams >> np.uint64(32)).astype(np.uint32)
-    cuts = np.stack((begins, ends), axis=1).ravel()
-    last = cuts[-1] == len(small)
-    cuts = cuts[:-1] if last else cuts  # reduceat takes the rest for the last cut
+    out, sketches = [b""] * len(lines), np.zeros((len(lines), BANDS * ROWS // 64), np.int64)
     rng = np.random.default_rng(SEED)
     factors = rng.integers(0, 1 << 31, (BANDS * ROWS, 2), np.uint32) * np.uint32(2) + np.uint32(1)
-    keys = np.zeros((len(long), BANDS), np.uint64)
-    with np.errstate(over="ignore"):
-        for i, (a, b) in enumerate(factors):
-            least = np.minimum.reduceat(small * a + b, cuts)[::2].astype(np.uint64)
-            band = i // ROWS
-            keys[:, band] = mix(keys[:, band] * np.uint64(31) + least + np.uint64(band + 1))
-    for i, row in zip(long, keys, strict=True):
-        out[i] = row.tobytes()
-    return out
+    for some in (long[i : i + LINES] for i in range(0, len(long), LINES)):
+        grams, begins, ends = gram_hashes([lines[i] for i in some])
+        small = (grams >> np.uint64(32)).astype(np.uint32)
+        cuts = np.stack((begins, ends), axis=1).ravel()
+        last = cuts[-1] == len(small)
+        cuts = cuts[:-1] if last else cuts  # reduceat takes the rest for the last cut
+        keys, bits = np.zeros((len(some), BANDS), np.uint64), np.zeros((len(some), BANDS * ROWS), np.uint8)
+        with np.errstate(over="ignore"):
+            for i, (a, b) in enumerate(factors):
+                least = np.minimum.reduceat(small * a + b, cuts)[::2].astype(np.uint64)
+                band = i // ROWS
+                keys[:, band] = mix(keys[:, band] * np.uint64(31) + least + np.uint64(band + 1))
+                bits[:, i] = mix(least) & np.uint64(1)
+        sketches[some] = np.packbits(bits, axis=1).view(np.int64)
+        for i, row in zip(some, (keys >> np.uint64(32)).astype(np.uint32), strict=True):  # sketches rule out what meets by the shortness
+            out[i] = row.tobytes()
+    return out, sketches
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -108,7 +114,7 @@ def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The different lines of a stretch of documents: line, its first key, mark and at there, times, chars, keys (of its bands)."""
+    """The different lines of a stretch of documents: line, its first key, mark and at there, times, chars, keys (of its bands), sketch."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keys, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -122,13 +128,15 @@ def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
                     if place < known[0]:
                         known[:2] = place, i
             some = list(found.values())
+            keys_of, sketches = signatures([x[3] for x in some])
             rows = pa.array([x[1] for x in some], pa.int64())
             columns = [pa.array(list(found), pa.binary()), batch.column(0).take(rows), batch.column(1).take(rows), pa.array([x[0][3] for x in some], pa.int32())]
-            columns += [pa.array([x[2] for x in some], pa.int64()), pa.array([len(x[3]) for x in some], pa.int32()), pa.array(band_keys([x[3] for x in some]), pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["line", "key", "mark", "at", "times", "chars", "keys"])
+            columns += [pa.array([x[2] for x in some], pa.int64()), pa.array([len(x[3]) for x in some], pa.int32()), pa.array(keys_of, pa.binary())]
+            columns.append(pa.FixedSizeListArray.from_arrays(pa.array(sketches.ravel()), sketches.shape[1]).cast(pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names=["line", "key", "mark", "at", "times", "chars", "keys", "sketch"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_batches(marked(docs, key, text), work, f"line binary, key {kind}, mark long, at int, times long, chars int, keys binary")
+    return map_batches(marked(docs, key, text), work, f"line binary, key {kind}, mark long, at int, times long, chars int, keys binary, sketch array<long>")
 
 
 def marked(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -172,12 +180,29 @@ def line_texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
     return found.join(small(known), same).select("class", "group", "places", "set")
 
 
+def candidates(classes: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) of classes that share a band key, but for pairs whose sketches differ too much.
+
+    Sketches differ in no more bits than signatures in values, so a similar pair is ruled out only if its signature is four standard
+    deviations off. Most chance pairs are, so they do not tie groups together.
+    """
+    edges = stars(classes, few=FEW, short=BANDS).groupBy("a", "b").agg(F.max("star").alias("star"))
+    edges, values, far = checkpoint(edges), BANDS * ROWS, (100 - percent) / 100
+    limit = int(values * far + 4 * (values * far * (1 - far)) ** 0.5)
+    n = edges.count()
+    sketch = lambda name, other: classes.select(F.col("class").alias(name), F.col("sketch").alias(other))
+    few = F.broadcast if n <= BROADCAST_LINKS // 4 else lambda frame: frame
+    both = sketch("b", "y").join(few(sketch("a", "x").join(few(edges), "a")), "b")
+    differ = sum((F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(values // 64)), F.lit(0))
+    return both.where(F.col("star") | (differ <= limit)).select("a", "b")
+
+
 def removals(docs: DataFrame, key: str, text: str, percent: int, elements: int) -> DataFrame:
     """Lines to remove, by document: key, mark, gone (numbers of lines), kept_in (keys of the documents that keep such lines)."""
     place = F.struct(F.col("key").isNull().alias("none"), "key", "mark", "at")
-    classes = signed(docs, key, text).groupBy("line").agg(F.min(place).alias("first"), F.sum("times").alias("times"), F.max("chars").alias("chars"), F.max("keys").alias("keys"))
+    classes = signed(docs, key, text).groupBy("line").agg(F.min(place).alias("first"), F.sum("times").alias("times"), F.max("chars").alias("chars"), F.max("keys").alias("keys"), F.max("sketch").alias("sketch"))
     classes = checkpoint(classes.withColumn("class", F.monotonically_increasing_id()))
-    groups = checkpoint(candidate_groups(stars(classes)))
+    groups = checkpoint(candidate_groups(candidates(classes, percent)))
     small = F.broadcast if groups.count() <= BROADCAST_LINKS else lambda frame: frame
     wanted = placed(classes.join(small(groups), "class").select("class", "group", F.col("chars").alias("n"), "first.key", "first.mark", "first.at"), elements)
     found = components(verified(line_texts(docs, wanted, key, text), *links(percent), shingle_sets))

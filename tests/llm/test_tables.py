@@ -125,6 +125,35 @@ def test_lines_equal_all_pairs(make, elements):
     assert sum(r.n_removed for r in got if r.text != "") == lost
 
 
+def test_edited_lines_are_copies(make):
+    draw = random.Random(3)
+    words = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.choice([3, 4, 5, 6]))) for _ in range(400)]
+    rows, kept = [], []
+    for length in range(40, 81):  # a character inside
+        x = " ".join(draw.choice(words) for _ in range(20))[: length - 1] + "."
+        rows += [x, x[: length // 2] + "#" + x[length // 2 + 1 :]]
+        kept.append(x)
+    for length in range(30, 81, 2):  # a number at the end
+        x = " ".join(draw.choice(words) for _ in range(20))[: length - 4].strip() + " 12"
+        rows += [x, x[:-1] + "7"]
+        kept.append(x)
+    for length in range(50, 81):  # a number inside
+        x = " ".join(draw.choice(words) for _ in range(20))
+        rows += [f"{x[: length // 2]} 17 {x[length // 2 : length]}", f"{x[: length // 2]} 23 {x[length // 2 : length]}"]
+        kept.append(rows[-2])
+    rows += [f"page {i} of this other line {word}" for i, word in enumerate(["holds", "quickly", "banana"])]
+    kept += rows[-3:]
+    got = lines.dedup_lines(make([(i, x, "en", "a") for i, x in enumerate(rows)])).collect()
+    assert sorted(r.text for r in got if r.n_removed == 0) == sorted(kept)
+
+
+def test_pairs_of_keys_that_few_share(spark):
+    rows = [(i, np.array([1, 10 + i // 3], np.uint64).tobytes()) for i in range(12)]
+    frame = spark.createDataFrame(rows, "class long, keys binary").repartition(3)
+    pairs = [(i, j, False) for i in range(12) for j in range(i + 1, 12) if i // 3 == j // 3]
+    assert sorted(keyed.stars(frame, 7, few=4).collect()) == sorted(pairs + [(0, i, True) for i in range(1, 12)])
+
+
 def test_equal_lines_of_any_length_are_copies(make):
     short = ["z", "ab", "End.", "all rights reserved.", "nt onor. the of it."]
     docs = make([(1, "\n".join(short), "en", "a"), (2, "ALL  rights reserved.\n\nb\n AB", "en", "a"), (3, "\n".join([*short[::-1], " ", "abc", ""]), "en", "a")])
