@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, languages, lines, mixing, neighbours, packing, pii, scoring, sharding, topk
+from . import jaccard, languages, lines, middles, mixing, neighbours, packing, pii, resampling, scoring, sharding, topk
 from .common import table
 
 
@@ -49,6 +49,14 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op11_middles(spark: SparkSession, folder: str) -> DataFrame:
+    return middles.fill_documents(table(spark, folder, "documents"))
+
+
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_packing": op2_packing,
@@ -60,6 +68,8 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_jaccard": op9_jaccard,
     "op10_lines": op10_lines,
+    "op11_middles": op11_middles,
+    "op13_resampling": op13_resampling,
     "pipeline": corpus_pipeline.run,
 }
-SQL = {"op4_mixing": mixing.SQL, "op6_topk": topk.SQL}
+SQL = {"op4_mixing": mixing.SQL, "op6_topk": topk.SQL, "op11_middles": middles.SQL, "op13_resampling": resampling.SQL}
