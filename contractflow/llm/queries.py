@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, languages, lines, middles, mixing, neighbours, packing, pii, resampling, scoring, sharding, topk
+from . import jaccard, languages, licences, lines, middles, mixing, neighbours, packing, pii, resampling, scoring, sharding, topk
 from .common import table
 
 
@@ -53,6 +53,10 @@ def op11_middles(spark: SparkSession, folder: str) -> DataFrame:
     return middles.fill_documents(table(spark, folder, "documents"))
 
 
+def op12_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licences(licences.detections(table(spark, folder, "documents")))
+
+
 def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -69,7 +73,8 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_lines": op10_lines,
     "op11_middles": op11_middles,
+    "op12_licences": op12_licences,
     "op13_resampling": op13_resampling,
     "pipeline": corpus_pipeline.run,
 }
-SQL = {"op4_mixing": mixing.SQL, "op6_topk": topk.SQL, "op11_middles": middles.SQL, "op13_resampling": resampling.SQL}
+SQL = {"op4_mixing": mixing.SQL, "op6_topk": topk.SQL, "op11_middles": middles.SQL, "op12_licences": licences.SQL, "op13_resampling": resampling.SQL}
