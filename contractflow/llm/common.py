@@ -18,7 +18,8 @@ from ..session import checkpoint, shared_folder  # noqa: F401  (shared by the op
 CHUNK = 4_000_000
 #: White space between words, as the contracts define it.
 BLANKS = r"[\x20\x09-\x0D]+"
-WORD_CACHE = 400_000
+#: Bytes, about, that a Python worker may remember of words between batches.
+WORD_BYTES = 48 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,10 +34,42 @@ def words_in(text: Column) -> Column:
     return F.when(squeezed == "", F.lit(0)).otherwise(F.length(squeezed) - F.length(F.replace(squeezed, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
-def map_batches(frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """Apply ``work`` to the Arrow batches that have rows; it yields batches of the schema."""
+class Memory(dict):
+    """What a Python worker remembers between batches, emptied when it is about so many bytes. A worker serves tasks of many operators
+    in turn: a task first empties the memories of the others.
+    """
+
+    every: list[Memory] = []
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.held = limit, 0
+        Memory.every.append(self)
+
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
+
+    def grown(self, size: int) -> bool:
+        """Count what is about to be added (with the dictionary's own cost); whether everything before had to go."""
+        self.held += size + 120
+        full = self.held > self.limit
+        if full:
+            self.clear()
+        return full
+
+    @classmethod
+    def leave(cls, kept: str) -> None:
+        for memory in cls.every:
+            if type(memory).__name__ != kept:
+                memory.clear()
+
+
+def map_batches(frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema, memory: str = "") -> DataFrame:
+    """Apply ``work`` to the Arrow batches that have rows; it yields batches of the schema. ``memory`` names the kind of memory that it uses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Memory.leave(memory)
         for batch in batches:
             if batch.num_rows:
                 yield from work(batch)
@@ -58,12 +91,11 @@ def chunks(texts: Iterable[str | None], limit: int = CHUNK) -> Iterator[tuple[in
         yield first, held
 
 
-class Words(dict):
-    """64-bit hashes of words, remembered while the worker lives; the memory is emptied when it is full."""
+class Words(Memory):
+    """64-bit hashes of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
+        self.grown(len(word))
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
 
@@ -73,7 +105,7 @@ class Words(dict):
         return np.fromiter(map(self.__getitem__, parts), np.uint64, len(parts))
 
 
-WORDS = Words()
+WORDS = Words(WORD_BYTES)
 
 
 def mix(values: np.ndarray) -> np.ndarray:

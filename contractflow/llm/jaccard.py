@@ -111,7 +111,7 @@ def described(docs: DataFrame, key: str, text: str, size: int, percent: int | No
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), text)
-    return map_batches(rows, work, f"key {kind}, mark long, n long, print binary, keys binary")
+    return map_batches(rows, work, f"key {kind}, mark long, n long, print binary, keys binary", "Words")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -126,7 +126,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int)
     marks = wanted.select("key", "mark").distinct()
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), text)
     chosen = rows.join(small(marks), (rows["mark"] == marks["mark"]) & rows["key"].eqNullSafe(marks["key"]), "left_semi")
-    sets = map_batches(chosen.select(text), work, "print binary, set binary")
+    sets = map_batches(chosen.select(text), work, "print binary, set binary", "Words")
     return sets.join(small(wanted.select("print", "class", "group", "places")), "print").drop("print")
 
 

@@ -25,6 +25,8 @@ LEAST = 5e-5
 CELLS = 1 << 21
 HASHES = 2
 HELD_OUT = 5
+#: Code units of text whose trigrams are looked at together; each takes some 60 bytes for a while.
+STRETCH = 500_000
 #: Largest code point, and for each code point whether it is a letter.
 _TOP = 0x110000
 _LETTER: list[np.ndarray] = []
@@ -65,7 +67,7 @@ def counted(docs: DataFrame, text: str, lang: str) -> DataFrame:
         for name, value in zip(names, batch.column(0).to_pylist(), strict=True):
             by_lang.setdefault(name, []).append(value)
         for name, texts in by_lang.items():
-            for _, some in chunks(texts):
+            for _, some in chunks(texts, STRETCH):
                 grams, n = np.unique(trigrams(some)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
@@ -124,7 +126,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", least: float
 def predict(texts: list[str | None], filters: Filters) -> tuple[list[str], list[float]]:
     """Language and score of each text: the language with the largest corrected popcount, and that popcount's part of all trigrams."""
     said, scores = [], []
-    for _, some in chunks(texts):
+    for _, some in chunks(texts, STRETCH):
         grams, text, has = trigrams(some)
         total = np.bincount(text, minlength=len(some)).astype(np.float64)
         masks = filters.masks(grams)

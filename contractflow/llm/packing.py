@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK, chunks, map_batches, spread
+from .common import CHUNK, Memory, chunks, map_batches, spread
 
 LENGTH = 2048
 END = 1
 GROUP = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: Parts of texts that a worker remembers, about 200 bytes each.
-PARTS = 800_000
+#: Bytes, about, of parts of texts that a worker remembers.
+PART_BYTES = 128 << 20
 SEED = 20
 #: Sequences are numbered from group * ROOM; no group of documents can have more.
 ROOM = 1 << 32
@@ -43,7 +43,7 @@ _PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 
 
-class Encoder(dict):
+class Encoder(Memory):
     """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
 
     The tokenizer's rules never look across ASCII white space, so a text's ids are those of its parts, one after the other. Plain
@@ -59,7 +59,7 @@ class Encoder(dict):
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer, pre_tokenizers
 
-            cls._loaded[path] = made = cls()
+            cls._loaded[path] = made = cls(PART_BYTES)
             made.whole = Tokenizer.from_file(path)
             made.model = made.whole.model
             made.bare = Tokenizer(made.model)
@@ -91,9 +91,11 @@ class Encoder(dict):
 
     def ids(self, texts: list[str]) -> list[bytes]:
         parts = [self.parts(text) for text in texts]
-        if len(self) > PARTS:
-            self.clear()
-        self.learn(set(chain.from_iterable(parts)).difference(self))
+        every = set(chain.from_iterable(parts))
+        new = every.difference(self)
+        if self.grown(sum(map(len, new)) * 2 + 180 * len(new)):
+            new = every
+        self.learn(new)
         return [b"".join(map(self.__getitem__, some)) for some in parts]
 
 
@@ -139,7 +141,7 @@ def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, length: int,
         )
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_batches(docs.select(key, text), work, f"key {kind}, doc_tokens long, crcs array<long>, ids binary")
+    return map_batches(docs.select(key, text), work, f"key {kind}, doc_tokens long, crcs array<long>, ids binary", "Encoder")
 
 
 def packed(group: int, counts: np.ndarray, length: int) -> Iterator[tuple[int, int, int, int, int]]:

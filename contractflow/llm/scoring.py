@@ -87,7 +87,7 @@ def chunked(docs: DataFrame, key: str, text: str, fold, parts: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([*[pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)], listed], names=[*rows, "keys"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_batches(docs.select(key, text, fold.alias("fold")), work, f"{PACKED}, keys array<{kind}>")
+    return map_batches(docs.select(key, text, fold.alias("fold")), work, f"{PACKED}, keys array<{kind}>", "Words")
 
 
 class Keys:
