@@ -19,6 +19,8 @@ RESCUED = "_rescued_data"
 # Identifier form and the names reserved for history and rescue columns.
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 RESERVED = {START_AT.lower(), END_AT.lower(), RESCUED}
+#: Every column that an operator or a stored folder adds for its own use begins so; a contract column may not.
+HELPER = "__cf_"
 
 # Contract type names and the Spark types they stand for.
 SIMPLE_TYPES = {
@@ -56,6 +58,11 @@ SOURCE_TYPES = {
 }
 
 
+def report_name(wanted: str, taken: Iterable[str]) -> str:
+    """Name of a column that a report adds to columns of the data: as wanted, unless the data has one of that name."""
+    return HELPER + wanted if wanted.lower() in {t.lower() for t in taken} else wanted
+
+
 def canonical_type(text: str) -> str:
     name = str(text).upper().replace(" ", "")
     return "INT" if name == "INTEGER" else name
@@ -113,7 +120,7 @@ def _check_names(names: Iterable[str], side: str) -> None:
     for name in names:
         usable = isinstance(name, str) and IDENTIFIER.fullmatch(name)
         require(
-            usable and name.lower() not in RESERVED and name.lower() not in seen,
+            usable and name.lower() not in RESERVED and not name.lower().startswith(HELPER) and name.lower() not in seen,
             f"Invalid, reserved or duplicate {side} column {name}",
         )
         seen.add(name.lower())

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint, rows_per_block
 
-BLOCK = "_block"
+BLOCK = "__cf_block"
 BROADCAST_KEYS = 100_000
 
 
@@ -30,8 +30,8 @@ class Split:
 def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = None) -> Split:
     """Rows of ordinary keys, and rows of keys above the limit tagged with their block."""
     limit = rows_per_block(df.sparkSession, limit)
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
-    found = large.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cf_rows")).where(F.col("__cf_rows") > limit)
+    found = large.agg(F.count(F.lit(1)).alias("keys"), F.sum("__cf_rows").alias("rows")).first()
     if not found.keys:
         return Split(df)
     # At most rows/limit keys are large; the set is written once so both joins see the same keys.
@@ -49,25 +49,25 @@ def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: i
 def with_previous(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], limit: int | None = None
 ) -> DataFrame:
-    """Add ``_previous``, a struct of the given columns of the key's preceding row (or NULL)."""
+    """Add ``__cf_previous``, a struct of the given columns of the key's preceding row (or NULL)."""
     by = lambda *part: Window.partitionBy(*part).orderBy(*order)
 
     def lagged(frame, w, target):
         # Lag plain columns: a lagged struct would be built before the shuffle and travel with it.
-        marks = {f"_p{i}": F.lag(c).over(w) for i, c in enumerate(columns)}
-        values = F.struct(*[F.col(f"_p{i}").alias(c) for i, c in enumerate(columns)])
-        frame = frame.withColumns({**marks, "_any": F.lag(F.lit(True)).over(w)})
-        return frame.withColumn(target, F.when(F.col("_any"), values)).drop(*marks, "_any")
+        marks = {f"__cf_p{i}": F.lag(c).over(w) for i, c in enumerate(columns)}
+        values = F.struct(*[F.col(f"__cf_p{i}").alias(c) for i, c in enumerate(columns)])
+        frame = frame.withColumns({**marks, "__cf_any": F.lag(F.lit(True)).over(w)})
+        return frame.withColumn(target, F.when(F.col("__cf_any"), values)).drop(*marks, "__cf_any")
 
     split = split_hot(df, keys, order, limit)
-    out = lagged(split.cold, by(*keys), "_previous")
+    out = lagged(split.cold, by(*keys), "__cf_previous")
     if split.hot is None:
         return out
     w = by(*keys, BLOCK)
     last = F.lead(F.lit(True)).over(w).isNull()
-    inside = checkpoint(lagged(split.hot, w, "_previous").withColumn("_last", last))
-    first = F.col("_previous").isNull()
-    carried = lagged(inside.where(first | F.col("_last")), by(*keys), "_carried").where(first)
-    for part in (inside.where(~first), carried.withColumn("_previous", F.col("_carried"))):
+    inside = checkpoint(lagged(split.hot, w, "__cf_previous").withColumn("__cf_last", last))
+    first = F.col("__cf_previous").isNull()
+    carried = lagged(inside.where(first | F.col("__cf_last")), by(*keys), "__cf_carried").where(first)
+    for part in (inside.where(~first), carried.withColumn("__cf_previous", F.col("__cf_carried"))):
         out = out.unionByName(part.select(*out.columns))
     return out

@@ -14,7 +14,7 @@ from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..contract import END_AT, RESCUED, START_AT
+from ..contract import END_AT, RESCUED, START_AT, report_name
 from ..errors import require
 from ..session import checkpoint
 from .blocks import BLOCK, split_hot
@@ -52,41 +52,41 @@ def _tracked(payload: Sequence[str], tracked: Sequence[str] | None) -> list[str]
 def _runs(rows: DataFrame, part: Sequence[str], payload: Sequence[str], tracked: Sequence[str]) -> DataFrame:
     """Collapse ordered rows to runs of one state, keeping each run's last row.
 
-    Input rows carry ``_seq``, ``_live``, ``_until`` (an end already known, or NULL) and
-    ``_group`` (rows of one group never merge, unless it is NULL). The two windows share one
+    Input rows carry ``__cf_seq``, ``__cf_live``, ``__cf_until`` (an end already known, or NULL) and
+    ``__cf_group`` (rows of one group never merge, unless it is NULL). The two windows share one
     partitioning and order, so rows are shuffled and sorted once.
     """
-    w = Window.partitionBy(*_columns(part)).orderBy("_seq")
+    w = Window.partitionBy(*_columns(part)).orderBy("__cf_seq")
     # Lag over plain columns: a lagged struct would be built before the shuffle and travel with it.
-    lagged = dict(zip(["_seq", "_live", "_group", *payload], itertools.count()))
-    before = {c: F.col(f"_p{i}") for c, i in lagged.items()}
+    lagged = dict(zip(["__cf_seq", "__cf_live", "__cf_group", *payload], itertools.count()))
+    before = {c: F.col(f"__cf_p{i}") for c, i in lagged.items()}
     differs = lambda columns: _any(~before[c].eqNullSafe(name(c)) for c in columns)
-    conflict = before["_seq"].eqNullSafe(F.col("_seq")) & (differs(["_live"]) | differs(payload))
+    conflict = before["__cf_seq"].eqNullSafe(F.col("__cf_seq")) & (differs(["__cf_live"]) | differs(payload))
     changed = (
-        before["_live"].isNull()
-        | differs(["_live"])
-        | (F.col("_live") & differs(tracked))
-        | F.coalesce(before["_group"] == F.col("_group"), F.lit(False))
+        before["__cf_live"].isNull()
+        | differs(["__cf_live"])
+        | (F.col("__cf_live") & differs(tracked))
+        | F.coalesce(before["__cf_group"] == F.col("__cf_group"), F.lit(False))
     )
-    marked = rows.withColumns({f"_p{i}": F.lag(name(c)).over(w) for c, i in lagged.items()}).withColumn(
-        "_starts", F.when(conflict, F.raise_error(F.lit(CONFLICT)).cast("boolean")).otherwise(changed)
+    marked = rows.withColumns({f"__cf_p{i}": F.lag(name(c)).over(w) for c, i in lagged.items()}).withColumn(
+        "__cf_starts", F.when(conflict, F.raise_error(F.lit(CONFLICT)).cast("boolean")).otherwise(changed)
     )
-    opening = F.when(F.col("_starts"), F.struct("_seq", before["_live"].isNull().alias("first")))
+    opening = F.when(F.col("__cf_starts"), F.struct("__cf_seq", before["__cf_live"].isNull().alias("first")))
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ended = marked.withColumns(
         {
-            "_open": F.last(opening, ignorenulls=True).over(running),
-            "_after": F.lead(F.struct("_seq", "_starts")).over(w),
+            "__cf_open": F.last(opening, ignorenulls=True).over(running),
+            "__cf_after": F.lead(F.struct("__cf_seq", "__cf_starts")).over(w),
         }
-    ).where(F.col("_after").isNull() | F.col("_after._starts"))
+    ).where(F.col("__cf_after").isNull() | F.col("__cf_after.__cf_starts"))
     return ended.select(
         *_columns(part),
         *_columns(payload),
-        "_live",
-        F.col("_open._seq").alias("_seq"),
-        F.coalesce("_until", "_after._seq").alias("_until"),
-        F.col("_open.first").alias("_first"),
-        F.col("_after").isNull().alias("_last"),
+        "__cf_live",
+        F.col("__cf_open.__cf_seq").alias("__cf_seq"),
+        F.coalesce("__cf_until", "__cf_after.__cf_seq").alias("__cf_until"),
+        F.col("__cf_open.first").alias("__cf_first"),
+        F.col("__cf_after").isNull().alias("__cf_last"),
     )
 
 
@@ -108,19 +108,19 @@ def event_runs(
     rows = events.select(
         *_columns(keys),
         *_columns(payload),
-        (name(sequence[0]) if len(sequence) == 1 else F.struct(*_columns(sequence))).alias("_seq"),
-        (~name(operation).eqNullSafe("D") if operation else F.lit(True)).alias("_live"),
+        (name(sequence[0]) if len(sequence) == 1 else F.struct(*_columns(sequence))).alias("__cf_seq"),
+        (~name(operation).eqNullSafe("D") if operation else F.lit(True)).alias("__cf_live"),
     )
-    rows = rows.withColumn("_until", F.when(F.lit(False), F.col("_seq")))
-    split = split_hot(rows, keys, ["_seq"], block_rows)
-    final = ["_live", "_seq", "_until"]
-    out = _runs(split.cold.withColumn("_group", F.lit(None).cast("int")), list(keys), payload, tracked)
+    rows = rows.withColumn("__cf_until", F.when(F.lit(False), F.col("__cf_seq")))
+    split = split_hot(rows, keys, ["__cf_seq"], block_rows)
+    final = ["__cf_live", "__cf_seq", "__cf_until"]
+    out = _runs(split.cold.withColumn("__cf_group", F.lit(None).cast("int")), list(keys), payload, tracked)
     out = out.select(*_columns(keys), *_columns(payload), *final)
     if split.hot is not None:
-        inside = _runs(split.hot.withColumn("_group", F.lit(None).cast("int")), [*keys, BLOCK], payload, tracked)
+        inside = _runs(split.hot.withColumn("__cf_group", F.lit(None).cast("int")), [*keys, BLOCK], payload, tracked)
         inside = checkpoint(inside)  # block numbers must be the same for both branches below
-        edge = F.col("_first") | F.col("_last")
-        edges = inside.where(edge).withColumn("_group", name(BLOCK))
+        edge = F.col("__cf_first") | F.col("__cf_last")
+        edges = inside.where(edge).withColumn("__cf_group", name(BLOCK))
         for part in (inside.where(~edge), _runs(edges, list(keys), payload, tracked)):
             out = out.unionByName(part.select(*_columns(keys), *_columns(payload), *final))
     return out, published
@@ -133,8 +133,8 @@ def scd2_from_events(events: DataFrame, keys: Sequence[str], sequence: str | Seq
     collapse; different events with one key and sequence fail the query.
     """
     runs, published = event_runs(events, keys, sequence, **settings)
-    return runs.where("_live").select(
-        *_columns(published), F.col("_seq").alias(START_AT), F.col("_until").alias(END_AT)
+    return runs.where("__cf_live").select(
+        *_columns(published), F.col("__cf_seq").alias(START_AT), F.col("__cf_until").alias(END_AT)
     )
 
 
@@ -148,9 +148,9 @@ def sequence_conflicts(
     # min and max combine before the shuffle, so a group of copies never meets in one task.
     return (
         events.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("events"), F.min(body).alias("_low"), F.max(body).alias("_high"))
-        .where(~F.col("_low").eqNullSafe(F.col("_high")))
-        .drop("_low", "_high")
+        .agg(F.count(F.lit(1)).alias(report_name("events", group)), F.min(body).alias("__cf_low"), F.max(body).alias("__cf_high"))
+        .where(~F.col("__cf_low").eqNullSafe(F.col("__cf_high")))
+        .drop("__cf_low", "__cf_high")
     )
 
 
@@ -174,11 +174,11 @@ def apply_snapshot(
     at = F.lit(int(version)).cast("bigint")
     if opened is None:
         return snapshot.select("*", at.alias(START_AT), F.lit(None).cast("bigint").alias(END_AT))
-    old = opened.select(*_columns(keys), _state(payload).alias("_old"), name(START_AT))
-    new = snapshot.select(*_columns(keys), _state(payload).alias("_new"))
-    was, now = F.col("_old"), F.col("_new")
+    old = opened.select(*_columns(keys), _state(payload).alias("__cf_old"), name(START_AT))
+    new = snapshot.select(*_columns(keys), _state(payload).alias("__cf_new"))
+    was, now = F.col("__cf_old"), F.col("__cf_new")
     kept = was.isNotNull() & now.isNotNull() & ~_any(~was[c].eqNullSafe(now[c]) for c in tracked)
-    row = lambda body, start, end: F.struct(body.alias("row"), start.alias("start"), end.alias("end"))
+    row = lambda body, start, end: F.struct(body.alias("__cf_row"), start.alias("__cf_start"), end.alias("__cf_end"))
     nothing = F.lit(None).cast("bigint")
     closing, opening = row(was, name(START_AT), at), row(now, at, nothing)
     # One branch per case keeps the expression inside generated code.
@@ -189,8 +189,8 @@ def apply_snapshot(
         .otherwise(F.array(closing, opening))
     )
     both = old.join(new, list(keys), "full_outer").select(*_columns(keys), F.inline(outcome))
-    values = [name(c) if c in keys else F.col("row")[c].alias(c) for c in snapshot.columns]
-    return both.select(*values, F.col("start").alias(START_AT), F.col("end").alias(END_AT))
+    values = [name(c) if c in keys else F.col("__cf_row")[c].alias(c) for c in snapshot.columns]
+    return both.select(*values, F.col("__cf_start").alias(START_AT), F.col("__cf_end").alias(END_AT))
 
 
 def scd2_from_snapshots(
@@ -228,44 +228,45 @@ def scd2_from_snapshot_series(
 
     def tagged(frame, place, version):
         following = versions[place + 1] if place + 1 < len(versions) else None
-        marks = [F.lit(place).alias("_place"), version.alias("_version"), F.lit(following).cast("bigint").alias("_next")]
+        marks = [F.lit(place).alias("__cf_place"), version.alias("__cf_version"), F.lit(following).cast("bigint").alias("__cf_next")]
         return frame.select(*_columns(columns), *marks)
 
     frames = [tagged(frame, place, F.lit(v).cast("bigint")) for place, (v, frame) in enumerate(series)]
     if opened is not None:
         frames.append(tagged(opened, -1, name(START_AT)))
     rows = functools.reduce(DataFrame.unionByName, frames)
-    w = Window.partitionBy(*_columns(keys)).orderBy("_place")
-    before = {c: F.col(f"_p{i}") for i, c in enumerate(["_place", *tracked])}
+    w = Window.partitionBy(*_columns(keys)).orderBy("__cf_place")
+    before = {c: F.col(f"__cf_p{i}") for i, c in enumerate(["__cf_place", *tracked])}
     starts = (
-        before["_place"].isNull()
-        | (before["_place"] + 1 != F.col("_place"))
+        before["__cf_place"].isNull()
+        | (before["__cf_place"] + 1 != F.col("__cf_place"))
         | _any(~before[c].eqNullSafe(name(c)) for c in tracked)
     )
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    opening = F.last(F.when(F.col("_starts"), F.col("_version")), ignorenulls=True).over(running)
+    opening = F.last(F.when(F.col("__cf_starts"), F.col("__cf_version")), ignorenulls=True).over(running)
     # A run ends at the delivery after its last one: there the key changed or was missing.
     return (
-        rows.withColumns({f"_p{i}": F.lag(name(c)).over(w) for i, c in enumerate(before)})
-        .withColumn("_starts", starts)
-        .withColumns({"_open": opening, "_ends": F.coalesce(F.lead("_starts").over(w), F.lit(True))})
-        .where("_ends")
-        .select(*_columns(columns), F.col("_open").alias(START_AT), F.col("_next").alias(END_AT))
+        rows.withColumns({f"__cf_p{i}": F.lag(name(c)).over(w) for i, c in enumerate(before)})
+        .withColumn("__cf_starts", starts)
+        .withColumns({"__cf_open": opening, "__cf_ends": F.coalesce(F.lead("__cf_starts").over(w), F.lit(True))})
+        .where("__cf_ends")
+        .select(*_columns(columns), F.col("__cf_open").alias(START_AT), F.col("__cf_next").alias(END_AT))
     )
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None) -> DataFrame:
     """Keys that were inserted, updated or deleted between two complete snapshots."""
     compare = _payload(new, keys, ()) if compare is None else list(compare)
-    a = old.select(*_columns(keys), _state(compare).alias("_old"))
-    b = new.select(*_columns(keys), _state(compare).alias("_new"))
+    a = old.select(*_columns(keys), _state(compare).alias("__cf_old"))
+    b = new.select(*_columns(keys), _state(compare).alias("__cf_new"))
     change = (
-        F.when(F.col("_old").isNull(), "insert")
-        .when(F.col("_new").isNull(), "delete")
-        .when(~F.col("_old").eqNullSafe(F.col("_new")), "update")
+        F.when(F.col("__cf_old").isNull(), "insert")
+        .when(F.col("__cf_new").isNull(), "delete")
+        .when(~F.col("__cf_old").eqNullSafe(F.col("__cf_new")), "update")
     )
     joined = a.join(b, list(keys), "full_outer")
-    return joined.select(*_columns(keys), change.alias("change")).where(F.col("change").isNotNull())
+    found = joined.select(*_columns(keys), change.alias("__cf_change")).where(F.col("__cf_change").isNotNull())
+    return found.withColumnRenamed("__cf_change", report_name("change", keys))
 
 
 # --- latest rows, increments and reconciliation ----------------------------------------------
@@ -275,9 +276,9 @@ def latest_rows(df: DataFrame, keys: Sequence[str], sequence: str | Sequence[str
     """One row per key, the one with the greatest sequence; combined before the shuffle."""
     sequence = [sequence] if isinstance(sequence, str) else list(sequence)
     rest = [c for c in df.columns if c not in set(keys) | set(sequence)]
-    top = F.max(F.struct(*_columns(sequence), *_columns(rest))).alias("_top")
+    top = F.max(F.struct(*_columns(sequence), *_columns(rest))).alias("__cf_top")
     picked = df.groupBy(*_columns(keys)).agg(top)
-    return picked.select(*[name(c) if c in keys else F.col("_top")[c].alias(c) for c in df.columns])
+    return picked.select(*[name(c) if c in keys else F.col("__cf_top")[c].alias(c) for c in df.columns])
 
 
 def scd1_merge(
@@ -295,19 +296,19 @@ def scd1_merge(
     """
     sequence = [sequence] if isinstance(sequence, str) else list(sequence)
     flag = F.coalesce(F.expr(deleted), F.lit(False)) if deleted else F.lit(False)
-    latest = latest_rows(updates.withColumn("_gone", flag), keys, [*sequence, "_gone"])
+    latest = latest_rows(updates.withColumn("__cf_gone", flag), keys, [*sequence, "__cf_gone"])
     if target is None:
-        return latest.where(~F.col("_gone")).drop("_gone")
+        return latest.where(~F.col("__cf_gone")).drop("__cf_gone")
     columns = target.columns
     rest = [c for c in columns if c not in keys]
-    old = target.select(*_columns(keys), _state(rest).alias("_old"))
-    new = latest.select(*_columns(keys), _state(rest).alias("_new"), "_gone")
+    old = target.select(*_columns(keys), _state(rest).alias("__cf_old"))
+    new = latest.select(*_columns(keys), _state(rest).alias("__cf_new"), "__cf_gone")
     at = lambda side: F.struct(*[F.col(side)[c] for c in sequence])
-    wins = F.col("_new").isNotNull() & (F.col("_old").isNull() | (at("_new") >= at("_old")))
-    row = F.when(wins, F.col("_new")).otherwise(F.col("_old")).alias("_row")
-    chosen = old.join(new, list(keys), "full_outer").where(~F.coalesce(wins & F.col("_gone"), F.lit(False)))
+    wins = F.col("__cf_new").isNotNull() & (F.col("__cf_old").isNull() | (at("__cf_new") >= at("__cf_old")))
+    row = F.when(wins, F.col("__cf_new")).otherwise(F.col("__cf_old")).alias("__cf_row")
+    chosen = old.join(new, list(keys), "full_outer").where(~F.coalesce(wins & F.col("__cf_gone"), F.lit(False)))
     chosen = chosen.select(*_columns(keys), row)
-    return chosen.select(*[name(c) if c in keys else F.col("_row")[c].alias(c) for c in columns])
+    return chosen.select(*[name(c) if c in keys else F.col("__cf_row")[c].alias(c) for c in columns])
 
 
 def append_only(target: DataFrame | None, increment: DataFrame) -> DataFrame:
@@ -330,5 +331,5 @@ def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
 
     One grouping answers both directions; an empty result means the two are equal.
     """
-    sides = left.withColumn("_n", F.lit(1)).unionByName(right.withColumn("_n", F.lit(-1)))
-    return sides.groupBy(*_columns(left.columns)).agg(F.sum("_n").alias("copies")).where("copies <> 0")
+    sides = left.withColumn("__cf_n", F.lit(1)).unionByName(right.withColumn("__cf_n", F.lit(-1)))
+    return sides.groupBy(*_columns(left.columns)).agg(F.sum("__cf_n").alias("__cf_copies")).where("__cf_copies <> 0").withColumnRenamed("__cf_copies", report_name("copies", left.columns))

@@ -137,7 +137,7 @@ def order_violations(
     ordered = with_previous(
         lean, ["dataset"], ["version", "captured_at", "id"], ["version", "captured_at", "row_count"], block_rows
     )
-    before = F.col("_previous")
+    before = F.col("__cf_previous")
     nothing = F.lit(None)
     rules = {"time_order": (_holds(F.col("captured_at") < before["captured_at"]), nothing)}
     if contiguous:
@@ -167,9 +167,9 @@ def policy_violations(ledger: DataFrame, policy: Policy) -> DataFrame:
 
 def _datasets(ledger: DataFrame) -> DataFrame:
     """Newest delivery and number of receipts of each dataset."""
-    newest = F.max(F.struct("version", captured().alias("at"))).alias("_n")
+    newest = F.max(F.struct("version", captured().alias("at"))).alias("__cf_n")
     sizes = ledger.groupBy("dataset").agg(newest, F.count(F.lit(1)).alias("n"))
-    return sizes.select("dataset", F.col("_n.version").alias("version"), F.col("_n.at").alias("at"), "n")
+    return sizes.select("dataset", F.col("__cf_n.version").alias("version"), F.col("__cf_n.at").alias("at"), "n")
 
 
 def _age_rules(policy: Policy, now: dt.datetime | None) -> dict:
@@ -235,8 +235,8 @@ def pending(ledger: DataFrame, latest=None) -> DataFrame:
     elif latest is not None:
         left = ledger.where(F.col("version") > F.lit(int(latest)))
     rest = [c for c in ledger.columns if c not in ("dataset", "version")]
-    first = left.groupBy("dataset").agg(F.min(F.struct("version", *rest)).alias("_next"))
-    return first.select("dataset", "_next.*").select(*ledger.columns)
+    first = left.groupBy("dataset").agg(F.min(F.struct("version", *rest)).alias("__cf_next"))
+    return first.select("dataset", "__cf_next.*").select(*ledger.columns)
 
 
 def contract_violations(waiting: DataFrame, contract_version: str) -> DataFrame:

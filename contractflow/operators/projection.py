@@ -13,7 +13,7 @@ from ..contract import END_AT, RESCUED, Contract, spark_type
 from ..errors import ContractError, DataRejected, require
 from ..functions import temporal
 
-TEMPORAL_FLAG = "_temporal_invalid"
+TEMPORAL_FLAG = "__cf_temporal_invalid"
 
 
 def name(text: str) -> SparkColumn:

@@ -58,11 +58,11 @@ def _duplicate_result(df: DataFrame, check: Check) -> DataFrame:
     """Surplus rows per group. Groups are counted before the shuffle; NULLs compare equal in a
     composite rule and are left out of a column rule."""
     columns = [check.column] if check.column else list(check.properties)
-    groups = df.groupBy(*[name(c) for c in columns]).agg(F.count(F.lit(1)).alias("_n"))
+    groups = df.groupBy(*[name(c) for c in columns]).agg(F.count(F.lit(1)).alias("__cf_n"))
     counted = name(check.column).isNotNull() if check.column else F.lit(True)
     totals = groups.agg(
-        F.coalesce(F.sum(F.when(counted, F.col("_n") - 1)), F.lit(0)).alias("surplus"),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(counted, F.col("__cf_n") - 1)), F.lit(0)).alias("surplus"),
+        F.coalesce(F.sum("__cf_n"), F.lit(0)).alias("rows"),
     )
     return totals.select(F.inline(F.array(_result(check, F.col("surplus"), F.col("rows")))))
 
@@ -81,8 +81,8 @@ def _sql_result(df: DataFrame, check: Check) -> DataFrame:
     fields = answer.schema.fields
     require(len(fields) == 1 and isinstance(fields[0].dataType, T.NumericType), message, DataRejected)
     exact = not isinstance(fields[0].dataType, (T.DoubleType, T.FloatType))
-    answer = answer.toDF("_v").limit(2)
-    one = answer.agg(F.count(F.lit(1)).alias("n"), F.max("_v").alias("v"))
+    answer = answer.toDF("__cf_v").limit(2)
+    one = answer.agg(F.count(F.lit(1)).alias("n"), F.max("__cf_v").alias("v"))
     usable = (F.col("n") == 1) & F.col("v").isNotNull()
     if not exact:
         usable = usable & ~F.isnan("v") & (F.abs("v") != float("inf"))

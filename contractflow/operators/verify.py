@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contract import Contract, canonical_type, spark_type
+from ..contract import Contract, canonical_type, report_name, spark_type
 from ..errors import DataRejected, require
 from .ledger import MAX_INTEGER
 from .projection import name
@@ -16,7 +16,7 @@ from .projection import name
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, counted before the shuffle."""
-    return df.groupBy(*[name(k) for k in keys]).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    return df.groupBy(*[name(k) for k in keys]).agg(F.count(F.lit(1)).alias("__cf_n")).where("__cf_n > 1").withColumnRenamed("__cf_n", report_name("rows", keys))
 
 
 def _expected(contract: Contract, zoned_timestamps: bool) -> list[tuple[str, T.DataType]]:
@@ -47,12 +47,12 @@ def verify_snapshot(
     for column in dict.fromkeys([*contract.required, *keys]):
         missing = missing | name(column).isNull()
     groups = df.groupBy(*[name(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("missing")
+        F.count(F.lit(1)).alias("__cf_n"), F.count_if(missing).alias("__cf_missing")
     )
     totals = groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"),
-        F.count_if(F.col("n") > 1).alias("repeated"),
+        F.coalesce(F.sum("__cf_n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("__cf_missing"), F.lit(0)).alias("missing"),
+        F.count_if(F.col("__cf_n") > 1).alias("repeated"),
     ).first()
     reject(totals.rows == expected_count, "The landed rows are more or fewer than expected")
     reject(totals.missing == 0, "Some required or key values are missing")

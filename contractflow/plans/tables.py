@@ -117,7 +117,7 @@ def advance_by_cursor(opened: DataFrame | None, rows: DataFrame, keys: list[str]
     A source row that differs in nothing but its cursor does not open a version.
     """
     tracked = [c for c in rows.columns if c not in {*keys, cursor}]
-    events = rows.withColumn("_at", name(cursor))
+    events = rows.withColumn("__cf_at", name(cursor))
     if opened is not None:
-        events = opened.withColumn("_at", name(START_AT)).drop(START_AT, END_AT).unionByName(events)
-    return history.scd2_from_events(events, keys, "_at", tracked=tracked)
+        events = opened.withColumn("__cf_at", name(START_AT)).drop(START_AT, END_AT).unionByName(events)
+    return history.scd2_from_events(events, keys, "__cf_at", tracked=tracked)

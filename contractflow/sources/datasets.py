@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contract import END_AT, START_AT
+from ..contract import END_AT, HELPER, START_AT
 from ..errors import ContractError, DataRejected, require
 from ..operators.projection import name
 from .storage import CommitLog, Storage
 
 OPEN, CLOSED, TABLE, STAGED = "open", "closed", "table", "staged"
-BATCH = "batch"
+#: Columns that place rows in folders; their names are reserved, so none of the data is lost to them.
+BATCH, ROLE, BUCKET = f"{HELPER}batch", f"{HELPER}role", f"{HELPER}bucket"
 MERGE_AT = 32
 
 
@@ -159,14 +160,14 @@ class Dataset:
     def advance_history(self, frame: DataFrame, info=None) -> Version:
         """Replace the open rows and add the newly closed ones; closed history stays in place."""
         previous, folder = self.version(), self.new_folder()
-        marked = frame.withColumn("role", F.when(name(END_AT).isNull(), OPEN).otherwise(CLOSED))
-        marked.write.partitionBy("role").parquet(f"{self.root}/{folder}")
+        marked = frame.withColumn(ROLE, F.when(name(END_AT).isNull(), OPEN).otherwise(CLOSED))
+        marked.write.partitionBy(ROLE).parquet(f"{self.root}/{folder}")
         info = self._info(info, frame.schema, folder)
         kept = self._merged(previous) if previous else []
         added = [
             Part(n.split("=")[1], f"{folder}/{n}")
             for n in self.written(folder)
-            if n.startswith("role=")
+            if n.startswith(f"{ROLE}=")
         ]
         return self.commit(previous, frame.schema, [*kept, *added], info)
 

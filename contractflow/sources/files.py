@@ -17,8 +17,8 @@ from ..errors import ContractError, DataRejected, require
 from ..functions import temporal
 from ..operators.projection import name
 
-CORRUPT = "_corrupt_record"
-FILE = "_source_file"
+CORRUPT = "__cf_corrupt_record"
+FILE = "__cf_source_file"
 UNREADABLE = "(unreadable document)"
 STREAM_FORMATS = ("json", "csv", "parquet")
 FOLDER_FORMATS = ("csv", "json", "parquet", "xml", "avro", "text")
@@ -78,16 +78,16 @@ def rescue_json(text: DataFrame, contract: Contract, value: str = "value") -> Da
     parsed = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     record = F.from_json(
         F.col(value), parsed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    ).alias("_r")
+    ).alias("__cf_r")
     declared = F.array(*[F.lit(f.name) for f in schema.fields])
     extra = F.array_except(F.json_object_keys(value), declared)
     # A NULL key list means the record is not an object.
-    misfit = F.col(f"_r.{CORRUPT}").isNotNull() | F.coalesce(F.size(extra) > 0, F.lit(True))
+    misfit = F.col(f"__cf_r.{CORRUPT}").isNotNull() | F.coalesce(F.size(extra) > 0, F.lit(True))
     kept = [c for c in text.columns if c != value]
     # Blank lines are not records; an unreadable document (NULL) is one that must be reported.
     filled = text.where(F.coalesce(F.length(F.trim(value)) > 0, F.lit(True))).select("*", record)
     return filled.select(
-        *[F.col(f"_r.`{f.name}`").alias(f.name) for f in schema.fields],
+        *[F.col(f"__cf_r.`{f.name}`").alias(f.name) for f in schema.fields],
         F.when(misfit, F.coalesce(value, F.lit(UNREADABLE))).alias(RESCUED),
         *kept,
     )
@@ -115,11 +115,11 @@ def _load(source, fmt: str, path: str, contract: Contract, options: Mapping, wit
     options = dict(options)
     if fmt == "json":
         if options.pop("multiLine", False):
-            loaded = source.format("json").option("multiLine", True).option("singleVariantColumn", "_v").load(path)
+            loaded = source.format("json").option("multiLine", True).option("singleVariantColumn", "__cf_v").load(path)
             # A document is one record or an array of records.
-            records = F.coalesce(F.col("_v").try_cast("array<variant>"), F.array("_v"))
-            loaded = loaded.select(F.explode(records).alias("_v"), *_file(with_file))
-            loaded = loaded.select(F.to_json("_v").alias("value"), *_file(with_file))
+            records = F.coalesce(F.col("__cf_v").try_cast("array<variant>"), F.array("__cf_v"))
+            loaded = loaded.select(F.explode(records).alias("__cf_v"), *_file(with_file))
+            loaded = loaded.select(F.to_json("__cf_v").alias("value"), *_file(with_file))
         else:
             loaded = source.format("text").load(path).select("value", *_file(with_file))
         return rescue_json(loaded, contract)

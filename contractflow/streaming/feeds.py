@@ -23,12 +23,11 @@ from ..operators import history, quality
 from ..operators.projection import business_rules, count_failures, literal, name, project, required_rules
 from ..plans.terms import SourceTerms
 from ..session import checkpoint
-from ..sources.datasets import BATCH, CLOSED, OPEN, STAGED, Dataset, Part
+from ..sources.datasets import BATCH, BUCKET, CLOSED, OPEN, ROLE, STAGED, Dataset, Part
 from ..sources.files import FILE, parquet_misfits, reader_options, stream_files
 from ..sources.storage import Storage
 
 FAIL, WARN = "fail", "warn"
-BUCKET = "bucket"
 BROADCAST_KEYS = 200_000
 CLOSED_FOLDERS = 16
 
@@ -217,7 +216,7 @@ class ChangeFlow(AppendFlow):
         staging = [p for p in previous.parts if p.role == STAGED] if previous else []
         staging.append(self._stage(target, events, f"staged/{BATCH}={batch_id}"))
         staged = self._staged(target, staging, events.schema)
-        first = events.groupBy(*self.key_columns).agg(F.min(self._sequence()).alias("_cut"))
+        first = events.groupBy(*self.key_columns).agg(F.min(self._sequence()).alias("__cf_cut"))
         changed = self._written_once(first.withColumn(BUCKET, self._bucket()))
         touched = sorted(r[0] for r in changed.select(BUCKET).distinct().collect())
         if previous is None:
@@ -281,16 +280,16 @@ class ChangeFlow(AppendFlow):
     def _anchors(self, stored: DataFrame, changed: DataFrame) -> DataFrame:
         """Where each changed key's history is rebuilt from: the start of the version that holds
         at its earliest new event, or that event itself."""
-        cut, earliest = F.col("_cut"), self._earliest(changed, "_cut")
+        cut, earliest = F.col("__cf_cut"), self._earliest(changed, "__cf_cut")
         candidates = stored.select(*self.key_columns, START_AT, END_AT)
         if earliest is not None:
             candidates = candidates.where(name(END_AT).isNull() | (name(END_AT) > earliest))
-        holding = self._with_keys(candidates, changed.select(*self.key_columns, "_cut"), "inner").where(
+        holding = self._with_keys(candidates, changed.select(*self.key_columns, "__cf_cut"), "inner").where(
             (name(START_AT) <= cut) & (name(END_AT).isNull() | (name(END_AT) > cut))
         )
-        starts = holding.select(*self.key_columns, name(START_AT).alias("_start"))
+        starts = holding.select(*self.key_columns, name(START_AT).alias("__cf_start"))
         anchored = self._with_keys(changed, starts, "left")
-        anchored = anchored.select(*self.key_columns, BUCKET, F.coalesce("_start", "_cut").alias("_anchor"))
+        anchored = anchored.select(*self.key_columns, BUCKET, F.coalesce("__cf_start", "__cf_cut").alias("__cf_anchor"))
         return self._written_once(anchored)
 
     def _written_once(self, keyed: DataFrame) -> DataFrame:
@@ -306,21 +305,21 @@ class ChangeFlow(AppendFlow):
 
     def _tail(self, staged: DataFrame, anchors: DataFrame, touched: list[int]) -> DataFrame:
         here = staged.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        earliest = self._earliest(anchors, "_anchor")
+        earliest = self._earliest(anchors, "__cf_anchor")
         if earliest is not None:
             here = here.where(self._sequence() >= earliest)
         joined = self._with_keys(here, anchors.drop(BUCKET), "inner")
-        return joined.where(self._sequence() >= F.col("_anchor")).drop("_anchor")
+        return joined.where(self._sequence() >= F.col("__cf_anchor")).drop("__cf_anchor")
 
     def _kept(self, target: Dataset, previous, anchors: DataFrame, touched: list[int]):
         """Stored rows of the rewritten folders that stay. Closed folders are rewritten only where
         a late event reaches into them, or where many small ones have gathered."""
         lean = anchors.drop(BUCKET)
         closed = target.frame(previous, target.parts(previous, CLOSED, buckets=touched))
-        earliest = self._earliest(anchors, "_anchor")
+        earliest = self._earliest(anchors, "__cf_anchor")
         reached = closed if earliest is None else closed.where(name(START_AT) >= earliest)
         reached = self._with_keys(reached.withColumn(BUCKET, self._bucket()), lean, "inner")
-        rewrite = {r[0] for r in reached.where(name(START_AT) >= F.col("_anchor")).select(BUCKET).distinct().collect()}
+        rewrite = {r[0] for r in reached.where(name(START_AT) >= F.col("__cf_anchor")).select(BUCKET).distinct().collect()}
         counts: dict[int, int] = {}
         for part in target.parts(previous, CLOSED, buckets=touched):
             counts[part.bucket] = counts.get(part.bucket, 0) + 1
@@ -328,20 +327,20 @@ class ChangeFlow(AppendFlow):
         opened = target.frame(previous, target.parts(previous, OPEN, buckets=touched))
         stays = target.frame(previous, target.parts(previous, CLOSED, buckets=rewrite))
         rows = self._with_keys(opened.unionByName(stays), lean, "left")
-        return rows.where(F.col("_anchor").isNull() | (name(START_AT) < F.col("_anchor"))).drop("_anchor"), rewrite
+        return rows.where(F.col("__cf_anchor").isNull() | (name(START_AT) < F.col("__cf_anchor"))).drop("__cf_anchor"), rewrite
 
     def _write(self, target: Dataset, frame: DataFrame) -> list[Part]:
         """Write open and closed rows by bucket; returns the folders that hold rows."""
         folder = target.new_folder()
         role = F.when(name(END_AT).isNull(), OPEN).otherwise(CLOSED)
-        placed = frame.withColumns({"role": role, BUCKET: self._bucket()}).hint("rebalance", "role", BUCKET)
-        placed.write.partitionBy("role", BUCKET).parquet(f"{target.root}/{folder}")
+        placed = frame.withColumns({ROLE: role, BUCKET: self._bucket()}).hint("rebalance", ROLE, BUCKET)
+        placed.write.partitionBy(ROLE, BUCKET).parquet(f"{target.root}/{folder}")
         target.written(folder)
         parts = []
         for kind in (OPEN, CLOSED):
-            for inner in target.storage.names(f"{target.root}/{folder}/role={kind}"):
+            for inner in target.storage.names(f"{target.root}/{folder}/{ROLE}={kind}"):
                 if inner.startswith(f"{BUCKET}="):
-                    parts.append(Part(kind, f"{folder}/role={kind}/{inner}", int(inner.split("=")[1])))
+                    parts.append(Part(kind, f"{folder}/{ROLE}={kind}/{inner}", int(inner.split("=")[1])))
         return parts
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from contractflow.contract import END_AT, START_AT, Column, Contract
 from contractflow.functions.rules import EVENTS, MANAGED, SNAPSHOT, compile_rules, expectations
 from contractflow.operators import history, ledger, quality
-from contractflow.operators.projection import business_columns, count_failures, current_rows, project, row_violations
+from contractflow.operators.projection import TEMPORAL_FLAG, business_columns, count_failures, current_rows, project, row_violations
 from contractflow.operators.verify import duplicate_keys
 from contractflow.plans.tables import advance_by_cursor
 from contractflow.plans.views import python_view, sql_view
@@ -178,13 +178,15 @@ def column_mapping_swap(spark, folder):
 @query
 def strict_date_parse(spark, folder):
     contract = Contract("texts", (Column("o_orderkey", "BIGINT"), Column("day", "DATE")))
-    return project(inputs.texts(spark, folder), contract, "json", on_invalid="report")
+    flagged = project(inputs.texts(spark, folder), contract, "json", on_invalid="report")
+    return flagged.withColumnRenamed(TEMPORAL_FLAG, "_temporal_invalid")
 
 
 @query
 def strict_ts_parse(spark, folder):
     contract = Contract("texts", (Column("o_orderkey", "BIGINT"), Column("event", "TIMESTAMP")))
-    return project(inputs.texts(spark, folder), contract, "json", on_invalid="report")
+    flagged = project(inputs.texts(spark, folder), contract, "json", on_invalid="report")
+    return flagged.withColumnRenamed(TEMPORAL_FLAG, "_temporal_invalid")
 
 
 @query

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from contractflow.contract import END_AT, START_AT
 from contractflow.errors import ContractError
 from contractflow.operators import history
-from contractflow.operators.blocks import split_hot, with_previous
+from contractflow.operators.blocks import BLOCK, split_hot, with_previous
 
 SCHEMA = "k bigint, seq bigint, op string, a string, b bigint"
 
@@ -180,7 +180,7 @@ def test_struct_sequence_orders_by_both_columns(spark):
 def test_a_hot_key_is_split_into_blocks(spark):
     frame = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
     split = split_hot(frame, ["k"], ["id"], 100)
-    sizes = [r["count"] for r in split.hot.groupBy("_block").count().collect()]
+    sizes = [r["count"] for r in split.hot.groupBy(BLOCK).count().collect()]
     assert sum(sizes) == 1000 and max(sizes) < 400 and len(sizes) >= 5
     assert split.cold.count() == 2000
     assert split_hot(frame, ["k"], ["id"], 1000).hot is None

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from contractflow import Column, Contract, DataRejected
 from contractflow.functions import temporal
-from contractflow.operators.projection import preflight_parquet, project, row_violations
+from contractflow.operators.projection import TEMPORAL_FLAG, preflight_parquet, project, row_violations
 
 CONTRACT = Contract(
     "orders",
@@ -60,7 +60,7 @@ def test_valid_text_does_not_depend_on_the_session_zone(spark, zone):
 def test_inexact_text_fails_without_its_value(spark, day, event):
     frame = spark.createDataFrame([(1, day, event, "secret-value")], TEXT)
     flagged = project(frame, CONTRACT, "json", on_invalid="report")
-    assert flagged.first()._temporal_invalid
+    assert flagged.first()[TEMPORAL_FLAG]
     with pytest.raises(Exception) as error:
         project(frame, CONTRACT, "json").collect()
     assert temporal.INVALID in str(error.value)
