@@ -17,6 +17,13 @@ class CommitConflict(RuntimeError):
     """Another writer committed the same version first."""
 
 
+def listed(items, most=10):
+    """The first of some names, and how many more there are."""
+    items = list(items)
+    rest = len(items) - most
+    return ", ".join(map(str, items[:most])) + (f" and {rest} more" if rest > 0 else "")
+
+
 def require(condition, message, error=ContractError):
     if not condition:
         raise error(message)

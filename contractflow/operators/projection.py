@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import END_AT, RESCUED, Contract, spark_type
-from ..errors import ContractError, DataRejected, require
+from ..errors import ContractError, DataRejected, listed, require
 from ..functions import temporal
 
 TEMPORAL_FLAG = "__cf_temporal_invalid"
@@ -151,8 +151,8 @@ def require_valid(df: DataFrame, contract: Contract, **settings) -> None:
     """Refuse data with any failing row; rows are never dropped."""
     failed = [r for r in row_violations(df, contract, **settings).collect() if r.violations]
     if failed:
-        listed = ", ".join(f"{r.rule} ({r.violations})" for r in failed[:10])
-        raise DataRejected(f"Row rules failed, no rows were discarded: {listed}")
+        told = listed(f"{r.rule} ({r.violations})" for r in failed)
+        raise DataRejected(f"Row rules failed, no rows were discarded: {told}")
 
 
 def business_columns(df: DataFrame, contract: Contract, drop: Iterable[str] = ()) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import Contract, spark_type
-from ..errors import DataRejected, QualityFailed, require
+from ..errors import DataRejected, QualityFailed, listed, require
 from ..functions.relations import require_declared
 from ..functions.rules import Check, compare
 from .projection import current_rows, fails, name
@@ -145,7 +145,7 @@ def enforce_rows(spark: SparkSession, rows: Sequence[Row], enforcement: str, sto
             if enforcement == BEFORE_LOAD
             else "Quality failed after load, committed data and checkpoint stay as they are: "
         )
-        raise QualityFailed(told + ", ".join(failed[:10]))
+        raise QualityFailed(told + listed(failed))
     return list(rows)
 
 

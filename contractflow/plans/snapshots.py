@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import Contract
-from ..errors import DataRejected, require
+from ..errors import DataRejected, listed, require
 from ..functions.rules import SNAPSHOT, Check, compile_rules
 from ..operators import history, ledger, quality
 from ..operators.ledger import Policy
@@ -139,7 +139,7 @@ class SnapshotFlow:
         reject(failing.pop("rows", None) is None, "The row count differs from the delivery")
         repeated = failing.pop("keys", None)
         failed = [f"{rule} ({n})" for rule, n in failing.items()]
-        reject(not failed, f"Row rules failed, no rows were discarded: {', '.join(failed[:10])}")
+        reject(not failed, f"Row rules failed, no rows were discarded: {listed(failed)}")
         reject(repeated is None, "Some snapshot keys occur more than once")
         return [r for r in results if not r.id.startswith(STRUCTURE)]
 

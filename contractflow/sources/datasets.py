@@ -22,7 +22,7 @@ from ..errors import ContractError, DataRejected, require
 from ..operators.projection import name
 from .storage import CommitLog, Storage
 
-OPEN, CLOSED, TABLE, STAGED = "open", "closed", "table", "staged"
+OPEN, CLOSED, GONE, TABLE, STAGED = "open", "closed", "gone", "table", "staged"
 #: Columns that place rows in folders; their names are reserved, so none of the data is lost to them.
 BATCH, ROLE, BUCKET = f"{HELPER}batch", f"{HELPER}role", f"{HELPER}bucket"
 MERGE_AT = 32
@@ -149,13 +149,12 @@ class Dataset:
         kept = previous.parts if previous else ()
         return self.commit(previous, frame.schema, [*kept, Part(TABLE, folder)], info)
 
-    def append_batch(self, frame: DataFrame, batch_id: int, info: dict) -> Version:
-        """Rows of one micro-batch. A retry overwrites its own folder before committing."""
-        previous = self.version()
+    def write_batch(self, frame: DataFrame, batch_id: int) -> Part:
+        """Rows of one micro-batch, and the part that holds them with those of all batches before. They are seen once a commit
+        names that part; a retry overwrites its own folder."""
         frame.write.mode("overwrite").parquet(f"{self.root}/appended/{BATCH}={batch_id}")
         self.written(f"appended/{BATCH}={batch_id}")
-        parts = [Part(TABLE, "appended", through=batch_id)]
-        return self.commit(previous, frame.schema, parts, info)
+        return Part(TABLE, "appended", through=batch_id)
 
     def advance_history(self, frame: DataFrame, info=None) -> Version:
         """Replace the open rows and add the newly closed ones; closed history stays in place."""

@@ -9,26 +9,29 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contract import END_AT, RESCUED, START_AT, Contract, canonical_type
-from ..errors import DataRejected, require
+from ..contract import END_AT, HELPER, RESCUED, START_AT, Contract, canonical_type
+from ..errors import DataRejected, listed, require
 from ..functions.rules import APPEND, EVENTS, compile_rules, expectations
 from ..operators import history, quality
-from ..operators.projection import business_rules, count_failures, literal, name, project, required_rules
+from ..operators.projection import business_rules, fails, literal, name, project, required_rules
 from ..plans.terms import SourceTerms
 from ..session import checkpoint
-from ..sources.datasets import BATCH, BUCKET, CLOSED, OPEN, ROLE, STAGED, Dataset, Part
+from ..sources.datasets import BATCH, BUCKET, CLOSED, GONE, OPEN, ROLE, STAGED, Dataset, Part, Version
 from ..sources.files import FILE, parquet_misfits, reader_options, stream_files
 from ..sources.storage import Storage
 
 FAIL, WARN = "fail", "warn"
 BROADCAST_KEYS = 200_000
+#: Sequence of a key's last event, stored with its open row; first new event of a key; last event applied before; start of a rebuild.
+LAST, CUT, APPLIED, ANCHOR, LATE = (f"{HELPER}{n}" for n in ("last", "cut", "applied", "anchor", "late"))
 CLOSED_FOLDERS = 16
 
 
@@ -88,18 +91,29 @@ class AppendFlow:
         rules.update(expectations(self.checks(), self.key_columns, sequence, operation))
         return rules
 
-    def check_batch(self, spark: SparkSession, rows: DataFrame) -> dict[str, int]:
-        """One aggregate over the batch; returns the counts of failed warnings."""
+    def check_files(self, spark: SparkSession, rows: DataFrame) -> None:
+        """Parquet files of another schema are refused before anything of them is read."""
         if FILE in rows.columns:
             paths = [r[0] for r in rows.select(FILE).distinct().collect()]
             misfits = parquet_misfits(spark, paths, self.contract) if paths else []
             require(not misfits, f"Files do not have the declared schema: {', '.join(misfits)}", DataRejected)
-        rules = self.rules()
-        counted = count_failures(rows, {rule: holds for rule, (holds, _) in rules.items()}).collect()
-        failing = {r.rule: r.violations for r in counted if r.violations}
-        failed = [f"{rule} ({n})" for rule, n in failing.items() if rules[rule][1] == FAIL]
-        require(not failed, f"Row rules failed, the batch was not applied: {', '.join(failed[:10])}", DataRejected)
-        return failing
+
+    def watched(self, rows: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+        """The rows, counted against every rule by the job that writes them; and, once it has run, the failures of warnings.
+
+        A failed rule raises there. What was written stays unseen then, since no commit names it.
+        """
+        rules, seen = self.rules(), Observation()
+        counters = [F.count_if(fails(holds)).alias(f"c{i}") for i, (holds, _) in enumerate(rules.values())]
+
+        def judge() -> dict[str, int]:
+            found = seen.get
+            failing = {rule: found[f"c{i}"] for i, rule in enumerate(rules) if found.get(f"c{i}")}
+            failed = [f"{rule} ({n})" for rule, n in failing.items() if rules[rule][1] == FAIL]
+            require(not failed, f"Row rules failed, the batch was not applied: {listed(failed)}", DataRejected)
+            return failing
+
+        return rows.observe(seen, *counters), judge
 
     def _rows(self, spark: SparkSession) -> DataFrame:
         options = reader_options(self.fmt, self.reader, self.standard)
@@ -124,15 +138,19 @@ class AppendFlow:
             require(same, "The target belongs to another checkpoint; restore it, or load into an empty target")
             if version.info["batch"] >= batch_id:
                 return
-        rows = rows.persist()
-        try:
-            info = {"warnings": self.check_batch(spark, rows), "batch": batch_id, "stream": self._stream(spark)}
-            self._commit(target, rows.drop(FILE), batch_id, info)
-        finally:
-            rows.unpersist()
+        self.check_files(spark, rows)
+        rows, judge = self.watched(rows)
+        rows = rows.drop(FILE)
+        landed = self._land(target, rows, batch_id)
+        info = {"warnings": judge(), "batch": batch_id, "stream": self._stream(spark)}
+        self._commit(target, landed, rows.schema, batch_id, info)
+
+    def _land(self, target: Dataset, rows: DataFrame, batch_id: int) -> Part:
+        """Write a batch; it is read once, and rules are counted on the way."""
+        return target.write_batch(rows, batch_id)
 
-    def _commit(self, target: Dataset, rows: DataFrame, batch_id: int, info: dict) -> None:
-        target.append_batch(rows, batch_id, info)
+    def _commit(self, target: Dataset, landed: Part, schema: T.StructType, batch_id: int, info: dict) -> None:
+        target.commit(target.version(), schema, [landed], info)
 
     def check_fresh(self, spark: SparkSession, now: dt.datetime | None = None) -> None:
         """Refuse when the current rows are too old, or there are none."""
@@ -157,8 +175,9 @@ class ChangeFlow(AppendFlow):
     """Baseline plus full-row I/U/D events to an SCD2 history and a current table.
 
     Keys, sequence, operation and tracked columns are physical source names. Events may arrive in
-    any order and arbitrarily late: accepted events are staged, and for each key of a batch the
-    history is rebuilt from the version that held at the batch's earliest event.
+    any order and arbitrarily late. Events later than all of their key's earlier ones follow its open row.
+    Accepted events are staged, and for keys with a late event the history is rebuilt from the version
+    that held at the batch's earliest event.
     """
 
     keys: Sequence[str] | None = None
@@ -208,29 +227,85 @@ class ChangeFlow(AppendFlow):
     def _bucket(self):
         return F.pmod(F.xxhash64(*[name(k) for k in self.key_columns]), F.lit(self.buckets)).cast("int")
 
-    def _commit(self, target: Dataset, rows: DataFrame, batch_id: int, info: dict) -> None:
-        events = rows.drop(RESCUED)
+    def _land(self, target: Dataset, rows: DataFrame, batch_id: int) -> Part:
+        return self._stage(target, rows.drop(RESCUED), f"staged/{BATCH}={batch_id}")
+
+    def _commit(self, target: Dataset, landed: Part, schema: T.StructType, batch_id: int, info: dict) -> None:
+        keys, schema = self.key_columns, T.StructType([f for f in schema.fields if f.name != RESCUED])
         previous = target.version()
         same = previous is None or previous.info["buckets"] == self.buckets
         require(same, "The number of buckets is fixed when a target is created")
         staging = [p for p in previous.parts if p.role == STAGED] if previous else []
-        staging.append(self._stage(target, events, f"staged/{BATCH}={batch_id}"))
-        staged = self._staged(target, staging, events.schema)
-        first = events.groupBy(*self.key_columns).agg(F.min(self._sequence()).alias("__cf_cut"))
-        changed = self._written_once(first.withColumn(BUCKET, self._bucket()))
-        touched = sorted(r[0] for r in changed.select(BUCKET).distinct().collect())
+        events = self._staged(target, [landed], schema)
+        spans = events.groupBy(*keys, BUCKET).agg(F.min(self._sequence()).alias(CUT), F.max(self._sequence()).alias(LAST))
+        spans = self._written_once(spans)
+        touched = sorted(r[0] for r in spans.select(BUCKET).distinct().collect())
         if previous is None:
-            tail, kept, rewrite = staged.drop(BUCKET), None, set()
+            rows, rewrite = self._heads_and_closed(events.drop(BUCKET), spans), set()
         else:
-            stored = target.frame(previous, target.parts(previous, OPEN, CLOSED, buckets=touched))
-            anchors = self._anchors(stored, changed)
-            tail = self._tail(staged, anchors, touched)
-            kept, rewrite = self._kept(target, previous, anchors, touched)
-        fresh = self._history(tail)
-        written = self._write(target, fresh if kept is None else kept.unionByName(fresh))
-        replaced = {(OPEN, b) for b in touched} | {(CLOSED, b) for b in rewrite}
+            rows, rewrite = self._advanced(target, previous, events.drop(BUCKET), spans, touched, [*staging, landed])
+        replaced = {(role, b) for role in (OPEN, GONE) for b in touched} | {(CLOSED, b) for b in rewrite}
         stays = [p for p in previous.parts if p.role != STAGED and (p.role, p.bucket) not in replaced] if previous else []
-        target.commit(previous, fresh.schema, [*stays, *written, *staging], {**info, "buckets": self.buckets})
+        written = self._write(target, rows)
+        target.commit(previous, rows.drop(LAST).schema, [*stays, *written, *staging, landed], {**info, "buckets": self.buckets})
+
+    def _advanced(self, target: Dataset, previous, events: DataFrame, spans: DataFrame, touched: list[int], staging: list[Part]):
+        """The rows that this batch writes, and the buckets whose closed rows are among them.
+
+        Where all of a key's new events are later than its last applied one, they follow its open row, and nothing else of the
+        key is read. Only for the other keys the staged log and the closed rows are looked up.
+        """
+        keys = self.key_columns
+        heads = self._heads(target, previous, touched)
+        known = self._with_keys(spans, heads.select(*keys, F.col(LAST).alias(APPLIED)), "left")
+        known = self._written_once(known.withColumn(LATE, F.coalesce(F.col(CUT) <= F.col(APPLIED), F.lit(False))))
+        on_time = known.where(~F.col(LATE)).select(*keys)
+        # The open row stands for all earlier events of its key; its run began at its start.
+        seeds = self._with_keys(heads.where(name(START_AT).isNotNull()), on_time, "left_semi")
+        tail = self._as_events(seeds, events.schema).unionByName(self._with_keys(events, on_time, "left_semi"))
+        late, anchors, rewrite = known.where(LATE).select(*keys, BUCKET, CUT), None, set()
+        here = sorted(r[0] for r in late.select(BUCKET).distinct().collect())
+        if here:
+            anchors = self._anchors(target.frame(previous, target.parts(previous, OPEN, CLOSED, buckets=here)), late)
+            tail = tail.unionByName(self._tail(self._staged(target, staging, events.schema), anchors, here))
+            rewrite = self._reached(target, previous, anchors, here)
+        rewrite |= self._crowded(target, previous, touched)
+        latest = known.select(*keys, F.greatest(LAST, APPLIED).alias(LAST))
+        rows = self._heads_and_closed(tail, latest)
+        rows = rows.unionByName(self._with_keys(heads, known.select(*keys), "left_anti").select(*rows.columns))
+        if rewrite:
+            closed = target.frame(previous, target.parts(previous, CLOSED, buckets=rewrite))
+            if anchors is not None:
+                closed = self._with_keys(closed, anchors.drop(BUCKET), "left")
+                closed = closed.where(F.col(ANCHOR).isNull() | (name(START_AT) < F.col(ANCHOR)))
+            nothing = F.lit(None).cast(rows.schema[LAST].dataType)
+            rows = rows.unionByName(closed.withColumn(LAST, nothing).select(*rows.columns))
+        return rows, rewrite
+
+    def _heads_and_closed(self, events: DataFrame, latest: DataFrame) -> DataFrame:
+        """Versions made of events in order, and one row of nothing but its key for each key that ends deleted. What is open or
+        deleted carries the sequence of the key's last event."""
+        settings = {"operation": self.operation, "tracked": self.tracked_columns, "block_rows": self.block_rows}
+        runs, published = history.event_runs(events, self.key_columns, self.sequence_columns, **settings)
+        live, until = F.col("__cf_live"), F.col("__cf_until")
+        runs = self._with_keys(runs.where(live | until.isNull()), latest.select(*self.key_columns, LAST), "left")
+        shown = [name(c) if c in self.key_columns else F.when(live, name(c)).alias(c) for c in published]
+        return runs.select(*shown, F.when(live, F.col("__cf_seq")).alias(START_AT), until.alias(END_AT), F.when(until.isNull(), F.col(LAST)).alias(LAST))
+
+    def _heads(self, target: Dataset, previous, touched: list[int]) -> DataFrame:
+        """One row per key that was ever seen in these buckets: its open row, or its key alone where it is deleted, with its last sequence."""
+        schema = T.StructType([*previous.schema.fields, T.StructField(LAST, previous.schema[START_AT].dataType)])
+        return target.frame(Version(previous.number, schema, previous.parts), target.parts(previous, OPEN, GONE, buckets=touched))
+
+    def _as_events(self, opened: DataFrame, schema: T.StructType) -> DataFrame:
+        """Open rows in the shape of the events that began their runs."""
+        sequence, columns = self.sequence_columns, []
+        for field in schema.fields:
+            value = name(field.name) if field.name not in (*sequence, self.operation) else F.lit("U")
+            if field.name in sequence:
+                value = name(START_AT) if len(sequence) == 1 else name(START_AT)[field.name]
+            columns.append(value.alias(field.name))
+        return opened.select(*columns)
 
     def _history(self, events: DataFrame) -> DataFrame:
         return history.scd2_from_events(
@@ -242,11 +317,14 @@ class ChangeFlow(AppendFlow):
             block_rows=self.block_rows,
         )
 
-    def _stage(self, target: Dataset, events: DataFrame, folder: str) -> Part:
-        """Keep accepted events privately; a retry overwrites its own folder."""
-        bucketed = events.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
+    def _stage(self, target: Dataset, events: DataFrame, folder: str, by_range: bool = False) -> Part:
+        """Keep accepted events privately; a retry overwrites its own folder. ``by_range`` cuts large buckets by sequence."""
+        bucketed = events.withColumn(BUCKET, self._bucket())
+        order = [BUCKET, *self.sequence_columns]
+        # Ranging would run an observed batch twice, so it is for rows that are stored already.
+        bucketed = bucketed.repartitionByRange(*order) if by_range else bucketed.hint("rebalance", BUCKET)
         # Sorted files let a later read skip the events before its earliest one.
-        bucketed = bucketed.sortWithinPartitions(BUCKET, *self.sequence_columns)
+        bucketed = bucketed.sortWithinPartitions(*order)
         bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{target.root}/{folder}")
         return Part(STAGED, folder)
 
@@ -271,7 +349,7 @@ class ChangeFlow(AppendFlow):
         """Rewrite the staged events of many batches as one folder; history stays as it is."""
         target = Dataset(spark, self.target)
         version = target.version()
-        part = self._stage(target, self.staged_events(spark), f"staged/{BATCH}=compacted-{version.number}")
+        part = self._stage(target, self.staged_events(spark), f"staged/{BATCH}=compacted-{version.number}", by_range=True)
         return target.commit(version, version.schema, [p for p in version.parts if p.role != STAGED] + [part], version.info)
 
     def _with_keys(self, frame: DataFrame, keyed: DataFrame, how: str) -> DataFrame:
@@ -280,16 +358,16 @@ class ChangeFlow(AppendFlow):
     def _anchors(self, stored: DataFrame, changed: DataFrame) -> DataFrame:
         """Where each changed key's history is rebuilt from: the start of the version that holds
         at its earliest new event, or that event itself."""
-        cut, earliest = F.col("__cf_cut"), self._earliest(changed, "__cf_cut")
+        cut, earliest = F.col(CUT), self._earliest(changed, CUT)
         candidates = stored.select(*self.key_columns, START_AT, END_AT)
         if earliest is not None:
             candidates = candidates.where(name(END_AT).isNull() | (name(END_AT) > earliest))
-        holding = self._with_keys(candidates, changed.select(*self.key_columns, "__cf_cut"), "inner").where(
+        holding = self._with_keys(candidates, changed.select(*self.key_columns, CUT), "inner").where(
             (name(START_AT) <= cut) & (name(END_AT).isNull() | (name(END_AT) > cut))
         )
         starts = holding.select(*self.key_columns, name(START_AT).alias("__cf_start"))
         anchored = self._with_keys(changed, starts, "left")
-        anchored = anchored.select(*self.key_columns, BUCKET, F.coalesce("__cf_start", "__cf_cut").alias("__cf_anchor"))
+        anchored = anchored.select(*self.key_columns, BUCKET, F.coalesce("__cf_start", CUT).alias(ANCHOR))
         return self._written_once(anchored)
 
     def _written_once(self, keyed: DataFrame) -> DataFrame:
@@ -305,39 +383,35 @@ class ChangeFlow(AppendFlow):
 
     def _tail(self, staged: DataFrame, anchors: DataFrame, touched: list[int]) -> DataFrame:
         here = staged.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        earliest = self._earliest(anchors, "__cf_anchor")
+        earliest = self._earliest(anchors, ANCHOR)
         if earliest is not None:
             here = here.where(self._sequence() >= earliest)
         joined = self._with_keys(here, anchors.drop(BUCKET), "inner")
-        return joined.where(self._sequence() >= F.col("__cf_anchor")).drop("__cf_anchor")
-
-    def _kept(self, target: Dataset, previous, anchors: DataFrame, touched: list[int]):
-        """Stored rows of the rewritten folders that stay. Closed folders are rewritten only where
-        a late event reaches into them, or where many small ones have gathered."""
-        lean = anchors.drop(BUCKET)
-        closed = target.frame(previous, target.parts(previous, CLOSED, buckets=touched))
-        earliest = self._earliest(anchors, "__cf_anchor")
-        reached = closed if earliest is None else closed.where(name(START_AT) >= earliest)
-        reached = self._with_keys(reached.withColumn(BUCKET, self._bucket()), lean, "inner")
-        rewrite = {r[0] for r in reached.where(name(START_AT) >= F.col("__cf_anchor")).select(BUCKET).distinct().collect()}
-        counts: dict[int, int] = {}
-        for part in target.parts(previous, CLOSED, buckets=touched):
-            counts[part.bucket] = counts.get(part.bucket, 0) + 1
-        rewrite |= {bucket for bucket, n in counts.items() if n >= CLOSED_FOLDERS}
-        opened = target.frame(previous, target.parts(previous, OPEN, buckets=touched))
-        stays = target.frame(previous, target.parts(previous, CLOSED, buckets=rewrite))
-        rows = self._with_keys(opened.unionByName(stays), lean, "left")
-        return rows.where(F.col("__cf_anchor").isNull() | (name(START_AT) < F.col("__cf_anchor"))).drop("__cf_anchor"), rewrite
+        return joined.where(self._sequence() >= F.col(ANCHOR)).drop(ANCHOR)
+
+    def _reached(self, target: Dataset, previous, anchors: DataFrame, here: list[int]) -> set[int]:
+        """Buckets in whose closed rows a late event reaches."""
+        closed = target.frame(previous, target.parts(previous, CLOSED, buckets=here))
+        earliest = self._earliest(anchors, ANCHOR)
+        if earliest is not None:
+            closed = closed.where(name(START_AT) >= earliest)
+        found = self._with_keys(closed.withColumn(BUCKET, self._bucket()), anchors.drop(BUCKET), "inner")
+        return {r[0] for r in found.where(name(START_AT) >= F.col(ANCHOR)).select(BUCKET).distinct().collect()}
+
+    def _crowded(self, target: Dataset, previous, touched: list[int]) -> set[int]:
+        """Touched buckets in which many small closed folders have gathered."""
+        counts = Counter(p.bucket for p in target.parts(previous, CLOSED, buckets=touched))
+        return {bucket for bucket, n in counts.items() if n >= CLOSED_FOLDERS}
 
     def _write(self, target: Dataset, frame: DataFrame) -> list[Part]:
-        """Write open and closed rows by bucket; returns the folders that hold rows."""
+        """Write open rows, closed rows and deleted keys by bucket; returns the folders that hold rows."""
         folder = target.new_folder()
-        role = F.when(name(END_AT).isNull(), OPEN).otherwise(CLOSED)
+        role = F.when(name(END_AT).isNotNull(), CLOSED).when(name(START_AT).isNull(), GONE).otherwise(OPEN)
         placed = frame.withColumns({ROLE: role, BUCKET: self._bucket()}).hint("rebalance", ROLE, BUCKET)
         placed.write.partitionBy(ROLE, BUCKET).parquet(f"{target.root}/{folder}")
         target.written(folder)
         parts = []
-        for kind in (OPEN, CLOSED):
+        for kind in (OPEN, CLOSED, GONE):
             for inner in target.storage.names(f"{target.root}/{folder}/{ROLE}={kind}"):
                 if inner.startswith(f"{BUCKET}="):
                     parts.append(Part(kind, f"{folder}/{ROLE}={kind}/{inner}", int(inner.split("=")[1])))
