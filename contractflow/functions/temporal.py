@@ -14,7 +14,7 @@ from ..contract import Column, Contract, canonical_type
 DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 TIMESTAMP_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?\z"
 
-INVALID = "A temporal source value is not an exact calendar date or zone-less timestamp of at most six fraction digits"
+INVALID = "A DATE or TIMESTAMP text is not exact"
 
 
 def _native(type_name: str) -> str:

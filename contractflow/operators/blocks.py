@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint, rows_per_block
 
-BLOCK = "__cf_block"
+BLOCK, PREVIOUS = "__cf_block", "__cf_previous"
 BROADCAST_KEYS = 100_000
 
 
@@ -60,14 +60,14 @@ def with_previous(
         return frame.withColumn(target, F.when(F.col("__cf_any"), values)).drop(*marks, "__cf_any")
 
     split = split_hot(df, keys, order, limit)
-    out = lagged(split.cold, by(*keys), "__cf_previous")
+    out = lagged(split.cold, by(*keys), PREVIOUS)
     if split.hot is None:
         return out
     w = by(*keys, BLOCK)
     last = F.lead(F.lit(True)).over(w).isNull()
-    inside = checkpoint(lagged(split.hot, w, "__cf_previous").withColumn("__cf_last", last))
-    first = F.col("__cf_previous").isNull()
+    inside = checkpoint(lagged(split.hot, w, PREVIOUS).withColumn("__cf_last", last))
+    first = F.col(PREVIOUS).isNull()
     carried = lagged(inside.where(first | F.col("__cf_last")), by(*keys), "__cf_carried").where(first)
-    for part in (inside.where(~first), carried.withColumn("__cf_previous", F.col("__cf_carried"))):
+    for part in (inside.where(~first), carried.withColumn(PREVIOUS, F.col("__cf_carried"))):
         out = out.unionByName(part.select(*out.columns))
     return out

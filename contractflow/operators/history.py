@@ -20,6 +20,10 @@ from ..session import checkpoint
 from .blocks import BLOCK, split_hot
 from .projection import current_rows, literal, name
 
+#: Changed keys that may be sent to every task; beyond, Spark chooses the join.
+BROADCAST_KEYS = 200_000
+#: Buckets of digests that two histories are compared by.
+DIGEST_BUCKETS = 4096
 CONFLICT = "Two different events share one key and sequence; the source must order them"
 
 
@@ -144,14 +148,12 @@ def sequence_conflicts(
     """Keys and sequences that carry more than one distinct event."""
     sequence = [sequence] if isinstance(sequence, str) else list(sequence)
     group = [*keys, *sequence]
-    body = _state([c for c in events.columns if c not in set(group) | {RESCUED, *ignore}])
-    # min and max combine before the shuffle, so a group of copies never meets in one task.
-    return (
-        events.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias(report_name("events", group)), F.min(body).alias("__cf_low"), F.max(body).alias("__cf_high"))
-        .where(~F.col("__cf_low").eqNullSafe(F.col("__cf_high")))
-        .drop("__cf_low", "__cf_high")
-    )
+    body = [c for c in events.columns if c not in set(group) | {RESCUED, *ignore}]
+    # Least and greatest fingerprint are plain numbers: they are hash-aggregated, combined before the shuffle, without sorting.
+    bounds = [f(h).alias(f"__cf_{n}{i}") for i, h in enumerate(fingerprint(body)) for n, f in (("low", F.min), ("high", F.max))]
+    found = events.groupBy(*group).agg(F.count(F.lit(1)).alias("__cf_events"), *bounds)
+    differ = (F.col("__cf_low0") != F.col("__cf_high0")) | (F.col("__cf_low1") != F.col("__cf_high1"))
+    return found.where(differ).select(*_columns(group), F.col("__cf_events").alias(report_name("events", group)))
 
 
 # --- complete snapshots --------------------------------------------------------------------
@@ -193,6 +195,38 @@ def apply_snapshot(
     return both.select(*values, F.col("__cf_start").alias(START_AT), F.col("__cf_end").alias(END_AT))
 
 
+def _prints(frame: DataFrame, keys: Sequence[str], columns: Sequence[str], mark: str) -> DataFrame:
+    """Keys and fingerprints only: all of a row that has to travel until it is known to have changed."""
+    return frame.select(*_columns(keys), *[f.alias(f"__cf_{mark}{i}") for i, f in enumerate(fingerprint(columns))])
+
+
+def _same_prints() -> SparkColumn:
+    return F.col("__cf_old0").eqNullSafe(F.col("__cf_new0")) & F.col("__cf_old1").eqNullSafe(F.col("__cf_new1"))
+
+
+def changed_keys(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Keys that are on one side only, or whose rows have different fingerprints."""
+    both = _prints(old, keys, columns, "old").join(_prints(new, keys, columns, "new"), list(keys), "full_outer")
+    return both.where(~_same_prints()).select(*_columns(keys))
+
+
+def advance_snapshot(
+    opened: DataFrame | None, snapshot: DataFrame, keys: Sequence[str], version: int, tracked: Sequence[str] | None = None
+) -> DataFrame:
+    """The rows of ``apply_snapshot``, for tables of which little changes between deliveries.
+
+    Keys and fingerprints are compared first, and written once. Rows of unchanged keys go from the stored rows to the result without a
+    shuffle; only the payload of changed keys is joined, and there the values themselves decide.
+    """
+    if opened is None:
+        return apply_snapshot(None, snapshot, keys, version, tracked)
+    changed = checkpoint(changed_keys(opened, snapshot, keys, _payload(snapshot, keys, ())))
+    few = F.broadcast if changed.count() <= BROADCAST_KEYS else lambda frame: frame
+    part = lambda frame, how: frame.join(few(changed), list(keys), how)
+    moved = apply_snapshot(part(opened, "left_semi"), part(snapshot, "left_semi"), keys, version, tracked)
+    return moved.unionByName(part(opened, "left_anti").select(*moved.columns))
+
+
 def scd2_from_snapshots(
     history: DataFrame | None,
     snapshot: DataFrame,
@@ -255,16 +289,10 @@ def scd2_from_snapshot_series(
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None) -> DataFrame:
-    """Keys that were inserted, updated or deleted between two complete snapshots."""
+    """Keys that were inserted, updated or deleted between two complete snapshots. Only keys and fingerprints are joined."""
     compare = _payload(new, keys, ()) if compare is None else list(compare)
-    a = old.select(*_columns(keys), _state(compare).alias("__cf_old"))
-    b = new.select(*_columns(keys), _state(compare).alias("__cf_new"))
-    change = (
-        F.when(F.col("__cf_old").isNull(), "insert")
-        .when(F.col("__cf_new").isNull(), "delete")
-        .when(~F.col("__cf_old").eqNullSafe(F.col("__cf_new")), "update")
-    )
-    joined = a.join(b, list(keys), "full_outer")
+    change = F.when(F.col("__cf_old0").isNull(), "insert").when(F.col("__cf_new0").isNull(), "delete").when(~_same_prints(), "update")
+    joined = _prints(old, keys, compare, "old").join(_prints(new, keys, compare, "new"), list(keys), "full_outer")
     found = joined.select(*_columns(keys), change.alias("__cf_change")).where(F.col("__cf_change").isNotNull())
     return found.withColumnRenamed("__cf_change", report_name("change", keys))
 
@@ -272,15 +300,35 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], compare:
 # --- latest rows, increments and reconciliation ----------------------------------------------
 
 
-def latest_rows(df: DataFrame, keys: Sequence[str], sequence: str | Sequence[str]) -> DataFrame:
-    """One row per key, the one with the greatest sequence; combined before the shuffle."""
+def latest_rows(df: DataFrame, keys: Sequence[str], sequence: str | Sequence[str], conflicts: bool = True) -> DataFrame:
+    """One row per key, the one with the greatest sequence; combined before the shuffle.
+
+    Different rows that share a key's greatest sequence are a conflict: with ``conflicts`` left out the greatest of them is
+    taken, otherwise they fail the query, as different events of one sequence do. Exact copies collapse.
+    """
     sequence = [sequence] if isinstance(sequence, str) else list(sequence)
     rest = [c for c in df.columns if c not in set(keys) | set(sequence)]
     top = F.max(F.struct(*_columns(sequence), *_columns(rest))).alias("__cf_top")
-    picked = df.groupBy(*_columns(keys)).agg(top)
+    if not conflicts or not rest:
+        picked = df.groupBy(*_columns(keys)).agg(top)
+        return picked.select(*[name(c) if c in keys else F.col("__cf_top")[c].alias(c) for c in df.columns])
+    # Of the rows with the greatest sequence, the largest fingerprint and (by its complement) the smallest.
+    prints = dict(zip(("__cf_f0", "__cf_f1"), fingerprint(rest), strict=True))
+    marked = df.withColumns(prints)
+    ends = [F.max(F.struct(*_columns(sequence), *[mark(F.col(f)).alias(f) for f in prints])) for mark in (lambda c: c, F.bitwise_not)]
+    picked = marked.groupBy(*_columns(keys)).agg(top, ends[0].alias("__cf_high"), ends[1].alias("__cf_low"))
+    differ = _any(F.col("__cf_high")[f] != F.bitwise_not(F.col("__cf_low")[f]) for f in prints)
+    checked = F.when(differ, F.raise_error(F.lit(CONFLICT)).cast(picked.schema["__cf_top"].dataType)).otherwise(F.col("__cf_top"))
+    picked = picked.select(*_columns(keys), checked.alias("__cf_top"))
     return picked.select(*[name(c) if c in keys else F.col("__cf_top")[c].alias(c) for c in df.columns])
 
 
+def fingerprint(columns: Sequence[str]) -> tuple[SparkColumn, SparkColumn]:
+    """Two 64-bit hashes of a row. Spark's hash passes over nulls, so where they are is hashed as well."""
+    values = [*_columns(columns), *[name(c).isNull() for c in columns]]
+    return F.xxhash64(F.lit(0), *values), F.xxhash64(F.lit(1), *values)
+
+
 def scd1_merge(
     target: DataFrame | None,
     updates: DataFrame,
@@ -289,14 +337,14 @@ def scd1_merge(
     deleted: str | None = None,
 ) -> DataFrame:
     """Latest row per key. A stored newer row is never replaced by an older one; with equal
-    sequences the update wins. Keys missing from the updates stay; only rows the extract flags
+    sequences the update wins over the stored row, and two different updates fail the query. Keys missing from the updates stay; only rows the extract flags
     with the ``deleted`` predicate leave.
 
     Only the updates are grouped: the target has one row per key and joins as it is.
     """
     sequence = [sequence] if isinstance(sequence, str) else list(sequence)
     flag = F.coalesce(F.expr(deleted), F.lit(False)) if deleted else F.lit(False)
-    latest = latest_rows(updates.withColumn("__cf_gone", flag), keys, [*sequence, "__cf_gone"])
+    latest = latest_rows(updates.withColumn("__cf_gone", flag), keys, sequence)
     if target is None:
         return latest.where(~F.col("__cf_gone")).drop("__cf_gone")
     columns = target.columns
@@ -326,10 +374,29 @@ def high_water_mark(df: DataFrame, cursor: str) -> DataFrame:
     return df.agg(F.max(name(cursor)).alias("high_water_mark"))
 
 
-def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
+def bucket_digests(frame: DataFrame, buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """Per bucket of fingerprints: the number of rows and the sums of their fingerprints, which do not depend on the order."""
+    placed = frame.select(*[f.alias(f"__cf_f{i}") for i, f in enumerate(fingerprint(frame.columns))])
+    whole = [F.sum(F.col(f).cast("decimal(20,0)")).alias(f) for f in placed.columns]
+    return placed.groupBy(F.pmod("__cf_f0", F.lit(buckets)).alias("__cf_bucket")).agg(F.count(F.lit(1)).alias("__cf_n"), *whole)
+
+
+def reconcile(left: DataFrame, right: DataFrame, buckets: int = DIGEST_BUCKETS) -> DataFrame:
     """Rows whose number of copies differs, with ``copies`` positive where left has more.
 
-    One grouping answers both directions; an empty result means the two are equal.
+    An empty result means the two are equal. Digests of buckets are compared first: rows of equal buckets stay where they are,
+    only those of the others are grouped. One grouping answers both directions.
     """
-    sides = left.withColumn("__cf_n", F.lit(1)).unionByName(right.withColumn("__cf_n", F.lit(-1)))
+    minus = lambda c: -F.col(c)
+    digests = bucket_digests(left, buckets)
+    others = bucket_digests(right.select(*_columns(left.columns)), buckets)
+    signed = digests.unionByName(others.select("__cf_bucket", *[minus(c).alias(c) for c in others.columns[1:]]))
+    totals = signed.groupBy("__cf_bucket").agg(*[F.sum(c).alias(c) for c in others.columns[1:]])
+    differing = F.broadcast(totals.where(_any(F.col(c) != 0 for c in others.columns[1:])).select("__cf_bucket"))  # at most ``buckets`` rows
+
+    def rest(side: DataFrame, sign: int) -> DataFrame:
+        placed = side.withColumn("__cf_bucket", F.pmod(fingerprint(side.columns)[0], F.lit(buckets)))
+        return placed.join(differing, "__cf_bucket", "left_semi").drop("__cf_bucket").withColumn("__cf_n", F.lit(sign))
+
+    sides = rest(left, 1).unionByName(rest(right.select(*_columns(left.columns)), -1))
     return sides.groupBy(*_columns(left.columns)).agg(F.sum("__cf_n").alias("__cf_copies")).where("__cf_copies <> 0").withColumnRenamed("__cf_copies", report_name("copies", left.columns))

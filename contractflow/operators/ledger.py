@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import DataRejected, require
-from .blocks import with_previous
+from .blocks import PREVIOUS, with_previous
 
 # Limits and forms of the delivery index format.
 MAX_INTEGER = 9007199254740991
@@ -137,7 +137,7 @@ def order_violations(
     ordered = with_previous(
         lean, ["dataset"], ["version", "captured_at", "id"], ["version", "captured_at", "row_count"], block_rows
     )
-    before = F.col("__cf_previous")
+    before = F.col(PREVIOUS)
     nothing = F.lit(None)
     rules = {"time_order": (_holds(F.col("captured_at") < before["captured_at"]), nothing)}
     if contiguous:

@@ -153,7 +153,7 @@ class SnapshotFlow:
             return None
         rows = self.verified(spark, delivery)
         opened = target.frame(previous, target.parts(previous, OPEN)) if previous else None
-        changed = history.apply_snapshot(opened, rows, self.key_columns, delivery.version, self.tracked_columns)
+        changed = history.advance_snapshot(opened, rows, self.key_columns, delivery.version, self.tracked_columns)
         # The checks read only their own columns; a malformed JSON value elsewhere fails here.
         hidden = without_values(UNREADABLE) if self.fmt == "json" else contextlib.nullcontext()
         with hidden:

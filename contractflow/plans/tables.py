@@ -15,7 +15,8 @@ from ..functions.rules import MANAGED, compile_rules
 from ..operators import history
 from ..operators.projection import name
 from ..operators.verify import duplicate_keys
-from ..sources.datasets import OPEN, Dataset, Version
+from ..session import checkpoint
+from ..sources.datasets import BUCKET, OPEN, TABLE, Dataset, Version
 from .views import after_load
 
 SCD1, SCD2, APPEND_ONLY = "SCD_TYPE_1", "SCD_TYPE_2", "APPEND_ONLY"
@@ -26,7 +27,9 @@ class TableFlow:
     """Bring a target up to date with its source.
 
     ``source`` reads the source beyond a high-water mark (None means all of it). With a cursor
-    only newer rows are read; without one every run is a full refresh.
+    only newer rows are read; without one every run is a full refresh. SCD1 and SCD2 tables with a cursor are kept in
+    ``buckets`` by key, and a run reads and writes the buckets that its rows fall into. Choose them once, so that a bucket is
+    a few gigabytes; their number is fixed when the target is created.
     """
 
     target: str
@@ -37,6 +40,7 @@ class TableFlow:
     deleted: str | None = None
     unsupported: str = "error"
     results: str | None = None
+    buckets: int = 64
 
     def __post_init__(self):
         require(self.mode in (SCD1, SCD2, APPEND_ONLY), "Unknown history mode")
@@ -65,7 +69,13 @@ class TableFlow:
         def info(written: DataFrame) -> dict:
             highest = history.high_water_mark(written, self.cursor_column).select(F.col("high_water_mark").cast("string"))
             found = highest.first()[0]
-            return {"mark": before if found is None else found}
+            if None not in (before, found):
+                # Rows of untouched buckets are not among those written, and may hold the highest mark.
+                kind = spark_type(self.contract.by_source(self.cursor).type)
+                both = written.sparkSession.range(1).select(F.greatest(*[F.lit(m).cast(kind) for m in (before, found)]).cast("string"))
+                found = both.first()[0]
+            mark = {"mark": before if found is None else found}
+            return mark if self.mode == APPEND_ONLY else {**mark, "buckets": self.buckets}
 
         return info
 
@@ -81,16 +91,37 @@ class TableFlow:
             if not self.cursor:
                 return target.replace_table(rows, info)
             return target.add_to_table(rows, info)
+        if self.cursor:
+            return self._increment(target, previous, rows, info)
         if self.mode == SCD1:
-            if not self.cursor:
-                return target.replace_table(rows, info)
-            stored = target.read() if previous else None
-            return target.replace_table(history.scd1_merge(stored, rows, keys, self.cursor_column, self.deleted), info)
+            return target.replace_table(rows, info)
         opened = target.frame(previous, target.parts(previous, OPEN)) if previous else None
-        if not self.cursor:
-            number = previous.number + 1 if previous else 1
-            return target.advance_history(history.apply_snapshot(opened, rows, keys, number), info)
-        return target.advance_history(advance_by_cursor(opened, rows, keys, self.cursor_column), info)
+        number = previous.number + 1 if previous else 1
+        return target.advance_history(history.advance_snapshot(opened, rows, keys, number), info)
+
+    def _bucket(self) -> SparkColumn:
+        return F.pmod(F.xxhash64(*[name(k) for k in self.contract.keys]), F.lit(self.buckets)).cast("int")
+
+    def _increment(self, target: Dataset, previous: Version | None, rows: DataFrame, info) -> Version:
+        """Apply newer rows to the buckets that they fall into; without any, the version stays."""
+        keys, role = self.contract.keys, TABLE if self.mode == SCD1 else OPEN
+        rows = checkpoint(rows)  # the source is read once
+        touched = sorted(r[0] for r in rows.select(self._bucket().alias(BUCKET)).distinct().collect())
+        if previous is None:
+            stored, touched = None, None
+        elif not touched:
+            return previous
+        else:
+            same = previous.info.get("buckets", self.buckets) == self.buckets
+            require(same, "The number of buckets is fixed when a target is created")
+            if any(p.bucket is None for p in target.parts(previous, role)):
+                touched = None  # written before the table was kept in buckets
+            stored = target.frame(previous, target.parts(previous, role, buckets=touched))
+        if self.mode == SCD1:
+            fresh = history.scd1_merge(stored, rows, keys, self.cursor_column, self.deleted)
+        else:
+            fresh = advance_by_cursor(stored, rows, keys, self.cursor_column)
+        return target.replace_buckets(fresh, self._bucket(), touched, info)
 
     def _accepted(self, rows: DataFrame) -> DataFrame:
         """The source's rows in the contract's column order, refused when their columns, types or keys are not the contract's."""
@@ -118,6 +149,10 @@ def advance_by_cursor(opened: DataFrame | None, rows: DataFrame, keys: list[str]
     """
     tracked = [c for c in rows.columns if c not in {*keys, cursor}]
     events = rows.withColumn("__cf_at", name(cursor))
-    if opened is not None:
-        events = opened.withColumn("__cf_at", name(START_AT)).drop(START_AT, END_AT).unionByName(events)
-    return history.scd2_from_events(events, keys, "__cf_at", tracked=tracked)
+    if opened is None:
+        return history.scd2_from_events(events, keys, "__cf_at", tracked=tracked)
+    changed = rows.select(*[name(k) for k in keys]).distinct()
+    before = opened.join(changed, keys, "left_semi").withColumn("__cf_at", name(START_AT)).drop(START_AT, END_AT)
+    moved = history.scd2_from_events(before.unionByName(events), keys, "__cf_at", tracked=tracked)
+    # Rows of keys without news are as they were; only the others are ordered.
+    return moved.unionByName(opened.join(changed, keys, "left_anti").select(*moved.columns))

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -156,6 +156,33 @@ class Dataset:
         self.written(f"appended/{BATCH}={batch_id}")
         return Part(TABLE, "appended", through=batch_id)
 
+    def write_placed(self, frame: DataFrame, role: Column, bucket: Column) -> tuple[str, list[Part]]:
+        """Write rows by role and bucket; the folder, and one part for each pair that has rows."""
+        folder = self.new_folder()
+        # The rebalance lets many tasks write a hot bucket.
+        placed = frame.withColumns({ROLE: role, BUCKET: bucket}).hint("rebalance", ROLE, BUCKET)
+        placed.write.partitionBy(ROLE, BUCKET).parquet(f"{self.root}/{folder}")
+        inner = lambda where, column: [n for n in self.storage.names(f"{self.root}/{where}") if n.startswith(f"{column}=")]
+        value = lambda entry: entry.split("=")[1]
+        self.written(folder)
+        return folder, [
+            Part(value(kind), f"{folder}/{kind}/{place}", int(value(place)))
+            for kind in inner(folder, ROLE)
+            for place in inner(f"{folder}/{kind}", BUCKET)
+        ]
+
+    def replace_buckets(self, frame: DataFrame, bucket: Column, touched: Iterable[int] | None, info=None) -> Version:
+        """A new version in which these rows stand for the table or open rows of the touched buckets (None: of all); closed rows are
+        added to those that are stored, and all other folders stay."""
+        previous, touched = self.version(), None if touched is None else set(touched)
+        history = END_AT in frame.columns
+        role = F.when(name(END_AT).isNull(), OPEN).otherwise(CLOSED) if history else F.lit(TABLE)
+        folder, written = self.write_placed(frame, role, bucket)
+        info = self._info(info, frame.schema, folder)
+        live = OPEN if history else TABLE
+        stays = [p for p in previous.parts if p.role == live and touched is not None and p.bucket not in touched] if previous else []
+        return self.commit(previous, frame.schema, [*stays, *(self._merged(previous) if previous else []), *written], info)
+
     def advance_history(self, frame: DataFrame, info=None) -> Version:
         """Replace the open rows and add the newly closed ones; closed history stays in place."""
         previous, folder = self.version(), self.new_folder()

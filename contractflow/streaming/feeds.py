@@ -24,7 +24,7 @@ from ..operators import history, quality
 from ..operators.projection import business_rules, fails, literal, name, project, required_rules
 from ..plans.terms import SourceTerms
 from ..session import checkpoint
-from ..sources.datasets import BATCH, BUCKET, CLOSED, GONE, OPEN, ROLE, STAGED, Dataset, Part, Version
+from ..sources.datasets import BATCH, BUCKET, CLOSED, GONE, OPEN, STAGED, Dataset, Part, Version
 from ..sources.files import FILE, parquet_misfits, reader_options, stream_files
 from ..sources.storage import Storage
 
@@ -405,17 +405,8 @@ class ChangeFlow(AppendFlow):
 
     def _write(self, target: Dataset, frame: DataFrame) -> list[Part]:
         """Write open rows, closed rows and deleted keys by bucket; returns the folders that hold rows."""
-        folder = target.new_folder()
         role = F.when(name(END_AT).isNotNull(), CLOSED).when(name(START_AT).isNull(), GONE).otherwise(OPEN)
-        placed = frame.withColumns({ROLE: role, BUCKET: self._bucket()}).hint("rebalance", ROLE, BUCKET)
-        placed.write.partitionBy(ROLE, BUCKET).parquet(f"{target.root}/{folder}")
-        target.written(folder)
-        parts = []
-        for kind in (OPEN, CLOSED, GONE):
-            for inner in target.storage.names(f"{target.root}/{folder}/{ROLE}={kind}"):
-                if inner.startswith(f"{BUCKET}="):
-                    parts.append(Part(kind, f"{folder}/{ROLE}={kind}/{inner}", int(inner.split("=")[1])))
-        return parts
+        return target.write_placed(frame, role, self._bucket())[1]
 
 
 def from_landing(contract: Contract, upstream: Contract, **settings) -> AppendFlow:

@@ -45,10 +45,13 @@ def scd2_snapshots_tracked(spark, folder):
 
 @query
 def scd2_snapshots_stepwise(spark, folder):
-    built = None
+    built = closed = None
     for version, rows in inputs.customer_snapshots(spark, folder):
-        built = history.scd2_from_snapshots(built, rows, CUSTOMER, version)
-    return built
+        changed = history.advance_snapshot(built and current_rows(built), rows, CUSTOMER, version)
+        ended = changed.where(F.col(END_AT).isNotNull())
+        closed = ended if closed is None else closed.unionByName(ended)
+        built = changed
+    return current_rows(built).unionByName(closed)
 
 
 @query

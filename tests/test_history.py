@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from contractflow.contract import END_AT, START_AT
 from contractflow.errors import ContractError
 from contractflow.operators import history
-from contractflow.operators.blocks import BLOCK, split_hot, with_previous
+from contractflow.operators.blocks import BLOCK, PREVIOUS, split_hot, with_previous
 
 SCHEMA = "k bigint, seq bigint, op string, a string, b bigint"
 
@@ -190,6 +190,69 @@ def test_previous_rows_across_blocks(spark):
     frame = spark.range(500).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
     for limit in (None, 20):
         result = with_previous(frame, ["k"], ["v"], ["v"], limit)
-        assert {r.v: r._previous and r._previous.v for r in result.collect()} == {
+        assert {r.v: r[PREVIOUS] and r[PREVIOUS].v for r in result.collect()} == {
             v: v - 2 if v > 1 else None for v in range(500)
         }
+
+
+def random_table(spark, rng, keys, version):
+    rows = [(k, rng.choice([None, "a", "b"]), rng.choice([None, 0.0, 1.5, float("nan")]), rng.choice([None, "a", "b"])) for k in keys]
+    return spark.createDataFrame(rows, "k int, a string, x double, b string")
+
+
+@pytest.mark.parametrize("tracked", [None, ["a"]])
+def test_fingerprints_first_gives_the_same_history(spark, rows, tracked):
+    rng = random.Random(3)
+    snapshots = [(v, random_table(spark, rng, rng.sample(range(40), rng.choice([0, 20, 35])), v)) for v in range(1, 5)]
+    plain = quick = None
+    for version, snapshot in [*snapshots, (9, snapshots[-1][1])]:
+        plain = history.apply_snapshot(plain and plain.where(f"{END_AT} is null"), snapshot, ["k"], version, tracked)
+        quick = history.advance_snapshot(quick and quick.where(f"{END_AT} is null"), snapshot, ["k"], version, tracked)
+        assert list(map(repr, rows(quick))) == list(map(repr, rows(plain)))
+
+
+def test_an_unchanged_snapshot_shuffles_keys_and_fingerprints(spark):
+    opened = history.apply_snapshot(None, spark.range(1000).selectExpr("id AS k", "repeat('x', 50) AS body"), ["k"], 1)
+    frame = history.advance_snapshot(opened, opened.select("k", "body"), ["k"], 2)
+    assert frame.count() == 1000
+    changed = history.changed_keys(opened, opened.select("k", "body"), ["k"], ["body"])
+    exchanged = [line for line in changed._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Project" in line]
+    assert any("__cf_old0" in line and "body" not in line.split("xxhash64")[0] for line in exchanged)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan.split("BroadcastHashJoin")[-1] and plan.count("LeftAnti, BuildRight") >= 1
+
+
+def test_reconcile_compares_digests_first(spark, rows):
+    rng = random.Random(5)
+    data = [(rng.randrange(50), rng.choice([None, "a", "b"]), rng.choice(["a", None])) for _ in range(400)]
+    left = spark.createDataFrame(data, "k int, a string, b string")
+    right = spark.createDataFrame(rng.sample(data, len(data)), left.schema)
+    assert history.reconcile(left, right).isEmpty()
+    other = right.union(spark.createDataFrame([(7, None, "a")] * 2, left.schema)).select("b", "k", "a")
+    assert rows(history.reconcile(left, other)) == [(7, None, "a", -2)] and rows(history.reconcile(other, left)) == [("a", 7, None, 2)]
+    assert rows(history.reconcile(left, other, buckets=1)) == [(7, None, "a", -2)]
+    swapped = spark.createDataFrame([(1, None, "a")], left.schema), spark.createDataFrame([(1, "a", None)], left.schema)
+    assert sorted(r.copies for r in history.reconcile(*swapped).collect()) == [-1, 1]
+    plan = history.reconcile(left, right)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 2 and "strategy=broadcast" in plan
+
+
+def test_updates_that_share_a_sequence_are_a_conflict(spark, rows):
+    stored = spark.createDataFrame([(1, 1, "a"), (2, 5, "b")], "k int, s int, v string")
+    copies = spark.createDataFrame([(1, 2, "x"), (1, 2, "x"), (1, 1, "old"), (1, 1, "older"), (2, 5, "same time")], stored.schema)
+    # Only the greatest sequence of a key decides; the update wins over a stored row of equal sequence.
+    assert rows(history.scd1_merge(stored, copies, ["k"], "s")) == [(1, 2, "x"), (2, 5, "same time")]
+    for other in ("y", None):
+        differing = copies.union(spark.createDataFrame([(1, 2, other)], stored.schema))
+        with pytest.raises(Exception, match="share one key and sequence"):
+            history.scd1_merge(stored, differing, ["k"], "s").collect()
+    with pytest.raises(Exception, match="share one key and sequence"):
+        history.scd1_merge(None, copies.union(spark.createDataFrame([(1, 2, "gone")], stored.schema)), ["k"], "s", "v = 'gone'").collect()
+    assert history.latest_rows(copies.union(spark.createDataFrame([(1, 2, "y")], stored.schema)), ["k"], "s", conflicts=False).where("k = 1").first().v == "y"
+
+
+def test_conflicts_are_found_without_sorting(spark):
+    frame = spark.createDataFrame([(1, 1, None, "a"), (1, 1, "a", None), (2, 1, "x", "y"), (2, 1, "x", "y"), (3, 1, None, None)], "k int, s int, a string, b string")
+    found = history.sequence_conflicts(frame, ["k"], "s")
+    assert [tuple(r) for r in found.collect()] == [(1, 1, 2)]
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()

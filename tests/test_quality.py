@@ -1,275 +1,270 @@
+"""Quality rules over the given customers: every expected number is counted in plain Python from the same rows."""
+
 import datetime as dt
-from decimal import Decimal
+import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from contractflow import Column, Contract, ContractError, DataRejected, QualityFailed
 from contractflow.functions import rules as R
 from contractflow.operators import quality
 
+TYPES = {"c_custkey": "BIGINT", "c_nationkey": "INT", "c_mktsegment": "STRING", "c_acctbal": "DOUBLE"}
 
-def contract(*status_rules, table_rules=(), contract_rules=(), keys=True):
-    return Contract(
-        "orders",
-        (
-            Column("order_id", "BIGINT", required=True, key=keys),
-            Column("st", "STRING", target="state", quality=tuple(status_rules)),
-            Column("amount", "DECIMAL(10,2)"),
-        ),
-        "1.0.0",
-        tuple(table_rules),
-        tuple(contract_rules),
-    )
 
+def described(table=(), everywhere=(), key=True, **by_column):
+    """The customers' contract with rules on the table, on everything, and on columns; segments are published as ``segment``."""
+    target = {"c_mktsegment": "segment"}
+    columns = [Column(c, t, target.get(c), required=c == "c_custkey", key=key and c == "c_custkey", quality=tuple(by_column.get(c, ()))) for c, t in TYPES.items()]
+    return Contract("customers", tuple(columns), "2.0.0", tuple(table), tuple(everywhere))
+
+
+@pytest.fixture(scope="module")
+def customers(spark):
+    """Customers of which every seventh has no segment and the first ten stand twice."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    segment = F.when(F.col("c_custkey") % 7 != 0, F.col("c_mktsegment"))
+    rows = rows.select("c_custkey", "c_nationkey", segment.alias("segment"), "c_acctbal").orderBy("c_custkey")
+    return rows.unionByName(rows.limit(10)).persist()
+
+
+@pytest.fixture(scope="module")
+def plain(customers):
+    return [r.asDict() for r in customers.collect()]
 
-VALID = {
-    "id": "known-status", "metric": "invalidValues", "arguments": {"validValues": ["open", "closed", 3]},
-    "mustBe": 0, "severity": "error",
-}
-PRESENT = {"id": "has-status", "metric": "nullValues", "mustBe": 0}
 
+def judged(frame, checks):
+    return {r.id: (r.value, r.passed) for r in quality.evaluate(frame, checks).collect()}
 
-def orders(spark, *rows):
-    data = rows or [(1, "open", Decimal("1.50")), (2, None, None), (3, "other", Decimal("-2.00")), (3, "closed", None)]
-    return spark.createDataFrame(data, "order_id bigint, state string, amount decimal(10,2)")
 
+def on(frame, standard=R.SNAPSHOT, **rules):
+    return judged(frame, R.compile_rules(described(**rules), standard))
 
-def results(spark, checks, *rows):
-    return {r.id: (r.value, r.passed) for r in quality.evaluate(orders(spark, *rows), checks).collect()}
 
+def rule(name, metric=None, **more):
+    return {"id": name, **({"metric": metric} if metric else {}), **({} if set(more) & set(R.COMPARISONS) else {"mustBe": 0}), **more}
 
-def test_rules_keep_document_order_ids_and_outcomes(spark):
-    volume = {"id": "volume", "metric": "rowCount", "mustBeGreaterThan": 0, "severity": "Error"}
-    first = {"metric": "rowCount", "mustBeLessThan": 9}
-    checks = R.compile_rules(contract(VALID, PRESENT, table_rules=[volume], contract_rules=[first]), R.SNAPSHOT)
-    assert [(c.id, c.outcome) for c in checks] == [
-        ("*.rowCount", "warn"), ("volume", "fail"), ("known-status", "fail"), ("has-status", "warn")
+
+def test_single_value_rules_count_as_plain_python_does(customers, plain):
+    listed = ["BUILDING", "MACHINERY", 7]
+    rules = [
+        rule("null", "nullValues"),
+        rule("missing", "missingValues", arguments={"missingValues": ["BUILDING", 4]}),
+        rule("missing-default", "missingValues"),
+        rule("listed", "invalidValues", arguments={"validValues": listed}),
+        rule("form", "invalidValues", arguments={"pattern": "[A-M].*"}),
+        rule("nothing-valid", "invalidValues", arguments={"validValues": [1, 2]}),
     ]
-    assert [c.alias for c in checks][:3] == ["q___rowCount", "q_volume", "q_known_status"]
-    twice = R.compile_rules(contract({**PRESENT, "id": "a-b"}, {**PRESENT, "id": "a_b"}), R.SNAPSHOT)
-    assert [c.alias for c in twice] == ["q_a_b", "q_a_b_2"]
-
-
-def test_metrics_of_every_kind(spark):
-    checks = R.compile_rules(
-        contract(
-            VALID,
-            PRESENT,
-            {"id": "missing", "metric": "missingValues", "mustBe": 0, "arguments": {"missingValues": ["other", 1]}},
-            {"id": "pattern", "metric": "invalidValues", "mustBe": 0, "arguments": {"pattern": "o.*|closed"}},
-            {"id": "share", "metric": "nullValues", "unit": "percent", "mustBeBetween": [25, 25]},
-            {"id": "repeat", "metric": "duplicateValues", "mustBe": 0},
-            {"id": "max", "type": "sql", "query": "SELECT max(length(${column})) FROM ${table}", "mustBe": 6},
-            table_rules=[
-                {"id": "rows", "metric": "rowCount", "mustBe": 4},
-                {"id": "pair", "metric": "duplicateValues", "arguments": {"properties": ["order_id", "amount"]}, "mustBe": 0},
-                {"id": "positive", "type": "custom", "engine": "spark", "implementation": "amount >= 0"},
-                {"id": "elsewhere", "type": "custom", "engine": "soda", "implementation": {}},
-                {"id": "avg", "type": "sql", "query": "SELECT avg(amount) FROM ${table}", "mustBeLessThan": 0},
-            ],
-        ),
-        R.SNAPSHOT,
-    )
-    assert results(spark, checks) == {
-        "known-status": ("1", False),
-        "has-status": ("1", False),
-        "missing": ("2", False),
-        "pattern": ("0", True),
-        "share": ("25", True),
-        "repeat": ("0", True),
-        "max": ("6", True),
-        "rows": ("4", True),
-        "pair": ("0", True),
-        "positive": ("3", False),
-        "avg": ("-0.250000", True),
+    segments = [r["segment"] for r in plain]
+    given = [s for s in segments if s is not None]
+    wanted = {
+        "null": segments.count(None),
+        "missing": sum(s is None or s == "BUILDING" for s in segments),
+        "missing-default": segments.count(None),
+        "listed": sum(s not in listed for s in given),
+        "form": sum(not re.fullmatch("[A-M].*", s) for s in given),
+        "nothing-valid": len(given),
     }
+    assert on(customers, c_mktsegment=rules) == {name: (str(n), n == 0) for name, n in wanted.items()}
+
+
+def test_rules_on_the_table_count_as_plain_python_does(customers, plain):
+    surplus = lambda values: sum(n - 1 for n in Counter(values).values())
+    pairs = [(r["c_nationkey"], r["segment"]) for r in plain]
+    balance = sum(r["c_acctbal"] < 0 for r in plain)
+    found = on(
+        customers,
+        table=[
+            rule("rows", "rowCount", mustBe=len(plain)),
+            rule("pairs", "duplicateValues", arguments={"properties": ["c_nationkey", "segment"]}),
+            rule("by-source-name", "duplicateValues", arguments={"properties": ["c_mktsegment"]}, unit="percent", mustBeBetween=[0, 100]),
+            {"id": "positive", "type": "custom", "engine": "spark", "implementation": "c_acctbal >= 0"},
+            {"id": "other-engine", "type": "custom", "engine": "great_expectations", "implementation": {}},
+            {"id": "largest", "type": "sql", "query": "SELECT max(c_nationkey) FROM ${table}", "mustBe": max(r["c_nationkey"] for r in plain)},
+        ],
+        c_custkey=[rule("repeated", "duplicateValues")],
+        c_mktsegment=[rule("share", "nullValues", unit="percent", mustBeLessThan=50), {"id": "longest", "type": "sql", "query": "SELECT max(length(${column})) FROM ${table}", "mustBe": 10}],
+    )
+    share = round(100 * sum(r["segment"] is None for r in plain) / len(plain), 4)
+    assert found["rows"] == (str(len(plain)), True) and found["repeated"] == ("10", False)
+    assert found["pairs"] == (str(surplus(pairs)), False)  # in a pair, nulls are equal
+    assert float(found["by-source-name"][0]) == round(100 * surplus(r["segment"] for r in plain) / len(plain), 4)
+    assert found["positive"] == (str(balance), balance == 0) and found["largest"][1] and found["longest"][1]
+    assert float(found["share"][0]) == share and "other-engine" not in found
+
+
+def test_null_values_are_no_duplicates_of_a_column(spark):
+    frame = spark.createDataFrame([(1, 1, None, 0.0), (2, 1, None, 0.0), (3, 2, "A", 0.0)], "c_custkey bigint, c_nationkey int, segment string, c_acctbal double")
+    found = on(frame, c_mktsegment=[rule("column", "duplicateValues")], table=[rule("table", "duplicateValues", arguments={"properties": ["segment"]})])
+    assert found == {"column": ("0", True), "table": ("1", False)}
+
+
+def test_nothing_to_judge(customers):
+    none = customers.limit(0)
+    found = on(none, table=[rule("rows", "rowCount")], c_mktsegment=[rule("share", "nullValues", unit="percent"), rule("twice", "duplicateValues")])
+    assert found == {"rows": ("0", True), "share": ("0", True), "twice": ("0", True)}
+    assert quality.evaluate(customers, []).collect() == []
+
+
+def test_order_names_and_outcomes_of_compiled_rules():
+    contract = described(
+        everywhere=[rule("z", "rowCount", mustBeGreaterThan=0, severity="ERROR")], table=[{"metric": "rowCount", "mustNotBe": 5}],
+        c_nationkey=[rule("a b", "nullValues", severity="error"), rule("a_b", "nullValues"), rule("a-b", "nullValues")],
+    )
+    checks = R.compile_rules(contract, R.SNAPSHOT)
+    assert [(c.id, c.outcome, c.alias) for c in checks] == [
+        ("z", "fail", "q_z"), ("customers.rowCount", "warn", "q_customers_rowCount"), ("a b", "fail", "q_a_b"), ("a_b", "warn", "q_a_b_2"), ("a-b", "warn", "q_a_b_3")
+    ]
+
+
+#: Comparison, a threshold that 160 meets, and one that it does not.
+MET = {
+    "mustBe": (160, 161), "mustNotBe": (161, 160), "mustBeGreaterThan": (159, 160), "mustBeGreaterOrEqualTo": (160, 161), "mustBeLessThan": (161, 160),
+    "mustBeLessOrEqualTo": (160, 159), "mustBeBetween": ([160, 161], [1, 159]), "mustNotBeBetween": ([161, 170], [160, 160]),
+}
 
 
-def test_nulls_are_equal_in_composite_duplicates_and_skipped_in_column_duplicates(spark):
-    checks = R.compile_rules(
-        contract(
-            {"id": "one", "metric": "duplicateValues", "mustBe": 0},
-            table_rules=[
-                {"id": "many", "metric": "duplicateValues", "arguments": {"properties": ["state", "amount"]}, "mustBe": 0},
-                {"id": "percent", "metric": "duplicateValues", "arguments": {"properties": ["state"]}, "mustBe": 0, "unit": "percent"},
-            ],
-        ),
-        R.SNAPSHOT,
-    )
-    assert results(spark, checks, (1, None, None), (2, None, None), (3, "a", None)) == {
-        "one": ("0", True), "many": ("1", False), "percent": ("33.3333", False)
-    }
-    assert results(spark, R.compile_rules(contract({**PRESENT, "unit": "percent"}), R.SNAPSHOT), (1, "a", None)) == {
-        "has-status": ("0", True)
-    }
+def test_every_comparison(customers):
+    checks = [R.Check(f"{name}-{met}", "rowCount", name, MET[name][not met]) for name in R.COMPARISONS for met in (True, False)]
+    assert judged(customers, checks) == {c.id: ("160", c.id.endswith("True")) for c in checks}
 
 
-def test_empty_data_has_zero_counts(spark):
-    checks = R.compile_rules(
-        contract({**PRESENT, "unit": "percent"}, {"id": "d", "metric": "duplicateValues", "mustBe": 0}, table_rules=[{"id": "n", "metric": "rowCount", "mustBe": 0}]),
-        R.SNAPSHOT,
-    )
-    frame = orders(spark).limit(0)
-    assert {r.id: (r.value, r.passed) for r in quality.evaluate(frame, checks).collect()} == {
-        "has-status": ("0", True), "d": ("0", True), "n": ("0", True)
-    }
-    assert quality.evaluate(frame, []).collect() == []
-
-
-@pytest.mark.parametrize(
-    "operator,threshold",
-    [
-        ("mustBe", 1), ("mustNotBe", 0), ("mustBeGreaterThan", 0), ("mustBeGreaterOrEqualTo", 1), ("mustBeLessThan", 2),
-        ("mustBeLessOrEqualTo", 1), ("mustBeBetween", [1, 2]), ("mustNotBeBetween", [2, 3]),
-    ],
-)
-def test_comparisons(spark, operator, threshold):
-    passing = R.Check("r", "rowCount", operator, threshold)
-    assert results(spark, [passing], (1, "a", None)) == {"r": ("1", True)}
-    opposite = {"mustBe": 2, "mustNotBe": 1, "mustBeGreaterThan": 1, "mustBeGreaterOrEqualTo": 2, "mustBeLessThan": 1,
-                "mustBeLessOrEqualTo": 0, "mustBeBetween": [2, 3], "mustNotBeBetween": [1, 1]}
-    assert results(spark, [R.Check("r", "rowCount", operator, opposite[operator])], (1, "a", None)) == {"r": ("1", False)}
-
-
-def sql_check(query, threshold=0, operator="mustBe"):
-    return R.Check("rule", "sql", operator, threshold, query=query)
-
-
-@pytest.mark.parametrize(
-    "query",
-    [
-        "SELECT true", "SELECT 'business-value'", "SELECT double('NaN')", "SELECT double('Infinity')",
-        "SELECT 1 FROM ${table} WHERE false", "SELECT explode(array(1, 2))", "SELECT 1, 2", "SELECT CAST(NULL AS INT)",
-    ],
-)
-def test_sql_rules_return_one_finite_number(spark, query):
+def answer(frame, query, threshold=0, comparison="mustBe"):
+    return judged(frame, [R.Check("asked", "sql", comparison, threshold, query=query)])["asked"]
+
+
+@pytest.mark.parametrize("column", ["segment", "c_acctbal > 0", "CAST('inf' AS DOUBLE)", "float('nan')", "CAST(NULL AS DECIMAL(5,1))", "1, 2", "array(1)"])
+def test_sql_rules_need_one_finite_number(customers, column):
     with pytest.raises(Exception, match="finite numeric value"):
-        quality.evaluate(orders(spark), [sql_check(query)]).collect()
+        answer(customers, f"SELECT {column} FROM ${{table}} LIMIT 1")
 
 
-def test_exact_numbers_stay_exact(spark):
-    value = lambda query, threshold, operator="mustBe": results(spark, [sql_check(query, threshold, operator)])["rule"]
-    assert value("SELECT 0.1", 0.1) == ("0.1", True)
-    assert value("SELECT 9223372036854775807", 9223372036854775807) == ("9223372036854775807", True)
-    assert value("SELECT 9223372036854775807", 9223372036854775806) == ("9223372036854775807", False)
-    assert value("SELECT double(0.1)", 0.1) == ("0.1", True)
-    assert value("SELECT CAST('99999999999999999999999999999999999999' AS DECIMAL(38,0))", 0, "mustBeGreaterThan") == ("9" * 38, True)
+def test_sql_rules_need_one_row(customers):
+    for rows in ("c_custkey < 0", "c_custkey > 0"):
+        with pytest.raises(Exception, match="finite numeric value"):
+            answer(customers, f"SELECT c_custkey FROM ${{table}} WHERE {rows}")
 
 
-def test_views_of_sql_rules_do_not_linger(spark):
-    before = [t.name for t in spark.catalog.listTables()]
-    results(spark, [sql_check("SELECT count(*) FROM ${table}")])
-    assert [t.name for t in spark.catalog.listTables()] == before
+def test_sql_answers_are_compared_exactly(customers):
+    most = 2**63 - 1
+    assert answer(customers, f"SELECT {most}", most) == (str(most), True) and not answer(customers, f"SELECT {most}", most - 1)[1]
+    assert answer(customers, "SELECT 0.30", 0.3)[1] and answer(customers, "SELECT 0.3D", 0.3)[1]
+    assert answer(customers, f"SELECT CAST({'8' * 38} AS DECIMAL(38,0))", 1, "mustBeGreaterThan") == ("8" * 38, True)
 
 
-def test_required_failures_raise_after_all_rules_ran(spark):
-    checks = R.compile_rules(contract(VALID, {**PRESENT, "severity": "error"}), R.SNAPSHOT)
-    found = quality.evaluate(orders(spark), checks)
-    with pytest.raises(QualityFailed, match="snapshot was not applied: known-status, has-status"):
+def test_no_view_of_the_data_stays_behind(spark, customers):
+    before = {t.name for t in spark.catalog.listTables()}
+    answer(customers, "SELECT count(*) FROM ${table}")
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_a_refusal_names_every_failed_rule(customers):
+    required = [rule("no-null", "nullValues", severity="error"), rule("short", "invalidValues", severity="error", arguments={"pattern": "..."}), rule("warned", "nullValues")]
+    found = quality.evaluate(customers, R.compile_rules(described(c_mktsegment=required), R.SNAPSHOT))
+    with pytest.raises(QualityFailed, match="not applied: no-null, short$"):
         quality.enforce(found, quality.BEFORE_LOAD)
-    with pytest.raises(QualityFailed, match="after load, committed data"):
+    with pytest.raises(QualityFailed, match="after load"):
         quality.enforce(found)
     with pytest.raises(ContractError):
-        quality.enforce(found, "invented")
-    warned = quality.enforce(quality.evaluate(orders(spark), R.compile_rules(contract(PRESENT), R.SNAPSHOT)))
-    assert [(r.id, r.passed) for r in warned] == [("has-status", False)]
-
-
-def test_results_never_hold_row_values(spark):
-    found = quality.evaluate(orders(spark, (1, "secret-value", None)), R.compile_rules(contract(VALID), R.SNAPSHOT))
-    stored = quality.quality_results(found, {"table": "orders"}, quality.AFTER_LOAD).first()
-    assert stored.asDict() == {
-        "id": "known-status", "outcome": "fail", "value": "1", "passed": False,
-        "context": {"table": "orders"}, "enforcement": "after-load",
-    }
-
-
-def test_streams_enforce_row_rules_only(spark):
-    table_rules = [{"id": "n", "metric": "rowCount", "mustBeGreaterThan": 0, "severity": "error"}]
-    described = contract(VALID, PRESENT, table_rules=table_rules)
-    assert [c.id for c in R.compile_rules(described, R.APPEND)] == ["known-status", "has-status"]
-    assert R.not_enforced(described, R.EVENTS) == ["n"]
-    with pytest.raises(ContractError, match="cannot be enforced"):
-        R.compile_rules(described, R.EVENTS, unsupported="error")
-    for bad in ({"metric": "nullValues", "mustBeLessThan": 5}, {"metric": "nullValues", "mustBe": 1}):
+        quality.enforce(found, "some other time")
+    kept = quality.enforce(quality.evaluate(customers, R.compile_rules(described(c_mktsegment=required[2:]), R.SNAPSHOT)))
+    assert [(r.id, r.passed) for r in kept] == [("warned", False)]
+    many = [rule(f"r{i:02d}", "nullValues", severity="error") for i in range(14)]
+    with pytest.raises(QualityFailed, match="r09 and 4 more"):
+        quality.enforce(quality.evaluate(customers, R.compile_rules(described(c_mktsegment=many), R.SNAPSHOT)))
+
+
+def test_stored_results_hold_counts_only(customers, plain):
+    checks = R.compile_rules(described(c_mktsegment=[rule("listed", "invalidValues", arguments={"validValues": ["x"]}, severity="error")]), R.SNAPSHOT)
+    row = quality.quality_results(quality.evaluate(customers, checks), {"run": "7"}, quality.AFTER_LOAD).first().asDict()
+    assert row.pop("context") == {"run": "7"} and row.pop("enforcement") == quality.AFTER_LOAD
+    assert row == {"id": "listed", "outcome": "fail", "value": str(sum(r["segment"] is not None for r in plain)), "passed": False}
+
+
+def test_what_streams_can_enforce():
+    whole = rule("whole", "rowCount", mustBeGreaterThan=0, severity="error")
+    contract = described(table=[whole], c_nationkey=[rule("each", "nullValues"), {"id": "asked", "type": "sql", "query": "SELECT 1", "mustBe": 1}])
+    assert [c.id for c in R.compile_rules(contract, R.EVENTS)] == ["each"] and R.not_enforced(contract, R.APPEND) == ["whole", "asked"]
+    with pytest.raises(ContractError, match="cannot be enforced by append: whole"):
+        R.compile_rules(contract, R.APPEND, unsupported="error")
+    for comparison in ({"mustBe": 3}, {"mustBeLessOrEqualTo": 0}):
         with pytest.raises(ContractError, match="mustBe: 0"):
-            R.compile_rules(contract(bad), R.APPEND)
-
-
-def test_key_rules_are_implied_after_load_only(spark):
-    assert R.compile_rules(contract(), R.SNAPSHOT) == []
-    ids = [c.id for c in R.compile_rules(contract(), R.MANAGED)]
-    assert ids == ["orders.order_id.key-not-null", "orders.key-unique"]
-    own = {"id": "own", "metric": "duplicateValues", "arguments": {"properties": ["order_id"]}, "mustBe": 0}
-    assert [c.id for c in R.compile_rules(contract(table_rules=[own]), R.VIEW)] == ["own", "orders.order_id.key-not-null"]
-    assert results(spark, R.compile_rules(contract(), R.MANAGED)) == {
-        "orders.order_id.key-not-null": ("0", True), "orders.key-unique": ("1", False)
-    }
-
-
-def test_temporal_values_match_files_only(spark):
-    listed = {"id": "day", "metric": "invalidValues", "mustBe": 0, "arguments": {"validValues": ["2024-02-29", "2024-02-30"]}}
-    described = Contract("t", (Column("day", "DATE", quality=(listed,)),))
-    frame = spark.createDataFrame([(dt.date(2024, 2, 29),), (None,), (dt.date(2024, 3, 1),)], "day date")
-    value = lambda standard: quality.evaluate(frame, R.compile_rules(described, standard)).first().value
-    assert (value(R.SNAPSHOT), value(R.MANAGED)) == ("1", "2")
-
-
-@pytest.mark.parametrize(
-    "rule,message",
-    [
-        ({"type": "sql", "query": "SELECT 2; TRUNCATE TABLE t", "mustBe": 1}, "semicolons"),
-        ({"type": "sql", "query": "MERGE INTO ${table} USING t ON true", "mustBe": 0}, "only read"),
-        ({"type": "sql", "query": "SELECT 3 /* note */", "mustBe": 1}, "comments"),
-        ({"type": "sql", "query": "FROM ${table} SELECT 1", "mustBe": 1}, "SELECT or WITH"),
-        ({"type": "sql", "query": "SELECT 1"}, "one comparison"),
-        ({"type": "custom", "engine": "spark", "implementation": "amount > (SELECT max(x) FROM t)"}, "subqueries"),
-        ({"metric": "invalidValues", "mustBe": 0}, "needs a column"),
-        ({"metric": "duplicateValues", "mustBe": 0}, "properties"),
-        ({"metric": "duplicateValues", "mustBe": 0, "arguments": {"properties": ["x"]}}, "unknown contract column"),
-        ({"metric": "average", "mustBe": 0}, "unsupported"),
-        ({"metric": "rowCount", "mustBe": 0, "mustNotBe": 1}, "one comparison"),
-        ({"metric": "rowCount", "mustBeBetween": 1}, "two numbers"),
-        ({"metric": "rowCount", "mustBe": float("nan")}, "finite"),
-        ({"metric": "rowCount", "mustBe": True}, "finite"),
-    ],
-)
-def test_unusable_rules_are_refused(spark, rule, message):
-    with pytest.raises(ContractError, match=message):
-        R.compile_rules(contract(table_rules=[rule]), R.SNAPSHOT)
-
-
-def test_quoted_text_is_not_sql():
-    text = "SELECT count(*) FROM ${table} WHERE note = 'insert; -- into' AND `set;` = \"a;b\""
-    assert R.read_only("r", text, query=True) == text
-
-
-def test_tables_are_checked_for_structure_then_rules(spark):
-    described = contract(VALID, keys=False)
-    checks = R.compile_rules(described, R.MANAGED)
-    frame = spark.createDataFrame(
-        [(1, "open", None, 1, None), (1, "bad", None, 0, 1)],
-        "order_id bigint, state string, amount decimal(10,2), __START_AT bigint, __END_AT bigint",
-    )
-    assert quality.check_table(frame, described, checks, history=True).first().value == "0"
-    assert quality.check_table(frame.drop("__END_AT"), described, checks).first().value == "1"
-    for bad in (frame.drop("amount"), frame.withColumn("amount", frame.amount.cast("double"))):
-        with pytest.raises(DataRejected):
-            quality.check_table(bad, described, checks)
+            R.compile_rules(described(c_nationkey=[rule("each", "nullValues", **comparison)]), R.EVENTS)
+
+
+def test_keys_imply_rules_after_load(customers):
+    names = lambda contract, standard: [c.id for c in R.compile_rules(contract, standard)]
+    null, unique = "customers.c_custkey.key-not-null", "customers.key-unique"
+    assert names(described(), R.SNAPSHOT) == [] and names(described(), R.VIEW) == [null, unique] and names(described(key=False), R.MANAGED) == []
+    own = rule("own", "duplicateValues", arguments={"properties": ["c_custkey"]})
+    assert names(described(table=[own]), R.MANAGED) == ["own", null]
+    assert on(customers, R.MANAGED) == {null: ("0", True), unique: ("10", False)}
+
+
+def test_listed_dates_match_files_but_not_tables(spark):
+    days = rule("day", "invalidValues", arguments={"validValues": ["1996-02-29", "1997-02-29"]})
+    contract = Contract("days", (Column("day", "DATE", quality=(days,)),))
+    frame = spark.createDataFrame([(dt.date(1996, 2, 29),), (dt.date(1997, 3, 1),), (None,)], "day date")
+    assert [judged(frame, R.compile_rules(contract, s))["day"][0] for s in (R.SNAPSHOT, R.VIEW)] == ["1", "2"]
+
+
+UNUSABLE = {
+    "semicolons": [{"type": "sql", "query": "SELECT 1; DROP TABLE x", "mustBe": 1}, {"type": "custom", "engine": "spark", "implementation": "c_acctbal > 0;"}],
+    "comments": [{"type": "sql", "query": "SELECT 1 -- one", "mustBe": 1}, {"type": "custom", "engine": "databricks", "implementation": "true /* so */"}],
+    "SELECT or WITH": [{"type": "sql", "query": q, "mustBe": 1} for q in ("VALUES (1)", "TABLE ${table}", "SHOW TABLES", "DELETE FROM ${table}", "FROM ${table} SELECT 1")],
+    "as a query": [{"type": "sql", "query": q, "mustBe": 1} for q in ("SELECT", "SELECT 1) UNION (SELECT 2", "WITH x AS (DELETE FROM t) SELECT 1")],
+    "without subqueries": [{"type": "custom", "engine": "spark", "implementation": p} for p in ("c_acctbal IN (SELECT 1)", "EXISTS (SELECT 1)", "c_acctbal > (SELECT 1)")],
+    "as a predicate": [{"type": "custom", "engine": "spark", "implementation": p} for p in ("c_acctbal >", "1) OR (2", "SELECT 1 FROM x")],
+    "SQL text is missing": [{"type": "sql", "query": " ", "mustBe": 1}, {"type": "custom", "engine": "spark", "implementation": 5}],
+    "one comparison": [{"metric": "rowCount"}, {"metric": "rowCount", "mustBe": 1, "mustBeLessThan": 2}, {"type": "sql", "query": "SELECT 1"}],
+    "two numbers": [{"metric": "rowCount", "mustBeBetween": [1]}, {"metric": "rowCount", "mustNotBeBetween": [1, "2"]}],
+    "finite": [{"metric": "rowCount", "mustBe": v} for v in (float("inf"), False, "3", [1])],
+    "needs a column": [{"metric": "missingValues", "mustBe": 0}],
+    "properties": [{"metric": "duplicateValues", "mustBe": 0}],
+    "unknown contract column": [{"metric": "duplicateValues", "mustBe": 0, "arguments": {"properties": ["c_name"]}}],
+    "unsupported": [{"metric": "freshness", "mustBe": 0}],
+}
+
+
+@pytest.mark.parametrize("message", UNUSABLE)
+def test_unusable_rules_are_refused(spark, message):
+    for unusable in UNUSABLE[message]:
+        with pytest.raises(ContractError, match=message):
+            R.compile_rules(described(table=[unusable]), R.SNAPSHOT)
+
+
+def test_words_in_quotes_are_no_statements(customers):
+    query = "SELECT count_if(segment = 'drop; -- it' OR segment = \"/* x */\") FROM ${table}"
+    assert on(customers, table=[{"id": "quoted", "type": "sql", "query": query, "mustBe": 0}])["quoted"] == ("0", True)
+    named = "`delete` > 0 AND segment <> 'insert into'"
+    assert on(customers.withColumn("delete", F.lit(1)), table=[{"id": "p", "type": "custom", "engine": "spark", "implementation": named}])["p"][0].isdigit()
+
+
+def test_structure_of_a_table_comes_before_its_rules(spark, customers):
+    contract = described(key=False, c_mktsegment=[rule("null", "nullValues")])
+    checks = R.compile_rules(contract, R.MANAGED)
+    table = customers.withColumns({"__START_AT": F.lit(1), "__END_AT": F.when(F.col("segment").isNull(), 2)})
+    assert quality.check_table(table, contract, checks, history=True).first().passed  # rows without a segment are closed
+    assert not quality.check_table(customers, contract, checks).first().passed
     with pytest.raises(ContractError, match="__END_AT"):
-        quality.check_table(frame.drop("__END_AT"), described, checks, history=True)
-    nulls = frame.withColumn("order_id", frame.order_id.try_cast("bigint") * None)
+        quality.check_table(customers, contract, checks, history=True)
+    for other in (customers.drop("c_acctbal"), customers.withColumn("c_nationkey", F.col("c_nationkey").cast("bigint"))):
+        with pytest.raises(DataRejected):
+            quality.check_table(other, contract, checks)
     with pytest.raises(DataRejected, match="Required"):
-        quality.check_table(nulls, described, checks)
+        quality.check_table(customers.withColumn("c_custkey", F.when(F.col("c_custkey") != 3, F.col("c_custkey"))), contract, checks)
 
 
-def test_freshness(spark):
-    now = dt.datetime(2024, 1, 3, 0, 0, 0, tzinfo=dt.timezone.utc)
-    frame = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 00:00:00' AS at, DATE'2024-01-02' AS day, 'x' AS text")
-    assert quality.fresh(frame, "at", 48, now).first().fresh
-    assert not quality.fresh(frame, "at", 47.9, now).first().fresh
-    assert quality.fresh(frame, "day", 24, now).first().fresh
+def test_freshness_of_the_newest_value(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderdate", F.col("o_orderdate").cast("date").alias("day"), "o_orderstatus")
+    newest = orders.agg(F.max("o_orderdate")).first()[0]
+    now = newest.replace(tzinfo=dt.timezone.utc) + dt.timedelta(hours=30)
+    assert [quality.fresh(orders, "o_orderdate", h, now).first().fresh for h in (30, 29.99)] == [True, False]
+    midnight = dt.datetime.combine(newest.date(), dt.time(), dt.timezone.utc) + dt.timedelta(hours=5)
+    assert [quality.fresh(orders, "day", h, midnight).first().fresh for h in (5, 4)] == [True, False]
     with pytest.raises(DataRejected):
-        quality.require_fresh(frame.limit(0), "at", 1e6, now)
+        quality.require_fresh(orders.where("false"), "day", 10**6, now)
     with pytest.raises(ContractError):
-        quality.fresh(frame, "text", 1, now)
+        quality.fresh(orders, "o_orderstatus", 1, now)

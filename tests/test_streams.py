@@ -317,3 +317,53 @@ def test_the_number_of_buckets_is_fixed(spark, tmp_path):
     write_json(tmp_path / "in", "b.json", [event(1, 2, "U", "y", 1)])
     with pytest.raises(Exception, match="buckets"):
         change_flow(tmp_path, buckets=8).run(spark)
+
+
+def test_batches_in_order_read_nothing_of_the_staged_log(spark, tmp_path, monkeypatch):
+    """Also not where a key was deleted, or was never seen before."""
+    probed = []
+    keep = ChangeFlow._tail
+    monkeypatch.setattr(ChangeFlow, "_tail", lambda self, staged, anchors, here: probed.append(sorted(r[0] for r in anchors.collect())) or keep(self, staged, anchors, here))
+    flow, seen = change_flow(tmp_path), []
+
+    def batch(name, *events):
+        seen.extend(events)
+        write_json(tmp_path / "in", name, [event(*e) for e in events])
+        flow.run(spark)
+        wanted = brute.scd2([(k, s, op, {"n": n, "r": r}) for k, s, op, n, r in seen], ("n", "r"))
+        assert history_rows(Dataset(spark, flow.target).read("history")) == wanted
+
+    batch("a.json", (1, 1, "I", "x", 1), (2, 2, "I", "y", 1), (3, 3, "I", "z", 1))
+    batch("b.json", (1, 4, "U", "x", 1), (2, 5, "D", "y", 1), (4, 4, "I", "new", 1), (1, 6, "U", "xx", 1))
+    batch("c.json", (2, 7, "I", "again", 2), (1, 8, "D", "x", 1), (5, 9, "D", "never", 0))
+    batch("d.json", (1, 10, "U", "back", 1), (5, 11, "I", "first", 1))
+    assert not probed
+    batch("e.json", (3, 12, "U", "later", 1), (2, 6, "U", "between", 1), (5, 10, "U", "before", 1))
+    assert probed == [[2, 5]]  # keys 2 and 5 are late, key 3 is not
+    batch("f.json", (2, 7, "I", "again", 2))  # an exact copy is looked up, and changes nothing
+    assert probed[1:] == [[2]]
+    write_json(tmp_path / "in", "g.json", [event(2, 7, "I", "other", 2)])
+    with pytest.raises(Exception, match="share one key and sequence"):
+        flow.run(spark)
+
+
+def test_a_batch_is_read_once(spark, tmp_path, monkeypatch):
+    """Rules are counted by the job that writes; a refused batch is written, but no version names it."""
+    flow = change_flow(tmp_path)
+    rows = spark.createDataFrame([(1, "x", 1, 1, "I", None)], flow.contract.schema().add("_rescued_data", "string"))
+    counter = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            counter.add(batch.num_rows)
+            yield batch
+
+    (tmp_path / "state").mkdir()
+    (tmp_path / "state" / "metadata").write_text('{"id": "s"}')
+    flow.apply(rows.mapInArrow(seen, rows.schema), 0)
+    assert counter.value == 1
+    bad = spark.createDataFrame([(1, "x", 1, 2, "Q", None)], rows.schema)
+    with pytest.raises(Exception, match="operation"):
+        flow.apply(bad, 1)
+    target = Dataset(spark, flow.target)
+    assert target.version().number == 1 and flow.staged_events(spark).count() == 1

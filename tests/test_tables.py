@@ -30,11 +30,11 @@ def data(spark):
 
 def test_scd1_with_a_cursor(spark, tmp_path, data, rows):
     f = flow(tmp_path, data, cursor="at", deleted="status = 'gone'")
-    assert f.run(spark).info == {"mark": "2024-01-02 00:00:00"}
+    assert f.run(spark).info == {"mark": "2024-01-02 00:00:00", "buckets": 64}
     data["frame"] = spark.createDataFrame([(1, "late", at(1)), (2, "new", at(5)), (4, "gone", at(6)), (1, "gone", at(7))], SCHEMA)
     f.run(spark)
     assert rows(Dataset(spark, f.target).read()) == [(2, "new", at(5))]
-    assert Dataset(spark, f.target).version().info == {"mark": "2024-01-05 00:00:00"}
+    assert Dataset(spark, f.target).version().info == {"mark": "2024-01-05 00:00:00", "buckets": 64}
     assert f.check(spark)
 
 
@@ -223,3 +223,37 @@ def test_paths_follow_the_default_filesystem(spark, tmp_path, data, rows):
 def test_object_stores_are_refused(spark):
     with pytest.raises(ContractError, match="conditional writes"):
         Dataset(spark, "s3a://bucket/table").version()
+
+
+@pytest.mark.parametrize("mode, role", [("SCD_TYPE_1", "table"), ("SCD_TYPE_2", "open")])
+def test_an_increment_rewrites_the_buckets_of_its_rows(spark, tmp_path, data, rows, mode, role):
+    data["frame"] = spark.createDataFrame([(i, f"s{i}", at(1 + i % 3)) for i in range(200)], SCHEMA)
+    f = flow(tmp_path, data, cursor="at", mode=mode, buckets=8)
+    first = f.run(spark)
+    live = lambda version: {p.bucket: p.path for p in version.parts if p.role == role}
+    assert len(live(first)) == 8
+    data["frame"] = spark.createDataFrame([(7, "new", at(9)), (7, "newer", at(10))], SCHEMA)
+    second = f.run(spark)
+    changed = {b for b in live(first) if live(first)[b] != live(second)[b]}
+    assert len(changed) == 1 and set(live(second)) == set(live(first)) and second.info["mark"] == "2024-01-10 00:00:00"
+    found = Dataset(spark, f.target).read()
+    assert found.count() == 200 and rows(found.where("id = 7"), "status") == [("newer",)]
+    if mode == "SCD_TYPE_2":
+        closed = Dataset(spark, f.target).read("history").where(f"id = 7 and {END_AT} is not null")
+        assert rows(closed, "status", START_AT, END_AT) == [("new", at(9), at(10)), ("s7", at(2), at(9))]
+    assert f.run(spark).number == second.number  # nothing newer: the version stays
+    data["frame"] = spark.createDataFrame([(8, "a", at(11)), (8, "b", at(11))], SCHEMA)
+    with pytest.raises(Exception, match="share one key and sequence"):
+        f.run(spark)
+    assert Dataset(spark, f.target).version().number == second.number
+    with pytest.raises(ContractError, match="number of buckets"):
+        data["frame"] = spark.createDataFrame([(8, "a", at(11))], SCHEMA)
+        flow(tmp_path, data, cursor="at", mode=mode, buckets=4).run(spark)
+
+
+def test_the_mark_never_falls_when_other_buckets_hold_it(spark, tmp_path, data):
+    f = flow(tmp_path, data, cursor="at", deleted="status = 'gone'")
+    data["frame"] = spark.createDataFrame([(1, "a", at(8)), (2, "b", at(1))], SCHEMA)
+    f.run(spark)
+    data["frame"] = spark.createDataFrame([(2, "gone", at(9))], SCHEMA)
+    assert f.run(spark).info["mark"] == "2024-01-08 00:00:00" and Dataset(spark, f.target).read().count() == 1

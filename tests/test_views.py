@@ -94,6 +94,16 @@ def test_existing_tables_that_are_not_declared_are_refused(spark, inputs, query)
         spark.catalog.dropGlobalTempView("other")
 
 
+def test_many_ctes_and_any_nesting(spark, inputs):
+    """Printed plans are cut; nodes are not."""
+    chain = ", ".join(f"c{i} AS (SELECT * FROM {f'c{i - 1}' if i else 'orders'})" for i in range(60))
+    assert sql_view(spark, f"WITH {chain} SELECT id, value FROM c59", inputs, REPORT).count() > 0
+    spark.sql("SELECT 1L AS id, 1L AS value").createOrReplaceTempView("hidden")
+    for last in ("c59 WHERE id IN (SELECT id FROM hidden)", "c59 ORDER BY (SELECT max(id) FROM hidden)", "c59 JOIN LATERAL (SELECT 1 FROM hidden) l"):
+        with pytest.raises(ContractError, match="hidden is not a declared input"):
+            sql_view(spark, f"WITH {chain} SELECT id, value FROM {last}", inputs, REPORT)
+
+
 def test_input_names_are_distinct_and_text_is_kept(spark, inputs):
     with pytest.raises(ContractError):
         sql_view(spark, "SELECT 1", {"a": inputs["orders"], "A": inputs["orders"]}, REPORT)
