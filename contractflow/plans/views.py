@@ -87,10 +87,11 @@ def materialize(
     contract: Contract,
     unsupported: str = "error",
     results: str | None = None,
+    info: Mapping | None = None,
 ) -> Version:
     """Replace the view as a whole, then check the committed version with all its rules."""
     checks = compile_rules(contract, VIEW, unsupported)
     dataset = Dataset(spark, target)
-    version = dataset.replace_table(_typed(frame, contract))
+    version = dataset.replace_table(_typed(frame, contract), info)
     after_load(dataset, contract, checks, results=results)
     return version
