@@ -6,6 +6,7 @@ from .operators.ledger import Policy
 from .plans.publication import publish
 from .plans.snapshots import SnapshotFlow
 from .plans.tables import TableFlow
+from .plans.graph import Input, View, ViewGraph
 from .plans.terms import SourceTerms
 from .plans.views import materialize, python_view, sql_view
 from .sources.datasets import Dataset, read_dataset
@@ -20,11 +21,14 @@ __all__ = [
     "ContractError",
     "DataRejected",
     "Dataset",
+    "Input",
     "Policy",
     "QualityFailed",
     "SnapshotFlow",
     "SourceTerms",
     "TableFlow",
+    "View",
+    "ViewGraph",
     "materialize",
     "publish",
     "python_view",

@@ -4,7 +4,8 @@ it is reported in ``_rescued_data``."""
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Mapping
+import functools
+from collections.abc import Iterable, Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -106,11 +107,48 @@ def parquet_misfits(spark: SparkSession, paths: list[str], contract: Contract) -
     declared = {f.name: f.dataType for f in contract.read_schema("parquet").fields}
     try:
         merged = spark.read.option("mergeSchema", "true").parquet(*paths).schema
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         return ["(conflicting file schemas)"]
     return [f.name for f in merged.fields if declared.get(f.name) != f.dataType]
 
 
+def footers(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
+    """Files by the schema in their footer, as Parquet writes it. One footer is read per file, by the driver."""
+    jvm, conf, groups = spark._jvm, spark._jsc.hadoopConfiguration(), {}
+    for path in paths:
+        try:
+            footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(conf, jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)))
+        except Py4JJavaError:
+            raise DataRejected("A Parquet file has no readable footer") from None
+        groups.setdefault(footer.getFileMetaData().getSchema().toString(), []).append(path)
+    return groups
+
+
+def rescue_parquet(spark: SparkSession, paths: Iterable[str], contract: Contract) -> DataFrame:
+    """Parquet files of any schemas. Columns that the contract declares with the file's type are read as they are. Values of
+    undeclared columns, and of declared ones with another type, are kept as a JSON object in ``_rescued_data``.
+
+    The usual case, where all files together have the declared columns, is one scan. Otherwise files are grouped by their footers, and
+    each group is read with its own schema, so that nothing is reinterpreted or refused because of other files.
+    """
+    paths, schema = list(paths), contract.read_schema("parquet")
+    nothing = F.lit(None).cast("string").alias(RESCUED)
+    if not paths or not parquet_misfits(spark, paths, contract):
+        read = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+        return read.select(*[name(f.name) for f in schema.fields], nothing)
+    declared, out = {f.name: f.dataType for f in schema.fields}, None
+    for group in footers(spark, paths).values():
+        shape = spark.read.parquet(group[0]).schema
+        own = {f.name: f.dataType for f in shape.fields}
+        extra = [c for c, kind in own.items() if declared.get(c) != kind]
+        found = functools.reduce(lambda a, b: a | b, (name(c).isNotNull() for c in extra), F.lit(False))
+        kept = F.when(found, F.to_json(F.struct(*[name(c) for c in extra]))).alias(RESCUED) if extra else nothing
+        typed = [name(c) if own.get(c) == kind else F.lit(None).cast(kind).alias(c) for c, kind in declared.items()]
+        part = spark.read.schema(shape).parquet(*group).select(*typed, kept)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _load(source, fmt: str, path: str, contract: Contract, options: Mapping, with_file: bool) -> DataFrame:
     options = dict(options)
     if fmt == "json":
@@ -140,9 +178,8 @@ def _file(wanted: bool) -> list:
 def read_files(spark: SparkSession, path: str, contract: Contract, fmt: str, options: Mapping | None = None) -> DataFrame:
     """Source columns and ``_rescued_data`` of a batch of files."""
     if fmt == "parquet":
-        misfits = parquet_misfits(spark, [path], contract)
-        if misfits:
-            raise DataRejected(f"Parquet files do not have the declared schema: {', '.join(misfits)}")
+        found = spark.read.schema(contract.read_schema(fmt)).parquet(path).inputFiles()
+        return rescue_parquet(spark, found, contract)
     return _load(spark.read, fmt, path, contract, options or {}, with_file=False)
 
 

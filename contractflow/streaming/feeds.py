@@ -25,7 +25,7 @@ from ..operators.projection import business_rules, fails, literal, name, project
 from ..plans.terms import SourceTerms
 from ..session import checkpoint
 from ..sources.datasets import BATCH, BUCKET, CLOSED, GONE, OPEN, STAGED, Dataset, Part, Version
-from ..sources.files import FILE, parquet_misfits, reader_options, stream_files
+from ..sources.files import FILE, reader_options, rescue_parquet, stream_files
 from ..sources.storage import Storage
 
 FAIL, WARN = "fail", "warn"
@@ -91,12 +91,12 @@ class AppendFlow:
         rules.update(expectations(self.checks(), self.key_columns, sequence, operation))
         return rules
 
-    def check_files(self, spark: SparkSession, rows: DataFrame) -> None:
-        """Parquet files of another schema are refused before anything of them is read."""
-        if FILE in rows.columns:
-            paths = [r[0] for r in rows.select(FILE).distinct().collect()]
-            misfits = parquet_misfits(spark, paths, self.contract) if paths else []
-            require(not misfits, f"Files do not have the declared schema: {', '.join(misfits)}", DataRejected)
+    def rescued(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
+        """A batch of Parquet files, each read with its own schema; the stream itself only names them."""
+        if FILE not in rows.columns:
+            return rows
+        paths = [r[0] for r in rows.select(FILE).distinct().collect()]  # at most files_per_batch
+        return project(rescue_parquet(spark, paths, self.contract), self.contract, self.fmt)
 
     def watched(self, rows: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
         """The rows, counted against every rule by the job that writes them; and, once it has run, the failures of warnings.
@@ -138,9 +138,7 @@ class AppendFlow:
             require(same, "The target belongs to another checkpoint; restore it, or load into an empty target")
             if version.info["batch"] >= batch_id:
                 return
-        self.check_files(spark, rows)
-        rows, judge = self.watched(rows)
-        rows = rows.drop(FILE)
+        rows, judge = self.watched(self.rescued(spark, rows))
         landed = self._land(target, rows, batch_id)
         info = {"warnings": judge(), "batch": batch_id, "stream": self._stream(spark)}
         self._commit(target, landed, rows.schema, batch_id, info)

@@ -88,6 +88,18 @@ def rescued_csv(spark, folder):
     return rows.groupBy(F.col("_rescued_data").isNotNull().alias("misfit")).agg(F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("total"))
 
 
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 1 THEN o_custkey END AS o_custkey,
+  CASE o_orderkey % 3 WHEN 1 THEN '{"o_custkey":"c' || o_custkey || '"}' WHEN 2 THEN '{"o_orderstatus":"' || o_orderstatus || '"}' END AS _rescued_data FROM orders""")
+def rescued_parquet(spark, folder):
+    """Files of three schemas in one folder: as declared, with another type, and with a column more."""
+    root, orders = scratch(spark), table(spark, folder, "orders")
+    other = F.concat(F.lit("c"), F.col("o_custkey")).alias("o_custkey")
+    for part, columns in enumerate((["o_orderkey", "o_custkey"], ["o_orderkey", other], ["o_orderkey", "o_custkey", "o_orderstatus"])):
+        orders.where(F.col("o_orderkey") % 3 == part).select(*columns).write.mode("append").parquet(f"{root}/landing")
+    contract = Contract("orders", (Column("o_orderkey", "BIGINT"), Column("o_custkey", "BIGINT")))
+    return read_files(spark, f"{root}/landing", contract, "parquet")
+
+
 @query(_TEXTS)
 def json_documents(spark, folder):
     """Files that each hold one printed array of records over many lines."""

@@ -4,8 +4,9 @@ import random
 import brute
 import pytest
 
-from contractflow import AppendFlow, ChangeFlow, Column, Contract, ContractError, Dataset, SourceTerms
+from contractflow import AppendFlow, ChangeFlow, Column, Contract, ContractError, DataRejected, Dataset, SourceTerms
 from contractflow.contract import END_AT, START_AT
+from contractflow.sources.files import read_files
 from contractflow.streaming.feeds import from_landing
 
 EVENTS = Contract(
@@ -255,12 +256,37 @@ def test_parquet_streams_check_every_file(spark, tmp_path, rows):
     flow.run(spark)
     assert rows(Dataset(spark, flow.target).read(), "left", "right") == [("a", 1)]
     spark.createDataFrame([(1, "a", 2)], "left bigint, right string, more int").write.parquet(str(tmp_path / "in" / "y"))
-    with pytest.raises(Exception, match="declared schema"):
+    with pytest.raises(Exception, match=r"source_schema \(1\)"):  # the undeclared value is rescued, and fails the batch
         flow.run(spark)
     with pytest.raises(ContractError, match="Parquet"):
         AppendFlow(FILES, "in", "out", "state", fmt="parquet")
 
 
+def test_parquet_files_of_many_schemas_are_rescued(spark, tmp_path, rows):
+    contract = Contract("t", (Column("id", "BIGINT"), Column("name", "STRING"), Column("x", "DOUBLE")))
+    path = str(tmp_path / "in")
+    frames = [
+        spark.createDataFrame([(1, "a", 0.5)], "id bigint, name string, x double"),
+        spark.createDataFrame([(2, 7, 1.5), (3, None, 2.5)], "id bigint, name int, x double"),
+        spark.createDataFrame([("4", "d", ["y"]), (None, "e", None)], "id string, name string, more array<string>"),
+        spark.createDataFrame([(5, "f")], "id bigint, name string"),
+    ]
+    for frame in frames:
+        frame.coalesce(1).write.mode("append").parquet(path)
+    got = read_files(spark, path, contract, "parquet")
+    assert got.columns == ["id", "name", "x", "_rescued_data"]
+    assert rows(got) == sorted([
+        (1, "a", 0.5, None), (2, None, 1.5, '{"name":7}'), (3, None, 2.5, None), (None, "d", None, '{"id":"4","more":["y"]}'), (None, "e", None, None), (5, "f", None, None)
+    ], key=repr)
+    plain = str(tmp_path / "plain")
+    frames[0].write.parquet(plain)
+    plan = read_files(spark, plain, contract, "parquet").select("x")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "ReadSchema: struct<x:double>" in plan
+    (tmp_path / "plain" / "bad.parquet").write_bytes(b"none")
+    with pytest.raises(DataRejected, match="footer"):
+        read_files(spark, plain, contract, "parquet").collect()
+
+
 def test_required_rules_that_a_stream_cannot_check_are_an_error_unless_reported():
     table = ({"id": "volume", "metric": "rowCount", "mustBeGreaterThan": 0, "severity": "error"},)
     counted = Contract("t", (Column("id", "BIGINT"),), quality=table)
