@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import math
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -67,6 +68,26 @@ def _duplicate_result(df: DataFrame, check: Check) -> DataFrame:
     return totals.select(F.inline(F.array(_result(check, F.col("surplus"), F.col("rows")))))
 
 
+def _duplicate_results(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All duplicate rules from one scan: every rule's columns are a grouping set, groups of all sets are counted before one shuffle.
+
+    NULLs compare equal in a composite rule and are left out of a column rule, also where both have the same single column.
+    """
+    columns = {c.id: (c.column,) if c.column else tuple(dict.fromkeys(c.properties)) for c in checks}
+    every = list(dict.fromkeys(itertools.chain.from_iterable(columns.values())))
+    sets = list({frozenset(chosen): [name(c) for c in chosen] for chosen in columns.values()}.values())
+    groups = df.groupingSets(sets, *[name(c) for c in every]).agg(F.count(F.lit(1)).alias("__cf_n"), F.grouping_id().alias("__cf_set"))
+    number = lambda chosen: sum(1 << (len(every) - 1 - i) for i, c in enumerate(every) if c not in chosen)  # a bit for each column left out
+    totals, results = [], []
+    for i, check in enumerate(checks):
+        mine = F.col("__cf_set") == number(columns[check.id])
+        counted = mine & name(check.column).isNotNull() if check.column else mine
+        total = lambda which, value: F.coalesce(F.sum(F.when(which, value)), F.lit(0))
+        totals += [total(counted, F.col("__cf_n") - 1).alias(f"surplus{i}"), total(mine, F.col("__cf_n")).alias(f"rows{i}")]
+        results.append(_result(check, F.col(f"surplus{i}"), F.col(f"rows{i}")))
+    return groups.agg(*totals).select(F.inline(F.array(*results)))
+
+
 def _sql_result(df: DataFrame, check: Check) -> DataFrame:
     """One numeric value of a read-only query over the data."""
     view = "data_" + uuid.uuid4().hex
@@ -98,11 +119,12 @@ def _sql_result(df: DataFrame, check: Check) -> DataFrame:
 def evaluate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """(id, outcome, value, passed) of every check, as one lazy result.
 
-    Row rules share one scan and one aggregate. A duplicate rule scans only its own columns.
+    Row rules share one scan and one aggregate; so do duplicate rules, which read only their columns.
     """
     single = [c for c in checks if c.row_level or c.metric == "rowCount"]
     parts = [_row_results(df, single)] if single else []
-    parts += [_duplicate_result(df, c) for c in checks if c.metric == "duplicateValues"]
+    repeated = [c for c in checks if c.metric == "duplicateValues"]
+    parts += [_duplicate_results(df, repeated)] if len(repeated) > 1 else [_duplicate_result(df, c) for c in repeated]
     parts += [_sql_result(df, c) for c in checks if c.metric == "sql"]
     if not parts:
         return df.sparkSession.createDataFrame([], RESULT)

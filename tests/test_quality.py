@@ -101,6 +101,22 @@ def test_null_values_are_no_duplicates_of_a_column(spark):
     assert found == {"column": ("0", True), "table": ("1", False)}
 
 
+def test_many_duplicate_rules_are_one_scan(spark, customers, plain):
+    """Grouping sets give what one grouping per rule gives: rules of the same columns, in other orders, and of one column twice."""
+    pair = lambda name, *columns: rule(name, "duplicateValues", arguments={"properties": list(columns)})
+    rules = {"table": [pair("ab", "c_nationkey", "segment"), pair("ba", "segment", "c_nationkey"), pair("a", "segment"), pair("abc", "segment", "c_nationkey", "c_acctbal")]}
+    rules |= {"c_mktsegment": [rule("column", "duplicateValues"), rule("share", "duplicateValues", unit="percent")], "c_custkey": [rule("key", "duplicateValues")]}
+    checks = R.compile_rules(described(**rules), R.SNAPSHOT)
+    alone = {}
+    for check in checks:
+        alone |= judged(customers, [check])
+    assert judged(customers, checks) == alone and alone["ab"] == alone["ba"] and alone["a"] != alone["column"]
+    none = customers.limit(0)
+    assert {v for v, _ in judged(none, checks).values()} == {"0"}
+    plan = quality.evaluate(spark.read.parquet("/root/testdata/sf0.001/customer.parquet").withColumnRenamed("c_mktsegment", "segment"), checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1
+
+
 def test_nothing_to_judge(customers):
     none = customers.limit(0)
     found = on(none, table=[rule("rows", "rowCount")], c_mktsegment=[rule("share", "nullValues", unit="percent"), rule("twice", "duplicateValues")])
