@@ -52,12 +52,12 @@ def pack(rows: DataFrame, size: int, change: Callable[[np.ndarray], np.ndarray]
     return map_batches(rows, work, PACKED)
 
 
-def search(rows: DataFrame, work: Callable, kind: str, prepare: Callable, change: Callable = lambda x: x, candidates: int = CANDIDATES, queries: int = QUERIES) -> DataFrame:
+def search(rows: DataFrame, work: Callable, kind: str, prepare: Callable, change: Callable = lambda x: x, candidates: int = CANDIDATES, queries: int = QUERIES, score: str = "double") -> DataFrame:
     """What ``work(index of a block, query ids, query vectors)`` finds in every block: query_id, vec_id, score.
 
     ``rows`` has key and vector; queries are the rows whose key is divisible by ``QUERY_EVERY`` (of repeated ones the
     smallest vector). ``prepare(ids, vectors)`` makes a block's index, kept while the block's rows follow each other.
-    ``kind`` is the numpy type that ``change`` turns vectors into. Vectors of another length than the query's are no
+    ``kind`` is the numpy type that ``change`` turns vectors into, ``score`` the type of scores. Vectors of another length than the query's are no
     candidates. Slots are as many as the cores can use, more only when a slot would hold more than 32 blocks.
     """
     spark, total, number = rows.sparkSession, rows.count(), np.dtype(kind)
@@ -82,7 +82,7 @@ def search(rows: DataFrame, work: Callable, kind: str, prepare: Callable, change
                 if len(found[0]):
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["query_id", "vec_id", "score"])
 
-    return pairs.mapInArrow(run, f"query_id long, vec_id long, score {'long' if number.kind == 'i' else 'double'}")
+    return pairs.mapInArrow(run, f"query_id long, vec_id long, score {score}")
 
 
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:

@@ -19,29 +19,58 @@ LEVELS = 8
 
 
 def whole_numbers(vectors: np.ndarray) -> np.ndarray:
-    """floor(1024 * x); products of the largest values must fit into 64 bits."""
-    values = np.floor(SCALE * vectors)
-    if values.size and np.abs(values).max() ** 2 * values.shape[1] >= 2.0**62:
-        raise ValueError("components are too large for 64-bit inner products")
-    return values.astype(np.int64)
+    """floor(1024 * x) as doubles, which hold whole numbers of any size that a double's product can have."""
+    with np.errstate(over="ignore"):
+        return np.clip(np.floor(SCALE * vectors), -np.finfo(np.float64).max, np.finfo(np.float64).max)
+
+
+def wide(vectors: np.ndarray) -> np.ndarray:
+    """Vectors whose inner product with one of their like may exceed 62 bits."""
+    return np.abs(vectors).max(axis=1, initial=0) >= np.sqrt(2.0**62 / max(1, vectors.shape[1]))
+
+
+def exact(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products in whole numbers of any length; what a long cannot hold counts as the largest or smallest long."""
+    most, by = np.iinfo(np.int64).max, [int(x) for x in query]
+    sums = (sum(int(x) * y for x, y in zip(row, by, strict=True)) for row in rows)
+    return np.array([max(-most - 1, min(most, s)) for s in sums], np.int64)
 
 
 class Lists:
     """Sorted lists of a block: ``order[j]`` has the rows by component j, greatest first."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        far = wide(vectors)
+        self.all_ids, self.vectors = ids, vectors
+        self.wide_ids, self.wide = ids[far], vectors[far]  # scored one by one, beside the lists
+        ids, vectors = ids[~far], vectors[~far].astype(np.int64)
         self.ids, self.rows, self.columns = ids, vectors, np.ascontiguousarray(vectors.T)
         self.order = np.argsort(-self.columns, axis=1, kind="stable").astype(np.int32)
         self.sorted = np.take_along_axis(self.columns, self.order, axis=1)
 
     def top(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the block's k best rows for a query, other than the query's own."""
+        if wide(query[None])[0]:
+            ids, scores = self.all_ids, exact(self.vectors, query)
+        else:
+            ids, scores = self.listed(own, query.astype(np.int64), k)
+            if len(self.wide_ids):
+                ids, scores = np.concatenate((ids, self.wide_ids)), np.concatenate((scores, exact(self.wide, query)))
+        other = np.nonzero(ids != own)[0]
+        # The complement orders as the negative does, and the smallest long has one.
+        chosen = other[grids.best(ids[other], ~scores[other], k)]
+        return ids[chosen], scores[chosen]
+
+    def listed(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of rows of the lists among which are the k best, other than the query's own."""
         n, up, down = len(self.ids), np.nonzero(query > 0)[0], np.nonzero(query < 0)[0]
         used = np.concatenate((up, down))
         weights = query[used].astype(np.float64)[:, None]
         allowed = self.ids != own
         low = np.zeros(n)
-        worst = (weights[:, 0] * np.concatenate((self.sorted[up, -1], self.sorted[down, 0]))).sum()
+        # Bounds are sums of doubles: they may be off by a little of the largest products.
+        sizes = np.maximum(np.abs(self.sorted[used, 0]), np.abs(self.sorted[used, -1])) if n else np.zeros(len(used))
+        slack = (np.abs(weights[:, 0]) * sizes).sum() * 2.0**-45
         read, alive = 0, np.nonzero(allowed)[0]
         for level in range(1, LEVELS + 1):
             depth = n * level // LEVELS
@@ -61,12 +90,10 @@ class Lists:
             if len(alive) <= k:
                 break
             kth = np.partition(bounds, len(bounds) - k)[len(bounds) - k]
-            alive = alive[bounds + open_gap[alive] >= kth]
+            alive = alive[bounds + open_gap[alive] >= kth - slack]
             if len(alive) <= 8 * k:
                 break
-        scores = self.rows[alive] @ query
-        chosen = grids.best(self.ids[alive], -scores, k)
-        return self.ids[alive][chosen], scores[chosen]
+        return self.ids[alive], self.rows[alive] @ query
 
 
 def search(lists: Lists, q_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,10 +107,11 @@ def top_k(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", k: in
 
     Components x count as floor(1024 * x). Rows with a null key, a null or empty vector, or a null or non-finite component
     take no part; zero vectors do. Rows that share a key are separate candidates, and none of them is one for a query of that
-    key. Vectors of other lengths than the query's are no candidates. An empty table gives no rows.
+    key. Vectors of other lengths than the query's are no candidates. Components may be as large as doubles are: products are then
+    taken in whole numbers of any length, and a score that a long cannot hold is the largest or smallest long. An empty table gives no rows.
     """
     usable = grids.usable(rows, key, vector, zero=True)
-    found = grids.search(usable, lambda lists, ids, queries: search(lists, ids, queries, k), "int64", Lists, whole_numbers, candidates)
+    found = grids.search(usable, lambda lists, ids, queries: search(lists, ids, queries, k), "float64", Lists, whole_numbers, candidates, score="long")
     return grids.ranked(found, k, best_first=True)
 
 

@@ -214,6 +214,18 @@ def test_mixed_documents(odd, none, make):
     assert total == sum(r.taken for r in mixing.taken(*mixing.mix(mixing.measured(odd))).collect())
 
 
+def test_sources_of_equal_documents_are_kept_apart(make):
+    docs = make([(1, "a b c d e f", "en", "x"), (1, "a b c d e f", "en", "y"), (2, "g h", "en", "y"), (1, "a b c d e f", "en", None)])
+    placed, mixed = mixing.mix(mixing.measured(docs))
+    wanted = {}
+    for r in mixing.taken(placed, mixed).collect():
+        wanted[r.source] = wanted.get(r.source, 0) + r.taken
+    got = {}
+    for r in mixing.mixed_documents(docs).collect():
+        got[r.source] = got.get(r.source, 0) + len(r.text.split())
+    assert got == {s: n for s, n in wanted.items() if n}
+
+
 def check_shards(rows, texts):
     by = {}
     for r in rows:
@@ -272,6 +284,25 @@ def test_top_k_is_exact(spark):
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
+def test_top_k_of_components_of_any_size(spark):
+    """Products beyond 62 bits are taken exactly; scores beyond a long count as the largest or smallest one."""
+    draw, most = np.random.default_rng(8), 2**63 - 1
+    vectors = draw.normal(size=(120, 5))
+    vectors[::7] *= 1e9
+    vectors[::11] *= 1e200
+    vectors[5] = 0
+    whole = [[int(x) for x in row] for row in topk.whole_numbers(vectors)]
+    rows = [(100 * i if i < 8 else i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    wanted = []
+    for q, (own, _) in enumerate(rows):
+        if own % 100 == 0:
+            scores = [(max(-most - 1, min(most, sum(a * b for a, b in zip(whole[q], whole[i], strict=True)))), key) for i, (key, _) in enumerate(rows) if key != own]
+            wanted += [(own, rank, key, score) for rank, (score, key) in enumerate(sorted(scores, key=lambda s: (-s[0], s[1]))[:10], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for candidates in (8192, 30):
+        assert sorted(map(tuple, topk.top_k(frame, candidates=candidates).collect())) == sorted(wanted)
+
+
 def test_nearest(spark):
     frame, rows = vectors(spark)
     rows = [(k, v) for k, v in fine(rows) if v.any()]

@@ -42,6 +42,44 @@ def test_checksums_and_context_decide_on_further_kinds():
     assert ("ssn", 4, 15) in spans_of("SSN 078-05-1120")
 
 
+def kinds_of(text):
+    return {(s["kind"], text[s["start"] : s["end"]]): s["score"] for s in pii.find(text) if s["kind"] not in pii.BASE}
+
+
+@pytest.mark.parametrize(
+    "kind, value, context, wrong",
+    [
+        ("imei", "490154203237518", "IMEI of the device", "490154203237519"),
+        ("routing", "021000021", "routing number", "021000022"),
+        ("dni", "12345678Z", "DNI", "12345678A"),
+        ("secret", "04dbebab91ab85687d33eeaaf9ac699e1188f962", 'token = "', "a" * 40),
+        ("ssn", "078-05-1120", "ssn", "078-05-11200"),
+    ],
+)
+def test_context_decides_where_a_checksum_is_weak(kind, value, context, wrong):
+    assert (kind, value) in kinds_of(f"{context} {value}") and (kind, value) in kinds_of(f"{value}, {context}.")
+    assert (kind, value) not in kinds_of(f"some text {value} and more") and (kind, value) not in kinds_of(f"{context}{' far' * 20} {value}")
+    assert not any(k == kind for k, _ in kinds_of(f"{context} {wrong}"))
+
+
+def test_strong_checksums_need_no_context():
+    assert kinds_of("x 2 55 08 14 168 025 38 y") == {("nir", "2 55 08 14 168 025 38"): 0.8} and not kinds_of("x 2 55 08 14 168 025 39 y")
+    assert kinds_of("iban DE89370400440532013000") == {("iban", "DE89370400440532013000"): 1.0} and list(kinds_of("x DE89370400440532013000").values()) == [0.8]
+
+
+def test_ordinary_words_are_no_secrets():
+    for text in ("the key Donaudampfschifffahrtsgesellschaft", "key 12345678901234567890", "token " + "ab1" * 10, "key https://example.org/a/long/path/to/something"):
+        assert not any(k == "secret" for k, _ in kinds_of(text)), text
+
+
+def test_secrets_of_the_given_documents_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    planted = docs.where("text rlike '(?i)token = \"[0-9a-f]{40}\"'").select("doc_id").collect()
+    found = pii.digests(pii.find_pii(docs))
+    with_secrets = {r.doc_id for r in found.where("spans like '%secret:%'").collect()}
+    assert with_secrets == {r.doc_id for r in planted} and found.where("(n_other > 0 or n_email + n_ip + n_card + n_phone > 0) <> (score > 0)").isEmpty()
+
+
 @pytest.mark.parametrize(
     "text, wanted",
     [
