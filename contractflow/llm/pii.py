@@ -14,7 +14,7 @@ from .common import map_batches
 
 #: The kinds whose spans a score cannot remove, in the order of their digest.
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "iban", "ssn")
+KINDS = (*BASE, "iban", "ssn", "imei", "routing", "dni", "nir", "secret")
 #: Words that make a proposed span of the kind likelier when they stand near it.
 CONTEXT = {
     "email": ("mail", "contact"),
@@ -23,7 +23,15 @@ CONTEXT = {
     "phone": ("phone", "tel", "call", "mobile", "fax"),
     "iban": ("iban", "account", "bank"),
     "ssn": ("ssn", "social", "security"),
+    "imei": ("imei", "device", "handset"),
+    "routing": ("routing", "aba", "bank", "transit"),
+    "dni": ("dni", "nif", "documento", "identidad"),
+    "nir": ("nir", "insee", "secu", "sociale", "social"),
+    "secret": ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "auth", "bearer", "credential", "credentials"),
 }
+#: What a confirmed span of the kind scores more. A check digit that one number in ten passes by chance needs a context word as well;
+#: a form without any checksum needs it even more.
+CONFIRMED = {**dict.fromkeys((*BASE, "iban", "nir"), 0.4), **dict.fromkeys(("imei", "routing", "dni"), 0.15), "ssn": 0.0, "secret": 0.0}
 SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -35,15 +43,18 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+_NUMBER = re.compile(r"(?<![0-9])[0-9]++(?![0-9])")
+_DNI = re.compile(r"(?<![0-9A-Za-z])[0-9]{8}-?[A-Z](?![0-9A-Za-z])")
+_NIR = re.compile(r"(?<![0-9])[12] ?[0-9]{2} ?[01][0-9] ?[0-9]{2} ?[0-9]{3} ?[0-9]{3} ?[0-9]{2}(?![0-9])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}")
 _NEAR_WORD = re.compile(r"[a-z]+")
 
 
 @dataclass(frozen=True)
 class Scoring:
-    """Scores of a proposed span: at first, and what a checksum and a context word add; the least that is kept."""
+    """Scores of a proposed span: at first, and what a context word adds (a checksum adds what its kind says); the least that is kept."""
 
     proposed: float = 0.4
-    confirmed: float = 0.4
     context: float = 0.3
     keep: float = 0.6
     window: int = 40
@@ -61,6 +72,28 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
 
 
+def routing(number: str) -> bool:
+    """Weights 3, 7 and 1 over the nine digits of a bank's routing number."""
+    return number != "000000000" and sum(int(d) * (3, 7, 1)[i % 3] for i, d in enumerate(number)) % 10 == 0
+
+
+def dni(number: str) -> bool:
+    """The letter behind eight digits is chosen by their remainder by 23."""
+    return "TRWAGMYFPDXBNJZSQVHLCKE"[int(number[:8]) % 23] == number[-1]
+
+
+def nir(number: str) -> bool:
+    """The last two of fifteen digits complete the others to a multiple of 97."""
+    return 97 - int(number[:13]) % 97 == int(number[13:])
+
+
+def opaque(text: str) -> bool:
+    """Letters and digits mixed, as in keys and tokens, and not one long word or number."""
+    body = text.rstrip("=")
+    digits = sum(map(str.isdecimal, body))
+    return 3 <= digits < len(body) and sum(map(str.isalpha, body)) >= 3 and len(set(body)) >= 8
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost addresses, found from each @ outwards, so that long runs without one cost nothing."""
     done, at = 0, text.find("@")
@@ -113,6 +146,12 @@ def proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
                 yield "phone", *m.span(), True
     yield from (("iban", *span, True) for span in _ibans(text))
     yield from (("ssn", *m.span(), False) for m in _SSN.finditer(text))
+    numbers = [m for m in _NUMBER.finditer(text) if m.end() - m.start() in (9, 15)]
+    yield from (("imei", *m.span(), True) for m in numbers if len(m[0]) == 15 and luhn(m[0]))
+    yield from (("routing", *m.span(), True) for m in numbers if len(m[0]) == 9 and routing(m[0]))
+    yield from (("dni", *m.span(), True) for m in _DNI.finditer(text) if dni(m[0].replace("-", "")))
+    yield from (("nir", *m.span(), True) for m in _NIR.finditer(text) if nir(_digits(m[0])))
+    yield from (("secret", *m.span(), False) for m in _SECRET.finditer(text) if opaque(m[0]))
 
 
 def find(text: str | None, scoring: Scoring = Scoring()) -> list[dict]:
@@ -121,7 +160,7 @@ def find(text: str | None, scoring: Scoring = Scoring()) -> list[dict]:
     for kind, start, end, confirmed in proposals(text):
         near = text[max(0, start - scoring.window) : start] + " " + text[end : end + scoring.window]
         known = not CONTEXT[kind] or not set(_NEAR_WORD.findall(near.lower())).isdisjoint(CONTEXT[kind])
-        score = min(1.0, scoring.proposed + scoring.confirmed * confirmed + scoring.context * known)
+        score = min(1.0, scoring.proposed + CONFIRMED[kind] * confirmed + scoring.context * known)
         if kind in BASE or score >= scoring.keep:
             out.append({"kind": kind, "start": start, "end": end, "score": round(score, 4)})
     return out
@@ -148,7 +187,7 @@ def frame_schema(docs: DataFrame, key: str) -> str:
 
 
 def digests(found: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per document: counts of the base kinds, the digest of their spans, all spans as text."""
+    """Per document: counts of the base kinds, the digest of their spans, all spans as text, n_other (spans of other kinds), score (the best, or 0)."""
     written = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
     of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
     return found.select(
@@ -156,4 +195,6 @@ def digests(found: DataFrame, key: str = "doc_id") -> DataFrame:
         *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(written(of(*BASE)).cast("binary"), 256).alias("base_sha256"),
         written(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: ~s["kind"].isin(*BASE))).cast("long").alias("n_other"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("score"),
     )
