@@ -118,13 +118,14 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     """
     placed, mixed = mix(measured(docs, key, text, source), **options)
     times = mixed.groupBy("s", "position", "lap").agg(F.sum("words").alias("words"))
-    some = placed.where("size > 0").select("s", "position", "key", "mark").join(times, ["s", "position"])
-    takes = some.groupBy("key", "mark").agg(F.sort_array(F.collect_list("words"), asc=False).alias("__llm_takes"))
-    takes = takes.withColumnsRenamed({"key": "__llm_key", "mark": "__llm_mark"})
-    rows = docs.withColumn("__llm_text", F.xxhash64(text))
-    joined = rows.join(takes, F.col(key).eqNullSafe(F.col("__llm_key")) & (F.col("__llm_text") == F.col("__llm_mark")))
-    # Equal rows have all their takes in one list, so one of them stands for all.
-    once = joined.dropDuplicates([key, "__llm_text"]).withColumn("__llm_words", F.explode("__llm_takes"))
+    some = placed.where("size > 0").select("s", "position", "key", "mark", "source").join(times, ["s", "position"])
+    takes = some.groupBy("key", "mark", "source").agg(F.sort_array(F.collect_list("words"), asc=False).alias("__llm_takes"))
+    takes = takes.withColumnsRenamed({"key": "__llm_key", "mark": "__llm_mark", "source": "__llm_source"})
+    rows = docs.withColumns({"__llm_text": F.xxhash64(text), "__llm_from": F.col(source).cast("string")})
+    same = F.col(key).eqNullSafe(F.col("__llm_key")) & (F.col("__llm_text") == F.col("__llm_mark"))
+    joined = rows.join(takes, same & F.col("__llm_from").eqNullSafe(F.col("__llm_source")))
+    # Rows equal in key, text and source have all their takes in one list, so one of them stands for all.
+    once = joined.dropDuplicates([key, "__llm_text", "__llm_from"]).withColumn("__llm_words", F.explode("__llm_takes"))
     words = F.filter(F.split(F.col(text), BLANKS), lambda w: w != "")
     cut = F.array_join(F.slice(words, F.lit(1), F.col("__llm_words").cast("int")), " ")
     return once.select(*[F.when(F.col("__llm_words") < words_in(F.col(text)), cut).otherwise(F.col(c)).alias(c) if c == text else F.col(c) for c in docs.columns])
