@@ -292,7 +292,7 @@ def test_top_k_of_components_of_any_size(spark):
     vectors[::11] *= 1e200
     vectors[5] = 0
     whole = [[int(x) for x in row] for row in topk.whole_numbers(vectors)]
-    rows = [(100 * i if i < 8 else i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    rows = [(100 * i if i < 8 else 1000 + i, [float(x) for x in v]) for i, v in enumerate(vectors)]
     wanted = []
     for q, (own, _) in enumerate(rows):
         if own % 100 == 0:
