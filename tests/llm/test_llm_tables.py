@@ -321,13 +321,30 @@ def test_nearest(spark):
 
 
 def test_probing_finds_every_code_within_the_radius():
-    rng = np.random.default_rng(3)
-    coder = neighbours.learn(rng.normal(size=(500, 24)))
-    index = neighbours.MultiIndex(np.arange(500), rng.normal(size=(500, 24)), coder)
-    for q in range(20):
-        code = index.codes[q]
-        for radius in (0, 7, 8, 9, 20, 45, 60):
-            assert index.within(code, radius).tolist() == np.nonzero(neighbours.distances(index.codes, code) <= radius)[0].tolist()
+    rng = np.random.default_rng(6)
+    spread, tight = rng.normal(size=(700, 24)), rng.normal(size=(7, 24))[rng.integers(0, 7, 700)] + 0.05 * rng.normal(size=(700, 24))
+    for vectors in (spread, tight, spread[:1], np.zeros((5, 24))):
+        index = neighbours.MultiIndex(np.arange(len(vectors)), vectors, neighbours.learn(spread))
+        for own, code in ((0, index.codes[0]), (-1, index.codes[-1] ^ np.uint16(5))):
+            gaps = neighbours.distances(index.codes, code)
+            gaps[index.ids == own] = 999
+            for want in (0, 1, 10, 100, 10_000):
+                rows, looked = index.nearest_codes(own, code, want)
+                most = min(want, (gaps < 999).sum())
+                radius = np.sort(gaps)[most - 1] if most else -1
+                assert sorted(rows) == np.nonzero(gaps <= radius)[0].tolist() or not most
+                assert len(rows) <= looked <= len(vectors)
+    # On rows in tight groups only the buckets of the query's group are looked at.
+    index = neighbours.MultiIndex(np.arange(700), tight, neighbours.learn(tight))
+    assert index.nearest_codes(0, index.codes[0], 20)[1] < 350
+
+
+def test_a_table_gives_the_rows_at_each_distance():
+    column = np.random.default_rng(1).integers(0, 1 << 16, 3000).astype(np.uint16)
+    for values in (column, column[:20], np.full(9, 65535, np.uint16)):
+        table = neighbours.Table(values)
+        for flipped in range(17):
+            assert sorted(table.probe(np.uint16(0xF0F1), flipped)) == np.nonzero(np.bitwise_count(values ^ np.uint16(0xF0F1)) == flipped)[0].tolist()
 
 
 def test_pipeline_equals_its_plain_version(spark, sample):
