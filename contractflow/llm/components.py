@@ -31,12 +31,14 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     edges = checkpoint(edges.where("a <> b").select("a", "b").distinct())  # else every use would make the edges again
     edges = checkpoint(_small(edges))
-    state = None
+    state, ended = None, False
     for _ in range(rounds):
         # Both halves keep a < b turned to b > a; a star per component is the fixed point.
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if (now.n, now.h) == state or not now.n:
+        if ended := (now.n, now.h) == state or not now.n:
             break
         state = (now.n, now.h)
         edges = checkpoint(_small(_large(edges)))
+    if not ended:
+        raise RuntimeError(f"Components did not settle in {rounds} rounds")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

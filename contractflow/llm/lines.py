@@ -32,6 +32,8 @@ LINES = 2000
 #: Band keys of at most so many classes give all pairs, which sketches may rule out; the others give stars, which stay whole.
 FEW = 8
 SEED = 5
+#: Columns of a class's sketch: one bit of each value of its signature.
+SKETCH = [f"sketch{i}" for i in range(BANDS * ROWS // 64)]
 #: Places of candidate lines, and documents that lose lines, that may be broadcast (some 100 bytes each); beyond, the joins shuffle.
 BROADCAST_ROWS = 200_000
 #: Links (two numbers each) that may be broadcast.
@@ -114,7 +116,7 @@ def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The different lines of a stretch of documents: line, its first key, mark and at there, times, chars, keys (of its bands), sketch."""
+    """The different lines of a stretch of documents: line, its first key, mark and at there, times, chars, keys (of its bands), sketch (in several numbers)."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keys, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -132,11 +134,11 @@ def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
             rows = pa.array([x[1] for x in some], pa.int64())
             columns = [pa.array(list(found), pa.binary()), batch.column(0).take(rows), batch.column(1).take(rows), pa.array([x[0][3] for x in some], pa.int32())]
             columns += [pa.array([x[2] for x in some], pa.int64()), pa.array([len(x[3]) for x in some], pa.int32()), pa.array(keys_of, pa.binary())]
-            columns.append(pa.FixedSizeListArray.from_arrays(pa.array(sketches.ravel()), sketches.shape[1]).cast(pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=["line", "key", "mark", "at", "times", "chars", "keys", "sketch"])
+            columns += map(pa.array, sketches.T.copy())
+            yield pa.RecordBatch.from_arrays(columns, names=["line", "key", "mark", "at", "times", "chars", "keys", *SKETCH])
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_batches(marked(docs, key, text), work, f"line binary, key {kind}, mark long, at int, times long, chars int, keys binary, sketch array<long>")
+    return map_batches(marked(docs, key, text), work, f"line binary, key {kind}, mark long, at int, times long, chars int, keys binary, " + ", ".join(f"{s} long" for s in SKETCH))
 
 
 def marked(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -183,24 +185,25 @@ def line_texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) of classes that share a band key, but for pairs whose sketches differ too much.
 
-    Sketches differ in no more bits than signatures in values, so a similar pair is ruled out only if its signature is four standard
-    deviations off. Most chance pairs are, so they do not tie groups together.
+    A bit differs with half the probability of its value, which is one less the similarity. A similar pair is ruled out only if so many
+    bits differ that it is four standard deviations off (less than one pair in 10,000). Nearly all chance pairs are, so they do not tie groups together.
     """
     edges = stars(classes, few=FEW, short=BANDS).groupBy("a", "b").agg(F.max("star").alias("star"))
-    edges, values, far = checkpoint(edges), BANDS * ROWS, (100 - percent) / 100
+    edges, values, far = checkpoint(edges), BANDS * ROWS, (100 - percent) / 200
     limit = int(values * far + 4 * (values * far * (1 - far)) ** 0.5)
     n = edges.count()
-    sketch = lambda name, other: classes.select(F.col("class").alias(name), F.col("sketch").alias(other))
+    sketch = lambda name, mark: classes.select(F.col("class").alias(name), *[F.col(s).alias(mark + s) for s in SKETCH])
     few = F.broadcast if n <= BROADCAST_LINKS // 4 else lambda frame: frame
-    both = sketch("b", "y").join(few(sketch("a", "x").join(few(edges), "a")), "b")
-    differ = sum((F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(values // 64)), F.lit(0))
-    return both.where(F.col("star") | (differ <= limit)).select("a", "b")
+    pairs = edges.where(~F.col("star")).select("a", "b")  # stars stay whole
+    both = sketch("b", "y").join(few(sketch("a", "x").join(few(pairs), "a")), "b")
+    differ = sum((F.bit_count(F.col("x" + s).bitwiseXOR(F.col("y" + s))) for s in SKETCH), F.lit(0))
+    return both.where(differ <= limit).select("a", "b").unionByName(edges.where("star").select("a", "b"))
 
 
 def removals(docs: DataFrame, key: str, text: str, percent: int, elements: int) -> DataFrame:
     """Lines to remove, by document: key, mark, gone (numbers of lines), kept_in (keys of the documents that keep such lines)."""
     place = F.struct(F.col("key").isNull().alias("none"), "key", "mark", "at")
-    classes = signed(docs, key, text).groupBy("line").agg(F.min(place).alias("first"), F.sum("times").alias("times"), F.max("chars").alias("chars"), F.max("keys").alias("keys"), F.max("sketch").alias("sketch"))
+    classes = signed(docs, key, text).groupBy("line").agg(F.min(place).alias("first"), F.sum("times").alias("times"), F.max("chars").alias("chars"), F.max("keys").alias("keys"), *[F.max(s).alias(s) for s in SKETCH])
     classes = checkpoint(classes.withColumn("class", F.monotonically_increasing_id()))
     groups = checkpoint(candidate_groups(candidates(classes, percent)))
     small = F.broadcast if groups.count() <= BROADCAST_LINKS else lambda frame: frame

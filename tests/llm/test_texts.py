@@ -214,6 +214,35 @@ def test_languages(odd, none, sample):
     assert languages.predict(["ab"], languages.build([])) == ([languages.UNKNOWN], [0.0])
 
 
+def plain_trigrams(text):
+    """Trigrams of a text, letters lower-cased and everything else one space, that are not of spaces in the middle."""
+    letters = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+    joined = " " + " ".join(letters.split()) + " " if letters.strip() else " "
+    return [joined[i : i + 3] for i in range(len(joined) - 2) if joined[i + 1] != " "]
+
+
+def test_predictions_equal_those_of_exact_sets(sample):
+    """Bloom filters against plain sets of each language's trigrams: the same languages, and scores as near as false positives allow."""
+    rows = sample.select("doc_id", "text", "lang").collect()
+    counts: dict = {}
+    for r in rows:
+        if r.text is not None and r.lang is not None and brute.fold(r.doc_id) % 5:
+            for gram in plain_trigrams(r.text):
+                of = counts.setdefault(r.lang, {})
+                of[gram] = of.get(gram, 0) + 1
+    sets = {lang: {g for g, n in of.items() if n >= sum(of.values()) * languages.LEAST} for lang, of in counts.items()}
+    got, other = {r.doc_id: r for r in languages.identify_documents(sample).collect()}, 0
+    for r in rows:
+        grams = plain_trigrams(r.text or "")
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == (languages.UNKNOWN, 0)
+            continue
+        parts = {lang: sum(g in known for g in grams) / len(grams) for lang, known in sets.items()}
+        assert got[r.doc_id].score == pytest.approx(max(parts.values()), abs=0.01)
+        other += parts[got[r.doc_id].lang_pred] < max(parts.values()) - 0.005
+    assert not other
+
+
 def test_filters_return_all_languages_of_a_trigram():
     names = [f"l{i:03d}" for i in range(70)]
     grams = languages.trigrams(["abc def"])[0]
