@@ -59,6 +59,12 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a stage's folder of this run, on whatever filesystem it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; every stage's result is written as Parquet in the shared folder and read again."""
     folder = f"{shared_folder(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
@@ -66,4 +72,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
         docs = spark.read.parquet(f"{folder}/{number}")
+        if number:
+            discard(spark, f"{folder}/{number - 1}")  # nothing reads it any more
     return STAGES[-1][1](spark, docs, sf_dir)
