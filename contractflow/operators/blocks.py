@@ -12,7 +12,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint, rows_per_block
@@ -27,7 +27,7 @@ class Split:
     hot: DataFrame | None = None
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = None) -> Split:
+def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], limit: int | None = None) -> Split:
     """Rows of ordinary keys, and rows of keys above the limit tagged with their block."""
     limit = rows_per_block(df.sparkSession, limit)
     large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cf_rows")).where(F.col("__cf_rows") > limit)
@@ -47,7 +47,7 @@ def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: i
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], limit: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], columns: Sequence[str], limit: int | None = None
 ) -> DataFrame:
     """Add ``__cf_previous``, a struct of the given columns of the key's preceding row (or NULL)."""
     by = lambda *part: Window.partitionBy(*part).orderBy(*order)

@@ -132,11 +132,13 @@ def order_violations(
     maximum_drop_percent: float | None = None,
     block_rows: int | None = None,
 ) -> DataFrame:
-    """Gaps, capture times running backwards, and row-count drops against the previous version."""
+    """Gaps, capture times running backwards, and row-count drops against the previous version.
+
+    Receipts alike in version, capture time and id are taken from the largest row count down, so that reruns agree.
+    """
     lean = ledger.select("dataset", "version", "id", captured().alias("captured_at"), "row_count")
-    ordered = with_previous(
-        lean, ["dataset"], ["version", "captured_at", "id"], ["version", "captured_at", "row_count"], block_rows
-    )
+    order = ["version", "captured_at", "id", F.desc("row_count")]
+    ordered = with_previous(lean, ["dataset"], order, ["version", "captured_at", "row_count"], block_rows)
     before = F.col(PREVIOUS)
     nothing = F.lit(None)
     rules = {"time_order": (_holds(F.col("captured_at") < before["captured_at"]), nothing)}

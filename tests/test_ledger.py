@@ -83,6 +83,15 @@ def test_order_rules(spark):
     assert found(spark, [receipt(1)], Policy(maximum_age_hours=23.9)) == [(1, "stale")]
 
 
+@pytest.mark.parametrize("block_rows", [None, 1])
+def test_receipts_alike_but_for_their_rows_have_one_order(spark, block_rows):
+    alike = [receipt(1, row_count=20, captured_at=""), receipt(1, row_count=470, captured_at="")]
+    for receipts in (alike, alike[::-1]):
+        frame = spark.createDataFrame([*receipts, receipt(2, row_count=20)], COLUMNS).coalesce(1)
+        broken = ledger.order_violations(frame, maximum_drop_percent=60, block_rows=block_rows).collect()
+        assert [(r.version, r.rule, r.detail) for r in broken] == [(1, "drop_percent", "95.7447")]
+
+
 def test_duplicates_and_datasets_are_separate(spark):
     assert found(spark, [receipt(1), receipt(1)]) == [(1, "duplicate_id"), (1, "duplicate_path"), (1, "duplicate_version")]
     assert found(spark, [receipt(1), receipt(1, dataset="retail.other.x")]) == []
