@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import DataRejected, require
+from ..session import rows_per_block
 from .blocks import PREVIOUS, with_previous
 
 # Limits and forms of the delivery index format.
@@ -23,6 +24,10 @@ CAPTURED_AT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.]\d{1,6})?)?(Z|[+-]\d
 
 VIOLATION = "dataset string, version bigint, rule string, detail string"
 
+# Receipts that one task groups by value, and counters by which large datasets are found.
+RECEIPTS_PER_TASK = 250_000
+COUNTERS = 65_536
+
 
 @dataclass(frozen=True)
 class Policy:
@@ -109,8 +114,35 @@ def receipt_violations(
     return _violations(ledger, _receipt_rules(root, publication))
 
 
-def duplicate_violations(ledger: DataFrame) -> DataFrame:
-    """Ids, versions and paths used more than once within a dataset."""
+def _by_dataset(ledger: DataFrame, columns: list[str], block_rows: int | None) -> list[DataFrame]:
+    """The columns, with each dataset's rows in one task, but for datasets too large for one: those stay where they are.
+
+    Rows are counted per hash of the dataset, so what is counted has a fixed size.
+    """
+    counter = F.pmod(F.xxhash64("dataset"), F.lit(COUNTERS))
+    counts = ledger.groupBy(counter.alias("counter")).agg(F.count(F.lit(1)).alias("n"))
+    limit = rows_per_block(ledger.sparkSession, block_rows)
+    large = F.col("n") > limit
+    found = counts.agg(F.sum(F.when(~large, F.col("n"))).alias("rows"), F.collect_list(F.when(large, F.col("counter"))).alias("large")).first()
+    lean = ledger.select(*columns)
+    tasks = max(1, -(-(found.rows or 0) // RECEIPTS_PER_TASK))
+    if not found.large:
+        return [lean.repartition(tasks, "dataset")]
+    hot = counter.isin(found.large)
+    return [lean.where(~hot).repartition(tasks, "dataset"), lean.where(hot)]
+
+
+def duplicate_violations(ledger: DataFrame, block_rows: int | None = None) -> DataFrame:
+    """Ids, versions and paths used more than once within a dataset.
+
+    A receipt is shuffled once, by its dataset, and not once for each field. Only the receipts of datasets too large for a
+    task are shuffled by field and value.
+    """
+    parts = [_duplicates(part) for part in _by_dataset(ledger, ["dataset", "version", "id", "path"], block_rows)]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _duplicates(ledger: DataFrame) -> DataFrame:
     pair = lambda field: F.struct(F.lit(field).alias("field"), F.col(field).cast("string").alias("value"))
     fields = F.array(pair("id"), pair("version"), pair("path"))
     uses = ledger.select("dataset", "version", F.inline(fields)).groupBy("dataset", "field", "value")

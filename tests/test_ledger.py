@@ -97,6 +97,21 @@ def test_duplicates_and_datasets_are_separate(spark):
     assert found(spark, [receipt(1), receipt(1, dataset="retail.other.x")]) == []
 
 
+def test_duplicates_shuffle_a_receipt_once_and_large_datasets_by_value(spark):
+    receipts = [receipt(v, dataset=d, id=f"i{v % 3}", path=None if v == 2 else f"p{v}") for d in ("a", "b", None) for v in (1, 1, 2, 4)]
+    receipts += [receipt(7, dataset="c"), receipt(7, dataset="c", path="p")]
+    frame = spark.createDataFrame(receipts, COLUMNS)
+    plans, results = [], []
+    for block_rows in (None, 2, 1):
+        duplicates = ledger.duplicate_violations(frame, block_rows)
+        results.append(sorted(map(tuple, duplicates.collect()), key=repr))
+        plans.append(duplicates._jdf.queryExecution().executedPlan().toString())
+    expected = [(d, 1, f"duplicate_{f}", n) for d in ("a", "b", None) for f, n in (("id", "3"), ("version", "2"), ("path", "2"))]
+    expected += [("c", 7, "duplicate_id", "2"), ("c", 7, "duplicate_version", "2")]
+    assert results == [sorted(expected, key=repr)] * 3
+    assert "field" not in "".join(line for line in plans[0].splitlines() if "Exchange" in line)
+
+
 def test_capacity(spark):
     frame = spark.range(1, 10_002).selectExpr("'d' AS dataset", "id AS version")
     assert [tuple(r) for r in ledger.capacity_violations(frame).collect()] == [("d", 10001, "capacity", "10001")]
