@@ -26,6 +26,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stored(frame: DataFrame, path: str) -> DataFrame:
+    """Write a frame as Parquet in the shared folder and read it back: smaller than a checkpoint, read by columns, and gone when it is discarded."""
+    frame.write.option("parquet.enable.dictionary", "false").parquet(path)  # hashes and ids hardly repeat
+    return frame.sparkSession.read.parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this run, on whatever filesystem it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def words_in(text: Column) -> Column:
     """Number of words of a text (null: none), without building them."""
     blank = "\x20\x09\x0a\x0b\x0c\x0d"

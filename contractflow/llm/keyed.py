@@ -20,14 +20,17 @@ from .components import components
 KEYS_PER_PART = 250_000
 #: Elements of sets that a task verifies at a time (8 bytes each); larger groups are cut into blocks of half as many.
 GROUP_ELEMENTS = 2_000_000
+#: Members of crowded keys whose sketches a task compares at a time.
+CROWD = 4_000
 
 
-def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART, few: int = 0, short: int = 0) -> DataFrame:
+def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART, few: int = 0, short: int = 0, crowds: bool = False) -> DataFrame:
     """Edges (a, b) from the smallest class of every key to the others that have it. ``classes``: class long, keys binary (64 bits each).
 
     With ``few``, keys of at most so many classes give all their pairs instead, and ``star`` says which edges are not such pairs: a
     pair may be left out again without harm to the others of its key. With ``short``, a class has none or so many keys of 32 bits each,
-    which meet only at the same place.
+    which meet only at the same place. With ``crowds``, keys of more than ``few`` classes give no star but all their members: a is the key
+    then, b a class.
     """
     width = 4 if short else 8
     total = classes.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0)).alias("n")).first().n // width
@@ -40,9 +43,14 @@ def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART, few: int = 0,
         if short:
             keys = keys.astype(np.uint64) | np.tile(np.arange(short, dtype=np.uint64) << np.uint64(32), len(raw))
         owner = np.repeat(batch.column(0).to_numpy(), sizes)
-        part = (keys % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((keys, part))
-        keys, owner, part = keys[order], owner[order], part[order]
+        if short:  # ranges of keys: one sort, and smaller differences
+            order = np.argsort(keys)
+            keys, owner = keys[order], owner[order]
+            part = ((keys >> np.uint64(8)) * np.uint64(parts) // np.uint64(short << 24)).astype(np.int64)
+        else:
+            part = (keys % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((keys, part))
+            keys, owner, part = keys[order], owner[order], part[order]
         cuts = np.searchsorted(part, np.arange(parts + 1))
         found = np.nonzero(np.diff(cuts))[0]
         yield pa.RecordBatch.from_arrays(
@@ -53,17 +61,23 @@ def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART, few: int = 0,
     def meet(rows: pa.Table) -> pa.Table:
         keys = np.concatenate([np.cumsum(expand(k, np.uint64), dtype=np.uint64) for k in rows["keys"].to_pylist()])
         owners = np.concatenate([expand(o, np.int64) for o in rows["owners"].to_pylist()])
+        order = np.argsort(keys)
+        keys, owners = keys[order], owners[order]
+        same = np.concatenate(([False], keys[1:] == keys[:-1], [False]))
+        shared = same[1:] | same[:-1]  # most keys have one class
+        keys, owners = keys[shared], owners[shared]
         order = np.lexsort((owners, keys))
         keys, owners = keys[order], owners[order]
-        starts = np.concatenate(([True], keys[1:] != keys[:-1]))
+        starts = np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)]
         least = owners[np.nonzero(starts)[0]][np.cumsum(starts) - 1]
         if not few:
             pairs = np.unique(np.stack((least, owners), axis=1)[least != owners], axis=0)
             return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
         number = np.cumsum(starts) - 1
         small = (np.bincount(number) <= few)[number]
-        star = ~small & (least != owners)
-        found = [np.stack((least[star], owners[star]), axis=1)]
+        star = ~small if crowds else ~small & (least != owners)
+        centre = keys.view(np.int64) if crowds else least
+        found = [np.stack((centre[star], owners[star]), axis=1)]
         for i in range(1, few):
             at = np.nonzero(small[:-i] & (number[:-i] == number[i:]))[0]
             found.append(np.stack((owners[at], owners[at + i]), axis=1))
@@ -75,6 +89,41 @@ def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART, few: int = 0,
     return rows.groupBy("part").applyInArrow(meet, "a long, b long, star boolean" if few else "a long, b long")
 
 
+def crowd_links(members: DataFrame, sketches: DataFrame, columns: list[str], limit: int, elements: int = CROWD) -> DataFrame:
+    """Edges (a, b) that connect the classes of every key whose sketches differ in at most ``limit`` bits, directly or through others.
+
+    ``members``: key, class; ``sketches``: class and the sketch's ``columns``. A key's near pairs are walked along, so copies of copies
+    cost one comparison each and give one edge each. Larger crowds than a task takes are compared block by block.
+    """
+
+    def walk(rows: pa.Table) -> pa.Table:
+        groups, classes, side = rows["group"].to_numpy(), rows["class"].to_numpy(), rows["side"].to_numpy()
+        order = np.lexsort((classes, groups))
+        groups, classes, side = groups[order], classes[order], side[order]
+        values = np.stack([rows[c].to_numpy() for c in columns], axis=1).view(np.uint64)[order]
+        cuts = np.concatenate(([0], np.nonzero(np.diff(groups))[0] + 1, [len(order)]))
+        found = [np.zeros((0, 2), np.int64)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            left = np.arange(a, b)  # not reached yet
+            while len(left) > 1:
+                reached, left = [left[0]], left[1:]
+                while reached and len(left):
+                    at = reached.pop()
+                    near = np.bitwise_count(values[left] ^ values[at]).sum(axis=1, dtype=np.int64) <= limit
+                    if side[at]:
+                        near &= side[left] != side[at]
+                    if near.any():
+                        hits, left = left[near], left[~near]
+                        found.append(np.stack((np.full(len(hits), classes[at]), classes[hits]), axis=1))
+                        reached.extend(hits.tolist())
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    wanted = placed(members.select("class", F.col("key").alias("group"), F.lit(1).alias("n")), elements)
+    rows = wanted.withColumn("place", F.explode("places")).select("class", "group", "place.bin", "place.i", "place.j", "place.side")
+    return rows.join(sketches.select("class", *columns), "class").groupBy("bin", "i", "j").applyInArrow(walk, "a long, b long")
+
+
 def candidate_groups(edges: DataFrame) -> DataFrame:
     """class, group: the candidate groups of at least two classes."""
     found = components(edges)

@@ -7,7 +7,9 @@ candidates, whose shingle sets are compared exactly. Of a component of similar l
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,25 +17,29 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, chunks, map_batches, mix
+from .common import checkpoint, chunks, discard, map_batches, mix, shared_folder, stored
 from .components import components
-from .keyed import GROUP_ELEMENTS, candidate_groups, nearby, placed, stars, verified
+from .keyed import GROUP_ELEMENTS, candidate_groups, crowd_links, nearby, placed, stars, verified
 
 SIMILARITY = 80
 #: Short enough that a changed character leaves 0.8 of a line of 39 characters.
 SHINGLE = 4
 #: Lines with fewer characters (code points, after normalising) are blank and always stay.
 LEAST = 1
-#: 32 bands of 8 rows: a pair of similarity 0.8 shares a band with probability 0.997, one of 0.9 nearly always, one of 0.15 in 1e-5 of cases.
-BANDS = 32
+#: 34 bands of 8 rows: a pair of similarity 0.8 shares a band with probability 0.997 (simulated, for 5 to 300 shingles), one of 0.9 nearly always, one of
+#: 0.15 in 1e-5 of cases.
+BANDS = 34
 ROWS = 8
+VALUES = BANDS * ROWS
+#: A value of a signature that no shingle has competed for.
+EMPTY = np.uint32(0xFFFFFFFF)
 #: Lines that are signed at a time: so many fit into the processor's caches.
-LINES = 2000
-#: Band keys of at most so many classes give all pairs, which sketches may rule out; the others give stars, which stay whole.
+LINES = 250
+#: Band keys of at most so many classes give all pairs; those of more are crowds, whose members are compared by key. Sketches rule out either.
 FEW = 8
 SEED = 5
-#: Columns of a class's sketch: one bit of each value of its signature.
-SKETCH = [f"sketch{i}" for i in range(BANDS * ROWS // 64)]
+#: Columns of a class's sketch: one bit of each of the first values of its signature.
+SKETCH = [f"sketch{i}" for i in range(VALUES // 64)]
 #: Places of candidate lines, and documents that lose lines, that may be broadcast (some 100 bytes each); beyond, the joins shuffle.
 BROADCAST_ROWS = 200_000
 #: Links (two numbers each) that may be broadcast.
@@ -59,26 +65,62 @@ def gram_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return mix(points), begins, begins + lengths - SHINGLE + 1
 
 
+@cache
+def draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each value of a signature: the others in the order in which it asks them (a row for each turn), the same by place (rank and number in one), a factor of its bit."""
+    rng = np.random.default_rng(SEED)
+    order = np.argsort(rng.random((VALUES, VALUES)), axis=1)
+    choice = np.empty((VALUES, VALUES), np.uint32)
+    np.put_along_axis(choice, order, np.broadcast_to(np.arange(VALUES, dtype=np.uint32) << np.uint32(16), (VALUES, VALUES)), axis=1)
+    choice |= np.arange(VALUES, dtype=np.uint32)
+    return np.ascontiguousarray(order.T), np.ascontiguousarray(choice.T), rng.integers(0, 1 << 31, VALUES, np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+def filled(cells: np.ndarray, order: np.ndarray, choice: np.ndarray) -> None:
+    """Give every empty value of a signature that of the first in its own order that is not empty; two lines agree there as often as elsewhere."""
+    there = cells != EMPTY
+    thin = np.nonzero(there.sum(axis=1) < VALUES // 4)[0]
+    own = cells.copy()
+    if len(thin):  # the few that are there, at once
+        some = there[thin]
+        row, at = np.nonzero(some)
+        source = np.minimum.reduceat(choice[at], np.searchsorted(row, np.arange(len(thin))), axis=0) & np.uint32(0xFFFF)
+        cells[thin] = np.where(some, own[thin], np.take_along_axis(own[thin], source.astype(np.int64), axis=1))
+    flat, own, turn = cells.reshape(-1), own.reshape(-1), 0
+    left = np.nonzero(flat == EMPTY)[0]
+    value = left % VALUES
+    while len(left):
+        found = own[left - value + order[turn][value]]
+        flat[left] = found
+        still = found == EMPTY
+        left, value, turn = left[still], value[still], turn + 1
+
+
 def signatures(lines: list[str]) -> tuple[list[bytes], np.ndarray]:
-    """The band keys of normal lines, and sketches: the last bit of each value of the signature. Those filled up to a shingle have no keys."""
+    """The band keys of normal lines, and sketches: a bit of each of the first values of the signature. Those filled up to a shingle have no keys.
+
+    A shingle's hash is taken once: it says which value of the signature the shingle competes for, and the least one wins. Values for which
+    no shingle competes are taken over from others.
+    """
     long = [i for i, line in enumerate(lines) if line[-1] != " "]
-    out, sketches = [b""] * len(lines), np.zeros((len(lines), BANDS * ROWS // 64), np.int64)
-    rng = np.random.default_rng(SEED)
-    factors = rng.integers(0, 1 << 31, (BANDS * ROWS, 2), np.uint32) * np.uint32(2) + np.uint32(1)
+    out, sketches = [b""] * len(lines), np.zeros((len(lines), len(SKETCH)), np.int64)
+    order, choice, factors = draws()
+    bits, low = 64 * len(SKETCH), np.uint64(0xFFFFFFFF)
     for some in (long[i : i + LINES] for i in range(0, len(long), LINES)):
         grams, begins, ends = gram_hashes([lines[i] for i in some])
-        small = (grams >> np.uint64(32)).astype(np.uint32)
-        cuts = np.stack((begins, ends), axis=1).ravel()
-        last = cuts[-1] == len(small)
-        cuts = cuts[:-1] if last else cuts  # reduceat takes the rest for the last cut
-        keys, bits = np.zeros((len(some), BANDS), np.uint64), np.zeros((len(some), BANDS * ROWS), np.uint8)
+        sizes = ends - begins
+        grams = grams[np.arange(sizes.sum()) + np.repeat(begins - np.cumsum(sizes) + sizes, sizes)]
+        value = ((grams & low) * np.uint64(VALUES) >> np.uint64(32)).astype(np.int64)
+        cells = np.full(len(some) * VALUES, EMPTY, np.uint32)
+        np.minimum.at(cells, np.repeat(np.arange(len(some)) * VALUES, sizes) + value, np.minimum((grams >> np.uint64(32)).astype(np.uint32), EMPTY - np.uint32(1)))
+        cells = cells.reshape(-1, VALUES)
+        filled(cells, order, choice)
+        drawn = (cells[:, :bits] * factors[:bits] >> np.uint32(31)).astype(np.uint8)
+        sketches[some] = np.packbits(drawn, axis=1).view(np.int64)
+        bands, keys = cells.reshape(-1, BANDS, ROWS), np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(some), BANDS))
         with np.errstate(over="ignore"):
-            for i, (a, b) in enumerate(factors):
-                least = np.minimum.reduceat(small * a + b, cuts)[::2].astype(np.uint64)
-                band = i // ROWS
-                keys[:, band] = mix(keys[:, band] * np.uint64(31) + least + np.uint64(band + 1))
-                bits[:, i] = mix(least) & np.uint64(1)
-        sketches[some] = np.packbits(bits, axis=1).view(np.int64)
+            for i in range(ROWS):
+                keys = mix(keys * np.uint64(31) + bands[:, :, i])
         for i, row in zip(some, (keys >> np.uint64(32)).astype(np.uint32), strict=True):  # sketches rule out what meets by the shortness
             out[i] = row.tobytes()
     return out, sketches
@@ -182,33 +224,46 @@ def line_texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
     return found.join(small(known), same).select("class", "group", "places", "set")
 
 
-def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) of classes that share a band key, but for pairs whose sketches differ too much.
+def candidates(shared: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that connect classes which share a band key (``shared``: the stars of their keys), but for pairs whose sketches differ too much.
 
     A bit differs with half the probability of its value, which is one less the similarity. A similar pair is ruled out only if so many
-    bits differ that it is four standard deviations off (less than one pair in 10,000). Nearly all chance pairs are, so they do not tie groups together.
+    bits differ that it is four standard deviations off (less than one pair in 1,000). Nearly all chance pairs are, so they do not tie groups together.
     """
-    edges = stars(classes, few=FEW, short=BANDS).groupBy("a", "b").agg(F.max("star").alias("star"))
-    edges, values, far = checkpoint(edges), BANDS * ROWS, (100 - percent) / 200
+    values, far = 64 * len(SKETCH), (100 - percent) / 200
     limit = int(values * far + 4 * (values * far * (1 - far)) ** 0.5)
-    n = edges.count()
-    sketch = lambda name, mark: classes.select(F.col("class").alias(name), *[F.col(s).alias(mark + s) for s in SKETCH])
-    few = F.broadcast if n <= BROADCAST_LINKS // 4 else lambda frame: frame
-    pairs = edges.where(~F.col("star")).select("a", "b")  # stars stay whole
-    both = sketch("b", "y").join(few(sketch("a", "x").join(few(pairs), "a")), "b")
+    pairs = shared.where(~F.col("star")).select("a", "b")
+    small = F.broadcast if pairs.count() <= BROADCAST_LINKS // 4 else lambda frame: frame
+    sketch = lambda name, mark: sketches.select(F.col("class").alias(name), *[F.col(s).alias(mark + s) for s in SKETCH])
+    both = sketch("b", "y").join(small(sketch("a", "x").join(small(pairs), "a")), "b")
     differ = sum((F.bit_count(F.col("x" + s).bitwiseXOR(F.col("y" + s))) for s in SKETCH), F.lit(0))
-    return both.where(differ <= limit).select("a", "b").unionByName(edges.where("star").select("a", "b"))
+    crowds = shared.where("star").select(F.col("a").alias("key"), F.col("b").alias("class"))
+    return both.where(differ <= limit).select("a", "b").unionByName(crowd_links(crowds, sketches, SKETCH, limit))
+
+
+def similar_lines(docs: DataFrame, key: str, text: str, percent: int, elements: int, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The different lines (class, line, first, times, chars), and node, root of the components of similar ones. What it stores is in the folder."""
+    spark = docs.sparkSession
+    lines = stored(signed(docs, key, text).withColumn("class", F.monotonically_increasing_id()), f"{folder}/signed")
+    place = F.struct(F.col("key").isNull().alias("none"), "key", "mark", "at", "class")
+    classes = lines.groupBy("line").agg(F.min(place).alias("first"), F.sum("times").alias("times"), F.max("chars").alias("chars"))
+    classes = stored(classes.withColumn("class", F.col("first.class")), f"{folder}/classes")
+    # A line that several stretches have was signed in each; one of them stands for all.
+    again = checkpoint(lines.select("class").join(classes.select("class"), "class", "left_anti"))
+    small = F.broadcast if again.count() <= BROADCAST_LINKS else lambda frame: frame
+    once = lines.join(small(again), "class", "left_anti")
+    shared = stored(stars(once.select("class", "keys"), few=FEW, short=BANDS, crowds=True).distinct(), f"{folder}/shared")
+    sketches = stored(once.select("class", *SKETCH), f"{folder}/sketches")
+    discard(spark, f"{folder}/signed")  # nothing reads the keys any more
+    groups = checkpoint(candidate_groups(candidates(shared, sketches, percent)))
+    small = F.broadcast if groups.count() <= BROADCAST_LINKS else lambda frame: frame
+    wanted = placed(classes.join(small(groups), "class").select("class", "group", F.col("chars").alias("n"), "first.key", "first.mark", "first.at"), elements)
+    return classes, components(verified(line_texts(docs, wanted, key, text), *links(percent), shingle_sets))
 
 
-def removals(docs: DataFrame, key: str, text: str, percent: int, elements: int) -> DataFrame:
+def removals(docs: DataFrame, key: str, text: str, percent: int, elements: int, folder: str) -> DataFrame:
     """Lines to remove, by document: key, mark, gone (numbers of lines), kept_in (keys of the documents that keep such lines)."""
-    place = F.struct(F.col("key").isNull().alias("none"), "key", "mark", "at")
-    classes = signed(docs, key, text).groupBy("line").agg(F.min(place).alias("first"), F.sum("times").alias("times"), F.max("chars").alias("chars"), F.max("keys").alias("keys"), *[F.max(s).alias(s) for s in SKETCH])
-    classes = checkpoint(classes.withColumn("class", F.monotonically_increasing_id()))
-    groups = checkpoint(candidate_groups(candidates(classes, percent)))
-    small = F.broadcast if groups.count() <= BROADCAST_LINKS else lambda frame: frame
-    wanted = placed(classes.join(small(groups), "class").select("class", "group", F.col("chars").alias("n"), "first.key", "first.mark", "first.at"), elements)
-    found = components(verified(line_texts(docs, wanted, key, text), *links(percent), shingle_sets))
+    classes, found = similar_lines(docs, key, text, percent, elements, folder)
     found = checkpoint(found.unionByName(found.select(F.col("root").alias("node"), "root").distinct()))
     small = F.broadcast if found.count() <= BROADCAST_LINKS else lambda frame: frame
     # Most lines stand once and are like no other: only the rest is looked at further.
@@ -229,7 +284,11 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     key and text count as one document and keep the same lines. An empty table gives no rows. Similar means a Jaccard similarity of the
     character shingles of at least ``percent`` hundredths; a line shorter than a shingle is only like its equals.
     """
-    gone = checkpoint(removals(docs, key, text, percent, elements))
+    folder = f"{shared_folder(docs.sparkSession).rstrip('/')}/lines-{uuid.uuid4().hex}"
+    try:
+        gone = checkpoint(removals(docs, key, text, percent, elements, folder))
+    finally:
+        discard(docs.sparkSession, folder)
     few = gone.count() <= BROADCAST_ROWS
     gone = gone.select(*[F.col(c).alias(f"__llm_{c}") for c in ("key", "mark", "gone", "kept_in")])
     same = F.col(key).eqNullSafe(F.col("__llm_key")) & (F.xxhash64(text) == F.col("__llm_mark"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractflow.llm import jaccard, languages, lines, mixing, packing
-from contractflow.llm.common import shared_folder, table
+from contractflow.llm.common import discard, shared_folder, table
 
 #: Least part of a text's trigrams that its language must know; prose mixed with data stays well above it.
 LEAST_LANGUAGE = 0.2
@@ -59,12 +59,6 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Remove a stage's folder of this run, on whatever filesystem it is."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; every stage's result is written as Parquet in the shared folder and read again."""
     folder = f"{shared_folder(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
