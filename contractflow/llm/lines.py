@@ -35,6 +35,8 @@ VALUES = BANDS * ROWS
 EMPTY = np.uint32(0xFFFFFFFF)
 #: Lines that are signed at a time: so many fit into the processor's caches.
 LINES = 250
+#: Of those with few shingles, so many.
+THIN = 64
 #: Band keys of at most so many classes give all pairs; those of more are crowds, whose members are compared by key. Sketches rule out either.
 FEW = 8
 SEED = 5
@@ -67,25 +69,24 @@ def gram_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @cache
 def draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each value of a signature: the others in the order in which it asks them (a row for each turn), the same by place (rank and number in one), a factor of its bit."""
+    """For each value of a signature: the values in the order in which it asks them (a row for each turn), each one's turn, a factor of its bit."""
     rng = np.random.default_rng(SEED)
     order = np.argsort(rng.random((VALUES, VALUES)), axis=1)
-    choice = np.empty((VALUES, VALUES), np.uint32)
-    np.put_along_axis(choice, order, np.broadcast_to(np.arange(VALUES, dtype=np.uint32) << np.uint32(16), (VALUES, VALUES)), axis=1)
-    choice |= np.arange(VALUES, dtype=np.uint32)
-    return np.ascontiguousarray(order.T), np.ascontiguousarray(choice.T), rng.integers(0, 1 << 31, VALUES, np.uint32) * np.uint32(2) + np.uint32(1)
+    turns = np.empty((VALUES, VALUES), np.uint16)
+    np.put_along_axis(turns, order, np.broadcast_to(np.arange(VALUES, dtype=np.uint16), (VALUES, VALUES)), axis=1)
+    return np.ascontiguousarray(order.T), np.ascontiguousarray(turns.T), rng.integers(0, 1 << 31, VALUES, np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-def filled(cells: np.ndarray, order: np.ndarray, choice: np.ndarray) -> None:
+def filled(cells: np.ndarray, order: np.ndarray, turns: np.ndarray) -> None:
     """Give every empty value of a signature that of the first in its own order that is not empty; two lines agree there as often as elsewhere."""
     there = cells != EMPTY
     thin = np.nonzero(there.sum(axis=1) < VALUES // 4)[0]
     own = cells.copy()
-    if len(thin):  # the few that are there, at once
-        some = there[thin]
-        row, at = np.nonzero(some)
-        source = np.minimum.reduceat(choice[at], np.searchsorted(row, np.arange(len(thin))), axis=0) & np.uint32(0xFFFF)
-        cells[thin] = np.where(some, own[thin], np.take_along_axis(own[thin], source.astype(np.int64), axis=1))
+    for some in (thin[i : i + THIN] for i in range(0, len(thin), THIN)):  # the few that are there, at once
+        row, at = np.nonzero(there[some])
+        first = np.minimum.reduceat(turns[at], np.searchsorted(row, np.arange(len(some))), axis=0)
+        source = np.take_along_axis(own[some], order[first, np.arange(VALUES)], axis=1)
+        cells[some] = np.where(there[some], own[some], source)
     flat, own, turn = cells.reshape(-1), own.reshape(-1), 0
     left = np.nonzero(flat == EMPTY)[0]
     value = left % VALUES
@@ -104,7 +105,7 @@ def signatures(lines: list[str]) -> tuple[list[bytes], np.ndarray]:
     """
     long = [i for i, line in enumerate(lines) if line[-1] != " "]
     out, sketches = [b""] * len(lines), np.zeros((len(lines), len(SKETCH)), np.int64)
-    order, choice, factors = draws()
+    order, turns, factors = draws()
     bits, low = 64 * len(SKETCH), np.uint64(0xFFFFFFFF)
     for some in (long[i : i + LINES] for i in range(0, len(long), LINES)):
         grams, begins, ends = gram_hashes([lines[i] for i in some])
@@ -114,7 +115,7 @@ def signatures(lines: list[str]) -> tuple[list[bytes], np.ndarray]:
         cells = np.full(len(some) * VALUES, EMPTY, np.uint32)
         np.minimum.at(cells, np.repeat(np.arange(len(some)) * VALUES, sizes) + value, np.minimum((grams >> np.uint64(32)).astype(np.uint32), EMPTY - np.uint32(1)))
         cells = cells.reshape(-1, VALUES)
-        filled(cells, order, choice)
+        filled(cells, order, turns)
         drawn = (cells[:, :bits] * factors[:bits] >> np.uint32(31)).astype(np.uint8)
         sketches[some] = np.packbits(drawn, axis=1).view(np.int64)
         bands, keys = cells.reshape(-1, BANDS, ROWS), np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(some), BANDS))
@@ -134,49 +135,45 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
 
 def links(percent: int):
     def linked(a: np.ndarray, b: np.ndarray) -> bool:
-        shared = len(np.intersect1d(a, b, assume_unique=True))
+        shared = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
         return 100 * shared >= percent * (len(a) + len(b) - shared)
 
     apart = lambda sizes: (100 - percent) * sizes // (100 + percent)
     return linked, nearby(lambda sizes, size: apart(sizes + size), lambda most: apart(2 * most))
 
 
-def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Every line that is not blank: key, mark (of the text), at (number of the line), line (16-byte hash)."""
-
-    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        row, at, hashes = [], [], []
-        for i, value in enumerate(batch.column(2).to_pylist()):
-            for n, line in full_lines(value):
-                row.append(i)
-                at.append(n)
-                hashes.append(line_hash(line))
-        take = pa.array(row, pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(at, pa.int32()), pa.array(hashes, pa.binary())], names=["key", "mark", "at", "line"])
-
-    return map_batches(marked(docs, key, text), work, f"key {docs.schema[key].dataType.simpleString()}, mark long, at int, line binary")
-
-
 def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The different lines of a stretch of documents: line, its first key, mark and at there, times, chars, keys (of its bands), sketch (in several numbers)."""
+    """Every line that is not blank: line (16-byte hash), key, mark (of the text), at (number of the line).
+
+    The first row of a line in a stretch of documents has its times there, chars, keys (of its bands) and sketch (in several numbers); the
+    others have none of them, and times 0.
+    """
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keys, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for first, texts in chunks(batch.column(2).to_pylist()):
             found: dict[bytes, list] = {}
+            row, at, hashes = [], [], []  # of the others
             for i, value in enumerate(texts, first):
                 for n, line in full_lines(value):
-                    place = (keys[i] is None, keys[i] or 0, marks[i], n)
-                    known = found.setdefault(line_hash(line), [place, i, 0, line])
+                    known = found.get(digest := line_hash(line))
+                    if known is None:
+                        found[digest] = [i, n, 1, line]
+                        continue
                     known[2] += 1
-                    if place < known[0]:
-                        known[:2] = place, i
-            some = list(found.values())
+                    here, there = ((keys[x] is None, keys[x] or 0, marks[x], y) for x, y in ((i, n), known[:2]))
+                    other = (i, n)
+                    if here < there:
+                        other, known[:2] = tuple(known[:2]), (i, n)
+                    row.append(other[0])
+                    at.append(other[1])
+                    hashes.append(digest)
+            some, rest = list(found.values()), len(row)
             keys_of, sketches = signatures([x[3] for x in some])
-            rows = pa.array([x[1] for x in some], pa.int64())
-            columns = [pa.array(list(found), pa.binary()), batch.column(0).take(rows), batch.column(1).take(rows), pa.array([x[0][3] for x in some], pa.int32())]
-            columns += [pa.array([x[2] for x in some], pa.int64()), pa.array([len(x[3]) for x in some], pa.int32()), pa.array(keys_of, pa.binary())]
-            columns += map(pa.array, sketches.T.copy())
+            rows = pa.array([x[0] for x in some] + row, pa.int64())
+            columns = [pa.array([*found, *hashes], pa.binary()), batch.column(0).take(rows), batch.column(1).take(rows), pa.array([x[1] for x in some] + at, pa.int32())]
+            columns += [pa.array([x[2] for x in some] + [0] * rest, pa.int64()), pa.array([len(x[3]) for x in some] + [0] * rest, pa.int32()), pa.array(keys_of + [b""] * rest, pa.binary())]
+            columns += [pa.array(np.concatenate((c, np.zeros(rest, np.int64)))) for c in sketches.T]
             yield pa.RecordBatch.from_arrays(columns, names=["line", "key", "mark", "at", "times", "chars", "keys", *SKETCH])
 
     kind = docs.schema[key].dataType.simpleString()
@@ -241,29 +238,33 @@ def candidates(shared: DataFrame, sketches: DataFrame, percent: int) -> DataFram
     return both.where(differ <= limit).select("a", "b").unionByName(crowd_links(crowds, sketches, SKETCH, limit))
 
 
-def similar_lines(docs: DataFrame, key: str, text: str, percent: int, elements: int, folder: str) -> tuple[DataFrame, DataFrame]:
-    """The different lines (class, line, first, times, chars), and node, root of the components of similar ones. What it stores is in the folder."""
+def similar_lines(docs: DataFrame, key: str, text: str, percent: int, elements: int, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All lines (line, key, mark, at), the different ones (class, line, first, times, chars), and node, root of the components of similar ones.
+
+    What it stores is in the folder.
+    """
     spark = docs.sparkSession
     lines = stored(signed(docs, key, text).withColumn("class", F.monotonically_increasing_id()), f"{folder}/signed")
     place = F.struct(F.col("key").isNull().alias("none"), "key", "mark", "at", "class")
     classes = lines.groupBy("line").agg(F.min(place).alias("first"), F.sum("times").alias("times"), F.max("chars").alias("chars"))
     classes = stored(classes.withColumn("class", F.col("first.class")), f"{folder}/classes")
     # A line that several stretches have was signed in each; one of them stands for all.
-    again = checkpoint(lines.select("class").join(classes.select("class"), "class", "left_anti"))
+    first = lines.where("times > 0")
+    again = checkpoint(first.select("class").join(classes.select("class"), "class", "left_anti"))
     small = F.broadcast if again.count() <= BROADCAST_LINKS else lambda frame: frame
-    once = lines.join(small(again), "class", "left_anti")
-    shared = stored(stars(once.select("class", "keys"), few=FEW, short=BANDS, crowds=True).distinct(), f"{folder}/shared")
-    sketches = stored(once.select("class", *SKETCH), f"{folder}/sketches")
+    once = first.join(small(again), "class", "left_anti").select("class", "keys")
+    shared = stored(stars(once, few=FEW, short=BANDS, crowds=True).distinct(), f"{folder}/shared")
+    lines = stored(lines.select("line", "key", "mark", "at", "class", *SKETCH), f"{folder}/lines")
     discard(spark, f"{folder}/signed")  # nothing reads the keys any more
-    groups = checkpoint(candidate_groups(candidates(shared, sketches, percent)))
+    groups = checkpoint(candidate_groups(candidates(shared, lines, percent)))
     small = F.broadcast if groups.count() <= BROADCAST_LINKS else lambda frame: frame
     wanted = placed(classes.join(small(groups), "class").select("class", "group", F.col("chars").alias("n"), "first.key", "first.mark", "first.at"), elements)
-    return classes, components(verified(line_texts(docs, wanted, key, text), *links(percent), shingle_sets))
+    return lines, classes, components(verified(line_texts(docs, wanted, key, text), *links(percent), shingle_sets))
 
 
 def removals(docs: DataFrame, key: str, text: str, percent: int, elements: int, folder: str) -> DataFrame:
     """Lines to remove, by document: key, mark, gone (numbers of lines), kept_in (keys of the documents that keep such lines)."""
-    classes, found = similar_lines(docs, key, text, percent, elements, folder)
+    lines, classes, found = similar_lines(docs, key, text, percent, elements, folder)
     found = checkpoint(found.unionByName(found.select(F.col("root").alias("node"), "root").distinct()))
     small = F.broadcast if found.count() <= BROADCAST_LINKS else lambda frame: frame
     # Most lines stand once and are like no other: only the rest is looked at further.
@@ -271,7 +272,7 @@ def removals(docs: DataFrame, key: str, text: str, percent: int, elements: int,
     rooted = rooted.where(F.col("root").isNotNull() | (F.col("times") > 1)).withColumn("root", F.coalesce("root", "class"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("kept"))
     decided = checkpoint(rooted.select("line", "root").join(kept, "root").select("line", "kept"))
-    gone = occurrences(docs, key, text).join(decided, "line")
+    gone = lines.select("line", "key", "mark", "at").join(decided, "line")
     here = F.col("key").eqNullSafe(F.col("kept.key")) & (F.col("mark") == F.col("kept.mark")) & (F.col("at") == F.col("kept.at"))
     return gone.where(~here).groupBy("key", "mark").agg(F.sort_array(F.collect_set("at")).alias("gone"), F.sort_array(F.collect_set("kept.key")).alias("kept_in"))
 
