@@ -24,33 +24,43 @@ GROUP_ELEMENTS = 2_000_000
 CROWD = 4_000
 
 
-def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART, few: int = 0, short: int = 0, crowds: bool = False) -> DataFrame:
-    """Edges (a, b) from the smallest class of every key to the others that have it. ``classes``: class long, keys binary (64 bits each).
+def narrow(keys: np.ndarray, width: int) -> bytes:
+    """The lower ``width`` bytes of 64-bit keys."""
+    return np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def widened(raw: bytes, width: int) -> np.ndarray:
+    """The keys that ``narrow`` wrote, as 64-bit numbers."""
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return out.view(np.uint64).ravel()
+
+
+def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART, few: int = 0, short: int = 0, crowds: bool = False, width: int = 8) -> DataFrame:
+    """Edges (a, b) from the smallest class of every key to the others that have it. ``classes``: class long, keys binary (``width`` bytes each).
 
     With ``few``, keys of at most so many classes give all their pairs instead, and ``star`` says which edges are not such pairs: a
     pair may be left out again without harm to the others of its key. With ``short``, a class has none or so many keys of 32 bits each,
     which meet only at the same place. With ``crowds``, keys of more than ``few`` classes give no star but all their members: a is the key
     then, b a class.
     """
-    width = 4 if short else 8
+    width = 4 if short else width
     total = classes.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0)).alias("n")).first().n // width
     parts = spread(total, keys_per_part)
 
     def pack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         raw = batch.column(1).to_pylist()
         sizes = [len(k) // width for k in raw]
-        keys = np.frombuffer(b"".join(raw), np.uint32 if short else np.uint64)
+        keys = np.frombuffer(b"".join(raw), np.uint32).astype(np.uint64) if short else widened(b"".join(raw), width)
         if short:
-            keys = keys.astype(np.uint64) | np.tile(np.arange(short, dtype=np.uint64) << np.uint64(32), len(raw))
+            keys |= np.tile(np.arange(short, dtype=np.uint64) << np.uint64(32), len(raw))
         owner = np.repeat(batch.column(0).to_numpy(), sizes)
-        if short:  # ranges of keys: one sort, and smaller differences
-            order = np.argsort(keys)
-            keys, owner = keys[order], owner[order]
+        order = np.argsort(keys)  # parts are ranges of keys: one sort, and smaller differences
+        keys, owner = keys[order], owner[order]
+        if short:
             part = ((keys >> np.uint64(8)) * np.uint64(parts) // np.uint64(short << 24)).astype(np.int64)
         else:
-            part = (keys % np.uint64(parts)).astype(np.int64)
-            order = np.lexsort((keys, part))
-            keys, owner, part = keys[order], owner[order], part[order]
+            part = ((keys >> np.uint64(8 * width - 32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
         cuts = np.searchsorted(part, np.arange(parts + 1))
         found = np.nonzero(np.diff(cuts))[0]
         yield pa.RecordBatch.from_arrays(
@@ -89,31 +99,45 @@ def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART, few: int = 0,
     return rows.groupBy("part").applyInArrow(meet, "a long, b long, star boolean" if few else "a long, b long")
 
 
-def crowd_links(members: DataFrame, sketches: DataFrame, columns: list[str], limit: int, elements: int = CROWD) -> DataFrame:
-    """Edges (a, b) that connect the classes of every key whose sketches differ in at most ``limit`` bits, directly or through others.
+def bits_apart(limit: int) -> Callable:
+    """A ``near`` for ``crowd_links``: sketches (columns of numbers) that differ in at most ``limit`` bits."""
+
+    def compare(columns: list[pa.ChunkedArray]) -> Callable:
+        values = np.stack([c.to_numpy() for c in columns], axis=1).view(np.uint64)
+        near = lambda at, left: np.bitwise_count(values[left] ^ values[at]).sum(axis=1, dtype=np.int64) <= limit
+        return lambda a, b: near
 
-    ``members``: key, class; ``sketches``: class and the sketch's ``columns``. A key's near pairs are walked along, so copies of copies
-    cost one comparison each and give one edge each. Larger crowds than a task takes are compared block by block.
+    return compare
+
+
+def crowd_links(members: DataFrame, sketches: DataFrame, columns: list[str], near: int | Callable, elements: int = CROWD) -> DataFrame:
+    """Edges (a, b) that connect the classes of every key whose sketches are near, directly or through others.
+
+    ``members``: key, class; ``sketches``: class and the sketch's ``columns``. ``near`` is the most bits in which sketches differ, or a function
+    from the columns to one from a stretch of rows to one that says, of a row and an array of others there, which of these are near. A key's
+    near pairs are walked along, so copies of copies cost one comparison each and give one edge each. Larger crowds than a task takes are
+    compared block by block.
     """
+    compare = near if callable(near) else bits_apart(near)
 
     def walk(rows: pa.Table) -> pa.Table:
         groups, classes, side = rows["group"].to_numpy(), rows["class"].to_numpy(), rows["side"].to_numpy()
         order = np.lexsort((classes, groups))
         groups, classes, side = groups[order], classes[order], side[order]
-        values = np.stack([rows[c].to_numpy() for c in columns], axis=1).view(np.uint64)[order]
+        within = compare([rows[c].take(pa.array(order)) for c in columns])
         cuts = np.concatenate(([0], np.nonzero(np.diff(groups))[0] + 1, [len(order)]))
         found = [np.zeros((0, 2), np.int64)]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            left = np.arange(a, b)  # not reached yet
+            left, alike = np.arange(a, b), within(a, b)  # not reached yet
             while len(left) > 1:
                 reached, left = [left[0]], left[1:]
                 while reached and len(left):
                     at = reached.pop()
-                    near = np.bitwise_count(values[left] ^ values[at]).sum(axis=1, dtype=np.int64) <= limit
+                    close = alike(at, left)
                     if side[at]:
-                        near &= side[left] != side[at]
-                    if near.any():
-                        hits, left = left[near], left[~near]
+                        close &= side[left] != side[at]
+                    if close.any():
+                        hits, left = left[close], left[~close]
                         found.append(np.stack((np.full(len(hits), classes[at]), classes[hits]), axis=1))
                         reached.extend(hits.tolist())
         pairs = np.unique(np.concatenate(found), axis=0)
@@ -218,6 +242,19 @@ def parity(sets: list[np.ndarray], words: int) -> np.ndarray:
     return np.packbits(odd.reshape(len(sets), -1), axis=1, bitorder="little").view(np.uint64)
 
 
+def folded(sketches: list[bytes], words: int) -> np.ndarray:
+    """Parity sketches of 2**k words each, as those of so many words (no more than the shortest has): halves are laid over each other."""
+    sizes = np.fromiter(map(len, sketches), np.int64, len(sketches)) // 8
+    out = np.zeros((len(sketches), words), np.uint64)
+    for size in np.unique(sizes):
+        at = np.nonzero(sizes == size)[0]
+        rows = np.frombuffer(b"".join(sketches[i] for i in at), np.uint64).reshape(len(at), size)
+        while (half := rows.shape[1] // 2) >= words:
+            rows = rows[:, :half] ^ rows[:, half:]
+        out[at] = rows
+    return out
+
+
 def nearby(limit: Callable[[np.ndarray, int], np.ndarray], most: Callable[[int], int]) -> Callable:
     """A ``near`` for ``linked_pairs``: pairs whose sketches differ in at most ``limit(sizes, size)`` bits; ``most(size)`` of the largest set sizes the sketches."""
 
