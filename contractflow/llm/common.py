@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -77,14 +78,27 @@ class Memory(dict):
                 memory.clear()
 
 
-def map_batches(frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema, memory: str = "") -> DataFrame:
-    """Apply ``work`` to the Arrow batches that have rows; it yields batches of the schema. ``memory`` names the kind of memory that it uses."""
+def release() -> None:
+    """Give back what a Python worker holds and no longer needs, lest idle workers keep it while other stages run."""
+    Memory.leave("")
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def map_batches(frame: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema, memory: str = "", last: bool = False) -> DataFrame:
+    """Apply ``work`` to the Arrow batches that have rows; it yields batches of the schema. ``memory`` names the kind of memory that it
+    uses; with ``last``, a task gives its memory back at its end.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         Memory.leave(memory)
         for batch in batches:
             if batch.num_rows:
                 yield from work(batch)
+        if last:
+            release()
 
     return frame.mapInArrow(run, schema)
 

@@ -31,7 +31,7 @@ SALTS = 4
 #: Bytes of a key that travel: enough that hardly any meet by their shortness, and sketches rule those out.
 KEY_BYTES = 6
 #: Keys of a part. A document has hundreds, so packets would be small with less.
-KEYS_PER_PART = 1_000_000
+KEYS_PER_PART = 500_000
 #: Keys of at most so many classes give all pairs; those of more are crowds, whose members are compared by key. Sketches rule out either.
 FEW = 8
 #: Words of a parity sketch: a power of two, of at least a bit for each shingle within these bounds.
@@ -201,7 +201,7 @@ def described(docs: DataFrame, key: str, text: str, size: int, percent: int) ->
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), text)
-    return map_batches(rows, work, f"key {kind}, mark long, n long, print binary, keys binary, sketch binary", "Words")
+    return map_batches(rows, work, f"key {kind}, mark long, n long, print binary, keys binary, sketch binary", "Words", last=True)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -217,7 +217,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int)
     same = (F.col("mark") == F.col("m")) & F.col("key").eqNullSafe(F.col("k"))
     chosen = rows.join(F.broadcast(asked) if few else asked, same).select("class", "group", "places", "text")
     kind = wanted.schema["places"].dataType.simpleString()
-    return map_batches(chosen, work, f"class long, group long, places {kind}, set binary", "Words")
+    return map_batches(chosen, work, f"class long, group long, places {kind}, set binary", "Words", last=True)
 
 
 def grouped(docs: DataFrame, key: str, text: str, size: int, percent: int, elements: int = GROUP_ELEMENTS) -> DataFrame:

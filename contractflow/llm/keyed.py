@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, expand, map_batches, rising, spread, squeeze
+from .common import checkpoint, expand, map_batches, release, rising, spread, squeeze
 from .components import components
 
 KEYS_PER_PART = 250_000
@@ -95,8 +95,13 @@ def stars(classes: DataFrame, keys_per_part: int = KEYS_PER_PART, few: int = 0,
         pairs = np.concatenate(some)
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(np.arange(len(pairs)) < len(some[0]))], names=["a", "b", "star"])
 
-    rows = map_batches(classes.where(F.octet_length("keys") > 0).select("class", "keys"), pack, "part long, keys binary, owners binary")
-    return rows.groupBy("part").applyInArrow(meet, "a long, b long, star boolean" if few else "a long, b long")
+    def met(rows: pa.Table) -> pa.Table:
+        found = meet(rows)
+        release()
+        return found
+
+    rows = map_batches(classes.where(F.octet_length("keys") > 0).select("class", "keys"), pack, "part long, keys binary, owners binary", last=True)
+    return rows.groupBy("part").applyInArrow(met, "a long, b long, star boolean" if few else "a long, b long")
 
 
 def bits_apart(limit: int) -> Callable:
@@ -141,6 +146,7 @@ def crowd_links(members: DataFrame, sketches: DataFrame, columns: list[str], nea
                         found.append(np.stack((np.full(len(hits), classes[at]), classes[hits]), axis=1))
                         reached.extend(hits.tolist())
         pairs = np.unique(np.concatenate(found), axis=0)
+        release()
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     wanted = placed(members.select("class", F.col("key").alias("group"), F.lit(1).alias("n")), elements)
@@ -226,6 +232,7 @@ def verified(members: DataFrame, linked: Callable, near: Callable, load: Callabl
             sets = load(some) if load else [np.frombuffer(x, np.uint64) for x in some]
             found += linked_pairs(classes[a:b], sets, side[a:b], linked, near)
         pairs = np.array(found, np.int64).reshape(-1, 2)
+        release()
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     rows = members.withColumn("place", F.explode("places")).select("class", "group", "set", "place.bin", "place.i", "place.j", "place.side")

@@ -177,7 +177,7 @@ def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["line", "key", "mark", "at", "times", "chars", "keys", *SKETCH])
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_batches(marked(docs, key, text), work, f"line binary, key {kind}, mark long, at int, times long, chars int, keys binary, " + ", ".join(f"{s} long" for s in SKETCH))
+    return map_batches(marked(docs, key, text), work, f"line binary, key {kind}, mark long, at int, times long, chars int, keys binary, " + ", ".join(f"{s} long" for s in SKETCH), last=True)
 
 
 def marked(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -215,7 +215,7 @@ def line_texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
     rows = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("m"), text)
     same = F.col("k").eqNullSafe(F.col("key")) & (F.col("m") == F.col("mark"))
     kind = docs.schema[key].dataType.simpleString()
-    found = map_batches(rows.join(small(asked), same).select(text, "asked", "key", "mark"), work, f"key {kind}, mark long, at int, set binary")
+    found = map_batches(rows.join(small(asked), same).select(text, "asked", "key", "mark"), work, f"key {kind}, mark long, at int, set binary", last=True)
     known = wanted.select(F.col("key").alias("k"), F.col("mark").alias("m"), F.col("at").alias("a"), "class", "group", "places")
     same = F.col("k").eqNullSafe(F.col("key")) & (F.col("m") == F.col("mark")) & (F.col("a") == F.col("at"))
     return found.join(small(known), same).select("class", "group", "places", "set")
